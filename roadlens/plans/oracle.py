@@ -96,3 +96,27 @@ def exact_mean(sum_expr: str, n_expr: str) -> str:
 
 def bucket(width_s: int, col: str = "event_time") -> str:
     return f"time_bucket(INTERVAL '{width_s} seconds', {col})"
+
+
+VW = "(PARTITION BY vehicle_id ORDER BY event_time, seq)"
+VW_RUN = "(PARTITION BY vehicle_id ORDER BY event_time, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+
+def hav_sql(lat1: str, lon1: str, lat2: str, lon2: str, radius: float = S.EARTH_RADIUS_KM) -> str:
+    two = D("2.0")
+    return (
+        f"{D(repr(2.0 * radius))} * asin(sqrt(pow(sin(radians({lat2} - {lat1}) / {two}), 2) + "
+        f"cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / {two}), 2)))"
+    )
+
+
+def secs_sql(later: str, earlier: str) -> str:
+    return f"(CAST(epoch_us({later}) - epoch_us({earlier}) AS DOUBLE) / {D('1000000.0')})"
+
+
+def pmod_sql(x: str, n: str) -> str:
+    return f"(CASE WHEN ({x}) % {n} < 0 THEN (({x}) % {n} + {n}) % {n} ELSE ({x}) % {n} END)"
+
+
+def exact_km_sql(x: str) -> str:
+    return f"CAST(round({x}, 6) AS DECIMAL(18,6))"

@@ -124,3 +124,170 @@ def q_fleet_windows(spark, sf):
 @register("fleet_windows_2h", _fleet_windows_sql(7200, 1800))
 def q_fleet_windows_2h(spark, sf):
     return W.fleet_windows(TM.telemetry_light(spark, sf), TM.driving_events(spark, sf), *FLEET_2H)
+
+
+# ---------------------------------------------------------------------------
+# Sessions and trips
+# ---------------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from roadlens import schemas as S  # noqa: E402
+from roadlens.operators import motion as M  # noqa: E402
+from roadlens.operators import sessions as SS  # noqa: E402
+from roadlens.plans.oracle import VW, VW_RUN, exact_km_sql, hav_sql, pmod_sql, secs_sql  # noqa: E402
+
+SESSION_GAP_TEST_S = 6 * 3600  # the driver data is sparse (one reading per vehicle every few hours)
+D60 = "CAST(60.0 AS DOUBLE)"
+
+
+def _sessions_sql(gap_s: float, on_ignition: bool, keep_idle: bool = False) -> str:
+    ign = " OR NOT prev_ign" if on_ignition else ""
+    open_ = "(end_time = vlast AND last_ign)" if on_ignition else "(end_time = vlast)"
+    where = "" if keep_idle else "WHERE first_ign"
+    return with_views(f"""
+SELECT g.vehicle_id, start_time, end_time,
+       {secs_sql('end_time', 'start_time')} / {D60} AS duration_min,
+       CAST(dist AS DOUBLE) AS distance_km, max_speed_kmh, samples, {open_} AS is_open
+FROM g JOIN lastv USING (vehicle_id) {where}""",
+        f"""s1 AS (SELECT *, lag(event_time) OVER {VW} AS prev_t, lag(lat) OVER {VW} AS prev_lat,
+                  lag(lon) OVER {VW} AS prev_lon, lag(ignition_on) OVER {VW} AS prev_ign FROM tel)""",
+        f"""s2 AS (SELECT *, (prev_t IS NULL OR {secs_sql('event_time', 'prev_t')} > CAST({float(gap_s)} AS DOUBLE){ign}) AS is_start FROM s1)""",
+        f"""s3 AS (SELECT *, sum(CAST(is_start AS BIGINT)) OVER {VW_RUN} AS session_no,
+                  CASE WHEN is_start THEN CAST(0 AS DECIMAL(18,6)) ELSE {exact_km_sql(hav_sql('prev_lat', 'prev_lon', 'lat', 'lon'))} END AS step_km FROM s2)""",
+        """g AS (SELECT vehicle_id, session_no, min(event_time) AS start_time, max(event_time) AS end_time,
+                  sum(step_km) AS dist, max(speed_kmh) AS max_speed_kmh, count(*) AS samples,
+                  bool_or(CASE WHEN is_start THEN ignition_on END) AS first_ign,
+                  arg_max(ignition_on, event_time) AS last_ign FROM s3 GROUP BY 1, 2)""",
+        "lastv AS (SELECT vehicle_id, max(event_time) AS vlast FROM tel GROUP BY 1)",
+    )
+
+
+@register("trip_sessions", _sessions_sql(SESSION_GAP_TEST_S, True))
+def q_trip_sessions(spark, sf):
+    return SS.trip_sessions(TM.telemetry_light(spark, sf), gap_s=SESSION_GAP_TEST_S)
+
+
+@register("trip_sessions_5min", _sessions_sql(S.SESSION_GAP_S, True))
+def q_trip_sessions_5min(spark, sf):
+    return SS.trip_sessions(TM.telemetry_light(spark, sf), gap_s=S.SESSION_GAP_S)
+
+
+@register("trip_sessions_gap_only", _sessions_sql(SESSION_GAP_TEST_S, False, keep_idle=True))
+def q_trip_sessions_gap_only(spark, sf):
+    return SS.trip_sessions(TM.telemetry_light(spark, sf), gap_s=SESSION_GAP_TEST_S, on_ignition=False, keep_idle=True)
+
+
+TRIPS_SQL_BODY = """
+SELECT vehicle_id, trip_id, min(event_time) AS start_time, max(event_time) AS end_time,
+       arg_min(lat, event_time) AS start_lat, arg_min(lon, event_time) AS start_lon,
+       arg_max(lat, event_time) AS end_lat, arg_max(lon, event_time) AS end_lon,
+       count(*) AS samples,
+       round(arg_max(odometer_km, event_time) - arg_min(odometer_km, event_time), 4) AS distance_km
+FROM tel WHERE trip_id IS NOT NULL GROUP BY 1, 2"""
+
+
+@register("trips_by_id", with_views(TRIPS_SQL_BODY))
+def q_trips_by_id(spark, sf):
+    return SS.trips_by_id(TM.telemetry(spark, sf))
+
+
+@register(
+    "trip_safety",
+    with_views(
+        f"""
+SELECT tr.vehicle_id, tr.trip_id, start_time, end_time, distance_km,
+       coalesce(event_count, 0) AS event_count, coalesce(harsh_events, 0) AS harsh_events,
+       CASE WHEN distance_km > 0 THEN CAST(coalesce(harsh_events, 0) AS DOUBLE) * CAST(100.0 AS DOUBLE) / distance_km END AS harsh_per_100km
+FROM tr LEFT JOIN ec ON tr.vehicle_id = ec.vehicle_id AND tr.trip_id = ec.trip_id""",
+        f"tr AS ({TRIPS_SQL_BODY})",
+        f"""ec AS (SELECT vehicle_id, trip_id, count(*) AS event_count,
+                  CAST(sum(CASE WHEN event_type IN ({HARSH_LIST}) THEN 1 ELSE 0 END) AS BIGINT) AS harsh_events
+                  FROM ev WHERE trip_id IS NOT NULL GROUP BY 1, 2)""",
+    ),
+)
+def q_trip_safety(spark, sf):
+    return SS.trip_safety(SS.trips_by_id(TM.telemetry(spark, sf)), TM.driving_events(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# Row-to-row motion signals
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "step_distance",
+    with_views(f"""
+SELECT vehicle_id, event_time,
+       CASE WHEN prev_lat IS NULL THEN CAST(0.0 AS DOUBLE) ELSE round({hav_sql('prev_lat', 'prev_lon', 'lat', 'lon')}, 6) END AS step_distance_km
+FROM (SELECT *, lag(lat) OVER {VW} AS prev_lat, lag(lon) OVER {VW} AS prev_lon FROM tel)"""),
+)
+def q_step_distance(spark, sf):
+    return M.step_distance(TM.telemetry_light(spark, sf)).select("vehicle_id", "event_time", "step_distance_km")
+
+
+@register(
+    "acceleration",
+    with_views(f"""
+SELECT vehicle_id, event_time, speed_kmh,
+       CASE WHEN {secs_sql('event_time', 'pt')} > 0
+            THEN (speed_kmh - ps) / CAST(3.6 AS DOUBLE) / {secs_sql('event_time', 'pt')} END AS accel_mps2
+FROM (SELECT *, lag(speed_kmh) OVER {VW} AS ps, lag(event_time) OVER {VW} AS pt FROM tel)"""),
+)
+def q_acceleration(spark, sf):
+    return M.add_acceleration(TM.telemetry_light(spark, sf)).select("vehicle_id", "event_time", "speed_kmh", "accel_mps2")
+
+
+@register(
+    "heading_delta",
+    with_views(
+        f"""
+SELECT vehicle_id, event_time, effective_heading_deg,
+       CASE WHEN moving AND prev_h IS NOT NULL
+            THEN {pmod_sql('effective_heading_deg - prev_h + CAST(180.0 AS DOUBLE)', 'CAST(360.0 AS DOUBLE)')} - CAST(180.0 AS DOUBLE) END AS heading_delta_deg
+FROM (SELECT *, lag(effective_heading_deg) OVER {VW} AS prev_h FROM h2)""",
+        f"h1 AS (SELECT *, speed_kmh / CAST(3.6 AS DOUBLE) > CAST({S.HEADING_MIN_SPEED_MPS} AS DOUBLE) AS moving FROM tel)",
+        f"h2 AS (SELECT *, last_value(CASE WHEN moving THEN heading_deg END IGNORE NULLS) OVER {VW_RUN} AS effective_heading_deg FROM h1)",
+    ),
+)
+def q_heading_delta(spark, sf):
+    return M.add_heading_delta(TM.telemetry_light(spark, sf)).select(
+        "vehicle_id", "event_time", "effective_heading_deg", "heading_delta_deg"
+    )
+
+
+TEST_LIMIT_KMH = float(S.ROAD_CLASS_LIMIT_KMH["arterial"])
+OVER_KMH = TEST_LIMIT_KMH + S.OVER_SPEED_MARGIN_KMH
+
+
+@register(
+    "sustained_overspeed",
+    with_views(
+        f"""
+SELECT vehicle_id, event_time, speed_kmh,
+       CASE WHEN c THEN {secs_sql('event_time', 'anchor')} ELSE CAST(0.0 AS DOUBLE) END AS overspeed_s
+FROM (SELECT *, max(CASE WHEN NOT c OR pt IS NULL THEN event_time END) OVER {VW_RUN} AS anchor FROM o1)""",
+        f"o1 AS (SELECT *, coalesce(speed_kmh > CAST({OVER_KMH} AS DOUBLE), false) AS c, lag(event_time) OVER {VW} AS pt FROM tel)",
+    ),
+)
+def q_sustained_overspeed(spark, sf):
+    t = TM.telemetry_light(spark, sf)
+    return M.add_sustained_seconds(t, F.col("speed_kmh") > F.lit(OVER_KMH), "overspeed_s").select(
+        "vehicle_id", "event_time", "speed_kmh", "overspeed_s"
+    )
+
+
+@register(
+    "rising_edges",
+    with_views(f"""
+SELECT vehicle_id, event_time, speed_kmh FROM (
+  SELECT *, lag(c) OVER {VW} AS pc FROM (SELECT *, coalesce(speed_kmh > CAST({OVER_KMH} AS DOUBLE), false) AS c FROM tel))
+WHERE c AND NOT coalesce(pc, false)"""),
+)
+def q_rising_edges(spark, sf):
+    t = TM.telemetry_light(spark, sf)
+    return (
+        M.add_rising_edge(t, F.col("speed_kmh") > F.lit(OVER_KMH), "edge")
+        .where("edge")
+        .select("vehicle_id", "event_time", "speed_kmh")
+    )
