@@ -291,3 +291,211 @@ def q_rising_edges(spark, sf):
         .where("edge")
         .select("vehicle_id", "event_time", "speed_kmh")
     )
+
+
+# ---------------------------------------------------------------------------
+# Serving queries
+# ---------------------------------------------------------------------------
+
+from roadlens.operators import serve as SV  # noqa: E402
+
+HISTORY_START, HISTORY_END = "2024-01-08 00:00:00", "2024-01-15 00:00:00"
+ISO_FMT = "'%Y-%m-%dT%H:%M:%SZ'"
+
+LATEST_SQL = f"""SELECT vehicle_id, arg_max(lat, event_time) AS lat, arg_max(lon, event_time) AS lon,
+       arg_max(speed_kmh, event_time) AS speed_kmh, arg_max(engine_temp_c, event_time) AS engine_temp_c,
+       strftime(max(event_time), {ISO_FMT}) AS updated_at
+FROM tel GROUP BY 1"""
+
+
+def scalar_lit(df, col: str, fn=F.max):
+    """Collect one aggregate value (a single scalar) and return it as a typed literal."""
+    v = df.agg(fn(col).alias("v")).first()["v"]
+    return F.lit(str(v)).cast(df.schema[col].dataType)
+
+
+@register("latest_state", with_views(LATEST_SQL))
+def q_latest_state(spark, sf):
+    return SV.latest_state(TM.telemetry_light(spark, sf))
+
+
+@register("latest_blobs", with_views(f"""
+SELECT '{S.LATEST_KEY_PREFIX}' || vehicle_id AS key,
+       to_json({{'vehicle_id': vehicle_id, 'lat': lat, 'lon': lon, 'speed_kmh': speed_kmh,
+                 'engine_temp_c': engine_temp_c, 'updated_at': updated_at}})::VARCHAR AS value
+FROM ({LATEST_SQL})"""))
+def q_latest_blobs(spark, sf):
+    return SV.latest_blobs(SV.latest_state(TM.telemetry_light(spark, sf)))
+
+
+@register("fleet_snapshot")  # rows-only: JSON message text
+def q_fleet_snapshot(spark, sf):
+    t = TM.telemetry_light(spark, sf)
+    return SV.fleet_snapshot(SV.latest_state(t), scalar_lit(t, "event_time"))
+
+
+@register("vehicles_reporting", with_views(f"SELECT count(lat) AS vehicles_reporting FROM ({LATEST_SQL})"))
+def q_vehicles_reporting(spark, sf):
+    return SV.vehicles_reporting(SV.latest_state(TM.telemetry_light(spark, sf)))
+
+
+def _top_sql(src: str, cols: str, n: int, order: str) -> str:
+    return f"""SELECT {cols} FROM (
+  SELECT *, row_number() OVER (PARTITION BY vehicle_id ORDER BY {order}) AS rn FROM {src}) WHERE rn <= {n}"""
+
+
+@register("last_points", with_views(_top_sql("tel", "vehicle_id, event_time, speed_kmh, engine_temp_c", S.LIVE_POINTS, "event_time DESC, seq DESC")))
+def q_last_points(spark, sf):
+    return SV.last_points(TM.telemetry_light(spark, sf))
+
+
+LATEST_N = 20
+
+
+@register("latest_n", with_views(_top_sql("tel", "vehicle_id, event_time, lat, lon, speed_kmh", LATEST_N, "event_time DESC, seq DESC")))
+def q_latest_n(spark, sf):
+    t = TM.telemetry_light(spark, sf).select("vehicle_id", "event_time", "seq", "lat", "lon", "speed_kmh")
+    return SV.top_n_per_key(t, LATEST_N).drop("seq")
+
+
+def _vwh_cte() -> str:
+    """The hourly vehicle-window rollup as a CTE named vwh."""
+    body = _vehicle_windows_sql(3600)
+    head = with_views("")
+    return f"vwh AS ({body[len(head):]})"
+
+
+@register("latest_windows", with_views(_top_sql("vwh", "*", 60, "window_start DESC").replace("SELECT * FROM", "SELECT * EXCLUDE (rn) FROM", 1), _vwh_cte()))
+def q_latest_windows(spark, sf):
+    return SV.latest_windows(q_vehicle_windows_hourly(spark, sf), 60)
+
+
+@register("history_range", with_views(f"""
+SELECT vehicle_id, event_time, lat, lon, speed_kmh FROM tel
+WHERE event_time >= TIMESTAMP '{HISTORY_START}' AND event_time < TIMESTAMP '{HISTORY_END}'"""))
+def q_history_range(spark, sf):
+    t = TM.telemetry_light(spark, sf)
+    return SV.history(t, HISTORY_START, HISTORY_END).select("vehicle_id", "event_time", "lat", "lon", "speed_kmh")
+
+
+@register("event_history", with_views(f"""
+SELECT vehicle_id, event_time, event_type, detail FROM ev
+WHERE event_time >= TIMESTAMP '{HISTORY_START}' AND event_time <= TIMESTAMP '{HISTORY_END}'"""))
+def q_event_history(spark, sf):
+    ev = TM.driving_events(spark, sf)
+    return SV.history(ev, HISTORY_START, HISTORY_END, closed="both").select("vehicle_id", "event_time", "event_type", "detail")
+
+
+@register("recent_window", with_views("""
+SELECT t.vehicle_id, t.event_time, t.speed_kmh, t.lat, t.lon FROM tel t
+JOIN (SELECT vehicle_id, max(event_time) AS last_t FROM tel GROUP BY 1) m USING (vehicle_id)
+WHERE t.event_time >= m.last_t - to_seconds(720)"""))
+def q_recent_window(spark, sf):
+    t = TM.telemetry_light(spark, sf).select("vehicle_id", "event_time", "speed_kmh", "lat", "lon")
+    return SV.recent_window(t, 12)
+
+
+FLEET_GROUPS = ["jakarta", "bandung"]
+
+
+def _group_mean_sql(g: str) -> str:
+    s = f"sum(CASE WHEN fleet_group = '{g}' THEN CAST(round(speed_kmh * CAST(100.0 AS DOUBLE)) AS BIGINT) END)"
+    n = f"count(CASE WHEN fleet_group = '{g}' THEN speed_kmh END)"
+    return f"{exact_mean(s, n)} AS {g}"
+
+
+@register("series_aligned", with_views(f"""
+SELECT {bucket(3600)} AS window_start, {', '.join(_group_mean_sql(g) for g in FLEET_GROUPS)}
+FROM tel JOIN veh USING (vehicle_id) GROUP BY 1"""))
+def q_series_aligned(spark, sf):
+    t = TM.telemetry_light(spark, sf).join(TM.vehicles(spark, sf).select("vehicle_id", "fleet_group"), "vehicle_id")
+    t = t.withColumn("window_start", F.window("event_time", HOUR).start)
+    g = t.groupBy("window_start").pivot("fleet_group", FLEET_GROUPS).agg(
+        W.exact_mean(F.sum(W.centi()), F.count("speed_kmh"))
+    )
+    return g
+
+
+@register("kpi_listing", with_views(
+    "SELECT * FROM vwh ORDER BY window_start DESC, vehicle_id LIMIT 10", _vwh_cte()))
+def q_kpi_listing(spark, sf):
+    return SV.peek(q_vehicle_windows_hourly(spark, sf), 10, [F.col("window_start").desc(), "vehicle_id"])
+
+
+def _fleet2h_cte() -> str:
+    body = _fleet_windows_sql(7200, 1800)
+    return f"fw AS ({body[len(with_views('')):]})"
+
+
+@register("fleet_latest_day", with_views(
+    "SELECT * FROM fw WHERE day_bucket = (SELECT max(day_bucket) FROM fw)", _fleet2h_cte()))
+def q_fleet_latest_day(spark, sf):
+    return SV.latest_day(q_fleet_windows_2h(spark, sf))
+
+
+@register("extents", with_views(f"""
+SELECT vehicle_id, min(lat) AS lat_min, max(lat) AS lat_max, min(lon) AS lon_min, max(lon) AS lon_max,
+       min(event_time) AS time_min, max(event_time) AS time_max,
+       min(speed_kmh) * CAST(0.9 AS DOUBLE) AS speed_lo, max(speed_kmh) * CAST(1.1 AS DOUBLE) AS speed_hi
+FROM tel GROUP BY 1"""))
+def q_extents(spark, sf):
+    return SV.extents(TM.telemetry_light(spark, sf))
+
+
+@register("last_not_null", with_views("""
+SELECT vehicle_id, arg_max(harsh_event_count, window_start) AS last_harsh_event_count, max(window_start) AS last_window_start
+FROM vwh WHERE harsh_event_count IS NOT NULL GROUP BY 1""", _vwh_cte()))
+def q_last_not_null(spark, sf):
+    return SV.last_not_null(q_vehicle_windows_hourly(spark, sf), "harsh_event_count")
+
+
+@register("distinct_vehicles", with_views("SELECT DISTINCT vehicle_id FROM tel"))
+def q_distinct_vehicles(spark, sf):
+    return SV.distinct_vehicles(TM.telemetry_light(spark, sf))
+
+
+@register("table_counts", with_views("SELECT CAST(event_time AS DATE) AS day, count(*) AS rows FROM tel GROUP BY 1"))
+def q_table_counts(spark, sf):
+    return SV.table_counts(TM.telemetry_light(spark, sf), F.to_date("event_time").alias("day"))
+
+
+@register("silent_vehicles", with_views("""
+SELECT * FROM veh WHERE vehicle_id NOT IN (
+  SELECT vehicle_id FROM tel WHERE event_time >= (SELECT max(event_time) FROM tel) - INTERVAL 1 DAY)"""))
+def q_silent_vehicles(spark, sf):
+    t = TM.telemetry_light(spark, sf)
+    cutoff = F.timestamp_add("DAY", F.lit(-1), scalar_lit(t, "event_time"))
+    recent = SV.latest_state(t.where(F.col("event_time") >= cutoff))
+    return SV.silent_vehicles(TM.vehicles(spark, sf), recent)
+
+
+@register("stale_vehicles", with_views(f"""
+SELECT vehicle_id, updated_at,
+       CAST(epoch_us((SELECT max(event_time) FROM tel)) AS DOUBLE) / 1e6 - CAST(epoch_us(strptime(updated_at, {ISO_FMT})) AS DOUBLE) / 1e6 AS age_s
+FROM ({LATEST_SQL})
+WHERE CAST(epoch_us((SELECT max(event_time) FROM tel)) AS DOUBLE) / 1e6 - CAST(epoch_us(strptime(updated_at, {ISO_FMT})) AS DOUBLE) / 1e6 > {float(S.FRESHNESS_MAX_AGE_S)}"""))
+def q_stale_vehicles(spark, sf):
+    t = TM.telemetry_light(spark, sf)
+    return SV.stale_vehicles(SV.latest_state(t), scalar_lit(t, "event_time"))
+
+
+@register("null_counts", with_views("""
+SELECT count(*) FILTER (WHERE avg_speed_kmh IS NULL) AS avg_speed_kmh_nulls,
+       count(*) FILTER (WHERE max_speed_kmh IS NULL) AS max_speed_kmh_nulls,
+       count(*) FILTER (WHERE harsh_event_count IS NULL) AS harsh_event_count_nulls
+FROM vwh""", _vwh_cte()))
+def q_null_counts(spark, sf):
+    return SV.null_counts(q_vehicle_windows_hourly(spark, sf), ["avg_speed_kmh", "max_speed_kmh", "harsh_event_count"])
+
+
+def _fleet5_cte() -> str:
+    body = _fleet_speed_sql(300, 30)
+    return f"fs AS ({body[len(with_views('')):]})"
+
+
+@register("missing_slots", with_views("""
+SELECT slot_start FROM (
+  SELECT unnest(generate_series((SELECT min(window_start) FROM fs), (SELECT max(window_start) FROM fs), INTERVAL 30 SECOND)) AS slot_start)
+WHERE slot_start NOT IN (SELECT window_start FROM fs)""", _fleet5_cte()))
+def q_missing_slots(spark, sf):
+    return SV.missing_slots(spark, q_fleet_speed_windows(spark, sf), 30)
