@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from roadlens import schemas as S
 from roadlens.functions.geo import haversine_km, wrap_angle
-from roadlens.operators.ordered import DEFAULT_BUCKET_S, with_previous, with_running
+from roadlens.operators.ordered import DEFAULT_BUCKET_S, scan, with_previous
 
 KEY = ["vehicle_id"]
 ORDER = ["event_time", "seq"]
@@ -45,6 +45,26 @@ def add_acceleration(t: DataFrame, keys=KEY, order=ORDER, bucket_s: int = DEFAUL
     return d.withColumn("accel_mps2", acc).drop("prev_speed_kmh", "prev_event_time")
 
 
+def _moving(min_speed_mps: float = S.HEADING_MIN_SPEED_MPS) -> Column:
+    return F.col("speed_kmh") / F.lit(3.6) > F.lit(min_speed_mps)
+
+
+def heading_running(order=ORDER, min_speed_mps: float = S.HEADING_MIN_SPEED_MPS) -> dict:
+    """Running specs for W4: last moving heading up to and before this row."""
+    moving_heading = F.when(
+        _moving(min_speed_mps), F.struct(*[F.col(c) for c in order], F.col("heading_deg").alias("h"))
+    )
+    return {"_hd_cur": (moving_heading, "max", True), "_hd_prev": (moving_heading, "max", False)}
+
+
+def heading_columns(min_speed_mps: float = S.HEADING_MIN_SPEED_MPS) -> list[Column]:
+    delta = F.when(
+        _moving(min_speed_mps) & F.col("_hd_prev").isNotNull(),
+        wrap_angle(F.col("_hd_cur.h") - F.col("_hd_prev.h")),
+    )
+    return [F.col("_hd_cur.h").alias("effective_heading_deg"), delta.alias("heading_delta_deg")]
+
+
 def add_heading_delta(
     t: DataFrame,
     keys=KEY,
@@ -54,26 +74,22 @@ def add_heading_delta(
 ) -> DataFrame:
     """Heading is only updated while moving faster than ``min_speed_mps``,
     otherwise carried forward; the wrapped change is reported on moving rows
-    that have an earlier heading."""
-    moving = F.col("speed_kmh") / F.lit(3.6) > F.lit(min_speed_mps)
-    d = t.withColumn("_moving", moving)
-    # Last moving heading up to and including this row (running max of (time, seq, heading)).
-    d = with_running(
-        d,
-        keys,
-        order,
-        F.when(F.col("_moving"), F.struct(*[F.col(c) for c in order], F.col("heading_deg").alias("h"))),
-        "_last_heading",
-        kind="max",
-        bucket_s=bucket_s,
-    )
-    d = d.withColumn("effective_heading_deg", F.col("_last_heading.h"))
-    d = with_previous(d, keys, order, ["effective_heading_deg"], bucket_s=bucket_s)
-    delta = F.when(
-        F.col("_moving") & F.col("prev_effective_heading_deg").isNotNull(),
-        wrap_angle(F.col("effective_heading_deg") - F.col("prev_effective_heading_deg")),
-    )
-    return d.withColumn("heading_delta_deg", delta).drop("_moving", "_last_heading", "prev_effective_heading_deg")
+    that have an earlier heading. One ordered pass."""
+    d = scan(t, keys, order, running=heading_running(order, min_speed_mps), bucket_s=bucket_s)
+    return d.select("*", *heading_columns(min_speed_mps)).drop("_hd_cur", "_hd_prev")
+
+
+def sustained_running(cond: Column, name: str) -> dict:
+    """Running specs for W5: time of the last false row, and the first row's time."""
+    return {
+        f"_{name}_false": (F.when(~F.coalesce(cond, F.lit(False)), F.col("event_time")), "max", True),
+        f"_{name}_t0": (F.col("event_time"), "min", True),
+    }
+
+
+def sustained_column(cond: Column, name: str) -> Column:
+    anchor = F.coalesce(F.col(f"_{name}_false"), F.col(f"_{name}_t0"))
+    return F.when(F.coalesce(cond, F.lit(False)), seconds_between("event_time", anchor)).otherwise(F.lit(0.0))
 
 
 def add_sustained_seconds(
@@ -83,14 +99,10 @@ def add_sustained_seconds(
 
     The clock adds the time since the previous row on every true row and is
     reset on a false row, so on a true row it equals the time since the last
-    false row (or since the vehicle's first row).
+    false row (or since the vehicle's first row). One ordered pass.
     """
-    d = t.withColumn("_cond", F.coalesce(cond, F.lit(False)))
-    d = with_previous(d, keys, order, ["event_time"], prefix="_p_", bucket_s=bucket_s)
-    anchor = F.when(~F.col("_cond") | F.col("_p_event_time").isNull(), F.col("event_time"))
-    d = with_running(d, keys, order, anchor, "_anchor", kind="max", bucket_s=bucket_s)
-    held = F.when(F.col("_cond"), seconds_between("event_time", "_anchor")).otherwise(F.lit(0.0))
-    return d.withColumn(out, held).drop("_cond", "_p_event_time", "_anchor")
+    d = scan(t, keys, order, running=sustained_running(cond, out), bucket_s=bucket_s)
+    return d.withColumn(out, sustained_column(cond, out)).drop(f"_{out}_false", f"_{out}_t0")
 
 
 def add_rising_edge(t: DataFrame, cond: Column, out: str, keys=KEY, order=ORDER, bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:

@@ -1,23 +1,25 @@
-"""Skew-safe ordered scans per key: previous row and running aggregates.
+"""Skew-safe ordered scans per key: previous-row values and running aggregates.
 
 A plain ``Window.partitionBy(vehicle).orderBy(ts)`` sends every row of one
-vehicle to one task. If one key holds a third of the data, that task holds a
-third of the data. These helpers split each key's series into time buckets:
+vehicle to one task; if one key holds a third of the data, so does that task.
+:func:`scan` splits each key's series into time buckets:
 
-* inside a bucket the window function runs on ``partitionBy(key, bucket)``;
-* the value that crosses a bucket boundary (last row of the previous
-  non-empty bucket, or the total of all earlier buckets) is computed on a
-  per-(key, bucket) table that has one row per bucket, pre-aggregated
-  map-side, and joined back on ``(key, bucket)``.
+* inside a bucket the window functions run on ``partitionBy(key, bucket)``;
+* what crosses a bucket boundary (the last row of the previous non-empty
+  bucket, the aggregate of all earlier buckets) comes from a per-(key,
+  bucket) table with one row per bucket, aggregated map-side and joined
+  back on ``(key, bucket)``.
 
 The row-level window and the join share one hash partitioning on
 ``(key, bucket)``, so a hot key is spread over as many tasks as it has
-buckets. Results are identical to the unbucketed window.
+buckets. All lags and running aggregates of one call share a single pass
+(one window stage, one bucket table, one join). Results equal the
+unbucketed window functions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKET_S = 86_400
 
 _B = "_scan_bucket"
+_AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
 def time_bucket_id(ts: str | Column, bucket_s: int) -> Column:
@@ -37,40 +40,90 @@ def _cols(xs: Sequence[str | Column]) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def with_previous(
+def scan(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    cols: Sequence[str],
+    prev: Sequence[str] = (),
+    running: Mapping[str, tuple[Column, str, bool]] | None = None,
     prefix: str = "prev_",
     bucket_s: int = DEFAULT_BUCKET_S,
 ) -> DataFrame:
-    """Add ``prefix + c`` = value of ``c`` on the previous row of the same key.
+    """One ordered pass per key.
 
-    ``order`` is the ordering (e.g. ``["event_time", "seq"]``); its first
-    column must be the timestamp used for bucketing. The first row of each key
-    gets nulls.
+    * ``prev``: columns whose previous-row value is added as ``prefix + c``
+      (null on the key's first row);
+    * ``running``: ``out -> (value, kind, inclusive)`` with kind ``sum``,
+      ``max`` or ``min``; ``inclusive=False`` aggregates the rows strictly
+      before the current one.
+
+    ``order[0]`` must be the timestamp used for bucketing.
     """
-    keys, order, cols = list(keys), list(order), list(cols)
-    carried = list(dict.fromkeys(cols + order))
+    keys, order, prev = list(keys), list(order), list(prev)
+    running = dict(running or {})
+    carried = list(dict.fromkeys(prev + order))
     d = df.withColumn(_B, time_bucket_id(order[0], bucket_s))
-    w = Window.partitionBy(*keys, _B).orderBy(*_cols(order))
-    d = d.withColumn("_scan_first", F.lag(F.lit(1)).over(w).isNull())
-    for c in cols:
-        d = d.withColumn(f"_scan_lag_{c}", F.lag(c).over(w))
+    for i, (out, (value, _kind, _inc)) in enumerate(running.items()):
+        d = d.withColumn(f"_scan_v{i}", value)
 
-    last = d.groupBy(*keys, _B).agg(
-        F.max_by(F.struct(*carried), F.struct(*order)).alias("_scan_last")
-    )
+    w = Window.partitionBy(*keys, _B).orderBy(*_cols(order))
+    w_inc = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w_exc = w.rowsBetween(Window.unboundedPreceding, -1)
+    cols = []
+    if prev:
+        cols.append(F.lag(F.lit(1)).over(w).isNull().alias("_scan_first"))
+        cols += [F.lag(c).over(w).alias(f"_scan_lag_{c}") for c in prev]
+    for i, (out, (_v, kind, inc)) in enumerate(running.items()):
+        cols.append(_AGG[kind](f"_scan_v{i}").over(w_inc if inc else w_exc).alias(f"_scan_in{i}"))
+    d = d.select("*", *cols)
+
+    # Per-(key, bucket) summary: last row and bucket aggregates.
+    aggs = []
+    if prev:
+        aggs.append(F.max_by(F.struct(*carried), F.struct(*order)).alias("_scan_last"))
+    for i, (_out, (_v, kind, _inc)) in enumerate(running.items()):
+        aggs.append(_AGG[kind](f"_scan_v{i}").alias(f"_scan_tot{i}"))
+    summary = d.groupBy(*keys, _B).agg(*aggs)
     wb = Window.partitionBy(*keys).orderBy(_B)
-    carry = last.select(*keys, _B, F.lag("_scan_last").over(wb).alias("_scan_carry"))
+    wb_before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    carry_cols = []
+    if prev:
+        carry_cols.append(F.lag("_scan_last").over(wb).alias("_scan_carry"))
+    for i, (_out, (_v, kind, _inc)) in enumerate(running.items()):
+        carry_cols.append(_AGG[kind](f"_scan_tot{i}").over(wb_before).alias(f"_scan_before{i}"))
+    carry = summary.select(*keys, _B, *carry_cols)
     d = d.join(carry, on=[*keys, _B], how="left")
-    for c in cols:
-        d = d.withColumn(
-            prefix + c,
-            F.when(F.col("_scan_first"), F.col(f"_scan_carry.{c}")).otherwise(F.col(f"_scan_lag_{c}")),
-        )
-    return d.drop(_B, "_scan_first", "_scan_carry", *[f"_scan_lag_{c}" for c in cols])
+
+    outs, drop = [], [_B]
+    if prev:
+        for c in prev:
+            outs.append(
+                F.when(F.col("_scan_first"), F.col(f"_scan_carry.{c}")).otherwise(F.col(f"_scan_lag_{c}")).alias(prefix + c)
+            )
+        drop += ["_scan_first", "_scan_carry", *[f"_scan_lag_{c}" for c in prev]]
+    for i, (out, (_v, kind, _inc)) in enumerate(running.items()):
+        a, b = F.col(f"_scan_in{i}"), F.col(f"_scan_before{i}")
+        if kind == "sum":
+            res = F.when(b.isNull(), a).when(a.isNull(), b).otherwise(a + b)
+        elif kind == "max":
+            res = F.greatest(a, b)
+        else:
+            res = F.least(a, b)
+        outs.append(res.alias(out))
+        drop += [f"_scan_v{i}", f"_scan_in{i}", f"_scan_before{i}"]
+    return d.select("*", *outs).drop(*drop)
+
+
+def with_previous(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    cols: Sequence[str],
+    prefix: str = "prev_",
+    bucket_s: int = DEFAULT_BUCKET_S,
+) -> DataFrame:
+    """Add ``prefix + c`` = value of ``c`` on the previous row of the same key."""
+    return scan(df, keys, order, prev=cols, prefix=prefix, bucket_s=bucket_s)
 
 
 def with_running(
@@ -81,21 +134,7 @@ def with_running(
     out: str,
     kind: str = "sum",
     bucket_s: int = DEFAULT_BUCKET_S,
+    inclusive: bool = True,
 ) -> DataFrame:
-    """Add ``out`` = running ``sum`` or ``max`` of ``value`` per key up to and
-    including the current row (in ``order``)."""
-    keys, order = list(keys), list(order)
-    agg = {"sum": F.sum, "max": F.max}[kind]
-    d = df.withColumn(_B, time_bucket_id(order[0], bucket_s)).withColumn("_scan_v", value)
-    w = Window.partitionBy(*keys, _B).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = d.withColumn("_scan_in", agg("_scan_v").over(w))
-
-    tot = d.groupBy(*keys, _B).agg(agg("_scan_v").alias("_scan_tot"))
-    wb = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    before = tot.select(*keys, _B, agg("_scan_tot").over(wb).alias("_scan_before"))
-    d = d.join(before, on=[*keys, _B], how="left")
-    if kind == "sum":
-        res = F.when(F.col("_scan_before").isNull(), F.col("_scan_in")).otherwise(F.col("_scan_in") + F.col("_scan_before"))
-    else:
-        res = F.greatest(F.col("_scan_in"), F.col("_scan_before"))
-    return d.withColumn(out, res).drop(_B, "_scan_v", "_scan_in", "_scan_before")
+    """Add ``out`` = running ``sum``/``max``/``min`` of ``value`` per key."""
+    return scan(df, keys, order, running={out: (value, kind, inclusive)}, bucket_s=bucket_s)

@@ -499,3 +499,97 @@ SELECT slot_start FROM (
 WHERE slot_start NOT IN (SELECT window_start FROM fs)""", _fleet5_cte()))
 def q_missing_slots(spark, sf):
     return SV.missing_slots(spark, q_fleet_speed_windows(spark, sf), 30)
+
+
+# ---------------------------------------------------------------------------
+# Event detection
+# ---------------------------------------------------------------------------
+
+from roadlens.operators import detect as DT  # noqa: E402
+
+
+def _dbl(x) -> str:
+    return f"CAST({float(x)} AS DOUBLE)"
+
+
+def _rules_ctes(limit_kmh: float) -> list[str]:
+    over = _dbl(limit_kmh + S.OVER_SPEED_MARGIN_KMH)
+    c180, c360 = _dbl(180), _dbl(360)
+    return [
+        f"""d1 AS (SELECT *, lag(speed_kmh) OVER {VW} AS ps, lag(event_time) OVER {VW} AS pt,
+                  speed_kmh / {_dbl(3.6)} > {_dbl(S.HEADING_MIN_SPEED_MPS)} AS moving FROM tel)""",
+        f"""d2 AS (SELECT *, CASE WHEN {secs_sql('event_time', 'pt')} > 0
+                       THEN (speed_kmh - ps) / {_dbl(3.6)} / {secs_sql('event_time', 'pt')} END AS accel,
+                  last_value(CASE WHEN moving THEN heading_deg END IGNORE NULLS) OVER {VW_RUN} AS eh,
+                  coalesce(speed_kmh > {over}, false) AS os_raw,
+                  coalesce(ignition_on AND speed_kmh / {_dbl(3.6)} < {_dbl(S.IDLE_SPEED_MPS)}, false) AS idle_raw FROM d1)""",
+        f"""d3 AS (SELECT *, lag(eh) OVER {VW} AS peh,
+                  max(CASE WHEN NOT os_raw OR pt IS NULL THEN event_time END) OVER {VW_RUN} AS os_anchor,
+                  max(CASE WHEN NOT idle_raw OR pt IS NULL THEN event_time END) OVER {VW_RUN} AS idle_anchor FROM d2)""",
+        f"""d4 AS (SELECT *, CASE WHEN moving AND peh IS NOT NULL THEN {pmod_sql(f'eh - peh + {c180}', c360)} - {c180} END AS hd,
+                  CASE WHEN os_raw THEN {secs_sql('event_time', 'os_anchor')} ELSE {_dbl(0)} END AS os_s,
+                  CASE WHEN idle_raw THEN {secs_sql('event_time', 'idle_anchor')} ELSE {_dbl(0)} END AS idle_s FROM d3)""",
+        f"""d5 AS (SELECT *,
+                  coalesce(accel > {_dbl(S.HARSH_ACCEL_MPS2)}, false) AS c_harsh_accel,
+                  coalesce(accel < {_dbl(S.HARSH_BRAKE_MPS2)}, false) AS c_harsh_braking,
+                  coalesce(hd IS NOT NULL AND speed_kmh > {_dbl(S.HARSH_CORNER_SPEED_KMH)} AND abs(hd) > {_dbl(S.HARSH_CORNER_HEADING_DEG)}, false) AS c_harsh_cornering,
+                  coalesce(speed_kmh >= {over} AND os_s >= {_dbl(S.OVER_SPEED_SUSTAINED_S)}, false) AS c_over_speed,
+                  coalesce(idle_s >= {_dbl(S.IDLING_THRESHOLD_S)}, false) AS c_idling FROM d4)""",
+        "d6 AS (SELECT *, " + ", ".join(f"lag(c_{r}) OVER {VW} AS p_{r}" for r in DT.RULES) + " FROM d5)",
+    ]
+
+
+def _detect_sql(limit_kmh: float) -> str:
+    parts = [
+        f"SELECT vehicle_id, trip_id, event_time, '{r}' AS event_type FROM d6 WHERE c_{r} AND NOT coalesce(p_{r}, false)"
+        for r in DT.RULES
+    ]
+    parts.append(
+        f"""SELECT vehicle_id, trip_id, min(event_time) AS event_time, 'fuel_low' AS event_type FROM tel
+        WHERE fuel_pct < {_dbl(S.FUEL_LOW_PCT)} AND trip_id IS NOT NULL GROUP BY vehicle_id, trip_id"""
+    )
+    return with_views("\nUNION ALL\n".join(parts), *_rules_ctes(limit_kmh))
+
+
+@register("detect_events", _detect_sql(TEST_LIMIT_KMH))
+def q_detect_events(spark, sf):
+    return DT.detect_events(TM.telemetry_light(spark, sf), limit_kmh=TEST_LIMIT_KMH)
+
+
+def _set_sql(prefix: str) -> str:
+    items = ", ".join(f"CASE WHEN {prefix}{r} THEN '{r}' END" for r in DT.RULES)
+    return f"list_filter([{items}], lambda x: x IS NOT NULL)"
+
+
+@register("condition_changes", with_views(f"""
+SELECT vehicle_id, event_time, array_to_string(nw, ',') AS newly_active, array_to_string(gone, ',') AS declined FROM (
+  SELECT vehicle_id, event_time,
+         list_filter(cur, lambda x: NOT list_contains(prv, x)) AS nw,
+         list_filter(prv, lambda x: NOT list_contains(cur, x)) AS gone
+  FROM (SELECT *, {_set_sql('c_')} AS cur, {_set_sql('coalesce(p_').replace('THEN', ', false) THEN')} AS prv FROM d6))
+WHERE len(nw) > 0 OR len(gone) > 0""", *_rules_ctes(TEST_LIMIT_KMH)))
+def q_condition_changes(spark, sf):
+    return DT.condition_changes(TM.telemetry_light(spark, sf), limit_kmh=TEST_LIMIT_KMH)
+
+
+@register("ignition_events", with_views(f"""
+SELECT vehicle_id, event_time, CASE WHEN ignition_on AND NOT coalesce(pi, false) THEN 'ignition_on' ELSE 'ignition_off' END AS event_type
+FROM (SELECT *, lag(ignition_on) OVER {VW} AS pi FROM tel)
+WHERE (ignition_on AND NOT coalesce(pi, false)) OR (NOT ignition_on AND coalesce(pi, false))"""))
+def q_ignition_events(spark, sf):
+    return DT.ignition_events(TM.telemetry_light(spark, sf))
+
+
+TEMP_LIMIT_C, TEMP_SUSTAIN_S = 100.0, 30.0
+
+
+@register("temp_alerts", with_views(f"""
+SELECT vehicle_id, event_time, engine_temp_c, hot_s FROM (
+  SELECT *, lag(al) OVER {VW} AS pal FROM (
+    SELECT *, hot_s >= {_dbl(TEMP_SUSTAIN_S)} AS al FROM (
+      SELECT *, CASE WHEN c THEN {secs_sql('event_time', 'anchor')} ELSE {_dbl(0)} END AS hot_s FROM (
+        SELECT *, max(CASE WHEN NOT c OR pt IS NULL THEN event_time END) OVER {VW_RUN} AS anchor FROM (
+          SELECT *, coalesce(engine_temp_c > {_dbl(TEMP_LIMIT_C)}, false) AS c, lag(event_time) OVER {VW} AS pt FROM tel)))))
+WHERE al AND NOT coalesce(pal, false)"""))
+def q_temp_alerts(spark, sf):
+    return DT.temp_alerts(TM.telemetry_light(spark, sf), TEMP_LIMIT_C, TEMP_SUSTAIN_S)
