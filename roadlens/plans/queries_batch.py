@@ -593,3 +593,197 @@ SELECT vehicle_id, event_time, engine_temp_c, hot_s FROM (
 WHERE al AND NOT coalesce(pal, false)"""))
 def q_temp_alerts(spark, sf):
     return DT.temp_alerts(TM.telemetry_light(spark, sf), TEMP_LIMIT_C, TEMP_SUSTAIN_S)
+
+
+# ---------------------------------------------------------------------------
+# Enrichment and lookups
+# ---------------------------------------------------------------------------
+
+from roadlens.functions.signals import rush_factor, local_hour, vehicle_state  # noqa: E402
+from roadlens.operators import enrich as EN  # noqa: E402
+from roadlens.operators import quality as QA  # noqa: E402
+
+
+@register("enrich_vehicle", with_views("""
+SELECT t.vehicle_id, t.event_time, t.speed_kmh, v.fleet_group, v.home_city, v.engine_type, v.tank_l
+FROM tel t LEFT JOIN veh v USING (vehicle_id)"""))
+def q_enrich_vehicle(spark, sf):
+    t = TM.telemetry_light(spark, sf).select("vehicle_id", "event_time", "speed_kmh")
+    v = TM.vehicles(spark, sf).select("vehicle_id", "fleet_group", "home_city", "engine_type", "tank_l")
+    return EN.enrich_vehicle(t, v)
+
+
+def _values(rows: list[tuple], cols: str) -> str:
+    def lit(x):
+        if isinstance(x, str):
+            return "'" + x.replace("'", "''") + "'"
+        if isinstance(x, (list, tuple)):
+            return "[" + ", ".join(lit(y) for y in x) + "]"
+        return repr(float(x)) if isinstance(x, float) else str(x)
+
+    body = ", ".join("(" + ", ".join(lit(x) for x in r) + ")" for r in rows)
+    return f"(SELECT * FROM (VALUES {body}) AS v({cols}))"
+
+
+CAT_CTE = "cat AS " + _values([tuple(r) for r in S.DTC_CATALOG], "code, description, severity, engine_types")
+BOX_CTE = "boxes AS " + _values([(c, *b) for c, b in S.CITY_BOXES.items()], "city, lat_min, lat_max, lon_min, lon_max")
+
+
+@register("enrich_dtc", with_views("""
+SELECT e.event_id, e.vehicle_id, e.event_time, split_part(e.detail, ' ', 1) AS code, cat.description, cat.severity,
+       v.engine_type, coalesce(list_contains(cat.engine_types, v.engine_type), false) AS is_plausible
+FROM ev e LEFT JOIN cat ON split_part(e.detail, ' ', 1) = cat.code LEFT JOIN veh v ON e.vehicle_id = v.vehicle_id
+WHERE e.detail IS NOT NULL""", CAT_CTE))
+def q_enrich_dtc(spark, sf):
+    return EN.enrich_dtc(TM.driving_events(spark, sf), EN.dtc_catalog(spark), TM.vehicles(spark, sf))
+
+
+@register("geofence_violations", with_views("""
+SELECT t.vehicle_id, t.event_time, t.lat, t.lon, v.home_city
+FROM tel t JOIN veh v USING (vehicle_id) LEFT JOIN boxes b ON v.home_city = b.city
+WHERE NOT coalesce(t.lat BETWEEN b.lat_min AND b.lat_max AND t.lon BETWEEN b.lon_min AND b.lon_max, false)""", BOX_CTE))
+def q_geofence_violations(spark, sf):
+    return EN.geofence_violations(TM.telemetry_light(spark, sf), TM.vehicles(spark, sf), EN.city_boxes(spark))
+
+
+@register("vehicle_state", with_views(f"""
+SELECT vehicle_id, event_time,
+       CASE WHEN NOT ignition_on THEN 'idle' WHEN speed_kmh < {_dbl(S.IDLE_SPEED_MPS * 3.6)} THEN 'stopped' ELSE 'driving' END AS state
+FROM tel"""))
+def q_vehicle_state(spark, sf):
+    return TM.telemetry_light(spark, sf).select("vehicle_id", "event_time", vehicle_state().alias("state"))
+
+
+_rush = " OR ".join(f"(h >= {lo} AND h < {hi})" for lo, hi in S.RUSH_HOURS)
+
+
+@register("rush_factor", with_views(f"""
+SELECT vehicle_id, event_time, h AS local_hour,
+       CASE WHEN {_rush} THEN {_dbl(S.RUSH_FACTOR)} ELSE {_dbl(S.NON_RUSH_FACTOR)} END AS rush_factor
+FROM (SELECT *, CAST(hour(event_time + INTERVAL 7 HOUR) AS INTEGER) AS h FROM tel)"""))
+def q_rush_factor(spark, sf):
+    t = TM.telemetry_light(spark, sf)
+    return t.select("vehicle_id", "event_time", local_hour().alias("local_hour"), rush_factor().alias("rush_factor"))
+
+
+def _nodes_cte(spacing: float = EN.NODE_SPACING_DEG) -> str:
+    parts = []
+    for city, (a, b, c, d) in S.CITY_BOXES.items():
+        ni = int(round((b - a) / spacing)) + 1
+        nj = int(round((d - c) / spacing)) + 1
+        parts.append(f"SELECT '{city}' AS city, r // {nj} AS i, r % {nj} AS j FROM range({ni * nj}) t(r)")
+    lattice = " UNION ALL ".join(parts)
+    return f"""nodes AS (SELECT city, i, j,
+      CASE WHEN i % 10 = 0 THEN 'toll' WHEN i % 4 = 0 OR j % 4 = 0 THEN 'arterial'
+           WHEN (i + j) % 3 = 0 THEN 'residential' ELSE 'local' END AS road_class,
+      CASE WHEN i % 6 = 0 AND j % 6 = 0 THEN 30 END AS override FROM ({lattice}))"""
+
+
+def _city_sql() -> str:
+    return "CASE " + " ".join(
+        f"WHEN lat BETWEEN {_dbl(a)} AND {_dbl(b)} AND lon BETWEEN {_dbl(c)} AND {_dbl(d)} THEN '{city}'"
+        for city, (a, b, c, d) in S.CITY_BOXES.items()
+    ) + " END"
+
+
+def _lattice_sql(col: str, idx: int, spacing: float = EN.NODE_SPACING_DEG) -> str:
+    cases = " ".join(
+        f"WHEN city = '{city}' THEN CAST(floor(({col} - {_dbl(box[idx])}) / {_dbl(spacing)} + {_dbl(0.5)}) AS BIGINT)"
+        for city, box in S.CITY_BOXES.items()
+    )
+    return f"CASE {cases} END"
+
+
+_class_limit = "CASE road_class " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in S.ROAD_CLASS_LIMIT_KMH.items()) + " END"
+ASSIGN_SQL_BODY = f"""
+SELECT p.vehicle_id, p.event_time, p.speed_kmh, p.city, n.road_class,
+       CAST(coalesce(n.override, {_class_limit.replace('road_class', 'n.road_class')}) AS INTEGER) AS speed_limit_kmh
+FROM (SELECT *, {_lattice_sql('lat', 0)} AS i, {_lattice_sql('lon', 2)} AS j FROM (SELECT *, {_city_sql()} AS city FROM tel)) p
+LEFT JOIN nodes n ON p.city = n.city AND p.i = n.i AND p.j = n.j"""
+
+
+@register("assign_limit", with_views(ASSIGN_SQL_BODY, _nodes_cte()))
+def q_assign_limit(spark, sf):
+    t = TM.telemetry_light(spark, sf).select("vehicle_id", "event_time", "speed_kmh", "lat", "lon")
+    return EN.assign_limit(t, EN.road_nodes(spark)).select(
+        "vehicle_id", "event_time", "speed_kmh", "city", "road_class", "speed_limit_kmh"
+    )
+
+
+# ---------------------------------------------------------------------------
+# Quality and counters
+# ---------------------------------------------------------------------------
+
+
+def _gear_sql() -> str:
+    b = S.GEAR_BANDS_KMH
+    whens = " ".join(f"WHEN speed_kmh < {_dbl(x)} THEN {i}" for i, x in enumerate(b, start=1))
+    return f"CASE {whens} ELSE {len(b) + 1} END"
+
+
+_MAF = f"displacement_l * (CAST(rpm AS DOUBLE) / {_dbl(60)}) * (throttle_pct / {_dbl(100)}) * {_dbl(S.AIR_DENSITY_G_PER_L)} * {_dbl(S.MAF_FILL_FACTOR)}"
+_FACTOR = "CASE " + " ".join(f"WHEN fuel_type = '{k}' THEN {_dbl(v)}" for k, v in S.FUEL_TYPE_FACTOR.items() if v != 1.0) + f" ELSE {_dbl(1.0)} END"
+_LPS = f"greatest(({_MAF}) / {_dbl(S.AIR_FUEL_RATIO)} / {_dbl(S.FUEL_DENSITY_G_PER_L)} * {_FACTOR}, CASE WHEN rpm <= {S.IDLE_RPM} THEN {_dbl(S.IDLE_FUEL_FLOOR_LPS)} ELSE {_dbl(0)} END)"
+
+
+@register("ecu_audit", with_views(f"""
+SELECT vehicle_id, event_time, gear_ok, maf_ok, intake_ok, fuel_ok FROM (
+  SELECT vehicle_id, event_time,
+         gear = {_gear_sql()} AS gear_ok,
+         abs(maf_g_per_s - ({_MAF})) <= {_dbl(QA.MAF_TOL)} AS maf_ok,
+         abs(intake_air_temp_c - (ambient_c + least({_dbl(S.INTAKE_MAX_RISE_C)}, rpm / {_dbl(S.INTAKE_RPM_DIVISOR)}))) <= {_dbl(QA.TEMP_TOL)} AS intake_ok,
+         CASE WHEN pt IS NOT NULL THEN abs(fuel_consumed_l - pf - ({_LPS}) * {secs_sql('event_time', 'pt')}) <= {_dbl(QA.FUEL_TOL_L)} END AS fuel_ok
+  FROM (SELECT t.*, v.displacement_l, v.ambient_c, v.fuel_type,
+               lag(t.event_time) OVER (PARTITION BY t.vehicle_id ORDER BY t.event_time, t.seq) AS pt,
+               lag(t.fuel_consumed_l) OVER (PARTITION BY t.vehicle_id ORDER BY t.event_time, t.seq) AS pf
+        FROM tel t LEFT JOIN veh v USING (vehicle_id)))
+WHERE coalesce(NOT gear_ok OR NOT maf_ok OR NOT intake_ok OR NOT coalesce(fuel_ok, true), true)"""))
+def q_ecu_audit(spark, sf):
+    return QA.ecu_audit(TM.telemetry(spark, sf), TM.vehicles(spark, sf))
+
+
+@register("late_records", with_views(f"""
+SELECT vehicle_id, event_time, arrival_time, window_end, {secs_sql('arrival_time', 'window_end')} AS late_seconds
+FROM (SELECT *, {bucket(60)} + to_seconds(60) AS window_end FROM tel)
+WHERE arrival_time > window_end + to_seconds(75)"""))
+def q_late_records(spark, sf):
+    return QA.late_records(TM.telemetry_light(spark, sf))
+
+
+@register("fuel_usage", with_views("""
+SELECT vehicle_id, trip_id,
+       round(arg_max(fuel_consumed_l, event_time) - arg_min(fuel_consumed_l, event_time), 4) AS fuel_used_l,
+       round(arg_min(fuel_pct, event_time) - arg_max(fuel_pct, event_time), 3) AS fuel_pct_drop
+FROM tel WHERE trip_id IS NOT NULL GROUP BY 1, 2"""))
+def q_fuel_usage(spark, sf):
+    return QA.fuel_usage(TM.telemetry(spark, sf))
+
+
+@register("refuels", with_views(f"""
+SELECT vehicle_id, event_time, pf AS fuel_before, fuel_pct AS fuel_after
+FROM (SELECT *, lag(fuel_pct) OVER {VW} AS pf FROM tel)
+WHERE pf < {_dbl(S.REFUEL_BELOW_PCT)} AND fuel_pct > pf"""))
+def q_refuels(spark, sf):
+    return QA.refuels(TM.telemetry_light(spark, sf))
+
+
+RESAMPLE_STEP_S = 3600
+
+
+def _resample_sql(step_s: int) -> str:
+    us = step_s * 1_000_000
+    frac = "CAST(g_us - p_us AS DOUBLE) / CAST(c_us - p_us AS DOUBLE)"
+    return with_views(f"""
+SELECT vehicle_id, make_timestamp(g_us) AS grid_time,
+       round(plat + (lat - plat) * {frac}, 6) AS lat, round(plon + (lon - plon) * {frac}, 6) AS lon,
+       round(ps + (speed_kmh - ps) * {frac}, 2) AS speed_kmh
+FROM (SELECT *, unnest(generate_series(g0, g1, {us})) AS g_us FROM (
+  SELECT *, (p_us // {us} + 1) * {us} AS g0, (c_us // {us}) * {us} AS g1 FROM (
+    SELECT vehicle_id, lat, lon, speed_kmh, epoch_us(event_time) AS c_us,
+           lag(lat) OVER {VW} AS plat, lag(lon) OVER {VW} AS plon, lag(speed_kmh) OVER {VW} AS ps,
+           epoch_us(lag(event_time) OVER {VW}) AS p_us FROM tel) WHERE p_us IS NOT NULL) WHERE g1 >= g0)""")
+
+
+@register("resample", _resample_sql(RESAMPLE_STEP_S))
+def q_resample(spark, sf):
+    return QA.resample(TM.telemetry_light(spark, sf), RESAMPLE_STEP_S)
