@@ -787,3 +787,109 @@ FROM (SELECT *, unnest(generate_series(g0, g1, {us})) AS g_us FROM (
 @register("resample", _resample_sql(RESAMPLE_STEP_S))
 def q_resample(spark, sf):
     return QA.resample(TM.telemetry_light(spark, sf), RESAMPLE_STEP_S)
+
+
+# ---------------------------------------------------------------------------
+# Decoding and keyed sinks
+# ---------------------------------------------------------------------------
+
+from roadlens.schemas import EVENT_COLUMNS, TELEMETRY_COLUMNS  # noqa: E402
+from roadlens.sources import decode as DC  # noqa: E402
+from roadlens.sources import sinks as SK  # noqa: E402
+
+TEL_COLS = ", ".join(TELEMETRY_COLUMNS)
+EV_COLS = ", ".join(EVENT_COLUMNS)
+# Feed messages for the decode tests: telemetry JSON, except two source
+# event types whose message is the source ``props`` object (valid JSON without
+# the required fields) or that object behind an unterminated ``{"ts": ``.
+MISSING_SRC, BROKEN_SRC = "error", "purchase"
+
+
+def feed_messages(spark, sf):
+    t = TM.telemetry(spark, sf, source=True)
+    value = (
+        F.when(F.col("source_type") == MISSING_SRC, F.col("props"))
+        .when(F.col("source_type") == BROKEN_SRC, F.concat(F.lit('{"ts": '), F.col("props")))
+        .otherwise(DC.telemetry_json())
+    )
+    return t.select("seq", value.alias("value"))
+
+
+@register("decode_telemetry", with_views(f"SELECT {TEL_COLS} FROM tel"))
+def q_decode_telemetry(spark, sf):
+    msgs = DC.encode_telemetry(TM.telemetry(spark, sf))
+    return DC.decode_telemetry(msgs)
+
+
+@register("decode_event", with_views(f"SELECT {EV_COLS} FROM ev"))
+def q_decode_event(spark, sf):
+    return DC.decode_event(DC.encode_event(TM.driving_events(spark, sf)))
+
+
+@register("split_malformed", with_views(f"""
+SELECT {TEL_COLS} FROM tel WHERE seq IN (SELECT event_id FROM events WHERE event_type NOT IN ('{MISSING_SRC}', '{BROKEN_SRC}'))"""))
+def q_split_malformed(spark, sf):
+    good, _bad = DC.split_malformed(feed_messages(spark, sf))
+    return DC.decode_telemetry(good)
+
+
+@register("quarantine", f"""
+SELECT CASE WHEN event_type = '{MISSING_SRC}' THEN props ELSE '{{"ts": ' || props END AS raw,
+       CASE WHEN event_type = '{MISSING_SRC}' THEN 'missing_field' ELSE 'malformed_json' END AS reason
+FROM events WHERE event_type IN ('{MISSING_SRC}', '{BROKEN_SRC}')""")
+def q_quarantine(spark, sf):
+    _good, bad = DC.split_malformed(feed_messages(spark, sf))
+    return bad
+
+
+_REQ = "[" + ", ".join(f"'{c}'" for c in ["vehicle_id", "ts", "speed_kmh", "ignition_on"]) + "]"
+
+
+@register("missing_fields", f"""
+SELECT event_id AS seq, array_to_string(list_filter({_REQ}, lambda x: NOT list_contains(k, x)), ',') AS missing_fields
+FROM (SELECT event_id, CASE WHEN json_valid(v) THEN json_keys(v) ELSE [] END AS k FROM (
+  SELECT event_id, CASE WHEN event_type = '{MISSING_SRC}' THEN props ELSE '{{"ts": ' || props END AS v
+  FROM events WHERE event_type IN ('{MISSING_SRC}', '{BROKEN_SRC}')))""")
+def q_missing_fields(spark, sf):
+    msgs = feed_messages(spark, sf)
+    m = DC.missing_fields(msgs, "value", ["vehicle_id", "ts", "speed_kmh", "ignition_on"])
+    return m.where(F.size("missing_fields") > 0).select("seq", F.array_join("missing_fields", ",").alias("missing_fields"))
+
+
+@register("read_tagged_jsonl", with_views(f"SELECT {EV_COLS} FROM ev"))
+def q_read_tagged_jsonl(spark, sf):
+    lines = DC.tag_lines(TM.telemetry(spark, sf), TM.driving_events(spark, sf))
+    _t, ev = DC.demux_tagged(lines)
+    return ev
+
+
+@register("read_tagged_telemetry", with_views(f"SELECT {TEL_COLS} FROM tel"))
+def q_read_tagged_telemetry(spark, sf):
+    lines = DC.tag_lines(TM.telemetry(spark, sf), TM.driving_events(spark, sf))
+    t, _ev = DC.demux_tagged(lines)
+    return t
+
+
+REDELIVERY_S = 3600
+
+
+@register("dedup_history", with_views(f"""
+SELECT vehicle_id, event_time, speed_kmh + {_dbl(1.0)} AS speed_kmh, arrival_time + to_seconds({REDELIVERY_S}) AS arrival_time FROM tel"""))
+def q_dedup_history(spark, sf):
+    t = TM.telemetry_light(spark, sf).select("vehicle_id", "event_time", "speed_kmh", "arrival_time", "seq")
+    again = t.select(
+        "vehicle_id",
+        "event_time",
+        (F.col("speed_kmh") + F.lit(1.0)).alias("speed_kmh"),
+        F.timestamp_add("SECOND", F.lit(REDELIVERY_S), F.col("arrival_time")).alias("arrival_time"),
+        "seq",
+    )
+    return SK.dedup_latest(t.unionByName(again), ["vehicle_id", "event_time"]).drop("seq")
+
+
+@register("upsert_columns", _vehicle_windows_sql(3600))
+def q_upsert_columns(spark, sf):
+    t, ev = TM.telemetry_light(spark, sf), TM.driving_events(spark, sf)
+    speed = W.vehicle_speed_windows(t, HOUR).withColumn("harsh_event_count", F.lit(None).cast("long"))
+    harsh = W.vehicle_harsh_windows(ev, HOUR)
+    return SK.upsert_columns(speed, harsh, ["vehicle_id", "window_start"], ["harsh_event_count"])

@@ -42,7 +42,7 @@ def _trip_id() -> Column:
     )
 
 
-def telemetry(spark: SparkSession, sf_dir: str, streaming_ts: bool = False, extra: bool = True) -> DataFrame:
+def telemetry(spark: SparkSession, sf_dir: str, streaming_ts: bool = False, extra: bool = True, source: bool = False) -> DataFrame:
     """Telemetry view: one reading per ``events`` row.
 
     ``seq`` (the source ``event_id``) breaks ties in arrival order and
@@ -73,6 +73,8 @@ def telemetry(spark: SparkSession, sf_dir: str, streaming_ts: bool = False, extr
         (F.col("event_type") != IGNITION_OFF_SOURCE_TYPE).alias("ignition_on"),
         eid.alias("seq"),
         F.timestamp_add("SECOND", (eid % 7) * 30, ts).alias("arrival_time"),
+        F.col("event_type").alias("source_type"),
+        F.col("props"),
     )
     # Monotone counters: odometer = running exact sum of speed readings.
     t = with_running(
@@ -80,7 +82,7 @@ def telemetry(spark: SparkSession, sf_dir: str, streaming_ts: bool = False, extr
     )
     t = t.withColumn("odometer_km", F.col("odometer_dec").cast("double")).drop("odometer_dec")
     t = t.withColumn("fuel_consumed_l", F.col("odometer_km") / F.lit(12.5))
-    cols = TELEMETRY_COLUMNS + (["seq", "arrival_time"] if extra else [])
+    cols = TELEMETRY_COLUMNS + (["seq", "arrival_time"] if extra else []) + (["source_type", "props"] if source else [])
     return t.select(*cols)
 
 
