@@ -88,7 +88,11 @@ def telemetry(spark: SparkSession, sf_dir: str, streaming_ts: bool = False, extr
 
 def telemetry_light(spark: SparkSession, sf_dir: str, streaming_ts: bool = False) -> DataFrame:
     """Telemetry view without the running counters (no window needed)."""
-    e = read_table(spark, sf_dir, "events")
+    return light_from(read_table(spark, sf_dir, "events"), streaming_ts)
+
+
+def light_from(e: DataFrame, streaming_ts: bool = False) -> DataFrame:
+    """Row-local telemetry mapping of an ``events`` DataFrame (batch or stream)."""
     eid = F.col("event_id")
     ts = F.col("ts").cast("timestamp") if streaming_ts else F.col("ts")
     return e.select(
@@ -124,7 +128,11 @@ def _dtc_detail() -> Column:
 
 def driving_events(spark: SparkSession, sf_dir: str, streaming_ts: bool = False) -> DataFrame:
     """Driving-event view: every ``events`` row with its mapped event type."""
-    e = read_table(spark, sf_dir, "events")
+    return events_from(read_table(spark, sf_dir, "events"), streaming_ts)
+
+
+def events_from(e: DataFrame, streaming_ts: bool = False) -> DataFrame:
+    """Driving-event mapping of an ``events`` DataFrame (batch or stream)."""
     ts = F.col("ts").cast("timestamp") if streaming_ts else F.col("ts")
     return e.select(
         F.col("event_id").cast("string").alias("event_id"),
