@@ -78,9 +78,8 @@ def condition_set(prefix: str = "c_") -> Column:
 
 def fuel_low_events(t: DataFrame, threshold: float = S.FUEL_LOW_PCT) -> DataFrame:
     """First reading of each trip below ``threshold`` percent fuel."""
-    o = F.struct(*[F.col(c) for c in ORDER])
     low = t.where((F.col("fuel_pct") < F.lit(threshold)) & F.col("trip_id").isNotNull())
-    g = low.groupBy("vehicle_id", "trip_id").agg(F.min_by("event_time", o).alias("event_time"))
+    g = low.groupBy("vehicle_id", "trip_id").agg(F.min("event_time").alias("event_time"))
     return g.select("vehicle_id", "trip_id", "event_time", F.lit("fuel_low").alias("event_type"))
 
 

@@ -59,8 +59,9 @@ def late_records(df: DataFrame, arrival: str = "arrival_time", width: str = S.VE
 
 
 def fuel_usage(t: DataFrame) -> DataFrame:
-    """Litres and fuel percent used per trip from the monotone counters."""
-    o = F.struct(*[F.col(c) for c in ORDER])
+    """Litres and fuel percent used per trip from the monotone counters
+    (ordered by event time, unique per vehicle in a keyed history)."""
+    o = F.col("event_time")
     g = t.where(F.col("trip_id").isNotNull()).groupBy("vehicle_id", "trip_id").agg(
         F.min_by("fuel_consumed_l", o).alias("_l0"),
         F.max_by("fuel_consumed_l", o).alias("_l1"),

@@ -19,25 +19,22 @@ from roadlens.functions.signals import age_seconds, build_key, iso_utc_seconds
 ORDER = ["event_time", "seq"]
 
 
-def _order_cols(df: DataFrame, order=ORDER) -> list[str]:
-    return [c for c in order if c in df.columns]
+LATEST_VALUES = ("lat", "lon", "speed_kmh", "engine_temp_c")
 
 
-def latest_state(t: DataFrame, order=ORDER) -> DataFrame:
+def latest_state(t: DataFrame) -> DataFrame:
     """L5 + P2 (Q1): latest row per vehicle by event time (not arrival), as the
-    6-field latest-state record."""
-    o = F.struct(*_order_cols(t, order))
+    6-field latest-state record.
+
+    One ``max_by(value, event_time)`` per field: fixed-width buffers, so the
+    aggregation is hashed map-side (one row per vehicle per task leaves the
+    task). ``(vehicle_id, event_time)`` is the history key, hence unique, so
+    all fields come from the same reading.
+    """
     g = t.groupBy("vehicle_id").agg(
-        F.max_by(F.struct("lat", "lon", "speed_kmh", "engine_temp_c", "event_time"), o).alias("s")
-    )
-    return g.select(
-        "vehicle_id",
-        F.col("s.lat").alias("lat"),
-        F.col("s.lon").alias("lon"),
-        F.col("s.speed_kmh").alias("speed_kmh"),
-        F.col("s.engine_temp_c").alias("engine_temp_c"),
-        iso_utc_seconds(F.col("s.event_time")).alias("updated_at"),
+        *[F.max_by(c, "event_time").alias(c) for c in LATEST_VALUES], F.max("event_time").alias("_t")
     )
+    return g.select("vehicle_id", *LATEST_VALUES, iso_utc_seconds(F.col("_t")).alias("updated_at"))
 
 
 def latest_blobs(latest: DataFrame) -> DataFrame:

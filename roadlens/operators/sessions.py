@@ -64,7 +64,7 @@ def trip_sessions(
         F.max("speed_kmh").alias("max_speed_kmh"),
         F.count(F.lit(1)).alias("samples"),
         F.max(F.when(F.col("is_start"), F.col("ignition_on"))).alias("_first_ign"),
-        F.max_by("ignition_on", F.struct(*ORDER)).alias("_last_ign"),
+        F.max_by("ignition_on", "event_time").alias("_last_ign"),
     )
     last = t.groupBy("vehicle_id").agg(F.max("event_time").alias("_vehicle_last"))
     g = g.join(last, "vehicle_id", "left")
@@ -87,8 +87,13 @@ def trip_sessions(
 
 def trips_by_id(t: DataFrame) -> DataFrame:
     """Trip record per (vehicle_id, trip_id): first/last time and position,
-    distance = odometer end - start (4 dp)."""
-    o = F.struct(*[F.col(c) for c in ORDER])
+    distance = odometer end - start (4 dp).
+
+    Ordered by ``event_time`` alone (unique per vehicle in a keyed history),
+    so every aggregate has a fixed-width buffer and Spark hash-aggregates
+    map-side instead of sorting.
+    """
+    o = F.col("event_time")
     g = t.where(F.col("trip_id").isNotNull()).groupBy("vehicle_id", "trip_id").agg(
         F.min("event_time").alias("start_time"),
         F.max("event_time").alias("end_time"),
