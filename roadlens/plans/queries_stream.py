@@ -86,3 +86,42 @@ def q_stream_latest_state(spark, sf):
     t = TM.light_from(ST.events_stream(spark, sf), streaming_ts=True)
     out = ST.run_foreach_batch(t, "latest_state", ST.latest_state_writer, mode="append")
     return ST.read_latest_state(spark, out)
+
+
+# ---------------------------------------------------------------------------
+# Custom stateful processors
+# ---------------------------------------------------------------------------
+
+from roadlens.plans.queries_batch import TEST_LIMIT_KMH, _detect_sql, _sessions_sql  # noqa: E402
+from roadlens.streaming import processors as PR  # noqa: E402
+
+
+@register("stream_detect_events", _detect_sql(TEST_LIMIT_KMH))
+def q_stream_detect_events(spark, sf):
+    t = TM.light_from(ST.events_stream(spark, sf), streaming_ts=True)
+    out = ST.run_to_parquet(PR.detect_events_stream(t, TEST_LIMIT_KMH), "detect_events")
+    return _ntz(spark.read.parquet(out), ["event_time"])
+
+
+def _stream_sessions_sql() -> str:
+    return _stream_sessions_sql_inner(_body(_sessions_sql(SESSION_GAP_TEST_S, True)))
+
+
+def _stream_sessions_sql_inner(body: str) -> str:
+    # body = "<ctes>\n<select>" after the shared view CTEs; wrap its final select as a CTE.
+    head, _, select = body.rpartition("\nSELECT g.vehicle_id")
+    ctes = head.lstrip(",\n")
+    final = "SELECT g.vehicle_id" + select
+    return with_views(
+        f"""SELECT vehicle_id, start_time, end_time, distance_km, max_speed_kmh, samples FROM ts
+WHERE NOT is_open OR end_time + to_seconds({SESSION_GAP_TEST_S}) <= {WM}""",
+        ctes,
+        f"ts AS ({final})",
+    )
+
+
+@register("stream_trip_sessions_ignition", _stream_sessions_sql())
+def q_stream_trip_sessions_ignition(spark, sf):
+    t = TM.light_from(ST.events_stream(spark, sf), streaming_ts=True)
+    out = ST.run_to_parquet(PR.trip_sessions_stream(t, SESSION_GAP_TEST_S), "trip_sessions_ignition")
+    return _ntz(spark.read.parquet(out), ["start_time", "end_time"])
