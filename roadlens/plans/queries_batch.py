@@ -893,3 +893,43 @@ def q_upsert_columns(spark, sf):
     speed = W.vehicle_speed_windows(t, HOUR).withColumn("harsh_event_count", F.lit(None).cast("long"))
     harsh = W.vehicle_harsh_windows(ev, HOUR)
     return SK.upsert_columns(speed, harsh, ["vehicle_id", "window_start"], ["harsh_event_count"])
+
+
+# ---------------------------------------------------------------------------
+# Storage casts, wire rounding, generic windowed rollup
+# ---------------------------------------------------------------------------
+
+from roadlens.functions.signals import quantize  # noqa: E402
+
+_FLOATS = ["speed_kmh", "throttle_pct", "maf_g_per_s", "engine_temp_c", "coolant_temp_c", "intake_air_temp_c", "fuel_pct", "fuel_consumed_l", "odometer_km"]
+
+
+@register("to_storage", with_views(
+    "SELECT " + ", ".join(f"CAST({c} AS FLOAT) AS {c}" if c in _FLOATS else c for c in TELEMETRY_COLUMNS) + " FROM tel"))
+def q_to_storage(spark, sf):
+    return SK.to_storage(TM.telemetry(spark, sf, extra=False))
+
+
+@register("quantize", with_views(
+    "SELECT " + ", ".join(f"round({c}, {S.QUANTIZE_DP[c]}) AS {c}" if c in S.QUANTIZE_DP else c for c in TELEMETRY_COLUMNS) + " FROM tel"))
+def q_quantize(spark, sf):
+    return quantize(TM.telemetry(spark, sf, extra=False))
+
+
+@register("windowed_generic", with_views(f"""
+SELECT vehicle_id, {bucket(3600)} AS window_start, {bucket(3600)} + to_seconds(3600) AS window_end,
+       count(*) AS samples, min(speed_kmh) AS min_speed_kmh, max(engine_temp_c) AS max_engine_temp_c,
+       count(DISTINCT trip_id) AS trips
+FROM tel GROUP BY 1, 2"""))
+def q_windowed_generic(spark, sf):
+    return W.windowed(
+        TM.telemetry_light(spark, sf),
+        ["vehicle_id"],
+        HOUR,
+        {
+            "samples": F.count(F.lit(1)),
+            "min_speed_kmh": F.min("speed_kmh"),
+            "max_engine_temp_c": F.max("engine_temp_c"),
+            "trips": F.count_distinct("trip_id"),
+        },
+    )

@@ -125,3 +125,14 @@ def q_stream_trip_sessions_ignition(spark, sf):
     t = TM.light_from(ST.events_stream(spark, sf), streaming_ts=True)
     out = ST.run_to_parquet(PR.trip_sessions_stream(t, SESSION_GAP_TEST_S), "trip_sessions_ignition")
     return _ntz(spark.read.parquet(out), ["start_time", "end_time"])
+
+
+from roadlens.sources import sinks as SK  # noqa: E402
+
+
+@register("stream_vehicle_windows_update", _vehicle_windows_sql(60))
+def q_stream_vehicle_windows_update(spark, sf):
+    """Update mode (changed windows only, open ones included) merged by key."""
+    u = ST.signals(ST.events_stream(spark, sf))
+    out = ST.run_foreach_batch(ST.vehicle_windows_stream(u), "vehicle_windows_update", SK.keyed_merge_writer(["vehicle_id", "window_start"]), mode="update")
+    return _ntz(SK.read_newest_epoch(spark, out).drop("_epoch"), ["window_start"])

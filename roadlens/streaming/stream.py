@@ -224,10 +224,7 @@ def read_latest_state(spark: SparkSession, out: str) -> DataFrame:
     """Newest stored latest-state epoch, projected like ``latest_state``."""
     from roadlens.functions.signals import iso_utc_seconds
 
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(out)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    epochs = [int(st.getPath().getName().split("=")[1]) for st in fs.listStatus(jvm_path) if st.getPath().getName().startswith("epoch=")]
-    df = spark.read.parquet(f"{out}/epoch={max(epochs)}")
+    df = SK.read_newest_epoch(spark, out)
     return df.select(
         "vehicle_id", "lat", "lon", "speed_kmh", "engine_temp_c", iso_utc_seconds(F.col("event_time")).alias("updated_at")
     )
