@@ -38,7 +38,11 @@ def exact_mean(sum_centi: Column, n: Column) -> Column:
 
 
 def windowed(df: DataFrame, keys: list[str], width: str, aggs: dict[str, Column], slide: str | None = None, ts: str = "event_time") -> DataFrame:
-    """Generic keyed window rollup: any Spark aggregate per (keys, window)."""
+    """Generic keyed window rollup: any Spark aggregate per (keys, window).
+
+    ``aggs`` maps output names to aggregate columns: built-in aggregates, or
+    grouped-aggregate pandas UDFs (Spark runs those in a separate
+    ``groupBy``, so one call takes either kind, not both)."""
     w = F.window(ts, width, slide) if slide else F.window(ts, width)
     out = df.groupBy(*keys, w.alias("w")).agg(*[a.alias(n) for n, a in aggs.items()])
     return out.select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *aggs.keys())

@@ -933,3 +933,36 @@ def q_windowed_generic(spark, sf):
             "trips": F.count_distinct("trip_id"),
         },
     )
+
+
+# ---------------------------------------------------------------------------
+# Bearing from positions (H2) and the raw event history
+# ---------------------------------------------------------------------------
+
+from roadlens.functions.geo import bearing_deg  # noqa: E402
+
+
+def _bearing_sql() -> str:
+    x = "sin(radians(lon - plon)) * cos(radians(lat))"
+    y = "cos(radians(plat)) * sin(radians(lat)) - sin(radians(plat)) * cos(radians(lat)) * cos(radians(lon - plon))"
+    return with_views(f"""
+SELECT vehicle_id, event_time,
+       CASE WHEN plat IS NOT NULL THEN round({pmod_sql(f'degrees(atan2({x}, {y}))', _dbl(360))}, 1) END AS bearing_deg
+FROM (SELECT *, lag(lat) OVER {VW} AS plat, lag(lon) OVER {VW} AS plon FROM tel)""")
+
+
+@register("bearing", _bearing_sql())
+def q_bearing(spark, sf):
+    from roadlens.operators.ordered import with_previous
+
+    d = with_previous(TM.telemetry_light(spark, sf), ["vehicle_id"], ["event_time", "seq"], ["lat", "lon"])
+    b = F.when(F.col("prev_lat").isNotNull(), F.round(bearing_deg("prev_lat", "prev_lon", "lat", "lon"), 1))
+    return d.select("vehicle_id", "event_time", b.alias("bearing_deg"))
+
+
+@register("dedup_events", with_views("SELECT event_id, vehicle_id, trip_id, event_time, event_type, coalesce(detail, '') AS detail FROM ev"))
+def q_dedup_events(spark, sf):
+    ev = TM.driving_events(spark, sf)
+    again = ev.withColumn("arrival_time", F.timestamp_add("SECOND", F.lit(REDELIVERY_S), F.col("arrival_time")))
+    d = SK.dedup_latest(ev.unionByName(again), ["vehicle_id", "event_time", "event_id"])
+    return SK.history_rows(d, detail_default=True).select(*EVENT_COLUMNS)

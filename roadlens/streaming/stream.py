@@ -280,3 +280,9 @@ def final_watermark(spark: SparkSession, sf_dir: str, hold: str = S.LATE_HOLD):
     """Event-time watermark after all input: max event time - hold."""
     mx = TM.read_table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]
     return F.timestamp_add("SECOND", F.lit(-interval_seconds(hold)), F.lit(str(mx)).cast("timestamp_ntz"))
+
+
+def rows_added(query) -> int:
+    """Rows taken in by a query over its recorded batches (the table is
+    still growing when this rises between two looks)."""
+    return sum(p.get("numInputRows") or 0 for p in query.recentProgress)

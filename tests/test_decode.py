@@ -73,3 +73,19 @@ def test_upsert_columns(spark):
     upd = spark.createDataFrame([("k2", 5), ("k3", 7)], "k string, h long")
     out = {r.k: (r.a, r.h) for r in SK.upsert_columns(target, upd, ["k"], ["h"]).collect()}
     assert out == {"k1": (1.0, None), "k2": (2.0, 5), "k3": (None, 7)}
+
+
+def test_clean_uuid(spark):
+    df = spark.createDataFrame([("",), ("6F9619FF-8B86-D011-B42D-00C04FC964FF",), ("nope",), (None,)], "u string")
+    got = [(r.c, r.bad) for r in df.select(DC.clean_uuid("u").alias("c"), DC.uuid_is_bad("u").alias("bad")).collect()]
+    assert got == [(None, False), ("6f9619ff-8b86-d011-b42d-00c04fc964ff", False), (None, True), (None, False)]
+
+
+def test_load_vehicles(spark, tmp_path):
+    from conftest import SF_SMALL
+    from roadlens.sources import testmap as TM
+
+    v = TM.vehicles(spark, SF_SMALL)
+    v.write.parquet(str(tmp_path / "veh"))
+    back = SK.load_vehicles(spark, str(tmp_path / "veh"))
+    assert back.count() == v.count() and back.columns == v.columns
