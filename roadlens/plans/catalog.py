@@ -6,6 +6,7 @@ whole of the driver's tables. Modules add entries with :func:`register`.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +17,20 @@ REGISTRY: dict[str, tuple[Builder, str | None]] = {}
 
 
 def register(name: str, sql: str | None = None):
+    """Register ``fn(spark, sf_dir)``. The stored builder pins the session
+    time zone to UTC first: every timestamp in the data model is a UTC
+    instant, and NTZ <-> instant casts follow the session zone."""
+
     def deco(fn: Builder) -> Builder:
         if name in REGISTRY:
             raise ValueError(f"query {name!r} registered twice")
-        REGISTRY[name] = (fn, sql)
+
+        @functools.wraps(fn)
+        def utc(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+
+        REGISTRY[name] = (utc, sql)
         return fn
 
     return deco
