@@ -512,12 +512,16 @@ def _dbl(x) -> str:
     return f"CAST({float(x)} AS DOUBLE)"
 
 
-def _rules_ctes(limit_kmh: float) -> list[str]:
-    over = _dbl(limit_kmh + S.OVER_SPEED_MARGIN_KMH)
+def _rules_ctes(limit_kmh: float | str, src: str = "tel") -> list[str]:
+    """Rule inputs per reading; ``limit_kmh`` is a constant or a SQL column."""
+    if isinstance(limit_kmh, str):
+        over = f"(CAST({limit_kmh} AS DOUBLE) + {_dbl(S.OVER_SPEED_MARGIN_KMH)})"
+    else:
+        over = _dbl(limit_kmh + S.OVER_SPEED_MARGIN_KMH)
     c180, c360 = _dbl(180), _dbl(360)
     return [
         f"""d1 AS (SELECT *, lag(speed_kmh) OVER {VW} AS ps, lag(event_time) OVER {VW} AS pt,
-                  speed_kmh / {_dbl(3.6)} > {_dbl(S.HEADING_MIN_SPEED_MPS)} AS moving FROM tel)""",
+                  speed_kmh / {_dbl(3.6)} > {_dbl(S.HEADING_MIN_SPEED_MPS)} AS moving FROM {src})""",
         f"""d2 AS (SELECT *, CASE WHEN {secs_sql('event_time', 'pt')} > 0
                        THEN (speed_kmh - ps) / {_dbl(3.6)} / {secs_sql('event_time', 'pt')} END AS accel,
                   last_value(CASE WHEN moving THEN heading_deg END IGNORE NULLS) OVER {VW_RUN} AS eh,
@@ -539,7 +543,7 @@ def _rules_ctes(limit_kmh: float) -> list[str]:
     ]
 
 
-def _detect_sql(limit_kmh: float) -> str:
+def _detect_sql(limit_kmh: float | str, src: str = "tel", *extra: str) -> str:
     parts = [
         f"SELECT vehicle_id, trip_id, event_time, '{r}' AS event_type FROM d6 WHERE c_{r} AND NOT coalesce(p_{r}, false)"
         for r in DT.RULES
@@ -548,7 +552,7 @@ def _detect_sql(limit_kmh: float) -> str:
         f"""SELECT vehicle_id, trip_id, min(event_time) AS event_time, 'fuel_low' AS event_type FROM tel
         WHERE fuel_pct < {_dbl(S.FUEL_LOW_PCT)} AND trip_id IS NOT NULL GROUP BY vehicle_id, trip_id"""
     )
-    return with_views("\nUNION ALL\n".join(parts), *_rules_ctes(limit_kmh))
+    return with_views("\nUNION ALL\n".join(parts), *extra, *_rules_ctes(limit_kmh, src))
 
 
 @register("detect_events", _detect_sql(TEST_LIMIT_KMH))
@@ -966,3 +970,15 @@ def q_dedup_events(spark, sf):
     again = ev.withColumn("arrival_time", F.timestamp_add("SECOND", F.lit(REDELIVERY_S), F.col("arrival_time")))
     d = SK.dedup_latest(ev.unionByName(again), ["vehicle_id", "event_time", "event_id"])
     return SK.history_rows(d, detail_default=True).select(*EVENT_COLUMNS)
+
+
+# T10 with the posted limit of the nearest road node (J8 + H15 feeding the over-speed rule).
+_TL_CTE = "tl AS (" + ASSIGN_SQL_BODY.replace(
+    "SELECT p.vehicle_id, p.event_time, p.speed_kmh, p.city, n.road_class,", "SELECT p.*, n.road_class,"
+) + ")"
+
+
+@register("detect_events_posted_limit", _detect_sql("speed_limit_kmh", "tl", _nodes_cte(), _TL_CTE))
+def q_detect_events_posted_limit(spark, sf):
+    t = EN.assign_limit(TM.telemetry_light(spark, sf), EN.road_nodes(spark))
+    return DT.detect_events(t, limit_kmh="speed_limit_kmh")
