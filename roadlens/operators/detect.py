@@ -83,12 +83,18 @@ def fuel_low_events(t: DataFrame, threshold: float = S.FUEL_LOW_PCT) -> DataFram
     return g.select("vehicle_id", "trip_id", "event_time", F.lit("fuel_low").alias("event_type"))
 
 
-def detect_events(t: DataFrame, limit_kmh="speed_limit_kmh", bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
+def detect_events(t: DataFrame, limit_kmh="speed_limit_kmh", bucket_s: int = DEFAULT_BUCKET_S, checkpoint: bool = False) -> DataFrame:
     """T10 (batch): driving events derived from telemetry.
 
-    Output: vehicle_id, trip_id, event_time, event_type.
+    Output: vehicle_id, trip_id, event_time, event_type. ``checkpoint=True``
+    materialises the per-reading rule conditions in the shared checkpoint
+    folder before the edge pass (for very long inputs).
     """
     d = rule_conditions(t, limit_kmh, bucket_s)
+    if checkpoint:
+        from roadlens.session import cut_lineage
+
+        d = cut_lineage(d.select("vehicle_id", "trip_id", "event_time", "seq", *[f"c_{r}" for r in RULES]))
     d = with_previous(d, KEY, ORDER, [f"c_{r}" for r in RULES], bucket_s=bucket_s)
     edges = F.array(
         *[

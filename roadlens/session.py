@@ -50,3 +50,41 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Folder under which streaming checkpoints and materialised tables go."""
     d = ensure_checkpoint_dir(spark)
     return d.rstrip("/")
+
+
+# Settings for a large cluster (hundreds of TB of telemetry). Applied by
+# :func:`apply_cluster_defaults` only where the session does not set them.
+CLUSTER_DEFAULTS = {
+    # AQE: coalesce small shuffle partitions, split skewed ones, pick
+    # broadcast joins from measured sizes.
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    # Start with many shuffle partitions; AQE merges them down at runtime.
+    "spark.sql.shuffle.partitions": "8000",
+    # Scan splits sized for executor memory.
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.parquet.filterPushdown": "true",
+    # Streaming state off-heap in RocksDB (per-vehicle state, event-time timers).
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_cluster_defaults(spark: SparkSession) -> SparkSession:
+    """Set :data:`CLUSTER_DEFAULTS` for keys the session has not set."""
+    for k, v in CLUSTER_DEFAULTS.items():
+        if spark.conf.get(k, None) in (None, ""):
+            spark.conf.set(k, v)
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
+def cut_lineage(df):
+    """Materialise ``df`` in the shared checkpoint folder (reliable
+    ``checkpoint()``, never ``localCheckpoint``) and continue from it, so a
+    lost executor does not force recomputation of a long chain of passes."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

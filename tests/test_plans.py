@@ -35,3 +35,19 @@ def test_time_range_reaches_scan(spark):
 def test_fleet_windows_aggregate_partially(spark):
     p = _plan(spark, "fleet_windows")
     assert p.count("partial_sum") >= 3
+
+
+def test_ordered_scan_partitions_by_time_bucket(spark):
+    p = _plan(spark, "step_distance")
+    windows = [line for line in p.splitlines() if "Window [" in line]
+    assert any("_scan_bucket" in line.split("windowspecdefinition(")[1] for line in windows if "windowspecdefinition(" in line)
+
+
+def test_detect_events_with_lineage_cut(spark):
+    from conftest import tel
+    from roadlens.operators import detect as DT
+
+    t = tel(spark, [{"t": i, "speed": s} for i, s in enumerate([60.0, 49.2, 38.4, 38.4, 27.6])])
+    a = sorted(tuple(r) for r in DT.detect_events(t, limit_kmh=200.0).collect())
+    b = sorted(tuple(r) for r in DT.detect_events(t, limit_kmh=200.0, checkpoint=True).collect())
+    assert a == b and len(a) == 2
