@@ -38,3 +38,43 @@ def test_trip_distance_from_odometer(spark):
     t = tel(spark, [{"t": 0}, {"t": 10}]).withColumn("odometer_km", F.when(F.col("seq") == 0, 100.0).otherwise(100.25))
     r = SS.trips_by_id(t).first()
     assert r.distance_km == 0.25 and r.samples == 2
+
+
+def _brute_sessions(rows, gap_s):
+    """Row-by-row session rule: close on gap > gap_s or after an ignition-off row."""
+    out, by_v = [], {}
+    for r in sorted(rows, key=lambda r: (r["v"], r["t"])):
+        by_v.setdefault(r["v"], []).append(r)
+    for v, rs in by_v.items():
+        cur = None
+        for r in rs:
+            if cur is not None and (r["t"] - cur["last"] > gap_s or not cur["ign"]):
+                out.append(cur)
+                cur = None
+            if cur is None:
+                cur = {"v": v, "start": r["t"], "last": r["t"], "n": 0, "max": r["speed"], "ign": r["ign"]}
+            cur["last"], cur["n"], cur["max"], cur["ign"] = r["t"], cur["n"] + 1, max(cur["max"], r["speed"]), r["ign"]
+            if not r["ign"]:
+                out.append(cur)
+                cur = None
+        if cur is not None:
+            out.append(cur)
+    return sorted((s["v"], s["start"], s["last"], s["n"], s["max"]) for s in out)
+
+
+def test_sessions_match_row_by_row_rule(spark):
+    import random
+
+    from conftest import T0
+
+    rnd = random.Random(7)
+    rows, t = [], 0
+    for i in range(300):
+        t += rnd.choice([1, 2, 5, 100, 400])
+        rows.append({"v": rnd.choice("AB"), "t": t, "speed": float(rnd.randint(0, 100)), "ign": rnd.random() > 0.15, "seq": i})
+    df = tel(spark, rows)
+    got = sorted(
+        (r.vehicle_id, int((r.start_time - T0).total_seconds()), int((r.end_time - T0).total_seconds()), r.samples, r.max_speed_kmh)
+        for r in SS.trip_sessions(df, gap_s=300, keep_idle=True).collect()
+    )
+    assert got == _brute_sessions(rows, 300)

@@ -53,3 +53,14 @@ def test_sum_of_tumbling_counts_equals_rows(spark):
     # every row lies in exactly width/slide sliding windows
     panes = W.fleet_speed_windows(t, "7200 seconds", "1800 seconds")
     assert panes.count() > 0
+
+
+def test_each_row_in_width_over_slide_windows(spark):
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMALL
+    from roadlens.sources import testmap as TM
+
+    t = TM.telemetry_light(spark, SF_SMALL)
+    w = W.windowed(t, [], "300 seconds", {"n": F.count(F.lit(1))}, slide="30 seconds")
+    assert w.agg(F.sum("n")).first()[0] == 10 * t.count()
