@@ -16,15 +16,15 @@ from roadlens import schemas as S
 from roadlens.operators.motion import (
     KEY,
     ORDER,
-    add_acceleration,
     add_rising_edge,
     add_sustained_seconds,
     heading_columns,
     heading_running,
     sustained_column,
+    seconds_between,
     sustained_running,
 )
-from roadlens.operators.ordered import DEFAULT_BUCKET_S, scan, with_previous
+from roadlens.operators.ordered import DEFAULT_BUCKET_S, bucket_col, drop_bucket, scan, with_previous
 
 # Edge-triggered rules, in output order: event type -> condition column.
 RULES = ("harsh_accel", "harsh_braking", "harsh_cornering", "over_speed", "idling")
@@ -38,24 +38,28 @@ def _limit(limit_kmh) -> Column:
     return F.lit(float(limit_kmh))
 
 
-def rule_conditions(t: DataFrame, limit_kmh="speed_limit_kmh", bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
+def rule_conditions(
+    t: DataFrame, limit_kmh="speed_limit_kmh", bucket_s: int = DEFAULT_BUCKET_S, keep_bucket: bool = False
+) -> DataFrame:
     """Add one boolean column per rule (``c_<event_type>``), never null.
 
-    Two ordered passes: previous speed/time (acceleration), then the running
-    heading and the two sustained clocks together.
+    One ordered pass: the previous speed and time (acceleration), the
+    running last-moving heading and the two sustained clocks are all
+    computed together (their inputs are row-local).
     """
     lim = _limit(limit_kmh)
-    d = add_acceleration(t, bucket_s=bucket_s)
     over_cond = F.col("speed_kmh") > lim + F.lit(S.OVER_SPEED_MARGIN_KMH)
     idle_cond = F.col("ignition_on") & (F.col("speed_kmh") / F.lit(3.6) < F.lit(S.IDLE_SPEED_MPS))
     running = {**heading_running(), **sustained_running(over_cond, "overspeed_s"), **sustained_running(idle_cond, "idle_s")}
-    d = scan(d, KEY, ORDER, running=running, bucket_s=bucket_s)
+    d = scan(t, KEY, ORDER, prev=["speed_kmh", "event_time"], running=running, bucket_s=bucket_s, keep_bucket=keep_bucket)
+    dt = seconds_between("event_time", "prev_event_time")
     d = d.select(
         "*",
+        F.when(dt > 0, (F.col("speed_kmh") - F.col("prev_speed_kmh")) / F.lit(3.6) / dt).alias("accel_mps2"),
         *heading_columns(),
         sustained_column(over_cond, "overspeed_s").alias("overspeed_s"),
         sustained_column(idle_cond, "idle_s").alias("idle_s"),
-    ).drop(*running.keys())
+    ).drop(*running.keys(), "prev_speed_kmh", "prev_event_time")
     cond = {
         "harsh_accel": F.col("accel_mps2") > F.lit(S.HARSH_ACCEL_MPS2),
         "harsh_braking": F.col("accel_mps2") < F.lit(S.HARSH_BRAKE_MPS2),
@@ -66,9 +70,7 @@ def rule_conditions(t: DataFrame, limit_kmh="speed_limit_kmh", bucket_s: int = D
         & (F.col("overspeed_s") >= F.lit(S.OVER_SPEED_SUSTAINED_S)),
         "idling": F.col("idle_s") >= F.lit(S.IDLING_THRESHOLD_S),
     }
-    for name in RULES:
-        d = d.withColumn(f"c_{name}", F.coalesce(cond[name], F.lit(False)))
-    return d
+    return d.select("*", *[F.coalesce(cond[name], F.lit(False)).alias(f"c_{name}") for name in RULES])
 
 
 def condition_set(prefix: str = "c_") -> Column:
@@ -90,12 +92,12 @@ def detect_events(t: DataFrame, limit_kmh="speed_limit_kmh", bucket_s: int = DEF
     materialises the per-reading rule conditions in the shared checkpoint
     folder before the edge pass (for very long inputs).
     """
-    d = rule_conditions(t, limit_kmh, bucket_s)
+    d = rule_conditions(t, limit_kmh, bucket_s, keep_bucket=True)
     if checkpoint:
         from roadlens.session import cut_lineage
 
-        d = cut_lineage(d.select("vehicle_id", "trip_id", "event_time", "seq", *[f"c_{r}" for r in RULES]))
-    d = with_previous(d, KEY, ORDER, [f"c_{r}" for r in RULES], bucket_s=bucket_s)
+        d = cut_lineage(d.select("vehicle_id", "trip_id", "event_time", "seq", bucket_col(bucket_s), *[f"c_{r}" for r in RULES]))
+    d = drop_bucket(with_previous(d, KEY, ORDER, [f"c_{r}" for r in RULES], bucket_s=bucket_s), bucket_s)
     edges = F.array(
         *[
             F.when(F.col(f"c_{r}") & ~F.coalesce(F.col(f"prev_c_{r}"), F.lit(False)), F.lit(r))
@@ -111,8 +113,8 @@ def detect_events(t: DataFrame, limit_kmh="speed_limit_kmh", bucket_s: int = DEF
 def condition_changes(t: DataFrame, limit_kmh="speed_limit_kmh", bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
     """Per row, rules that became active and rules that stopped, as
     comma-separated lists; only rows with a change are returned."""
-    d = rule_conditions(t, limit_kmh, bucket_s)
-    d = with_previous(d, KEY, ORDER, [f"c_{r}" for r in RULES], bucket_s=bucket_s)
+    d = rule_conditions(t, limit_kmh, bucket_s, keep_bucket=True)
+    d = drop_bucket(with_previous(d, KEY, ORDER, [f"c_{r}" for r in RULES], bucket_s=bucket_s), bucket_s)
     cur, prev = condition_set("c_"), condition_set("prev_c_")
     d = d.select("vehicle_id", "event_time", F.array_except(cur, prev).alias("_new"), F.array_except(prev, cur).alias("_gone"))
     d = d.where((F.size("_new") > 0) | (F.size("_gone") > 0))
@@ -138,6 +140,6 @@ def ignition_events(t: DataFrame, bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame
 def temp_alerts(t: DataFrame, limit_c: float = 100.0, sustain_s: float = 30.0, bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
     """Engine-temperature alert when the temperature has stayed above
     ``limit_c`` for at least ``sustain_s`` seconds (edge-triggered)."""
-    d = add_sustained_seconds(t, F.col("engine_temp_c") > F.lit(limit_c), "hot_s", bucket_s=bucket_s)
-    d = add_rising_edge(d, F.col("hot_s") >= F.lit(sustain_s), "_alert", bucket_s=bucket_s)
+    d = add_sustained_seconds(t, F.col("engine_temp_c") > F.lit(limit_c), "hot_s", bucket_s=bucket_s, keep_bucket=True)
+    d = drop_bucket(add_rising_edge(d, F.col("hot_s") >= F.lit(sustain_s), "_alert", bucket_s=bucket_s), bucket_s)
     return d.where("_alert").select("vehicle_id", "event_time", "engine_temp_c", "hot_s")

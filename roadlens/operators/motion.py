@@ -93,7 +93,7 @@ def sustained_column(cond: Column, name: str) -> Column:
 
 
 def add_sustained_seconds(
-    t: DataFrame, cond: Column, out: str, keys=KEY, order=ORDER, bucket_s: int = DEFAULT_BUCKET_S
+    t: DataFrame, cond: Column, out: str, keys=KEY, order=ORDER, bucket_s: int = DEFAULT_BUCKET_S, keep_bucket: bool = False
 ) -> DataFrame:
     """Seconds a condition has held continuously up to this row; 0 when false.
 
@@ -101,7 +101,7 @@ def add_sustained_seconds(
     reset on a false row, so on a true row it equals the time since the last
     false row (or since the vehicle's first row). One ordered pass.
     """
-    d = scan(t, keys, order, running=sustained_running(cond, out), bucket_s=bucket_s)
+    d = scan(t, keys, order, running=sustained_running(cond, out), bucket_s=bucket_s, keep_bucket=keep_bucket)
     return d.withColumn(out, sustained_column(cond, out)).drop(f"_{out}_false", f"_{out}_t0")
 
 

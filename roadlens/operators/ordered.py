@@ -26,7 +26,12 @@ from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_S = 86_400
 
-_B = "_scan_bucket"
+
+def bucket_col(bucket_s: int) -> str:
+    """Name of the time-bucket column of a given width."""
+    return f"_scan_bucket_{bucket_s}"
+
+
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
@@ -48,6 +53,7 @@ def scan(
     running: Mapping[str, tuple[Column, str, bool]] | None = None,
     prefix: str = "prev_",
     bucket_s: int = DEFAULT_BUCKET_S,
+    keep_bucket: bool = False,
 ) -> DataFrame:
     """One ordered pass per key.
 
@@ -57,12 +63,17 @@ def scan(
       ``max`` or ``min``; ``inclusive=False`` aggregates the rows strictly
       before the current one.
 
-    ``order[0]`` must be the timestamp used for bucketing.
+    ``order[0]`` must be the timestamp used for bucketing. Passes chained
+    with ``keep_bucket=True`` share the bucket column, so the second pass
+    finds its input already hash-partitioned by (key, bucket) and does not
+    shuffle the rows again; drop the column after the last pass.
     """
     keys, order, prev = list(keys), list(order), list(prev)
     running = dict(running or {})
     carried = list(dict.fromkeys(prev + order))
-    d = df.withColumn(_B, time_bucket_id(order[0], bucket_s))
+    _B = bucket_col(bucket_s)
+    reuse = _B in df.columns
+    d = df if reuse else df.withColumn(_B, time_bucket_id(order[0], bucket_s))
     for i, (out, (value, _kind, _inc)) in enumerate(running.items()):
         d = d.withColumn(f"_scan_v{i}", value)
 
@@ -94,7 +105,7 @@ def scan(
     carry = summary.select(*keys, _B, *carry_cols)
     d = d.join(carry, on=[*keys, _B], how="left")
 
-    outs, drop = [], [_B]
+    outs, drop = [], ([] if (keep_bucket or reuse) else [_B])
     if prev:
         for c in prev:
             outs.append(
@@ -121,9 +132,10 @@ def with_previous(
     cols: Sequence[str],
     prefix: str = "prev_",
     bucket_s: int = DEFAULT_BUCKET_S,
+    keep_bucket: bool = False,
 ) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` on the previous row of the same key."""
-    return scan(df, keys, order, prev=cols, prefix=prefix, bucket_s=bucket_s)
+    return scan(df, keys, order, prev=cols, prefix=prefix, bucket_s=bucket_s, keep_bucket=keep_bucket)
 
 
 def with_running(
@@ -135,6 +147,12 @@ def with_running(
     kind: str = "sum",
     bucket_s: int = DEFAULT_BUCKET_S,
     inclusive: bool = True,
+    keep_bucket: bool = False,
 ) -> DataFrame:
     """Add ``out`` = running ``sum``/``max``/``min`` of ``value`` per key."""
-    return scan(df, keys, order, running={out: (value, kind, inclusive)}, bucket_s=bucket_s)
+    return scan(df, keys, order, running={out: (value, kind, inclusive)}, bucket_s=bucket_s, keep_bucket=keep_bucket)
+
+
+def drop_bucket(df: DataFrame, bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
+    """Drop the shared bucket column after the last chained pass."""
+    return df.drop(bucket_col(bucket_s))

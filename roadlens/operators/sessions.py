@@ -15,7 +15,7 @@ from roadlens import schemas as S
 from roadlens.functions.geo import haversine_km
 from roadlens.functions.signals import is_harsh
 from roadlens.operators.motion import KEY, ORDER, exact_km, seconds_between
-from roadlens.operators.ordered import DEFAULT_BUCKET_S, with_previous, with_running
+from roadlens.operators.ordered import DEFAULT_BUCKET_S, drop_bucket, with_previous, with_running
 
 
 def session_rows(
@@ -25,7 +25,7 @@ def session_rows(
     bucket_s: int = DEFAULT_BUCKET_S,
 ) -> DataFrame:
     """Telemetry rows with ``session_no`` (per vehicle) and ``step_km``."""
-    d = with_previous(t, KEY, ORDER, ["event_time", "lat", "lon", "ignition_on"], bucket_s=bucket_s)
+    d = with_previous(t, KEY, ORDER, ["event_time", "lat", "lon", "ignition_on"], bucket_s=bucket_s, keep_bucket=True)
     first = F.col("prev_event_time").isNull()
     start = first | (seconds_between("event_time", "prev_event_time") > F.lit(float(gap_s)))
     if on_ignition:
@@ -37,8 +37,9 @@ def session_rows(
             exact_km(haversine_km("prev_lat", "prev_lon", "lat", "lon"))
         ),
     )
+    # Second pass reuses the bucket column: its rows are already partitioned by (vehicle, bucket).
     d = with_running(d, KEY, ORDER, F.col("is_start").cast("long"), "session_no", bucket_s=bucket_s)
-    return d.drop("prev_event_time", "prev_lat", "prev_lon", "prev_ignition_on")
+    return drop_bucket(d.drop("prev_event_time", "prev_lat", "prev_lon", "prev_ignition_on"), bucket_s)
 
 
 def trip_sessions(

@@ -6,7 +6,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from roadlens import schemas as S
 from roadlens.plans.catalog import register
 from roadlens.plans.oracle import with_views
 from roadlens.plans.queries_batch import LATEST_SQL, SESSION_GAP_TEST_S, _fleet_windows_sql, _vehicle_windows_sql, secs_sql
