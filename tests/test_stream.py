@@ -51,6 +51,7 @@ def test_stream_equals_batch_for_closed_windows_and_restart(spark):
     assert g.exceptAll(closed.select(*g.columns)).count() == 0
     assert closed.select(*g.columns).exceptAll(g).count() == 0
     assert len(q1.recentProgress) >= 1
+    assert ST.rows_added(q1) == 2 * TM.read_table(spark, SF_SMALL, "events").count()  # telemetry + event rows
 
 
 def test_late_tick_is_dropped_and_reported(spark):
