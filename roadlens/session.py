@@ -35,15 +35,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the setting must point at shared storage and is taken as is.
     Only when it is unset (local tests) is a scratch folder created.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, use the conf only
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="roadlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+        if sc is None:
+            spark.conf.set("spark.checkpoint.dir", conf_dir)
+    if sc is not None:
+        sc.setCheckpointDir(conf_dir)
+        return sc.getCheckpointDir() or conf_dir
+    return conf_dir
 
 
 def checkpoint_root(spark: SparkSession) -> str:

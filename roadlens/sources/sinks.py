@@ -116,11 +116,11 @@ def keyed_merge_writer(keys: list[str]):
 
 
 def read_newest_epoch(spark, out: str) -> DataFrame:
-    """Read the newest ``epoch=<n>`` folder written by a keyed writer."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(out)
-    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    epochs = [int(st.getPath().getName().split("=")[1]) for st in fs.listStatus(jpath) if st.getPath().getName().startswith("epoch=")]
-    return spark.read.parquet(f"{out}/epoch={max(epochs)}")
+    """Read the newest ``epoch=<n>`` folder written by a keyed writer
+    (partition discovery on ``epoch``; only the newest epoch is scanned)."""
+    df = spark.read.parquet(out)
+    newest = df.agg(F.max("epoch")).first()[0]
+    return df.where(F.col("epoch") == F.lit(newest)).drop("epoch")
 
 
 def load_vehicles(spark, path: str, fmt: str = "parquet") -> DataFrame:
