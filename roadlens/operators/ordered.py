@@ -24,7 +24,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_S = 86_400
+DEFAULT_BUCKET_S = 3_600  # one hour: ~3,600 rows per vehicle-bucket at 1 Hz
 
 
 def bucket_col(bucket_s: int) -> str:

@@ -70,8 +70,8 @@ def q_vehicle_windows_hourly(spark, sf):
 def _slide_expand(src: str, cols: str, width_s: int, slide_s: int) -> str:
     k = width_s // slide_s
     return (
-        f"SELECT {cols}, {bucket(slide_s)} - to_seconds(r.k * {slide_s}) AS window_start "
-        f"FROM {src}, range(0, {k}) r(k)"
+        f"SELECT {cols}, {bucket(slide_s)} - to_seconds(k * {slide_s}) AS window_start "
+        f"FROM (SELECT *, unnest(range(0, {k})) AS k FROM {src})"
     )
 
 
