@@ -23,8 +23,13 @@ def session_rows(
     gap_s: float = S.SESSION_GAP_S,
     on_ignition: bool = True,
     bucket_s: int = DEFAULT_BUCKET_S,
+    checkpoint: bool = False,
 ) -> DataFrame:
-    """Telemetry rows with ``session_no`` (per vehicle) and ``step_km``."""
+    """Telemetry rows with ``session_no`` (per vehicle) and ``step_km``.
+
+    ``checkpoint=True`` materialises the first pass in the shared checkpoint
+    folder, so the second pass's bucket summary reads it instead of
+    recomputing it."""
     d = with_previous(t, KEY, ORDER, ["event_time", "lat", "lon", "ignition_on"], bucket_s=bucket_s, keep_bucket=True)
     first = F.col("prev_event_time").isNull()
     start = first | (seconds_between("event_time", "prev_event_time") > F.lit(float(gap_s)))
@@ -37,6 +42,10 @@ def session_rows(
             exact_km(haversine_km("prev_lat", "prev_lon", "lat", "lon"))
         ),
     )
+    if checkpoint:
+        from roadlens.session import cut_lineage
+
+        d = cut_lineage(d)
     # Second pass reuses the bucket column: its rows are already partitioned by (vehicle, bucket).
     d = with_running(d, KEY, ORDER, F.col("is_start").cast("long"), "session_no", bucket_s=bucket_s)
     return drop_bucket(d.drop("prev_event_time", "prev_lat", "prev_lon", "prev_ignition_on"), bucket_s)
@@ -48,6 +57,7 @@ def trip_sessions(
     on_ignition: bool = True,
     keep_idle: bool = False,
     bucket_s: int = DEFAULT_BUCKET_S,
+    checkpoint: bool = False,
 ) -> DataFrame:
     """One row per trip session.
 
@@ -57,7 +67,7 @@ def trip_sessions(
     session of a vehicle is open when its last row still has the ignition on
     (or always, when sessions close on gaps only).
     """
-    rows = session_rows(t, gap_s, on_ignition, bucket_s)
+    rows = session_rows(t, gap_s, on_ignition, bucket_s, checkpoint)
     g = rows.groupBy("vehicle_id", "session_no").agg(
         F.min("event_time").alias("start_time"),
         F.max("event_time").alias("end_time"),

@@ -2,9 +2,35 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from roadlens import schemas as S
+from roadlens.functions.geo import bearing_deg
+from roadlens.functions.signals import local_hour, quantize, rush_factor, vehicle_state
+from roadlens.operators import detect as DT
+from roadlens.operators import enrich as EN
+from roadlens.operators import motion as M
+from roadlens.operators import quality as QA
+from roadlens.operators import serve as SV
+from roadlens.operators import sessions as SS
 from roadlens.operators import windows as W
 from roadlens.plans.catalog import register
-from roadlens.plans.oracle import HARSH_LIST, bucket, centi_sum, exact_mean, with_views
+from roadlens.plans.oracle import (
+    HARSH_LIST,
+    VW,
+    VW_RUN,
+    bucket,
+    centi_sum,
+    exact_km_sql,
+    exact_mean,
+    hav_sql,
+    pmod_sql,
+    secs_sql,
+    with_views,
+)
+from roadlens.schemas import EVENT_COLUMNS, TELEMETRY_COLUMNS
+from roadlens.sources import decode as DC
+from roadlens.sources import sinks as SK
 from roadlens.sources import testmap as TM
 
 HOUR = "3600 seconds"
@@ -130,12 +156,6 @@ def q_fleet_windows_2h(spark, sf):
 # Sessions and trips
 # ---------------------------------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from roadlens import schemas as S  # noqa: E402
-from roadlens.operators import motion as M  # noqa: E402
-from roadlens.operators import sessions as SS  # noqa: E402
-from roadlens.plans.oracle import VW, VW_RUN, exact_km_sql, hav_sql, pmod_sql, secs_sql  # noqa: E402
 
 SESSION_GAP_TEST_S = 6 * 3600  # the driver data is sparse (one reading per vehicle every few hours)
 D60 = "CAST(60.0 AS DOUBLE)"
@@ -297,7 +317,6 @@ def q_rising_edges(spark, sf):
 # Serving queries
 # ---------------------------------------------------------------------------
 
-from roadlens.operators import serve as SV  # noqa: E402
 
 HISTORY_START, HISTORY_END = "2024-01-08 00:00:00", "2024-01-15 00:00:00"
 ISO_FMT = "'%Y-%m-%dT%H:%M:%SZ'"
@@ -505,8 +524,6 @@ def q_missing_slots(spark, sf):
 # Event detection
 # ---------------------------------------------------------------------------
 
-from roadlens.operators import detect as DT  # noqa: E402
-
 
 def _dbl(x) -> str:
     return f"CAST({float(x)} AS DOUBLE)"
@@ -603,10 +620,6 @@ def q_temp_alerts(spark, sf):
 # Enrichment and lookups
 # ---------------------------------------------------------------------------
 
-from roadlens.functions.signals import rush_factor, local_hour, vehicle_state  # noqa: E402
-from roadlens.operators import enrich as EN  # noqa: E402
-from roadlens.operators import quality as QA  # noqa: E402
-
 
 @register("enrich_vehicle", with_views("""
 SELECT t.vehicle_id, t.event_time, t.speed_kmh, v.fleet_group, v.home_city, v.engine_type, v.tank_l
@@ -797,9 +810,6 @@ def q_resample(spark, sf):
 # Decoding and keyed sinks
 # ---------------------------------------------------------------------------
 
-from roadlens.schemas import EVENT_COLUMNS, TELEMETRY_COLUMNS  # noqa: E402
-from roadlens.sources import decode as DC  # noqa: E402
-from roadlens.sources import sinks as SK  # noqa: E402
 
 TEL_COLS = ", ".join(TELEMETRY_COLUMNS)
 EV_COLS = ", ".join(EVENT_COLUMNS)
@@ -903,7 +913,6 @@ def q_upsert_columns(spark, sf):
 # Storage casts, wire rounding, generic windowed rollup
 # ---------------------------------------------------------------------------
 
-from roadlens.functions.signals import quantize  # noqa: E402
 
 _FLOATS = ["speed_kmh", "throttle_pct", "maf_g_per_s", "engine_temp_c", "coolant_temp_c", "intake_air_temp_c", "fuel_pct", "fuel_consumed_l", "odometer_km"]
 
@@ -943,8 +952,6 @@ def q_windowed_generic(spark, sf):
 # Bearing from positions (H2) and the raw event history
 # ---------------------------------------------------------------------------
 
-from roadlens.functions.geo import bearing_deg  # noqa: E402
-
 
 def _bearing_sql() -> str:
     x = "sin(radians(lon - plon)) * cos(radians(lat))"

@@ -7,9 +7,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from roadlens.plans.catalog import register
-from roadlens.plans.oracle import with_views
-from roadlens.plans.queries_batch import LATEST_SQL, SESSION_GAP_TEST_S, _fleet_windows_sql, _vehicle_windows_sql, secs_sql
+from roadlens.plans.oracle import secs_sql, with_views
+from roadlens.plans.queries_batch import (
+    LATEST_SQL,
+    SESSION_GAP_TEST_S,
+    TEST_LIMIT_KMH,
+    _detect_sql,
+    _fleet_windows_sql,
+    _sessions_sql,
+    _vehicle_windows_sql,
+)
+from roadlens.sources import sinks as SK
 from roadlens.sources import testmap as TM
+from roadlens.streaming import processors as PR
 from roadlens.streaming import stream as ST
 
 HOLD_S = 75
@@ -91,9 +101,6 @@ def q_stream_latest_state(spark, sf):
 # Custom stateful processors
 # ---------------------------------------------------------------------------
 
-from roadlens.plans.queries_batch import TEST_LIMIT_KMH, _detect_sql, _sessions_sql  # noqa: E402
-from roadlens.streaming import processors as PR  # noqa: E402
-
 
 @register("stream_detect_events", _detect_sql(TEST_LIMIT_KMH))
 def q_stream_detect_events(spark, sf):
@@ -126,9 +133,6 @@ def q_stream_trip_sessions_ignition(spark, sf):
     return _ntz(spark.read.parquet(out), ["start_time", "end_time"])
 
 
-from roadlens.sources import sinks as SK  # noqa: E402
-
-
 @register("stream_vehicle_windows_update", _vehicle_windows_sql(60))
 def q_stream_vehicle_windows_update(spark, sf):
     """Update mode (changed windows only, open ones included) merged by key."""

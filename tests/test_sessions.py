@@ -78,3 +78,13 @@ def test_sessions_match_row_by_row_rule(spark):
         for r in SS.trip_sessions(df, gap_s=300, keep_idle=True).collect()
     )
     assert got == _brute_sessions(rows, 300)
+
+
+def test_sessions_with_lineage_cut_are_equal(spark):
+    from conftest import SF_SMALL
+    from roadlens.sources import testmap as TM
+
+    t = TM.telemetry_light(spark, SF_SMALL)
+    a = SS.trip_sessions(t, gap_s=6 * 3600)
+    b = SS.trip_sessions(t, gap_s=6 * 3600, checkpoint=True)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
