@@ -49,20 +49,18 @@ def _moving(min_speed_mps: float = S.HEADING_MIN_SPEED_MPS) -> Column:
     return F.col("speed_kmh") / F.lit(3.6) > F.lit(min_speed_mps)
 
 
-def heading_running(order=ORDER, min_speed_mps: float = S.HEADING_MIN_SPEED_MPS) -> dict:
+def heading_running(min_speed_mps: float = S.HEADING_MIN_SPEED_MPS) -> dict:
     """Running specs for W4: last moving heading up to and before this row."""
-    moving_heading = F.when(
-        _moving(min_speed_mps), F.struct(*[F.col(c) for c in order], F.col("heading_deg").alias("h"))
-    )
-    return {"_hd_cur": (moving_heading, "max", True), "_hd_prev": (moving_heading, "max", False)}
+    moving_heading = F.when(_moving(min_speed_mps), F.col("heading_deg"))
+    return {"_hd_cur": (moving_heading, "last", True), "_hd_prev": (moving_heading, "last", False)}
 
 
 def heading_columns(min_speed_mps: float = S.HEADING_MIN_SPEED_MPS) -> list[Column]:
     delta = F.when(
         _moving(min_speed_mps) & F.col("_hd_prev").isNotNull(),
-        wrap_angle(F.col("_hd_cur.h") - F.col("_hd_prev.h")),
+        wrap_angle(F.col("_hd_cur") - F.col("_hd_prev")),
     )
-    return [F.col("_hd_cur.h").alias("effective_heading_deg"), delta.alias("heading_delta_deg")]
+    return [F.col("_hd_cur").alias("effective_heading_deg"), delta.alias("heading_delta_deg")]
 
 
 def add_heading_delta(
@@ -75,7 +73,7 @@ def add_heading_delta(
     """Heading is only updated while moving faster than ``min_speed_mps``,
     otherwise carried forward; the wrapped change is reported on moving rows
     that have an earlier heading. One ordered pass."""
-    d = scan(t, keys, order, running=heading_running(order, min_speed_mps), bucket_s=bucket_s)
+    d = scan(t, keys, order, running=heading_running(min_speed_mps), bucket_s=bucket_s)
     return d.select("*", *heading_columns(min_speed_mps)).drop("_hd_cur", "_hd_prev")
 
 

@@ -15,6 +15,12 @@ The row-level window and the join share one hash partitioning on
 buckets. All lags and running aggregates of one call share a single pass
 (one window stage, one bucket table, one join). Results equal the
 unbucketed window functions.
+
+The bucket table is built with fixed-width aggregation buffers only: the
+"last row" of a bucket is ``max_by(value, key)`` where ``key`` packs the
+ordering columns (a timestamp and an integral tiebreak) into one exact
+``decimal(38,0)``. Spark then hash-aggregates it map-side (no sort of the
+input rows); a struct ordering would force a sort-based aggregate.
 """
 
 from __future__ import annotations
@@ -23,6 +29,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BUCKET_S = 3_600  # one hour: ~3,600 rows per vehicle-bucket at 1 Hz
 
@@ -34,6 +41,38 @@ def bucket_col(bucket_s: int) -> str:
 
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
+# Packing of (timestamp, integral tiebreak) into one decimal(38,0):
+# microseconds + 1e17 (positive for years 1..9999, at most 18 digits) times
+# 1e20, plus tiebreak + 2^63 + 1 (1 .. 2^64, at most 20 digits). A null part
+# packs as 0, i.e. before every value, like NULLS FIRST in the window order.
+_T_SHIFT = 10**17
+_S_SHIFT = 2**63 + 1
+_S_SPAN = 10**20
+_INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
+_TIMES = (T.TimestampType, T.TimestampNTZType)
+
+
+def _dec(n: int) -> Column:
+    return F.expr(f"CAST({n} AS DECIMAL(38,0))")
+
+
+def order_key(df: DataFrame, order: Sequence[str]) -> Column | None:
+    """One fixed-width value that sorts like ``order`` (ascending, nulls
+    first), or None when ``order`` is not a timestamp optionally followed by
+    one integral column."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    if not order or len(order) > 2 or any(c not in types for c in order):
+        return None
+    if not isinstance(types[order[0]], _TIMES):
+        return None
+    if len(order) == 2 and not isinstance(types[order[1]], _INTEGRAL):
+        return None
+    micros = F.unix_micros(F.col(order[0]).cast("timestamp")).cast("decimal(38,0)")
+    key = F.coalesce(micros + _dec(_T_SHIFT), _dec(0)) * _dec(_S_SPAN)
+    if len(order) == 2:
+        key = key + F.coalesce(F.col(order[1]).cast("decimal(38,0)") + _dec(_S_SHIFT), _dec(0))
+    return key.cast("decimal(38,0)")
+
 
 def time_bucket_id(ts: str | Column, bucket_s: int) -> Column:
     """Integer bucket number of a timestamp (epoch aligned)."""
@@ -60,8 +99,9 @@ def scan(
     * ``prev``: columns whose previous-row value is added as ``prefix + c``
       (null on the key's first row);
     * ``running``: ``out -> (value, kind, inclusive)`` with kind ``sum``,
-      ``max`` or ``min``; ``inclusive=False`` aggregates the rows strictly
-      before the current one.
+      ``max``, ``min`` or ``last`` (the last non-null value in order);
+      ``inclusive=False`` aggregates the rows strictly before the current
+      one.
 
     ``order[0]`` must be the timestamp used for bucketing. Passes chained
     with ``keep_bucket=True`` share the bucket column, so the second pass
@@ -70,7 +110,6 @@ def scan(
     """
     keys, order, prev = list(keys), list(order), list(prev)
     running = dict(running or {})
-    carried = list(dict.fromkeys(prev + order))
     _B = bucket_col(bucket_s)
     reuse = _B in df.columns
     d = df if reuse else df.withColumn(_B, time_bucket_id(order[0], bucket_s))
@@ -85,37 +124,59 @@ def scan(
         cols.append(F.lag(F.lit(1)).over(w).isNull().alias("_scan_first"))
         cols += [F.lag(c).over(w).alias(f"_scan_lag_{c}") for c in prev]
     for i, (out, (_v, kind, inc)) in enumerate(running.items()):
-        cols.append(_AGG[kind](f"_scan_v{i}").over(w_inc if inc else w_exc).alias(f"_scan_in{i}"))
+        frame = w_inc if inc else w_exc
+        if kind == "last":
+            agg = F.last(f"_scan_v{i}", ignorenulls=True).over(frame)
+        else:
+            agg = _AGG[kind](f"_scan_v{i}").over(frame)
+        cols.append(agg.alias(f"_scan_in{i}"))
+    rows = d
     d = d.select("*", *cols)
 
-    # Per-(key, bucket) summary: last row and bucket aggregates.
-    aggs = []
-    if prev:
-        aggs.append(F.max_by(F.struct(*carried), F.struct(*order)).alias("_scan_last"))
+    # Per-(key, bucket) summary: last row and bucket aggregates, built from
+    # the input rows (not the window output) so it aggregates map-side.
+    key = order_key(rows, order)
+    if key is not None:
+        rows = rows.withColumn("_scan_ok", key)
+        key = F.col("_scan_ok")
+    else:  # sort-based aggregate: correct, but sorts the rows map-side
+        key = F.struct(*_cols(order))
+
+    def last_of(c: Column, only: Column | None = None) -> Column:
+        return F.max_by(c, key if only is None else F.when(only, key))
+
+    aggs = [last_of(F.col(c)).alias(f"_scan_last{j}") for j, c in enumerate(prev)]
     for i, (_out, (_v, kind, _inc)) in enumerate(running.items()):
-        aggs.append(_AGG[kind](f"_scan_v{i}").alias(f"_scan_tot{i}"))
-    summary = d.groupBy(*keys, _B).agg(*aggs)
+        v = F.col(f"_scan_v{i}")
+        aggs.append((last_of(v, v.isNotNull()) if kind == "last" else _AGG[kind](v)).alias(f"_scan_tot{i}"))
+    summary = rows.groupBy(*keys, _B).agg(*aggs)
     wb = Window.partitionBy(*keys).orderBy(_B)
     wb_before = wb.rowsBetween(Window.unboundedPreceding, -1)
     carry_cols = []
     if prev:
-        carry_cols.append(F.lag("_scan_last").over(wb).alias("_scan_carry"))
+        carry_cols += [F.lag(f"_scan_last{j}").over(wb).alias(f"_scan_carry{j}") for j in range(len(prev))]
     for i, (_out, (_v, kind, _inc)) in enumerate(running.items()):
-        carry_cols.append(_AGG[kind](f"_scan_tot{i}").over(wb_before).alias(f"_scan_before{i}"))
+        if kind == "last":
+            before = F.last(f"_scan_tot{i}", ignorenulls=True).over(wb_before)
+        else:
+            before = _AGG[kind](f"_scan_tot{i}").over(wb_before)
+        carry_cols.append(before.alias(f"_scan_before{i}"))
     carry = summary.select(*keys, _B, *carry_cols)
     d = d.join(carry, on=[*keys, _B], how="left")
 
     outs, drop = [], ([] if (keep_bucket or reuse) else [_B])
     if prev:
-        for c in prev:
+        for j, c in enumerate(prev):
             outs.append(
-                F.when(F.col("_scan_first"), F.col(f"_scan_carry.{c}")).otherwise(F.col(f"_scan_lag_{c}")).alias(prefix + c)
+                F.when(F.col("_scan_first"), F.col(f"_scan_carry{j}")).otherwise(F.col(f"_scan_lag_{c}")).alias(prefix + c)
             )
-        drop += ["_scan_first", "_scan_carry", *[f"_scan_lag_{c}" for c in prev]]
+        drop += ["_scan_first", *[f"_scan_carry{j}" for j in range(len(prev))], *[f"_scan_lag_{c}" for c in prev]]
     for i, (out, (_v, kind, _inc)) in enumerate(running.items()):
         a, b = F.col(f"_scan_in{i}"), F.col(f"_scan_before{i}")
         if kind == "sum":
             res = F.when(b.isNull(), a).when(a.isNull(), b).otherwise(a + b)
+        elif kind == "last":
+            res = F.coalesce(a, b)
         elif kind == "max":
             res = F.greatest(a, b)
         else:

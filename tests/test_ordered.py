@@ -24,17 +24,42 @@ def test_scan_equals_window(spark, bucket_s):
         ["vehicle_id"],
         ["event_time", "seq"],
         prev=["speed_kmh"],
-        running={"cum": (F.col("speed_kmh"), "sum", True), "mx_before": (F.col("speed_kmh"), "max", False)},
+        running={
+            "cum": (F.col("speed_kmh"), "sum", True),
+            "mx_before": (F.col("speed_kmh"), "max", False),
+            "last_fast": (F.when(F.col("speed_kmh") > 90, F.col("speed_kmh")), "last", True),
+            "last_fast_before": (F.when(F.col("speed_kmh") > 90, F.col("speed_kmh")), "last", False),
+        },
         bucket_s=bucket_s,
     )
     w = Window.partitionBy("vehicle_id").orderBy("event_time", "seq")
+    fast = F.when(F.col("speed_kmh") > 90, F.col("speed_kmh"))
     exp = df.select(
         "vehicle_id",
         "seq",
         F.lag("speed_kmh").over(w).alias("prev_speed_kmh"),
         F.sum("speed_kmh").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum"),
         F.max("speed_kmh").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("mx_before"),
+        F.last(fast, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("last_fast"),
+        F.last(fast, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("last_fast_before"),
     )
-    a = sorted(tuple(r) for r in got.select("vehicle_id", "seq", "prev_speed_kmh", "cum", "mx_before").collect())
+    cols = ["vehicle_id", "seq", "prev_speed_kmh", "cum", "mx_before", "last_fast", "last_fast_before"]
+    a = sorted(tuple(r) for r in got.select(*cols).collect())
     b = sorted(tuple(r) for r in exp.collect())
     assert a == b
+
+
+def test_summary_is_hash_aggregated(spark):
+    """The per-bucket summary uses fixed-width buffers: no sort-based
+    aggregate (which would sort every input row map-side)."""
+    rows = [{"v": "A", "t": float(i), "speed": i % 50, "seq": i} for i in range(50)]
+    df = tel(spark, rows)
+    got = scan(
+        df,
+        ["vehicle_id"],
+        ["event_time", "seq"],
+        prev=["speed_kmh", "event_time"],
+        running={"h": (F.when(F.col("speed_kmh") > 3, F.col("speed_kmh")), "last", False)},
+    )
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
