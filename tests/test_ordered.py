@@ -63,3 +63,23 @@ def test_summary_is_hash_aggregated(spark):
     )
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
+
+
+def test_hot_vehicle_is_spread_over_tasks(spark):
+    """One vehicle holding every row: the row-level window runs on
+    (vehicle, time bucket), so its rows are processed by several tasks,
+    and the result still equals the plain per-vehicle window."""
+    rows = [{"v": "HOT", "t": i * 600.0, "speed": i % 90, "seq": i} for i in range(240)]  # 40 hours
+    df = tel(spark, rows)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")  # keep the hash partitions visible on this tiny input
+    try:
+        got = scan(df, ["vehicle_id"], ["event_time", "seq"], prev=["speed_kmh"], bucket_s=3600)
+        parts = got.select(F.spark_partition_id().alias("p")).distinct().count()
+        w = Window.partitionBy("vehicle_id").orderBy("event_time", "seq")
+        exp = df.select("seq", F.lag("speed_kmh").over(w).alias("prev_speed_kmh"))
+        assert sorted(got.select("seq", "prev_speed_kmh").collect()) == sorted(exp.collect())
+    finally:
+        spark.conf.set(key, old)
+    assert parts > 1
