@@ -20,8 +20,10 @@ FUEL_TOL_L = 0.0001
 def ecu_audit(t: DataFrame, vehicles: DataFrame, bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
     """Recompute gear (H5), airflow (H6), intake temperature (H7) and the
     fuel counter step (H8 * dt) and return rows outside rounding tolerance."""
-    d = t.join(vehicles.select("vehicle_id", "displacement_l", "ambient_c", "fuel_type"), "vehicle_id", "left")
-    d = with_previous(d, KEY, ORDER, ["event_time", "fuel_consumed_l"], bucket_s=bucket_s)
+    # Ordered pass on the telemetry rows alone, then the dimension join: the
+    # shuffle by (vehicle, bucket) carries no dimension columns.
+    d = with_previous(t, KEY, ORDER, ["event_time", "fuel_consumed_l"], bucket_s=bucket_s)
+    d = d.join(vehicles.select("vehicle_id", "displacement_l", "ambient_c", "fuel_type"), "vehicle_id", "left")
     exp_maf = airflow_g_per_s("displacement_l")
     exp_intake = intake_temp_c("ambient_c")
     dt = seconds_between("event_time", "prev_event_time")
