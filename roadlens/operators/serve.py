@@ -129,9 +129,14 @@ def latest_day(fleet: DataFrame) -> DataFrame:
     return fleet.join(last, fleet["day_bucket"] == last["_d"], "left_semi")
 
 
-def align_series(df: DataFrame, time: str, key: str, value: str, keys: list[str], agg=F.first) -> DataFrame:
-    """Several series side by side on ``time``, one column per key value."""
-    return df.groupBy(time).pivot(key, keys).agg(agg(value))
+def align_series(df: DataFrame, time: str, key: str, keys: list[str], value: Column) -> DataFrame:
+    """Several series side by side on ``time``, one column per key value.
+
+    ``value`` is an aggregate expression evaluated per (time, key) cell (so
+    a cell with several readings has a defined value); the key values are
+    listed, so Spark does not run a job to discover them, and the pivot is
+    aggregated map-side like any grouped aggregate."""
+    return df.groupBy(time).pivot(key, list(keys)).agg(value)
 
 
 def extents(t: DataFrame, by: str = "vehicle_id") -> DataFrame:

@@ -429,10 +429,7 @@ FROM tel JOIN veh USING (vehicle_id) GROUP BY 1"""))
 def q_series_aligned(spark, sf):
     t = TM.telemetry_light(spark, sf).join(TM.vehicles(spark, sf).select("vehicle_id", "fleet_group"), "vehicle_id")
     t = t.withColumn("window_start", F.window("event_time", HOUR).start)
-    g = t.groupBy("window_start").pivot("fleet_group", FLEET_GROUPS).agg(
-        W.exact_mean(F.sum(W.centi()), F.count("speed_kmh"))
-    )
-    return g
+    return SV.align_series(t, "window_start", "fleet_group", FLEET_GROUPS, W.exact_mean(F.sum(W.centi()), F.count("speed_kmh")))
 
 
 @register("kpi_listing", with_views(
