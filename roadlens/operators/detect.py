@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlens import schemas as S
+from roadlens.functions.geo import kmh_to_mps
 from roadlens.operators.motion import (
     KEY,
     ORDER,
@@ -49,13 +50,13 @@ def rule_conditions(
     """
     lim = _limit(limit_kmh)
     over_cond = F.col("speed_kmh") > lim + F.lit(S.OVER_SPEED_MARGIN_KMH)
-    idle_cond = F.col("ignition_on") & (F.col("speed_kmh") / F.lit(3.6) < F.lit(S.IDLE_SPEED_MPS))
+    idle_cond = F.col("ignition_on") & (kmh_to_mps("speed_kmh") < F.lit(S.IDLE_SPEED_MPS))
     running = {**heading_running(), **sustained_running(over_cond, "overspeed_s"), **sustained_running(idle_cond, "idle_s")}
     d = scan(t, KEY, ORDER, prev=["speed_kmh", "event_time"], running=running, bucket_s=bucket_s, keep_bucket=keep_bucket)
     dt = seconds_between("event_time", "prev_event_time")
     d = d.select(
         "*",
-        F.when(dt > 0, (F.col("speed_kmh") - F.col("prev_speed_kmh")) / F.lit(3.6) / dt).alias("accel_mps2"),
+        F.when(dt > 0, kmh_to_mps(F.col("speed_kmh") - F.col("prev_speed_kmh")) / dt).alias("accel_mps2"),
         *heading_columns(),
         sustained_column(over_cond, "overspeed_s").alias("overspeed_s"),
         sustained_column(idle_cond, "idle_s").alias("idle_s"),

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlens import schemas as S
-from roadlens.functions.geo import haversine_km, wrap_angle
+from roadlens.functions.geo import haversine_km, kmh_to_mps, wrap_angle
 from roadlens.operators.ordered import DEFAULT_BUCKET_S, scan, with_previous
 
 KEY = ["vehicle_id"]
@@ -41,12 +41,12 @@ def add_acceleration(t: DataFrame, keys=KEY, order=ORDER, bucket_s: int = DEFAUL
     """Acceleration in m/s^2 = delta speed / delta t; null on the first row or when delta t = 0."""
     d = with_previous(t, keys, order, ["speed_kmh", "event_time"], bucket_s=bucket_s)
     dt = seconds_between("event_time", "prev_event_time")
-    acc = F.when(dt > 0, (F.col("speed_kmh") - F.col("prev_speed_kmh")) / F.lit(3.6) / dt)
+    acc = F.when(dt > 0, kmh_to_mps(F.col("speed_kmh") - F.col("prev_speed_kmh")) / dt)
     return d.withColumn("accel_mps2", acc).drop("prev_speed_kmh", "prev_event_time")
 
 
 def _moving(min_speed_mps: float = S.HEADING_MIN_SPEED_MPS) -> Column:
-    return F.col("speed_kmh") / F.lit(3.6) > F.lit(min_speed_mps)
+    return kmh_to_mps("speed_kmh") > F.lit(min_speed_mps)
 
 
 def heading_running(min_speed_mps: float = S.HEADING_MIN_SPEED_MPS) -> dict:

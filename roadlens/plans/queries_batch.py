@@ -485,6 +485,16 @@ def q_silent_vehicles(spark, sf):
     return SV.silent_vehicles(TM.vehicles(spark, sf), recent)
 
 
+@register("reporting_vehicles", with_views("""
+SELECT * FROM veh WHERE vehicle_id IN (
+  SELECT vehicle_id FROM tel WHERE event_time >= (SELECT max(event_time) FROM tel) - INTERVAL 1 DAY)"""))
+def q_reporting_vehicles(spark, sf):
+    t = TM.telemetry_light(spark, sf)
+    cutoff = F.timestamp_add("DAY", F.lit(-1), scalar_lit(t, "event_time"))
+    recent = SV.latest_state(t.where(F.col("event_time") >= cutoff))
+    return SV.reporting_vehicles(TM.vehicles(spark, sf), recent)
+
+
 @register("stale_vehicles", with_views(f"""
 SELECT vehicle_id, updated_at,
        CAST(epoch_us((SELECT max(event_time) FROM tel)) AS DOUBLE) / 1e6 - CAST(epoch_us(strptime(updated_at, {ISO_FMT})) AS DOUBLE) / 1e6 AS age_s
