@@ -2,20 +2,41 @@
 
 Gaps-and-islands: a row starts a session when it is the vehicle's first
 row, follows a gap longer than ``gap_s``, or follows an ignition-off row
-(when ``on_ignition``). The session number is a running sum of start flags;
-sessions are then ordinary grouped aggregates, pre-aggregated map-side.
+(when ``on_ignition``).
+
+:func:`trip_sessions` shuffles the rows once. Inside each (vehicle, time
+bucket) one sorted window finds the starts it can see (every row but the
+bucket's first) and cuts the bucket into fragments, which are aggregated
+in place (the rows are already partitioned by vehicle and bucket). Only the
+fragments -- a few per bucket -- go through the cross-bucket step: the
+bucket's first fragment continues the previous bucket's last one unless the
+gap or ignition rule starts a new session there. A vehicle with a third of
+all rows is spread over its buckets in the row stage.
+
+The fragment table is materialised once (reliable checkpoint in the shared
+folder) because three branches read it. :func:`session_rows` gives
+row-level session numbers (two ordered passes).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlens import schemas as S
 from roadlens.functions.geo import haversine_km
 from roadlens.functions.signals import is_harsh
 from roadlens.operators.motion import KEY, ORDER, exact_km, seconds_between
-from roadlens.operators.ordered import DEFAULT_BUCKET_S, drop_bucket, with_previous, with_running
+from roadlens.operators.ordered import (
+    DEFAULT_BUCKET_S,
+    bucket_col,
+    drop_bucket,
+    order_key,
+    scan,
+    time_bucket_id,
+    with_previous,
+    with_running,
+)
 
 
 def session_rows(
@@ -51,13 +72,54 @@ def session_rows(
     return drop_bucket(d.drop("prev_event_time", "prev_lat", "prev_lon", "prev_ignition_on"), bucket_s)
 
 
+def session_fragments(
+    t: DataFrame, gap_s: float = S.SESSION_GAP_S, on_ignition: bool = True, bucket_s: int = DEFAULT_BUCKET_S
+) -> DataFrame:
+    """Row stage of :func:`trip_sessions`: per (vehicle, bucket), the runs
+    of rows between the session starts visible inside the bucket.
+
+    ``_local`` numbers the fragments of a bucket (0 = the one holding the
+    bucket's first row); ``dist`` sums the exact steps inside the fragment.
+    The first/last row values let the next step join fragments across
+    bucket boundaries."""
+    B = bucket_col(bucket_s)
+    d = t.withColumn(B, time_bucket_id("event_time", bucket_s))
+    w = Window.partitionBy(*KEY, B).orderBy(*ORDER)
+    d = d.select("*", *[F.lag(c).over(w).alias(f"_p_{c}") for c in ("event_time", "lat", "lon", "ignition_on")])
+    start = seconds_between("event_time", "_p_event_time") > F.lit(float(gap_s))
+    if on_ignition:
+        start = start | ~F.col("_p_ignition_on")
+    start = F.col("_p_event_time").isNotNull() & start
+    step = F.when(F.col("_p_event_time").isNull() | start, F.lit(0).cast("decimal(18,6)")).otherwise(
+        exact_km(haversine_km("_p_lat", "_p_lon", "lat", "lon"))
+    )
+    d = d.select(*KEY, B, *ORDER, "lat", "lon", "ignition_on", "speed_kmh", start.alias("_start"), step.alias("_step"))
+    d = d.withColumn("_local", F.sum(F.col("_start").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    d = d.withColumn("_ok", order_key(d, ORDER))
+    # Grouping keys extend the (vehicle, bucket) partitioning: aggregated in place.
+    return d.groupBy(*KEY, B, "_local").agg(
+        F.min("event_time").alias("start_time"),
+        F.max("event_time").alias("end_time"),
+        F.min_by("seq", "_ok").alias("f_seq"),
+        F.min_by("lat", "_ok").alias("f_lat"),
+        F.min_by("lon", "_ok").alias("f_lon"),
+        F.min_by("ignition_on", "_ok").alias("f_ign"),
+        F.max_by("lat", "_ok").alias("l_lat"),
+        F.max_by("lon", "_ok").alias("l_lon"),
+        F.max_by("ignition_on", "_ok").alias("l_ign"),
+        F.sum("_step").alias("dist"),
+        F.max("speed_kmh").alias("max_speed_kmh"),
+        F.count(F.lit(1)).alias("samples"),
+    )
+
+
 def trip_sessions(
     t: DataFrame,
     gap_s: float = S.SESSION_GAP_S,
     on_ignition: bool = True,
     keep_idle: bool = False,
     bucket_s: int = DEFAULT_BUCKET_S,
-    checkpoint: bool = False,
+    checkpoint: bool = True,
 ) -> DataFrame:
     """One row per trip session.
 
@@ -65,19 +127,51 @@ def trip_sessions(
     max_speed_kmh, samples, is_open. A session whose first row has the
     ignition off (a parked tick) is dropped unless ``keep_idle``. The last
     session of a vehicle is open when its last row still has the ignition on
-    (or always, when sessions close on gaps only).
+    (or always, when sessions close on gaps only). ``t`` needs ``seq`` (a
+    tiebreak after ``event_time``).
+
+    The fragments feed several branches (the carry of the previous
+    fragment, the running session number, the vehicle's last time). With
+    ``checkpoint=True`` (default) they are written once to the shared
+    checkpoint folder (about one row per session and bucket), so the rows
+    are read and shuffled once; the checkpoint keeps their (vehicle, bucket)
+    partitioning, so the fragment passes need no row exchange. With
+    ``checkpoint=False`` nothing is written and Spark recomputes the row
+    stage for each branch.
     """
-    rows = session_rows(t, gap_s, on_ignition, bucket_s, checkpoint)
-    g = rows.groupBy("vehicle_id", "session_no").agg(
-        F.min("event_time").alias("start_time"),
-        F.max("event_time").alias("end_time"),
-        F.sum("step_km").alias("_dist"),
-        F.max("speed_kmh").alias("max_speed_kmh"),
-        F.count(F.lit(1)).alias("samples"),
-        F.max(F.when(F.col("is_start"), F.col("ignition_on"))).alias("_first_ign"),
-        F.max_by("ignition_on", "event_time").alias("_last_ign"),
+    frag = session_fragments(t, gap_s, on_ignition, bucket_s)
+    if checkpoint:
+        from roadlens.session import cut_lineage
+
+        frag = cut_lineage(frag)
+    # Fragments keep the row bucket column (a fragment lies inside its
+    # bucket), so their ordered passes run on the existing partitioning.
+    forder = ["start_time", "f_seq"]
+    f = scan(frag, KEY, forder, prev=["end_time", "l_lat", "l_lon", "l_ign"], bucket_s=bucket_s)
+    first = F.col("prev_end_time").isNull()
+    start = first | (F.col("_local") > 0) | (seconds_between("start_time", "prev_end_time") > F.lit(float(gap_s)))
+    if on_ignition:
+        start = start | ~F.col("prev_l_ign")
+    f = f.withColumn("is_start", start)
+    f = f.withColumn(
+        "dist",
+        F.col("dist")
+        + F.when(F.col("is_start"), F.lit(0).cast("decimal(18,6)")).otherwise(
+            exact_km(haversine_km("prev_l_lat", "prev_l_lon", "f_lat", "f_lon"))
+        ),
+    )
+    f = with_running(f, KEY, forder, F.col("is_start").cast("long"), "session_no", bucket_s=bucket_s)
+    f = f.withColumn("_fk", order_key(f, forder))
+    g = f.groupBy("vehicle_id", "session_no").agg(
+        F.min("start_time").alias("start_time"),
+        F.max("end_time").alias("end_time"),
+        F.sum("dist").alias("_dist"),
+        F.max("max_speed_kmh").alias("max_speed_kmh"),
+        F.sum("samples").alias("samples"),
+        F.max(F.when(F.col("is_start"), F.col("f_ign"))).alias("_first_ign"),
+        F.max_by("l_ign", "_fk").alias("_last_ign"),
     )
-    last = t.groupBy("vehicle_id").agg(F.max("event_time").alias("_vehicle_last"))
+    last = frag.groupBy("vehicle_id").agg(F.max("end_time").alias("_vehicle_last"))
     g = g.join(last, "vehicle_id", "left")
     if not keep_idle:
         g = g.where(F.col("_first_ign"))

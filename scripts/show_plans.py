@@ -15,6 +15,7 @@ from roadlens.plans.catalog import load_all  # noqa: E402
 from roadlens.session import build_session  # noqa: E402
 
 KEYS = (
+    "Scan ExistingRDD",
     "Exchange",
     "ReusedExchange",
     "BroadcastHashJoin",

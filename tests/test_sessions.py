@@ -1,3 +1,5 @@
+import pytest
+
 from conftest import tel
 from roadlens.operators import sessions as SS
 
@@ -62,7 +64,8 @@ def _brute_sessions(rows, gap_s):
     return sorted((s["v"], s["start"], s["last"], s["n"], s["max"]) for s in out)
 
 
-def test_sessions_match_row_by_row_rule(spark):
+@pytest.mark.parametrize("bucket_s", [7, 300, 3600])
+def test_sessions_match_row_by_row_rule(spark, bucket_s):
     import random
 
     from conftest import T0
@@ -75,7 +78,7 @@ def test_sessions_match_row_by_row_rule(spark):
     df = tel(spark, rows)
     got = sorted(
         (r.vehicle_id, int((r.start_time - T0).total_seconds()), int((r.end_time - T0).total_seconds()), r.samples, r.max_speed_kmh)
-        for r in SS.trip_sessions(df, gap_s=300, keep_idle=True).collect()
+        for r in SS.trip_sessions(df, gap_s=300, keep_idle=True, bucket_s=bucket_s).collect()
     )
     assert got == _brute_sessions(rows, 300)
 
