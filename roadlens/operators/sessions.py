@@ -7,14 +7,16 @@ row, follows a gap longer than ``gap_s``, or follows an ignition-off row
 :func:`trip_sessions` shuffles the rows once. Inside each (vehicle, time
 bucket) one sorted window finds the starts it can see (every row but the
 bucket's first) and cuts the bucket into fragments, which are aggregated
-in place (the rows are already partitioned by vehicle and bucket). Only the
-fragments -- a few per bucket -- go through the cross-bucket step: the
+in place (the rows are already partitioned by vehicle and bucket). The
+cross-bucket step works on one summary row per (vehicle, bucket): the
 bucket's first fragment continues the previous bucket's last one unless the
-gap or ignition rule starts a new session there. A vehicle with a third of
-all rows is spread over its buckets in the row stage.
+gap or ignition rule starts a new session there, and a running count of
+starts over earlier buckets numbers the sessions. A vehicle with a third of
+all rows is spread over its buckets in the row stage; its cross-bucket
+window holds one row per bucket (bounded by its time span, not its rows).
 
 The fragment table is materialised once (reliable checkpoint in the shared
-folder) because three branches read it. :func:`session_rows` gives
+folder) because it is read twice. :func:`session_rows` gives
 row-level session numbers (two ordered passes).
 """
 
@@ -32,7 +34,6 @@ from roadlens.operators.ordered import (
     bucket_col,
     drop_bucket,
     order_key,
-    scan,
     time_bucket_id,
     with_previous,
     with_running,
@@ -130,38 +131,63 @@ def trip_sessions(
     (or always, when sessions close on gaps only). ``t`` needs ``seq`` (a
     tiebreak after ``event_time``).
 
-    The fragments feed several branches (the carry of the previous
-    fragment, the running session number, the vehicle's last time). With
-    ``checkpoint=True`` (default) they are written once to the shared
-    checkpoint folder (about one row per session and bucket), so the rows
-    are read and shuffled once; the checkpoint keeps their (vehicle, bucket)
-    partitioning, so the fragment passes need no row exchange. With
-    ``checkpoint=False`` nothing is written and Spark recomputes the row
-    stage for each branch.
+    The fragments are read twice (per-bucket summary, and the fragments
+    themselves). With ``checkpoint=True`` (default) they are written once
+    to the shared checkpoint folder (about one row per session and bucket),
+    so the rows are read and shuffled once; the checkpoint keeps their
+    (vehicle, bucket) partitioning, so the bucket summary needs no exchange.
+    With ``checkpoint=False`` nothing is written and Spark recomputes the
+    row stage for the second read.
     """
     frag = session_fragments(t, gap_s, on_ignition, bucket_s)
     if checkpoint:
         from roadlens.session import cut_lineage
 
         frag = cut_lineage(frag)
-    # Fragments keep the row bucket column (a fragment lies inside its
-    # bucket), so their ordered passes run on the existing partitioning.
-    forder = ["start_time", "f_seq"]
-    f = scan(frag, KEY, forder, prev=["end_time", "l_lat", "l_lon", "l_ign"], bucket_s=bucket_s)
-    first = F.col("prev_end_time").isNull()
-    start = first | (F.col("_local") > 0) | (seconds_between("start_time", "prev_end_time") > F.lit(float(gap_s)))
+    B = bucket_col(bucket_s)
+    # Per bucket (aggregated in place): its first fragment's first row, its
+    # last fragment's last row, and the number of starts seen inside it.
+    fk = order_key(frag, ["start_time", "f_seq"])
+    bk = frag.withColumn("_fk", fk).groupBy(*KEY, B).agg(
+        F.min("start_time").alias("b_first"),
+        F.min_by("f_lat", "_fk").alias("b_lat0"),
+        F.min_by("f_lon", "_fk").alias("b_lon0"),
+        F.max("end_time").alias("b_last"),
+        F.max_by("l_lat", "_fk").alias("b_lat1"),
+        F.max_by("l_lon", "_fk").alias("b_lon1"),
+        F.max_by("l_ign", "_fk").alias("b_ign1"),
+        F.max("_local").alias("b_inner"),
+    )
+    # Across buckets (one row per non-empty bucket of a vehicle): does the
+    # bucket's first fragment start a session, the step over the boundary,
+    # and the starts in all earlier buckets.
+    wb = Window.partitionBy(*KEY).orderBy(B)
+    p_last, p_lat, p_lon, p_ign = (F.lag(c).over(wb) for c in ("b_last", "b_lat1", "b_lon1", "b_ign1"))
+    head = p_last.isNull() | (seconds_between("b_first", p_last) > F.lit(float(gap_s)))
     if on_ignition:
-        start = start | ~F.col("prev_l_ign")
-    f = f.withColumn("is_start", start)
-    f = f.withColumn(
-        "dist",
-        F.col("dist")
-        + F.when(F.col("is_start"), F.lit(0).cast("decimal(18,6)")).otherwise(
-            exact_km(haversine_km("prev_l_lat", "prev_l_lon", "f_lat", "f_lon"))
-        ),
+        head = head | ~p_ign
+    bk = bk.select(*KEY, B, "b_inner", head.alias("head_start"), p_lat.alias("p_lat"), p_lon.alias("p_lon"), "b_lat0", "b_lon0",
+                   F.max("b_last").over(Window.partitionBy(*KEY)).alias("_vehicle_last"))
+    starts = F.col("b_inner") + F.col("head_start").cast("long")
+    bk = bk.select(
+        *KEY,
+        B,
+        "head_start",
+        "_vehicle_last",
+        F.coalesce(F.sum(starts).over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")).alias("starts_before"),
+        F.when(F.col("head_start"), F.lit(0).cast("decimal(18,6)"))
+        .otherwise(exact_km(haversine_km("p_lat", "p_lon", "b_lat0", "b_lon0")))
+        .alias("boundary_km"),
+    )
+    f = frag.join(bk, [*KEY, B], "left")
+    head_frag = F.col("_local") == 0
+    f = f.select(
+        "*",
+        (F.col("starts_before") + F.col("head_start").cast("long") + F.col("_local")).alias("session_no"),
+        (~head_frag | F.col("head_start")).alias("is_start"),
     )
-    f = with_running(f, KEY, forder, F.col("is_start").cast("long"), "session_no", bucket_s=bucket_s)
-    f = f.withColumn("_fk", order_key(f, forder))
+    f = f.withColumn("dist", F.col("dist") + F.when(head_frag, F.col("boundary_km")).otherwise(F.lit(0).cast("decimal(18,6)")))
+    f = f.withColumn("_fk", order_key(f, ["start_time", "f_seq"]))
     g = f.groupBy("vehicle_id", "session_no").agg(
         F.min("start_time").alias("start_time"),
         F.max("end_time").alias("end_time"),
@@ -170,9 +196,8 @@ def trip_sessions(
         F.sum("samples").alias("samples"),
         F.max(F.when(F.col("is_start"), F.col("f_ign"))).alias("_first_ign"),
         F.max_by("l_ign", "_fk").alias("_last_ign"),
+        F.max("_vehicle_last").alias("_vehicle_last"),
     )
-    last = frag.groupBy("vehicle_id").agg(F.max("end_time").alias("_vehicle_last"))
-    g = g.join(last, "vehicle_id", "left")
     if not keep_idle:
         g = g.where(F.col("_first_ign"))
     open_ = F.col("end_time") == F.col("_vehicle_last")
