@@ -17,7 +17,6 @@ from roadlens.functions.geo import kmh_to_mps
 from roadlens.operators.motion import (
     KEY,
     ORDER,
-    add_rising_edge,
     add_sustained_seconds,
     heading_columns,
     heading_running,
@@ -25,7 +24,7 @@ from roadlens.operators.motion import (
     seconds_between,
     sustained_running,
 )
-from roadlens.operators.ordered import DEFAULT_BUCKET_S, bucket_col, drop_bucket, scan, with_previous
+from roadlens.operators.ordered import DEFAULT_BUCKET_S, bucket_col, changed_rows, drop_bucket, scan
 
 # Edge-triggered rules, in output order: event type -> condition column.
 RULES = ("harsh_accel", "harsh_braking", "harsh_cornering", "over_speed", "idling")
@@ -86,19 +85,18 @@ def fuel_low_events(t: DataFrame, threshold: float = S.FUEL_LOW_PCT) -> DataFram
     return g.select("vehicle_id", "trip_id", "event_time", F.lit("fuel_low").alias("event_type"))
 
 
-def detect_events(t: DataFrame, limit_kmh="speed_limit_kmh", bucket_s: int = DEFAULT_BUCKET_S, checkpoint: bool = False) -> DataFrame:
+def detect_events(t: DataFrame, limit_kmh="speed_limit_kmh", bucket_s: int = DEFAULT_BUCKET_S, checkpoint: bool = True) -> DataFrame:
     """T10 (batch): driving events derived from telemetry.
 
-    Output: vehicle_id, trip_id, event_time, event_type. ``checkpoint=True``
-    materialises the per-reading rule conditions in the shared checkpoint
-    folder before the edge pass (for very long inputs).
+    Output: vehicle_id, trip_id, event_time, event_type. The rule pass and
+    the edge test share one shuffle of the rows: only rows whose rule set
+    changes (plus two per time bucket) leave the row stage
+    (:func:`changed_rows`); ``checkpoint`` materialises that small table in
+    the shared checkpoint folder.
     """
     d = rule_conditions(t, limit_kmh, bucket_s, keep_bucket=True)
-    if checkpoint:
-        from roadlens.session import cut_lineage
-
-        d = cut_lineage(d.select("vehicle_id", "trip_id", "event_time", "seq", bucket_col(bucket_s), *[f"c_{r}" for r in RULES]))
-    d = drop_bucket(with_previous(d, KEY, ORDER, [f"c_{r}" for r in RULES], bucket_s=bucket_s), bucket_s)
+    d = d.select("vehicle_id", "trip_id", *ORDER, bucket_col(bucket_s), *[f"c_{r}" for r in RULES])
+    d = drop_bucket(changed_rows(d, KEY, ORDER, [f"c_{r}" for r in RULES], bucket_s=bucket_s, checkpoint=checkpoint), bucket_s)
     edges = F.array(
         *[
             F.when(F.col(f"c_{r}") & ~F.coalesce(F.col(f"prev_c_{r}"), F.lit(False)), F.lit(r))
@@ -111,11 +109,12 @@ def detect_events(t: DataFrame, limit_kmh="speed_limit_kmh", bucket_s: int = DEF
     return ev.unionByName(fuel_low_events(t))
 
 
-def condition_changes(t: DataFrame, limit_kmh="speed_limit_kmh", bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
+def condition_changes(t: DataFrame, limit_kmh="speed_limit_kmh", bucket_s: int = DEFAULT_BUCKET_S, checkpoint: bool = True) -> DataFrame:
     """Per row, rules that became active and rules that stopped, as
     comma-separated lists; only rows with a change are returned."""
     d = rule_conditions(t, limit_kmh, bucket_s, keep_bucket=True)
-    d = drop_bucket(with_previous(d, KEY, ORDER, [f"c_{r}" for r in RULES], bucket_s=bucket_s), bucket_s)
+    d = d.select("vehicle_id", *ORDER, bucket_col(bucket_s), *[f"c_{r}" for r in RULES])
+    d = drop_bucket(changed_rows(d, KEY, ORDER, [f"c_{r}" for r in RULES], bucket_s=bucket_s, checkpoint=checkpoint), bucket_s)
     cur, prev = condition_set("c_"), condition_set("prev_c_")
     d = d.select("vehicle_id", "event_time", F.array_except(cur, prev).alias("_new"), F.array_except(prev, cur).alias("_gone"))
     d = d.where((F.size("_new") > 0) | (F.size("_gone") > 0))
@@ -127,20 +126,25 @@ def condition_changes(t: DataFrame, limit_kmh="speed_limit_kmh", bucket_s: int =
     )
 
 
-def ignition_events(t: DataFrame, bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
+def ignition_events(t: DataFrame, bucket_s: int = DEFAULT_BUCKET_S, checkpoint: bool = True) -> DataFrame:
     """ignition_on / ignition_off events where the ignition flips.
 
     A vehicle's first row counts as a flip from off.
     """
-    d = with_previous(t, KEY, ORDER, ["ignition_on"], bucket_s=bucket_s)
+    d = changed_rows(t.select(*KEY, *ORDER, "ignition_on"), KEY, ORDER, ["ignition_on"], bucket_s=bucket_s, checkpoint=checkpoint)
     prev = F.coalesce(F.col("prev_ignition_on"), F.lit(False))
     kind = F.when(F.col("ignition_on") & ~prev, F.lit("ignition_on")).when(~F.col("ignition_on") & prev, F.lit("ignition_off"))
     return d.select("vehicle_id", "event_time", kind.alias("event_type")).where(F.col("event_type").isNotNull())
 
 
-def temp_alerts(t: DataFrame, limit_c: float = 100.0, sustain_s: float = 30.0, bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
+def temp_alerts(
+    t: DataFrame, limit_c: float = 100.0, sustain_s: float = 30.0, bucket_s: int = DEFAULT_BUCKET_S, checkpoint: bool = True
+) -> DataFrame:
     """Engine-temperature alert when the temperature has stayed above
     ``limit_c`` for at least ``sustain_s`` seconds (edge-triggered)."""
     d = add_sustained_seconds(t, F.col("engine_temp_c") > F.lit(limit_c), "hot_s", bucket_s=bucket_s, keep_bucket=True)
-    d = drop_bucket(add_rising_edge(d, F.col("hot_s") >= F.lit(sustain_s), "_alert", bucket_s=bucket_s), bucket_s)
-    return d.where("_alert").select("vehicle_id", "event_time", "engine_temp_c", "hot_s")
+    d = d.withColumn("_hot", F.coalesce(F.col("hot_s") >= F.lit(sustain_s), F.lit(False)))
+    d = d.select("vehicle_id", *ORDER, bucket_col(bucket_s), "engine_temp_c", "hot_s", "_hot")
+    d = drop_bucket(changed_rows(d, KEY, ORDER, ["_hot"], bucket_s=bucket_s, checkpoint=checkpoint), bucket_s)
+    alert = F.col("_hot") & ~F.coalesce(F.col("prev__hot"), F.lit(False))
+    return d.where(alert).select("vehicle_id", "event_time", "engine_temp_c", "hot_s")

@@ -217,3 +217,68 @@ def with_running(
 def drop_bucket(df: DataFrame, bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
     """Drop the shared bucket column after the last chained pass."""
     return df.drop(bucket_col(bucket_s))
+
+
+def changed_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    cols: Sequence[str],
+    prefix: str = "prev_",
+    bucket_s: int = DEFAULT_BUCKET_S,
+    checkpoint: bool = True,
+) -> DataFrame:
+    """Rows where any of ``cols`` differs (null-safe) from the previous row
+    of the same key, with the previous values as ``prefix + c`` (null on
+    the key's first row, which is always kept).
+
+    Same result as :func:`with_previous` followed by that filter, but the
+    rows are shuffled once: inside a (key, bucket) window every row except
+    the bucket's first sees its previous row, so only changed rows, the
+    bucket's first row (still to resolve) and its last row (what the next
+    bucket's first row compares with) leave the stage. That small table is
+    written once to the shared checkpoint folder (``checkpoint=True``) and
+    read twice: for the per-bucket last rows, carried to the next bucket by
+    a window over each key's buckets, and for the rows themselves.
+    """
+    keys, order, cols = list(keys), list(order), list(cols)
+    _B = bucket_col(bucket_s)
+    reuse = _B in df.columns
+    d = df if reuse else df.withColumn(_B, time_bucket_id(order[0], bucket_s))
+    w = Window.partitionBy(*keys, _B).orderBy(*_cols(order))
+    d = d.select(
+        "*",
+        F.lag(F.lit(1)).over(w).isNull().alias("_chg_first"),
+        F.lead(F.lit(1)).over(w).isNull().alias("_chg_last"),
+        *[F.lag(c).over(w).alias(f"_chg_lag_{c}") for c in cols],
+    )
+
+    def differs(prev: str) -> Column:
+        out = F.lit(False)
+        for c in cols:
+            out = out | ~F.col(c).eqNullSafe(F.col(prev.format(c)))
+        return out
+
+    small = d.where(F.col("_chg_first") | F.col("_chg_last") | differs("_chg_lag_{}"))
+    if checkpoint:
+        from roadlens.session import cut_lineage
+
+        small = cut_lineage(small)
+    wb = Window.partitionBy(*keys).orderBy(_B)
+    carry = small.where(F.col("_chg_last")).select(
+        *keys,
+        _B,
+        F.lag(F.lit(1)).over(wb).isNull().alias("_chg_key_first"),
+        *[F.lag(c).over(wb).alias(f"_chg_carry_{c}") for c in cols],
+    )
+    out = small.join(carry, [*keys, _B], "left")
+    out = out.select(
+        "*",
+        *[
+            F.when(F.col("_chg_first"), F.col(f"_chg_carry_{c}")).otherwise(F.col(f"_chg_lag_{c}")).alias(prefix + c)
+            for c in cols
+        ],
+    )
+    out = out.where((F.col("_chg_first") & F.col("_chg_key_first")) | differs(prefix + "{}"))
+    helper = ["_chg_first", "_chg_last", "_chg_key_first", *[f"_chg_lag_{c}" for c in cols], *[f"_chg_carry_{c}" for c in cols]]
+    return out.drop(*helper, *([] if reuse else [_B]))

@@ -52,10 +52,18 @@ def main():
     print(f"Static plans (AQE off, so runtime coalescing and broadcast conversion are not shown) on `{sf}`,")
     print("generated by `scripts/show_plans.py`. Only exchanges, joins, aggregates, windows and scans are listed.\n")
     # Row stages that a query materialises (checkpoint) before its own plan.
+    from roadlens.operators import detect as DT
     from roadlens.operators import sessions as SS
+    from roadlens.plans.queries_batch import TEST_LIMIT_KMH
     from roadlens.sources import testmap as TM
 
-    stages = {"trip_sessions": ("row stage, materialised", lambda: SS.session_fragments(TM.telemetry_light(spark, sf)))}
+    stages = {
+        "trip_sessions": ("row stage, materialised", lambda: SS.session_fragments(TM.telemetry_light(spark, sf))),
+        "detect_events": (
+            "row stage (changed rows of it are materialised)",
+            lambda: DT.rule_conditions(TM.telemetry_light(spark, sf), TEST_LIMIT_KMH, keep_bucket=True),
+        ),
+    }
     for name in HEADLINE:
         if name.startswith("stream_"):
             continue

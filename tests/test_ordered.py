@@ -83,3 +83,23 @@ def test_hot_vehicle_is_spread_over_tasks(spark):
     finally:
         spark.conf.set(key, old)
     assert parts > 1
+
+
+@pytest.mark.parametrize("bucket_s", [7, 60, 86400])
+@pytest.mark.parametrize("checkpoint", [True, False])
+def test_changed_rows_equals_filtered_lag(spark, bucket_s, checkpoint):
+    from roadlens.operators.ordered import changed_rows
+
+    rnd = random.Random(bucket_s + 1)
+    rows, t = [], 0.0
+    for i in range(400):
+        t += rnd.choice([0.5, 1, 3, 30, 200])
+        rows.append({"v": rnd.choice(["A", "B", "C"]), "t": t, "speed": rnd.choice([10, 10, 10, 90]), "seq": i})
+    df = tel(spark, rows).withColumn("fast", F.col("speed_kmh") > 50).withColumn("slow", F.col("speed_kmh") < 5)
+    got = changed_rows(df, ["vehicle_id"], ["event_time", "seq"], ["fast", "slow"], bucket_s=bucket_s, checkpoint=checkpoint)
+    w = Window.partitionBy("vehicle_id").orderBy("event_time", "seq")
+    exp = df.select("vehicle_id", "seq", "fast", F.lag("fast").over(w).alias("prev_fast"), F.lag("slow").over(w).alias("prev_slow"))
+    exp = exp.where(F.col("prev_fast").isNull() | (F.col("fast") != F.col("prev_fast")))
+    a = sorted(tuple(r) for r in got.select("vehicle_id", "seq", "fast", "prev_fast", "prev_slow").collect())
+    b = sorted(tuple(r) for r in exp.collect())
+    assert a == b and len(b) > 10
