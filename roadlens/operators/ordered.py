@@ -103,7 +103,9 @@ def scan(
       ``inclusive=False`` aggregates the rows strictly before the current
       one.
 
-    ``order[0]`` must be the timestamp used for bucketing. Passes chained
+    ``order[0]`` must be the timestamp used for bucketing; keys and
+    ``order[0]`` must be non-null (the bucket carry is an equi-join on
+    them; the decoders quarantine readings without vehicle or time). Passes chained
     with ``keep_bucket=True`` share the bucket column, so the second pass
     finds its input already hash-partitioned by (key, bucket) and does not
     shuffle the rows again; drop the column after the last pass.
