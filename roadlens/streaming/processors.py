@@ -20,6 +20,7 @@ import math
 from collections.abc import Iterator
 from decimal import ROUND_HALF_UP, Decimal
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,9 +56,17 @@ DETECT_STATE = T.StructType(
 )
 
 
-def _pmod(x: float, n: float) -> float:
-    r = math.fmod(x, n)
-    return math.fmod(r + n, n) if r < 0 else r
+def _pmod_arr(x: np.ndarray, n: float) -> np.ndarray:
+    """Positive remainder, as Spark's ``pmod`` on doubles."""
+    r = np.fmod(x, n)
+    return np.where(r < 0, np.fmod(r + n, n), r)
+
+
+def _ffill_seeded(values: np.ndarray, seed) -> np.ndarray:
+    """Last non-NaN value up to each position, starting from ``seed``
+    (position 0 of the result is the seed, position i+1 covers values[i])."""
+    arr = np.concatenate([[np.nan if seed is None else float(seed)], values])
+    return pd.Series(arr).ffill().to_numpy(np.float64)
 
 
 class DetectProcessor(StatefulProcessor):
@@ -74,57 +83,83 @@ class DetectProcessor(StatefulProcessor):
         if self.state.exists():
             (last_us, last_seq, last_speed, heading, first_us, over_f, idle_f, conds, fuel_trip) = self.state.get()
             prev = set(conds.split(",")) if conds else set()
+            t_all, seq_all = pdf["t_us"].to_numpy(np.int64), pdf["seq"].to_numpy(np.int64)
+            pdf = pdf[(t_all > last_us) | ((t_all == last_us) & (seq_all > last_seq))]  # out of order for this vehicle
         else:
             last_us = last_seq = last_speed = heading = first_us = over_f = idle_f = None
             prev, fuel_trip = set(), None
-        out = []
+        cols = ["vehicle_id", "trip_id", "t_us", "event_type"]
+        if pdf.empty:
+            yield pd.DataFrame([], columns=cols)
+            return
+        # Vectorised over the vehicle's readings of this batch; the state
+        # seeds the first row (previous reading, carried heading, clocks).
+        t = pdf["t_us"].to_numpy(np.int64)
+        speed = pdf["speed_kmh"].to_numpy(np.float64)
+        head = pdf["heading_deg"].to_numpy(np.float64)
+        ign = pdf["ignition_on"].to_numpy(bool)
+        n = len(t)
+        first_us = int(t[0]) if first_us is None else first_us
+        prev_t, prev_speed = np.empty(n, np.int64), np.empty(n, np.float64)
+        prev_t[1:], prev_speed[1:] = t[:-1], speed[:-1]
+        has_prev = np.ones(n, bool)
+        if last_us is None:
+            has_prev[0], prev_t[0], prev_speed[0] = False, t[0], np.nan
+        else:
+            prev_t[0], prev_speed[0] = last_us, last_speed
+        dt = (t - prev_t).astype(np.float64) / 1e6
+        with np.errstate(divide="ignore", invalid="ignore"):
+            accel = np.where(has_prev & (dt > 0), (speed - prev_speed) / 3.6 / dt, np.nan)
+        moving = speed / 3.6 > S.HEADING_MIN_SPEED_MPS
+        carried = _ffill_seeded(np.where(moving, head, np.nan), heading)
+        h_before = carried[:-1]
+        delta = np.where(moving & ~np.isnan(h_before), _pmod_arr(head - h_before + 180.0, 360.0) - 180.0, np.nan)
         over_lim = self.limit + S.OVER_SPEED_MARGIN_KMH
-        for r in pdf.itertuples(index=False):
-            t_us, seq, speed = int(r.t_us), int(r.seq), float(r.speed_kmh)
-            if last_us is not None and (t_us, seq) <= (last_us, last_seq):
-                continue  # out of order for this vehicle
-            first_us = t_us if first_us is None else first_us
-            accel = None
-            if last_us is not None:
-                dt = float(t_us - last_us) / 1e6
-                if dt > 0:
-                    accel = (speed - last_speed) / 3.6 / dt
-            moving = speed / 3.6 > S.HEADING_MIN_SPEED_MPS
-            delta = None
-            if moving:
-                if heading is not None:
-                    delta = _pmod(float(r.heading_deg) - heading + 180.0, 360.0) - 180.0
-                heading = float(r.heading_deg)
-            over_c = speed > over_lim
-            idle_c = bool(r.ignition_on) and speed / 3.6 < S.IDLE_SPEED_MPS
-            if not over_c:
-                over_f = t_us
-            if not idle_c:
-                idle_f = t_us
-            over_s = float(t_us - (over_f if over_f is not None else first_us)) / 1e6 if over_c else 0.0
-            idle_s = float(t_us - (idle_f if idle_f is not None else first_us)) / 1e6 if idle_c else 0.0
-            cur = set()
-            if accel is not None and accel > S.HARSH_ACCEL_MPS2:
-                cur.add("harsh_accel")
-            if accel is not None and accel < S.HARSH_BRAKE_MPS2:
-                cur.add("harsh_braking")
-            if delta is not None and speed > S.HARSH_CORNER_SPEED_KMH and abs(delta) > S.HARSH_CORNER_HEADING_DEG:
-                cur.add("harsh_cornering")
-            if speed >= over_lim and over_s >= S.OVER_SPEED_SUSTAINED_S:
-                cur.add("over_speed")
-            if idle_s >= S.IDLING_THRESHOLD_S:
-                cur.add("idling")
-            trip = r.trip_id if isinstance(r.trip_id, str) else None
-            for name in RULES:
-                if name in cur and name not in prev:
-                    out.append((key[0], trip, t_us, name))
-            if trip is not None and float(r.fuel_pct) < S.FUEL_LOW_PCT and trip != fuel_trip:
-                out.append((key[0], trip, t_us, "fuel_low"))
-                fuel_trip = trip
-            prev = cur
-            last_us, last_seq, last_speed = t_us, seq, speed
-        self.state.update((last_us, last_seq, last_speed, heading, first_us, over_f, idle_f, ",".join(sorted(prev)), fuel_trip))
-        yield pd.DataFrame(out, columns=["vehicle_id", "trip_id", "t_us", "event_type"])
+        over_c = speed > over_lim
+        idle_c = ign & (speed / 3.6 < S.IDLE_SPEED_MPS)
+        tf = t.astype(np.float64)
+        over_false = _ffill_seeded(np.where(~over_c, tf, np.nan), over_f)
+        idle_false = _ffill_seeded(np.where(~idle_c, tf, np.nan), idle_f)
+        over_s = np.where(over_c, (tf - np.where(np.isnan(over_false[1:]), first_us, over_false[1:])) / 1e6, 0.0)
+        idle_s = np.where(idle_c, (tf - np.where(np.isnan(idle_false[1:]), first_us, idle_false[1:])) / 1e6, 0.0)
+        with np.errstate(invalid="ignore"):
+            cur = {
+                "harsh_accel": accel > S.HARSH_ACCEL_MPS2,
+                "harsh_braking": accel < S.HARSH_BRAKE_MPS2,
+                "harsh_cornering": ~np.isnan(delta) & (speed > S.HARSH_CORNER_SPEED_KMH) & (np.abs(delta) > S.HARSH_CORNER_HEADING_DEG),
+                "over_speed": (speed >= over_lim) & (over_s >= S.OVER_SPEED_SUSTAINED_S),
+                "idling": idle_s >= S.IDLING_THRESHOLD_S,
+            }
+        trip = pdf["trip_id"].astype(object).where(pdf["trip_id"].notna(), None).to_numpy(object)
+        out = []
+        for name in RULES:
+            c = cur[name]
+            before = np.empty(n, bool)
+            before[0], before[1:] = name in prev, c[:-1]
+            for i in np.nonzero(c & ~before)[0]:
+                out.append((key[0], trip[i], int(t[i]), name))
+        # Fuel low: the first low reading of each trip (a low reading sets the
+        # reported trip, so it fires when its trip differs from the previous low one).
+        fuel = pdf["fuel_pct"].to_numpy(np.float64)
+        low = np.nonzero(np.array([x is not None for x in trip]) & (fuel < S.FUEL_LOW_PCT))[0]
+        for i in low:
+            if trip[i] != fuel_trip:
+                out.append((key[0], trip[i], int(t[i]), "fuel_low"))
+                fuel_trip = trip[i]
+        last_heading = carried[-1]
+        state = (
+            int(t[-1]),
+            int(pdf["seq"].iloc[-1]),
+            float(speed[-1]),
+            None if np.isnan(last_heading) else float(last_heading),
+            first_us,
+            None if np.isnan(over_false[-1]) else int(over_false[-1]),
+            None if np.isnan(idle_false[-1]) else int(idle_false[-1]),
+            ",".join(sorted(r for r in RULES if cur[r][-1])),
+            fuel_trip,
+        )
+        self.state.update(state)
+        yield pd.DataFrame(out, columns=cols)
 
     def close(self) -> None:
         pass
