@@ -221,35 +221,76 @@ class TripSessionProcessor(StatefulProcessor):
             return []
         return [(key[0], start_us, last_us, float(Decimal(dist)), mx, n)]
 
+    def _timer_ms(self, last_us: int) -> int:
+        return last_us // 1000 + self.gap_us // 1000
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(["t_us", "seq"], kind="stable")
         s = self.state.get() if self.state.exists() else None
-        out = []
-        for r in pdf.itertuples(index=False):
-            t_us, seq = int(r.t_us), int(r.seq)
-            lat, lon, speed, ign = float(r.lat), float(r.lon), float(r.speed_kmh), bool(r.ignition_on)
-            if s is not None and (t_us, seq) <= (s[1], s[2]):
-                continue
-            if s is not None and t_us - s[1] > self.gap_us:
-                out += self._emit(key, s)
-                self.handle.deleteTimer(s[1] // 1000 + self.gap_us // 1000)
-                s = None
-            if s is None:
-                s = (t_us, t_us, seq, lat, lon, "0", speed, 1, ign, ign)
-            else:
-                step = Decimal(repr(_hav_km(s[3], s[4], lat, lon))).quantize(_MICRO_KM, rounding=ROUND_HALF_UP)
-                self.handle.deleteTimer(s[1] // 1000 + self.gap_us // 1000)
-                s = (s[0], t_us, seq, lat, lon, str(Decimal(s[5]) + step), max(s[6], speed), s[7] + 1, s[8], ign)
-            if not ign:  # an ignition-off reading closes its trip at once
-                out += self._emit(key, s)
-                s = None
-                continue
-            self.handle.registerTimer(t_us // 1000 + self.gap_us // 1000)
-        if s is None:
-            self.state.clear()
+        cols = [f.name for f in SESSION_OUT.fields]
+        if s is not None:
+            t_all, seq_all = pdf["t_us"].to_numpy(np.int64), pdf["seq"].to_numpy(np.int64)
+            pdf = pdf[(t_all > s[1]) | ((t_all == s[1]) & (seq_all > s[2]))]  # out of order for this vehicle
+        if pdf.empty:
+            yield pd.DataFrame([], columns=cols)
+            return
+        t = pdf["t_us"].to_numpy(np.int64)
+        lat, lon = pdf["lat"].to_numpy(np.float64), pdf["lon"].to_numpy(np.float64)
+        speed, ign = pdf["speed_kmh"].to_numpy(np.float64), pdf["ignition_on"].to_numpy(bool)
+        n = len(t)
+        # A stored session is open: its last reading had the ignition on.
+        prev_t = np.empty(n, np.int64)
+        prev_t[1:] = t[:-1]
+        prev_t[0] = s[1] if s is not None else t[0]
+        prev_ign = np.empty(n, bool)
+        prev_ign[1:] = ign[:-1]
+        prev_ign[0] = True
+        start = (t - prev_t > self.gap_us) | ~prev_ign
+        start[0] = start[0] or s is None
+        sid = np.cumsum(start)  # 0 = continues the stored session
+        # Exact step distances (6 dp, as the batch operator) inside sessions.
+        plat = np.concatenate([[s[3] if s is not None else lat[0]], lat[:-1]])
+        plon = np.concatenate([[s[4] if s is not None else lon[0]], lon[:-1]])
+        steps = [
+            Decimal(0) if start[i] else Decimal(repr(_hav_km(plat[i], plon[i], lat[i], lon[i]))).quantize(_MICRO_KM, rounding=ROUND_HALF_UP)
+            for i in range(n)
+        ]
+        if s is not None:
+            self.handle.deleteTimer(self._timer_ms(s[1]))
+        out, sessions = [], []
+        if s is not None and start[0]:
+            out += self._emit(key, s)  # closed by the gap before this batch's first reading
+        bounds = np.nonzero(np.diff(np.concatenate([[-1], sid, [sid[-1] + 1]])))[0]
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            base = s if (sid[a] == 0 and s is not None) else None
+            dist = (Decimal(base[5]) if base else Decimal(0)) + sum(steps[a:b], Decimal(0))
+            mx = float(np.max(speed[a:b]))
+            sessions.append(
+                (
+                    base[0] if base else int(t[a]),
+                    int(t[b - 1]),
+                    int(pdf["seq"].iloc[b - 1]),
+                    float(lat[b - 1]),
+                    float(lon[b - 1]),
+                    str(dist),
+                    max(base[6], mx) if base else mx,
+                    (base[7] if base else 0) + int(b - a),
+                    base[8] if base else bool(ign[a]),
+                    bool(ign[b - 1]),
+                )
+            )
+        # Every session but the last is closed; the last closes now when its
+        # last reading has the ignition off, otherwise it waits for the gap.
+        for sess in sessions[:-1]:
+            out += self._emit(key, sess)
+        last = sessions[-1]
+        if last[9]:
+            self.state.update(last)
+            self.handle.registerTimer(self._timer_ms(last[1]))
         else:
-            self.state.update(s)
-        yield pd.DataFrame(out, columns=[f.name for f in SESSION_OUT.fields])
+            out += self._emit(key, last)
+            self.state.clear()
+        yield pd.DataFrame(out, columns=cols)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         out = []

@@ -118,3 +118,37 @@ def test_stream_detect_events_over_many_batches_equals_batch(spark):
     exp = DT.detect_events(TM.telemetry_light(spark, SF_SMALL), limit_kmh=TEST_LIMIT_KMH).select(*cols)
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
     assert exp.count() > 10
+
+
+def test_stream_trip_sessions_over_many_batches_equals_batch(spark):
+    """Gap + ignition sessions carried across micro-batches (open session in
+    state, one event-time timer) equal the batch sessions that the final
+    watermark has closed."""
+    from roadlens.operators import sessions as SS
+    from roadlens.plans.queries_batch import SESSION_GAP_TEST_S
+    from roadlens.streaming import processors as PR
+
+    base = tempfile.mkdtemp(prefix="roadlens-test-")
+    schema, _n_days = _split_by_day(spark, base)
+    es = spark.readStream.schema(schema).option("maxFilesPerTrigger", "3").parquet(f"{base}/in/*")
+    q = (
+        PR.trip_sessions_stream(TM.light_from(es, streaming_ts=True), SESSION_GAP_TEST_S)
+        .writeStream.format("parquet")
+        .option("path", f"{base}/out")
+        .option("checkpointLocation", f"{base}/ckpt")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    assert sum(1 for p in q.recentProgress if p.get("numInputRows")) >= 3
+    cols = ["vehicle_id", "start_time", "end_time", "distance_km", "max_speed_kmh", "samples"]
+    got = spark.read.parquet(f"{base}/out")
+    got = got.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c.endswith("_time") else F.col(c) for c in cols])
+    mx = TM.read_table(spark, SF_SMALL, "events").agg(F.max("ts")).first()[0]
+    wm = F.timestamp_add("SECOND", F.lit(-75), F.lit(str(mx)).cast("timestamp_ntz"))
+    batch = SS.trip_sessions(TM.telemetry_light(spark, SF_SMALL), gap_s=SESSION_GAP_TEST_S)
+    closed = batch.where(~F.col("is_open") | (F.timestamp_add("SECOND", F.lit(int(SESSION_GAP_TEST_S)), F.col("end_time")) <= wm))
+    exp = closed.select(*cols)
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+    assert exp.count() > 10
