@@ -51,3 +51,24 @@ def test_detect_events_with_lineage_cut(spark):
     a = sorted(tuple(r) for r in DT.detect_events(t, limit_kmh=200.0, checkpoint=False).collect())
     b = sorted(tuple(r) for r in DT.detect_events(t, limit_kmh=200.0, checkpoint=True).collect())
     assert a == b and len(a) == 2
+
+
+def test_trip_sessions_shuffle_rows_once(spark):
+    """The row stage has one exchange (rows by vehicle and bucket); after
+    the fragment checkpoint no plan node reads the source table again."""
+    from roadlens.operators import sessions as SS
+    from roadlens.sources import testmap as TM
+
+    t = TM.telemetry_light(spark, SF_SMALL)
+    rows = SS.session_fragments(t)._jdf.queryExecution().executedPlan().toString()
+    assert rows.count("Exchange hashpartitioning") == 1
+    after = SS.trip_sessions(t)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in after and "ExistingRDD" in after
+
+
+def test_detect_events_shuffle_rows_once(spark):
+    """After the changed-row checkpoint, the edge step does not shuffle rows
+    by (vehicle, bucket) again; only the fuel-low aggregate reads the table."""
+    p = _plan(spark, "detect_events")
+    assert "Exchange hashpartitioning(vehicle_id, _scan_bucket" not in p
+    assert p.count("FileScan") == 1
