@@ -91,3 +91,25 @@ def test_sessions_with_lineage_cut_are_equal(spark):
     a = SS.trip_sessions(t, gap_s=6 * 3600, checkpoint=False)
     b = SS.trip_sessions(t, gap_s=6 * 3600, checkpoint=True)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.mark.parametrize("on_ignition", [True, False])
+def test_bucket_width_does_not_change_sessions(spark, on_ignition):
+    """Every column (boundary step distances, is_open included) is the same
+    with tiny buckets as with a single bucket per vehicle."""
+    import random
+
+    rnd = random.Random(11)
+    rows, t = [], 0.0
+    for i in range(400):
+        t += rnd.choice([1, 2, 5, 100, 400])
+        rows.append(
+            {"v": rnd.choice("AB"), "t": t, "speed": float(rnd.randint(0, 100)), "ign": rnd.random() > 0.1, "seq": i,
+             "lat": -6.2 + rnd.random() / 50, "lon": 106.8 + rnd.random() / 50}
+        )
+    df = tel(spark, rows)
+    one = SS.trip_sessions(df, gap_s=300, on_ignition=on_ignition, keep_idle=True, bucket_s=10**9)
+    for b in (7, 120, 3600):
+        many = SS.trip_sessions(df, gap_s=300, on_ignition=on_ignition, keep_idle=True, bucket_s=b)
+        assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0, b
+    assert one.where("distance_km > 0").count() > 5
