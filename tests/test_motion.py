@@ -66,3 +66,30 @@ def test_sustained_clock(spark):
     t = tel(spark, [{"t": 0, "speed": 80}, {"t": 2, "speed": 80}, {"t": 3, "speed": 10}, {"t": 5, "speed": 80}, {"t": 9, "speed": 80}])
     r = M.add_sustained_seconds(t, F.col("speed_kmh") > 70, "s").orderBy("event_time").collect()
     assert [x.s for x in r] == [0.0, 2.0, 0.0, 2.0, 6.0]
+
+
+def test_detect_events_do_not_depend_on_bucket_width(spark):
+    """Rule inputs (previous speed, carried heading, sustained clocks) and the
+    edge test cross bucket boundaries: tiny buckets give the same events and
+    condition changes as one bucket per vehicle."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from roadlens.operators import detect as DT
+
+    rnd = random.Random(5)
+    rows, t = [], 0.0
+    for i in range(500):
+        t += rnd.choice([1, 1, 2, 3, 30])
+        rows.append(
+            {"v": rnd.choice("AB"), "t": t, "speed": float(rnd.choice([0, 0.5, 30, 45, 70, 75, 90])), "heading": float(rnd.randint(0, 359)),
+             "ign": rnd.random() > 0.05, "seq": i, "trip": f"trip-{i // 100}", "fuel": float(rnd.randint(5, 60))}
+        )
+    df = tel(spark, rows).withColumn("engine_temp_c", F.lit(90.0))
+    for fn in (DT.detect_events, DT.condition_changes):
+        one = fn(df, limit_kmh=60.0, bucket_s=10**9)
+        for b in (5, 60):
+            many = fn(df, limit_kmh=60.0, bucket_s=b)
+            assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0, (fn.__name__, b)
+        assert one.count() > 20
