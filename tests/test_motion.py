@@ -93,3 +93,21 @@ def test_detect_events_do_not_depend_on_bucket_width(spark):
             many = fn(df, limit_kmh=60.0, bucket_s=b)
             assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0, (fn.__name__, b)
         assert one.count() > 20
+
+
+def test_temp_alerts_do_not_depend_on_bucket_width(spark):
+    import random
+
+    from roadlens.operators import detect as DT
+
+    rnd = random.Random(9)
+    rows, t = [], 0.0
+    for i in range(400):
+        t += rnd.choice([1, 2, 5, 20])
+        rows.append({"v": rnd.choice("AB"), "t": t, "speed": 40.0, "seq": i, "temp": float(rnd.choice([95, 101, 104, 108]))})
+    df = tel(spark, rows)
+    one = DT.temp_alerts(df, 100.0, 30.0, bucket_s=10**9)
+    for b in (5, 60):
+        many = DT.temp_alerts(df, 100.0, 30.0, bucket_s=b)
+        assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0, b
+    assert one.count() > 3
