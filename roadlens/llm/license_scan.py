@@ -121,6 +121,7 @@ class Scanner:
         word = lambda w: self.ids.setdefault(w, len(self.ids))
         self.base = [(label, [word(w) for w in plain_words(p)]) for p, label in base]
         self.templates = [(label, [word(w) for w in plain_words(t)]) for label, t in templates]
+        self.shortest = min([self.min_match, *(len(ws) for _, ws in self.base)])
         self.auto = a = Automaton()
         for _, ws in self.base:
             a.add(ws)
@@ -187,7 +188,7 @@ class Scanner:
             stream = list(zip(known.tolist(), got[known].tolist(), strict=True))
             lo = 0
             for hi in [*broken.tolist(), len(stream)]:
-                for i, v, n in self.statistics(stream[lo:hi]) if hi - lo > 1 else ():
+                for i, v, n in self.statistics(stream[lo:hi]) if hi - lo >= self.shortest else ():
                     for p, size in self.phrases[v]:
                         if n >= size:
                             places.append((p, i - size + 1))

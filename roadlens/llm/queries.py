@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import ann, chat, license_scan, mix, sentencepiece_codec, token_counts
+from roadlens.llm import ann, chat, hnsw, license_scan, line_dedup, mix, ngram_join, sentencepiece_codec, token_counts, toxicity
 from roadlens.llm.common import table
 
 
@@ -26,10 +26,22 @@ def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_digest(table(spark, sf_dir, "documents"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode_digest(table(spark, sf_dir, "documents"), model_path(PIECE_MODEL))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
+
+
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mix(table(spark, sf_dir, "documents"))
 
@@ -50,15 +62,24 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), model_path(PIECE_MODEL))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_license_scans": (op1_license_scans, None),
+    "op2_line_dedup": (op2_line_dedup, None),
     "op3_sentencepiece": (op3_sentencepiece, None),
+    "op4_ngram_join": (op4_ngram_join, None),
+    "op5_embedding_dedup": (op5_embedding_dedup, None),
     "op6_mix_sources": (op6_mix_sources, mix.OP6_SQL),
     "op7_chat_format": (op7_chat_format, chat.OP7_SQL),
     "op8_token_counts": (op8_token_counts, None),
+    "op9_toxicity": (op9_toxicity, None),
     "op10_nearest": (op10_nearest, None),
 }
