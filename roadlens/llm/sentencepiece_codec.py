@@ -14,17 +14,20 @@ import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MARK = "▁"
 _UNIGRAM, _BPE = 1, 2
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE = 1, 2, 3, 4, 6
-_WORDS_MAX = 300_000
+_WORDS_MAX = 600_000
+_BARE = "\ud800"  # before a first word without a mark; no text holds it
 GROUP_BYTES = 1 << 20
 
 
@@ -108,6 +111,19 @@ def build_tokenizer(m: Model):
     )
 
 
+class _Numbers(dict):
+    """word -> number by first appearance; ``new`` has those not yet encoded."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        at = self[word] = len(self)
+        return at
+
+
 class Codec:
     """Encoder and decoder of one model file."""
 
@@ -127,7 +143,7 @@ class Codec:
             bytes([int(p[3:5], 16)]) if k == _BYTE else b"" if k == _CONTROL else " ⁇ ".encode() if k == _UNKNOWN else p.replace(MARK, " ").encode()
             for p, _, k in m.pieces
         ]
-        self.seen: dict[str, int] = {}
+        self.seen = _Numbers()
         self.flat = np.empty(0, np.int32)
         self.start = np.zeros(1, np.int64)
         # Space, then a lookahead for a non-space: the start of a marked word.
@@ -144,13 +160,26 @@ class Codec:
             text = " " + text
         return text.replace(" ", MARK)
 
+    def _marked(self, text: str) -> list[str]:
+        """The words of a normalised text, each with its space marks, without
+        the first mark; spaces in a row belong to the word behind them."""
+        m = self.model
+        if m.add_prefix and self.charsmap is None and not m.squeeze and "  " not in text and MARK not in text and text[:1] not in ("", " ") and text[-1] != " ":
+            return text.split(" ")
+        text = self.normalise(text)
+        if text[:1] != MARK:
+            return [_BARE + w if i == 0 else w[1:] for i, w in enumerate(self.words(text))]
+        return [w[1:] for w in self.words(text)]
+
     def _learn(self, new: list[str]) -> None:
-        got = [e.ids for e in self.tok.encode_batch_fast(new, add_special_tokens=False)]
-        for w in new:
-            self.seen[w] = len(self.seen)
-        sizes = np.fromiter(map(len, got), np.int64, len(got))
-        self.flat = np.concatenate([self.flat, *[np.asarray(g, np.int32) for g in got]])
-        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
+        """Encodes the words that were first seen in this batch, in the order
+        of their numbers, in one multithreaded call."""
+        full = [w[1:] if w[:1] == _BARE else MARK + w for w in new]
+        got = [e.ids for e in self.tok.encode_batch_fast(full, add_special_tokens=False)]
+        ends = np.cumsum(np.fromiter(map(len, got), np.int64, len(got)))
+        more = np.fromiter(chain.from_iterable(got), np.int32, int(ends[-1]))
+        self.start = np.concatenate([self.start, len(self.flat) + ends])
+        self.flat = np.concatenate([self.flat, more])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text. The distinct words of all texts that are new to
@@ -159,23 +188,23 @@ class Codec:
             done = self.tok.encode_batch_fast([self.normalise(t) for t in texts], add_special_tokens=False)
             return [np.asarray(e.ids, np.int32) for e in done]
         if len(self.seen) > _WORDS_MAX:
-            self.seen, self.flat, self.start = {}, np.empty(0, np.int32), np.zeros(1, np.int64)
-        rows = [self.words(self.normalise(t)) for t in texts]
-        new = list({w: 0 for ws in rows for w in ws if w not in self.seen})
-        if new:
-            self._learn(new)
+            self.seen, self.flat, self.start = _Numbers(), np.empty(0, np.int32), np.zeros(1, np.int64)
+        number = self.seen.__getitem__
+        rows = [np.fromiter(map(number, ws), np.int64, len(ws)) for ws in map(self._marked, texts)]
+        if self.seen.new:
+            self._learn(self.seen.new)
+            self.seen.new = []
         out = []
-        for ws in rows:
-            w = np.fromiter(map(self.seen.__getitem__, ws), np.int64, len(ws))
+        for w in rows:
             first, size = self.start[w], self.start[w + 1] - self.start[w]
             ends = np.cumsum(size)
-            at = np.arange(int(ends[-1]) if len(ws) else 0) + np.repeat(first - (ends - size), size)
+            at = np.arange(int(ends[-1]) if len(w) else 0) + np.repeat(first - (ends - size), size)
             out.append(self.flat[at])
         return out
 
     def decode(self, ids: np.ndarray) -> str:
         table = self.bytes
-        raw = b"".join([table[i] for i in ids.tolist()])
+        raw = b"".join(map(table.__getitem__, ids.tolist()))
         if self.model.add_prefix and raw[:1] == b" ":
             raw = raw[1:]
         return raw.decode("utf-8", "replace")
@@ -193,6 +222,11 @@ def _reference(path: str):
     return sentencepiece.SentencePieceProcessor(model_file=path)
 
 
+def _parity(path: str, texts: list[str], ids: list[np.ndarray]) -> list[bool]:
+    """Whether the SentencePiece library gives the same ids for each text."""
+    return [len(x) == len(y) and x.tolist() == y for x, y in zip(ids, _reference(path).encode(texts, num_threads=1), strict=True)]
+
+
 def _groups(texts: list[str], limit: int) -> Iterator[tuple[int, int]]:
     lo = size = 0
     for i, t in enumerate(texts):
@@ -223,7 +257,7 @@ def encode(docs: DataFrame, path: str, threads: int = 2, verify: bool = True) ->
                 ids = codec.encode(part)
                 same = [None] * len(part)
                 if verify:
-                    same = [np.array_equal(x, y) for x, y in zip(ids, _reference(path).encode(part, num_threads=1), strict=True)]
+                    same = _parity(path, part, ids)
                 flat = np.concatenate([np.empty(0, np.int32), *ids])
                 ends = np.cumsum([0] + [len(x) for x in ids]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -255,7 +289,7 @@ def encode_digest(docs: DataFrame, path: str, threads: int = 2, verify: bool = T
                 ids = codec.encode(part)
                 same = [None] * len(part)
                 if verify:
-                    same = [np.array_equal(x, y) for x, y in zip(ids, _reference(path).encode(part, num_threads=1), strict=True)]
+                    same = _parity(path, part, ids)
                 yield pa.RecordBatch.from_arrays(
                     [
                         b.column("doc_id").slice(lo, hi - lo),
@@ -292,5 +326,5 @@ def with_tokens(docs: DataFrame, path: str, threads: int = 2) -> DataFrame:
                     names=[*cols, "token_ids"],
                 )
 
-    schema = part.schema.add("token_ids", "array<int>")
-    return part.mapInArrow(run, schema)
+    ids = T.StructField("token_ids", T.ArrayType(T.IntegerType()))
+    return part.mapInArrow(run, T.StructType([*part.schema.fields, ids]))
