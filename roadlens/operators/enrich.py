@@ -9,6 +9,8 @@ constants (fault codes, city boxes) carry an explicit ``broadcast`` hint.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,8 +73,9 @@ def city_of(lat: str | Column = "lat", lon: str | Column = "lon") -> Column:
 
 
 def geofence_violations(t: DataFrame, vehicles: DataFrame, boxes: DataFrame) -> DataFrame:
-    """Readings outside the vehicle's home-city box."""
-    j = t.join(vehicles.select("vehicle_id", "home_city"), "vehicle_id").join(
+    """Readings outside the vehicle's home-city box; a vehicle without a
+    known home has no box that a reading could lie in."""
+    j = t.join(vehicles.select("vehicle_id", "home_city"), "vehicle_id", "left").join(
         F.broadcast(boxes), F.col("home_city") == F.col("city"), "left"
     )
     inside = F.col("lat").between(F.col("lat_min"), F.col("lat_max")) & F.col("lon").between(F.col("lon_min"), F.col("lon_max"))
@@ -130,3 +133,83 @@ def assign_limit(t: DataFrame, nodes: DataFrame, spacing_deg: float = NODE_SPACI
     d = t.withColumn("city", city).withColumn("i", ii).withColumn("j", jj)
     d = d.join(nodes, ["city", "i", "j"], "left")
     return d.withColumn("speed_limit_kmh", posted_limit("road_class", "speed_limit_kmh")).drop("i", "j")
+
+
+CELL_DEG = 0.01
+
+
+def _city_cells(spark: SparkSession, cell_deg: float) -> DataFrame:
+    """Grid cells of the city boxes with their bounds; ``k`` scales degrees of
+    longitude to those of latitude at the city's middle. Their number depends
+    on the boxes and the cell size alone."""
+    parts = []
+    for city, (a, b, c, d) in S.CITY_BOXES.items():
+        ni, nj = int((b - a) / cell_deg) + 1, int((d - c) / cell_deg) + 1
+        i, j = F.floor(F.col("id") / nj), F.col("id") % nj
+        parts.append(
+            spark.range(ni * nj).select(
+                F.lit(city).alias("city"), i.cast("long").alias("_i"), j.cast("long").alias("_j"), F.lit(_lon_scale(city)).alias("_k"),
+                (F.lit(a) + i * cell_deg).alias("lat0"), (F.lit(c) + j * cell_deg).alias("lon0"),
+            )
+        )
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _lon_scale(city: str) -> float:
+    a, b, _c, _d = S.CITY_BOXES[city]
+    return math.cos(math.radians((a + b) / 2.0))
+
+
+def _by_city(value) -> Column:
+    expr = None
+    for c in S.CITY_BOXES:
+        expr = (F.when if expr is None else expr.when)(F.col("city") == c, F.lit(value(c)))
+    return expr
+
+
+def assign_limit_nodes(t: DataFrame, nodes: DataFrame, cell_deg: float = CELL_DEG) -> DataFrame:
+    """J8 + H15 on a given node table ``route_id, city, seq, lat, lon,
+    road_class, speed_limit_kmh``: posted limit of the nearest node of the
+    reading's city (ties: smaller route_id, then seq). Near is by latitude and
+    longitude with the city's longitude scale.
+
+    Each cell of the city's grid gets the nodes that can be nearest to any of
+    its points: those whose smallest distance to the cell does not exceed the
+    smallest of the nodes' largest distances. A reading then meets its own
+    cell's list in an equi-join, exact wherever the nodes lie, empty
+    surroundings included. Readings outside the cities, or of one without
+    nodes, have no limit."""
+    cells = _city_cells(t.sparkSession, cell_deg)
+    n = nodes.select("route_id", "city", "seq", F.col("lat").alias("nlat"), F.col("lon").alias("nlon"), "road_class", "speed_limit_kmh")
+
+    def apart(v: str, low: str) -> tuple[Column, Column]:
+        lo, hi = F.col(v) - F.col(low), F.col(v) - (F.col(low) + cell_deg)
+        nearest = F.greatest(-lo, hi, F.lit(0.0))
+        return nearest, F.greatest(F.abs(lo), F.abs(hi))
+
+    (y0, y1), (x0, x1) = apart("nlat", "lat0"), apart("nlon", "lon0")
+    k = F.col("_k")
+    pairs = cells.join(n, "city").select(
+        "city", "_i", "_j", F.struct("route_id", "seq", "nlat", "nlon", "road_class", "speed_limit_kmh").alias("node"),
+        (y0 * y0 + (x0 * k) * (x0 * k)).alias("least"), (y1 * y1 + (x1 * k) * (x1 * k)).alias("most"),
+    )
+    reach = pairs.groupBy("city", "_i", "_j").agg(F.min("most").alias("reach"))
+    near = pairs.join(reach, ["city", "_i", "_j"]).where(F.col("least") <= F.col("reach") * (1.0 + 1e-9) + 1e-15)
+    lists = near.groupBy("city", "_i", "_j").agg(F.collect_list("node").alias("_nodes"))
+
+    d = t.withColumn("city", city_of())
+    d = d.withColumn("_i", F.floor((F.col("lat") - _by_city(lambda c: S.CITY_BOXES[c][0])) / cell_deg).cast("long"))
+    d = d.withColumn("_j", F.floor((F.col("lon") - _by_city(lambda c: S.CITY_BOXES[c][2])) / cell_deg).cast("long"))
+    d = d.withColumn("_k", _by_city(_lon_scale)).join(lists, ["city", "_i", "_j"], "left")
+
+    def distance(x: Column) -> Column:
+        dy, dx = F.col("lat") - x["nlat"], (F.col("lon") - x["nlon"]) * F.col("_k")
+        return F.struct((dy * dy + dx * dx).alias("d"), x["route_id"].alias("route_id"), x["seq"].alias("seq"), x["road_class"].alias("road_class"), x["speed_limit_kmh"].alias("speed_limit_kmh"))
+
+    best = F.array_min(F.transform("_nodes", distance))
+    out = d.withColumn("_b", best).drop("_i", "_j", "_k", "_nodes")
+    out = out.withColumn("route_id", F.col("_b.route_id")).withColumn("node_seq", F.col("_b.seq")).withColumn("road_class", F.col("_b.road_class"))
+    return out.withColumn("speed_limit_kmh", posted_limit("road_class", "_b.speed_limit_kmh")).drop("_b")

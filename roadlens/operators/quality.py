@@ -9,17 +9,24 @@ from roadlens import schemas as S
 from roadlens.functions.geo import interpolate
 from roadlens.functions.signals import airflow_g_per_s, fuel_rate_lps, gear_from_speed, intake_temp_c
 from roadlens.operators.motion import KEY, ORDER, seconds_between
-from roadlens.operators.ordered import DEFAULT_BUCKET_S, with_previous
+from roadlens.operators.ordered import DEFAULT_BUCKET_S, order_key, with_previous
 
-# Tolerances: half a unit of the wire rounding of each field.
-MAF_TOL = 0.0005
-TEMP_TOL = 0.005
-FUEL_TOL_L = 0.0001
+# Half a unit of the wire rounding of each field, and room for float error
+# where a value lies on a half unit.
+MAF_HALF = 0.0005
+TEMP_HALF = 0.005
+FUEL_HALF_L = 0.00005
+THROTTLE_HALF_PCT = 0.005
+FLOAT_ROOM = 1e-9
 
 
 def ecu_audit(t: DataFrame, vehicles: DataFrame, bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
     """Recompute gear (H5), airflow (H6), intake temperature (H7) and the
-    fuel counter step (H8 * dt) and return rows outside rounding tolerance."""
+    fuel counter step (H8 * dt) and return rows outside rounding tolerance.
+
+    Throttle itself is rounded on the wire, so the airflow that the vehicle
+    had may differ from the recomputed one by what half a unit of throttle
+    gives at its engine speed; that bound goes into the fuel step, too."""
     # Ordered pass on the telemetry rows alone, then the dimension join: the
     # shuffle by (vehicle, bucket) carries no dimension columns.
     d = with_previous(t, KEY, ORDER, ["event_time", "fuel_consumed_l"], bucket_s=bucket_s)
@@ -28,15 +35,17 @@ def ecu_audit(t: DataFrame, vehicles: DataFrame, bucket_s: int = DEFAULT_BUCKET_
     exp_intake = intake_temp_c("ambient_c")
     dt = seconds_between("event_time", "prev_event_time")
     exp_fuel = fuel_rate_lps(exp_maf, "rpm", "fuel_type") * dt
+    throttle_g = airflow_g_per_s("displacement_l", throttle_pct=F.lit(THROTTLE_HALF_PCT))
+    throttle_l = throttle_g / F.lit(S.AIR_FUEL_RATIO) / F.lit(S.FUEL_DENSITY_G_PER_L) * dt
     d = d.select(
         "vehicle_id",
         "event_time",
         (F.col("gear") == gear_from_speed()).alias("gear_ok"),
-        (F.abs(F.col("maf_g_per_s") - exp_maf) <= F.lit(MAF_TOL)).alias("maf_ok"),
-        (F.abs(F.col("intake_air_temp_c") - exp_intake) <= F.lit(TEMP_TOL)).alias("intake_ok"),
+        (F.abs(F.col("maf_g_per_s") - exp_maf) <= F.lit(MAF_HALF + FLOAT_ROOM) + throttle_g).alias("maf_ok"),
+        (F.abs(F.col("intake_air_temp_c") - exp_intake) <= F.lit(TEMP_HALF + FLOAT_ROOM)).alias("intake_ok"),
         F.when(
             F.col("prev_event_time").isNotNull(),
-            F.abs(F.col("fuel_consumed_l") - F.col("prev_fuel_consumed_l") - exp_fuel) <= F.lit(FUEL_TOL_L),
+            F.abs(F.col("fuel_consumed_l") - F.col("prev_fuel_consumed_l") - exp_fuel) <= F.lit(2.0 * FUEL_HALF_L + FLOAT_ROOM) + throttle_l,
         ).alias("fuel_ok"),
     )
     bad = ~F.col("gear_ok") | ~F.col("maf_ok") | ~F.col("intake_ok") | ~F.coalesce(F.col("fuel_ok"), F.lit(True))
@@ -61,10 +70,11 @@ def late_records(df: DataFrame, arrival: str = "arrival_time", width: str = S.VE
 
 
 def fuel_usage(t: DataFrame) -> DataFrame:
-    """Litres and fuel percent used per trip from the monotone counters
-    (ordered by event time, unique per vehicle in a keyed history)."""
-    o = F.col("event_time")
-    g = t.where(F.col("trip_id").isNotNull()).groupBy("vehicle_id", "trip_id").agg(
+    """Litres and fuel percent used per trip from the monotone counters,
+    ordered by (event time, sequence)."""
+    o = F.col("_o")
+    d = t.withColumn("_o", order_key(t, [c for c in ORDER if c in t.columns]))
+    g = d.where(F.col("trip_id").isNotNull()).groupBy("vehicle_id", "trip_id").agg(
         F.min_by("fuel_consumed_l", o).alias("_l0"),
         F.max_by("fuel_consumed_l", o).alias("_l1"),
         F.min_by("fuel_pct", o).alias("_p0"),
@@ -87,13 +97,17 @@ def refuels(t: DataFrame, below_pct: float = S.REFUEL_BELOW_PCT, bucket_s: int =
     )
 
 
+GRID_SPAN = 1000
+
+
 def resample(t: DataFrame, step_s: int = 1, cols=("lat", "lon", "speed_kmh"), bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
     """H4 re-aimed: positions on a fixed time grid, linearly interpolated
     between consecutive readings of a vehicle.
 
     Grid points ``g`` (multiples of ``step_s`` since the epoch) with
-    ``prev_time < g <= time`` are generated per pair of readings by
-    ``explode(sequence(...))``, so the work is spread over all rows.
+    ``prev_time < g <= time`` are generated per pair of readings in two
+    steps, first the spans of ``GRID_SPAN`` points that the gap covers and
+    then the points of each span, so no row holds an array as long as its gap.
     """
     cols = list(cols)
     d = with_previous(t, KEY, ORDER, ["event_time", *cols], bucket_s=bucket_s)
@@ -103,7 +117,10 @@ def resample(t: DataFrame, step_s: int = 1, cols=("lat", "lon", "speed_kmh"), bu
     c_us = F.unix_micros(F.col("event_time").cast("timestamp"))
     first = (F.floor(p_us / us) + 1) * us
     last = F.floor(c_us / us) * us
-    d = d.where(last >= first).withColumn("g_us", F.explode(F.sequence(first.cast("long"), last.cast("long"), us.cast("long"))))
+    span = GRID_SPAN * step_s * 1_000_000
+    d = d.where(last >= first).withColumn("s_us", F.explode(F.sequence(first.cast("long"), last.cast("long"), F.lit(span).cast("long"))))
+    end = F.least(F.col("s_us") + F.lit(span) - us, last).cast("long")
+    d = d.withColumn("g_us", F.explode(F.sequence(F.col("s_us"), end, us.cast("long"))))
     frac = (F.col("g_us") - p_us).cast("double") / (c_us - p_us).cast("double")
     out = [
         "vehicle_id",

@@ -8,13 +8,12 @@ most ``k`` rows per vehicle and a hot vehicle costs no more than a cold one.
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlens import schemas as S
 from roadlens.functions.signals import age_seconds, build_key, iso_utc_seconds
+from roadlens.operators.ordered import order_key
 
 ORDER = ["event_time", "seq"]
 
@@ -23,17 +22,15 @@ LATEST_VALUES = ("lat", "lon", "speed_kmh", "engine_temp_c")
 
 
 def latest_state(t: DataFrame) -> DataFrame:
-    """L5 + P2 (Q1): latest row per vehicle by event time (not arrival), as the
-    6-field latest-state record.
+    """L5 + P2 (Q1): latest row per vehicle by (event time, sequence), not
+    arrival, as the 6-field latest-state record.
 
-    One ``max_by(value, event_time)`` per field: fixed-width buffers, so the
-    aggregation is hashed map-side (one row per vehicle per task leaves the
-    task). ``(vehicle_id, event_time)`` is the history key, hence unique, so
-    all fields come from the same reading.
+    One ``max_by(value, key)`` per field, the key packing both into one
+    fixed-width value: the aggregation is hashed map-side (one row per vehicle
+    per task leaves the task) and all fields come from the same reading.
     """
-    g = t.groupBy("vehicle_id").agg(
-        *[F.max_by(c, "event_time").alias(c) for c in LATEST_VALUES], F.max("event_time").alias("_t")
-    )
+    d = t.withColumn("_o", order_key(t, [c for c in ORDER if c in t.columns]))
+    g = d.groupBy("vehicle_id").agg(*[F.max_by(c, "_o").alias(c) for c in LATEST_VALUES], F.max("event_time").alias("_t"))
     return g.select("vehicle_id", *LATEST_VALUES, iso_utc_seconds(F.col("_t")).alias("updated_at"))
 
 
@@ -45,29 +42,18 @@ def latest_blobs(latest: DataFrame) -> DataFrame:
     )
 
 
-def fleet_snapshot(latest: DataFrame, now: Column, max_per_message: int = 5000) -> DataFrame:
-    """S15 (Q10): snapshot messages ``{type, ts, vehicles:[...]}``.
+def fleet_snapshot(latest: DataFrame, now: Column, shards: int = 64) -> DataFrame:
+    """S15 (Q10): snapshot messages ``{type, ts, vehicles:[{id, ...record}]}``.
 
-    Vehicles are sorted by id inside each message. A fleet larger than
-    ``max_per_message`` is split into hash shards of about that size, so no
-    single message, task or group has to hold the whole fleet.
+    Vehicles are dealt over ``shards`` messages by a hash of their id, whatever
+    the size of the fleet, and sorted by id inside each; size the parameter so
+    that fleet / shards vehicles make a message.
     """
-    n = latest.count()
-    shards = max(1, math.ceil(n / max_per_message))
-    v = latest.select(
-        F.pmod(F.xxhash64("vehicle_id"), F.lit(shards)).alias("shard"),
-        F.struct(
-            F.col("vehicle_id").alias("id"),
-            "lat",
-            "lon",
-            "speed_kmh",
-            "engine_temp_c",
-            "updated_at",
-        ).alias("v"),
-    )
+    shard = (F.conv(F.substring(F.md5(F.col("vehicle_id").cast("binary")), 1, 8), 16, 10).cast("long") % shards).cast("int")
+    v = latest.select(shard.alias("shard"), F.struct(F.col("vehicle_id").alias("id"), *S.LATEST_FIELDS).alias("v"))
     g = v.groupBy("shard").agg(F.sort_array(F.collect_list("v")).alias("vehicles"))
     msg = F.struct(F.lit(S.SNAPSHOT_TYPE).alias("type"), iso_utc_seconds(now).alias("ts"), F.col("vehicles"))
-    return g.select("shard", F.size("vehicles").alias("vehicle_count"), F.to_json(msg).alias("message"))
+    return g.select("shard", F.size("vehicles").alias("vehicle_count"), F.to_json(msg, {"ignoreNullFields": "false"}).alias("message"))
 
 
 def vehicles_reporting(latest: DataFrame) -> DataFrame:
@@ -92,11 +78,13 @@ def latest_windows(windows: DataFrame, n: int = 60) -> DataFrame:
     return top_n_per_key(windows, n, order=[F.col("window_start").desc()])
 
 
-def history(df: DataFrame, start=None, end=None, vehicles=None, closed: str = "left", ascending: bool = True) -> DataFrame:
+def history(df: DataFrame, start=None, end=None, vehicles=None, closed: str = "left", ascending: bool | None = None) -> DataFrame:
     """P4/P5/L4 (Q8, Q9): scan by vehicle(s) and time range.
 
     ``closed="left"`` is the half-open ``[start, end)`` range, ``"both"`` the
-    inclusive one. Predicates reach the Parquet scan.
+    inclusive one. Predicates reach the Parquet scan. ``ascending`` sorts the
+    result by vehicle and time, oldest (True) or newest (False) first; None
+    leaves it unsorted.
     """
     cond = F.lit(True)
     if vehicles is not None:
@@ -107,7 +95,10 @@ def history(df: DataFrame, start=None, end=None, vehicles=None, closed: str = "l
         e = F.lit(end).cast(df.schema["event_time"].dataType)
         cond = cond & ((F.col("event_time") <= e) if closed == "both" else (F.col("event_time") < e))
     out = df.where(cond)
-    return out
+    if ascending is None:
+        return out
+    order = [c for c in ("event_time", "seq", "event_id") if c in df.columns]
+    return out.orderBy("vehicle_id", *[F.col(c).asc() if ascending else F.col(c).desc() for c in order])
 
 
 def recent_window(t: DataFrame, minutes: float = 12.0) -> DataFrame:
@@ -194,16 +185,23 @@ def null_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(f"{c}_nulls") for c in cols])
 
 
-def missing_slots(spark: SparkSession, windows: DataFrame, slide_s: int, col: str = "window_start") -> DataFrame:
+def missing_slots(windows: DataFrame, slide_s: int, col: str = "window_start") -> DataFrame:
     """Slots on the ``slide_s`` grid between the first and last window
-    that have no row. The expected grid is generated by a distributed
-    ``spark.range`` (not one array in one row)."""
-    lo, hi = windows.agg(F.min(col), F.max(col)).first()
-    if lo is None:
-        return windows.select(F.col(col).alias("slot_start")).limit(0)
-    n = int((hi - lo).total_seconds() // slide_s) + 1
+    that have no row. The grid grows out of one aggregated row inside the
+    same job: first its days, dealt over tasks, then each day's slots."""
     dtype = windows.schema[col].dataType
-    grid = spark.range(n).select(
-        F.timestamp_add("SECOND", F.col("id") * F.lit(slide_s), F.lit(lo).cast(dtype)).alias("slot_start")
-    )
+    micros = F.unix_micros(F.col(col).cast("timestamp"))
+    step, day = slide_s * 1_000_000, 86_400_000_000 // (slide_s * 1_000_000) * slide_s * 1_000_000 or slide_s * 1_000_000
+    ends = windows.agg(F.min(micros).alias("lo"), F.max(micros).alias("hi")).where("lo IS NOT NULL")
+    days = ends.select("hi", F.explode(F.sequence(F.col("lo"), F.col("hi"), F.lit(day))).alias("d")).repartition("d")
+    slot = F.explode(F.sequence(F.col("d"), F.least(F.col("d") + day - step, F.col("hi")), F.lit(step)))
+    grid = days.select(slot.alias("us")).select(F.timestamp_micros("us").cast(dtype).alias("slot_start"))
     return grid.join(windows.select(F.col(col).alias("slot_start")), "slot_start", "left_anti")
+
+
+def newest_aligned(df: DataFrame, vehicles: list[str], value: str, n: int, time: str) -> DataFrame:
+    """Q3-Q5: the newest ``n`` rows of each chosen vehicle side by side, one
+    row per time and one column per vehicle (null where it has none)."""
+    keep = df.where(F.col("vehicle_id").isin(*vehicles)).select("vehicle_id", time, value)
+    newest = top_n_per_key(keep, n, order=[F.col(time).desc(), F.col(value).desc()])
+    return align_series(newest, time, "vehicle_id", vehicles, F.max(value))

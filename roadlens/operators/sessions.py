@@ -219,12 +219,13 @@ def trips_by_id(t: DataFrame) -> DataFrame:
     """Trip record per (vehicle_id, trip_id): first/last time and position,
     distance = odometer end - start (4 dp).
 
-    Ordered by ``event_time`` alone (unique per vehicle in a keyed history),
-    so every aggregate has a fixed-width buffer and Spark hash-aggregates
-    map-side instead of sorting.
+    Ordered by (event time, sequence) packed into one fixed-width value, so
+    Spark hash-aggregates map-side instead of sorting and every end of a trip
+    comes from one reading.
     """
-    o = F.col("event_time")
-    g = t.where(F.col("trip_id").isNotNull()).groupBy("vehicle_id", "trip_id").agg(
+    o = F.col("_o")
+    d = t.withColumn("_o", order_key(t, [c for c in ("event_time", "seq") if c in t.columns]))
+    g = d.where(F.col("trip_id").isNotNull()).groupBy("vehicle_id", "trip_id").agg(
         F.min("event_time").alias("start_time"),
         F.max("event_time").alias("end_time"),
         F.min_by("lat", o).alias("start_lat"),

@@ -129,22 +129,59 @@ def _check_grid(width: str, slide: str) -> tuple[int, int]:
     return width_s, slide_s
 
 
-def _telemetry_panes(t: DataFrame, slide: str) -> DataFrame:
-    return t.groupBy("vehicle_id", F.window("event_time", slide).alias("p")).agg(
-        F.sum(centi()).alias("s"), F.count("speed_kmh").alias("n")
-    ).select("vehicle_id", F.col("p.start").alias("pane_start"), "s", "n")
+def _panes(u: DataFrame, slide: str) -> DataFrame:
+    """Rows per (vehicle, pane): the only shuffle of rows."""
+    return u.groupBy("vehicle_id", F.window("event_time", slide).alias("p")).agg(
+        F.sum(centi()).alias("s"), F.count("speed_kmh").alias("n"), F.sum("harsh_flag").alias("h")
+    ).select("vehicle_id", F.col("p.start").alias("pane_start"), "s", "n", "h")
+
+
+# Windows per span in which a vehicle's panes are gathered, in window widths.
+SPAN_WIDTHS = 12
+
+
+def _active_vehicles(panes: DataFrame, width_s: int, slide_s: int) -> DataFrame:
+    """``window_start, _active``: vehicles with a sample in each window.
+
+    Pane p lies in windows p-K+1 .. p. Windows are cut into spans; a pane goes
+    to the one or two spans its windows lie in, so what is shuffled is about
+    the panes, not K times as many rows, and one (vehicle, span) holds a
+    bounded number of them. Each group gives its distinct windows once, and
+    these are counted before they are shuffled."""
+    k = width_s // slide_s
+    span = k * SPAN_WIDTHS
+    dtype = panes.schema["pane_start"].dataType
+    p = F.floor(F.unix_seconds(F.col("pane_start").cast("timestamp")) / slide_s).cast("long")
+    d = panes.where("n > 0").select("vehicle_id", p.alias("p"))
+    at = lambda w: F.floor(w / span).cast("long")
+    d = d.select("vehicle_id", "p", F.explode(F.sequence(at(F.col("p") - (k - 1)), at(F.col("p")))).alias("b"))
+    g = d.groupBy("vehicle_id", "b").agg(F.collect_set("p").alias("ps"))
+    lo, hi = F.col("b") * span, F.col("b") * span + (span - 1)
+    covered = F.flatten(F.transform("ps", lambda x: F.sequence(F.greatest(x - (k - 1), lo), F.least(x, hi))))
+    w = g.select(F.explode(F.array_distinct(covered)).alias("w"))
+    return w.groupBy("w").agg(F.count(F.lit(1)).alias("_active")).select(
+        F.timestamp_seconds(F.col("w") * slide_s).cast(dtype).alias("window_start"), "_active"
+    )
+
+
+def _fleet_totals(panes: DataFrame, width_s: int, slide_s: int) -> DataFrame:
+    """Sums per window: panes are summed over the fleet first, and only those
+    few rows are expanded into the windows that hold them."""
+    fleet = panes.groupBy("pane_start").agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.sum("h").alias("h"))
+    return _expand_panes(fleet, width_s, slide_s).groupBy("window_start").agg(
+        F.sum("s").alias("_s"), F.sum("n").alias("_n"), F.sum("h").cast("long").alias("total_harsh_events")
+    )
 
 
 def fleet_speed_windows(t: DataFrame, width: str = S.FLEET_WINDOW, slide: str = S.FLEET_SLIDE) -> DataFrame:
     """A4: sample-weighted fleet mean speed and vehicles with >= 1 sample."""
     width_s, slide_s = _check_grid(width, slide)
-    panes = _expand_panes(_telemetry_panes(t, slide), width_s, slide_s)
-    per_vehicle = panes.groupBy("window_start", "vehicle_id").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
-    r = per_vehicle.groupBy("window_start").agg(F.count(F.lit(1)).alias("vehicles_active"), F.sum("s").alias("_s"), F.sum("n").alias("_n"))
+    panes = _panes(t.withColumn("harsh_flag", F.lit(None).cast("int")), slide)
+    r = _fleet_totals(panes, width_s, slide_s).join(_active_vehicles(panes, width_s, slide_s), "window_start", "left")
     return r.select(
         "window_start",
         F.timestamp_add("SECOND", F.lit(width_s), F.col("window_start")).alias("window_end"),
-        "vehicles_active",
+        F.coalesce("_active", F.lit(0)).alias("vehicles_active"),
         exact_mean(F.col("_s"), F.col("_n")).alias("fleet_avg_speed_kmh"),
     )
 
@@ -164,23 +201,11 @@ def fleet_harsh_windows(ev: DataFrame, width: str = S.FLEET_WINDOW, slide: str =
 
 
 def fleet_windows(t: DataFrame, ev: DataFrame, width: str = S.FLEET_WINDOW, slide: str = S.FLEET_SLIDE, harsh=S.HARSH_TYPES) -> DataFrame:
-    """Combined fleet row with ``day_bucket``; union, panes, two stages."""
+    """Combined fleet row with ``day_bucket``: union, panes, and two small
+    tables per window joined."""
     width_s, slide_s = _check_grid(width, slide)
-    u = _union_signals(t, ev, harsh)
-    panes = u.groupBy("vehicle_id", F.window("event_time", slide).alias("p")).agg(
-        F.sum(centi()).alias("s"),
-        F.count("speed_kmh").alias("n"),
-        F.sum("harsh_flag").alias("h"),
-    ).select("vehicle_id", F.col("p.start").alias("pane_start"), "s", "n", "h")
-    per_vehicle = _expand_panes(panes, width_s, slide_s).groupBy("window_start", "vehicle_id").agg(
-        F.sum("s").alias("s"), F.sum("n").alias("n"), F.sum("h").alias("h")
-    )
-    r = per_vehicle.groupBy("window_start").agg(
-        F.count(F.when(F.col("n") > 0, 1)).alias("_active"),
-        F.sum("s").alias("_s"),
-        F.sum("n").alias("_n"),
-        F.sum("h").cast("long").alias("total_harsh_events"),
-    )
+    panes = _panes(_union_signals(t, ev, harsh), slide)
+    r = _fleet_totals(panes, width_s, slide_s).join(_active_vehicles(panes, width_s, slide_s), "window_start", "left")
     return r.select(
         F.to_date("window_start").alias("day_bucket"),
         "window_start",

@@ -11,6 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from roadlens.session import ship_package
+
 Builder = Callable[[SparkSession, str], DataFrame]
 
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
@@ -28,6 +30,7 @@ def register(name: str, sql: str | None = None):
         @functools.wraps(fn)
         def utc(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            ship_package(spark)
             return fn(spark, sf_dir)
 
         REGISTRY[name] = (utc, sql)
@@ -38,10 +41,6 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> dict[str, tuple[Builder, str | None]]:
     # Importing the modules fills REGISTRY.
-    from roadlens.plans import queries_batch  # noqa: F401
+    from roadlens.plans import queries_batch, queries_serving, queries_stream  # noqa: F401
 
-    try:
-        from roadlens.plans import queries_stream  # noqa: F401
-    except ImportError:  # pragma: no cover
-        pass
     return REGISTRY

@@ -13,10 +13,15 @@ from roadlens.sources.testmap import DTC_SOURCE_TYPE, EVENT_TYPE_MAP, IGNITION_O
 D = "CAST({} AS DOUBLE)".format
 
 VEHICLE_ID = "'veh_' || lpad(CAST(user_id AS VARCHAR), CAST(greatest(4, length(CAST(user_id AS VARCHAR))) AS INTEGER), '0')"
-TRIP_ID = (
-    f"CASE WHEN event_type <> '{IGNITION_OFF_SOURCE_TYPE}' THEN "
-    "CAST(user_id AS VARCHAR) || '-' || CAST(CAST(ts AS DATE) AS VARCHAR) END"
-)
+
+
+def uuid_sql(text: str) -> str:
+    cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+    return " || '-' || ".join(f"substr(md5({text}), {at}, {n})" for at, n in cuts)
+
+
+_TRIP = uuid_sql("CAST(user_id AS VARCHAR) || '-' || CAST(CAST(ts AS DATE) AS VARCHAR)")
+TRIP_ID = f"CASE WHEN event_type <> '{IGNITION_OFF_SOURCE_TYPE}' THEN {_TRIP} END"
 ARRIVAL = "ts + to_seconds((event_id % 7) * 30)"
 
 TEL_BASE = f"""
@@ -50,7 +55,7 @@ _type_case = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in EVENT_TYPE_MAP.items(
 _dtc_case = " ".join(f"WHEN {i} THEN '{c} {d}'" for i, (c, d, _s, _e) in enumerate(S.DTC_CATALOG))
 EV = f"""ev AS (
   SELECT
-    CAST(event_id AS VARCHAR) AS event_id,
+    {uuid_sql("CAST(event_id AS VARCHAR)")} AS event_id,
     {VEHICLE_ID} AS vehicle_id,
     {TRIP_ID} AS trip_id,
     ts AS event_time,

@@ -17,6 +17,7 @@ from roadlens.operators import windows as W
 from roadlens.plans.catalog import register
 from roadlens.plans.oracle import (
     HARSH_LIST,
+    VEHICLE_ID,
     VW,
     VW_RUN,
     bucket,
@@ -200,10 +201,10 @@ def q_trip_sessions_gap_only(spark, sf):
 
 TRIPS_SQL_BODY = """
 SELECT vehicle_id, trip_id, min(event_time) AS start_time, max(event_time) AS end_time,
-       arg_min(lat, event_time) AS start_lat, arg_min(lon, event_time) AS start_lon,
-       arg_max(lat, event_time) AS end_lat, arg_max(lon, event_time) AS end_lon,
+       arg_min(lat, (event_time, seq)) AS start_lat, arg_min(lon, (event_time, seq)) AS start_lon,
+       arg_max(lat, (event_time, seq)) AS end_lat, arg_max(lon, (event_time, seq)) AS end_lon,
        count(*) AS samples,
-       round(arg_max(odometer_km, event_time) - arg_min(odometer_km, event_time), 4) AS distance_km
+       round(arg_max(odometer_km, (event_time, seq)) - arg_min(odometer_km, (event_time, seq)), 4) AS distance_km
 FROM tel WHERE trip_id IS NOT NULL GROUP BY 1, 2"""
 
 
@@ -321,16 +322,16 @@ def q_rising_edges(spark, sf):
 HISTORY_START, HISTORY_END = "2024-01-08 00:00:00", "2024-01-15 00:00:00"
 ISO_FMT = "'%Y-%m-%dT%H:%M:%SZ'"
 
-LATEST_SQL = f"""SELECT vehicle_id, arg_max(lat, event_time) AS lat, arg_max(lon, event_time) AS lon,
-       arg_max(speed_kmh, event_time) AS speed_kmh, arg_max(engine_temp_c, event_time) AS engine_temp_c,
+_ORD = "(event_time, seq)"
+LATEST_SQL = f"""SELECT vehicle_id, arg_max(lat, {_ORD}) AS lat, arg_max(lon, {_ORD}) AS lon,
+       arg_max(speed_kmh, {_ORD}) AS speed_kmh, arg_max(engine_temp_c, {_ORD}) AS engine_temp_c,
        strftime(max(event_time), {ISO_FMT}) AS updated_at
 FROM tel GROUP BY 1"""
 
 
-def scalar_lit(df, col: str, fn=F.max):
-    """Collect one aggregate value (a single scalar) and return it as a typed literal."""
-    v = df.agg(fn(col).alias("v")).first()["v"]
-    return F.lit(str(v)).cast(df.schema[col].dataType)
+def scalar(df, col: str, fn=F.max):
+    """One aggregate value of ``df`` as a scalar subquery of the same plan."""
+    return df.agg(fn(col).alias("v")).scalar()
 
 
 @register("latest_state", with_views(LATEST_SQL))
@@ -347,10 +348,19 @@ def q_latest_blobs(spark, sf):
     return SV.latest_blobs(SV.latest_state(TM.telemetry_light(spark, sf)))
 
 
-@register("fleet_snapshot")  # rows-only: JSON message text
+SNAPSHOT_SHARDS = 16
+
+
+@register("fleet_snapshot", with_views(f"""
+SELECT shard, CAST(count(*) AS INTEGER) AS vehicle_count,
+       to_json({{'type': '{S.SNAPSHOT_TYPE}', 'ts': strftime((SELECT max(event_time) FROM tel), {ISO_FMT}),
+                 'vehicles': list({{'id': vehicle_id, 'vehicle_id': vehicle_id, 'lat': lat, 'lon': lon, 'speed_kmh': speed_kmh,
+                                   'engine_temp_c': engine_temp_c, 'updated_at': updated_at}} ORDER BY vehicle_id)}})::VARCHAR AS message
+FROM (SELECT *, CAST(('0x' || substr(md5(vehicle_id), 1, 8))::BIGINT % {SNAPSHOT_SHARDS} AS INTEGER) AS shard FROM ({LATEST_SQL}))
+GROUP BY shard"""))
 def q_fleet_snapshot(spark, sf):
     t = TM.telemetry_light(spark, sf)
-    return SV.fleet_snapshot(SV.latest_state(t), scalar_lit(t, "event_time"))
+    return SV.fleet_snapshot(SV.latest_state(t), scalar(t, "event_time"), SNAPSHOT_SHARDS)
 
 
 @register("vehicles_reporting", with_views(f"SELECT count(lat) AS vehicles_reporting FROM ({LATEST_SQL})"))
@@ -480,7 +490,7 @@ SELECT * FROM veh WHERE vehicle_id NOT IN (
   SELECT vehicle_id FROM tel WHERE event_time >= (SELECT max(event_time) FROM tel) - INTERVAL 1 DAY)"""))
 def q_silent_vehicles(spark, sf):
     t = TM.telemetry_light(spark, sf)
-    cutoff = F.timestamp_add("DAY", F.lit(-1), scalar_lit(t, "event_time"))
+    cutoff = F.timestamp_add("DAY", F.lit(-1), scalar(t, "event_time"))
     recent = SV.latest_state(t.where(F.col("event_time") >= cutoff))
     return SV.silent_vehicles(TM.vehicles(spark, sf), recent)
 
@@ -490,7 +500,7 @@ SELECT * FROM veh WHERE vehicle_id IN (
   SELECT vehicle_id FROM tel WHERE event_time >= (SELECT max(event_time) FROM tel) - INTERVAL 1 DAY)"""))
 def q_reporting_vehicles(spark, sf):
     t = TM.telemetry_light(spark, sf)
-    cutoff = F.timestamp_add("DAY", F.lit(-1), scalar_lit(t, "event_time"))
+    cutoff = F.timestamp_add("DAY", F.lit(-1), scalar(t, "event_time"))
     recent = SV.latest_state(t.where(F.col("event_time") >= cutoff))
     return SV.reporting_vehicles(TM.vehicles(spark, sf), recent)
 
@@ -502,7 +512,7 @@ FROM ({LATEST_SQL})
 WHERE CAST(epoch_us((SELECT max(event_time) FROM tel)) AS DOUBLE) / 1e6 - CAST(epoch_us(strptime(updated_at, {ISO_FMT})) AS DOUBLE) / 1e6 > {float(S.FRESHNESS_MAX_AGE_S)}"""))
 def q_stale_vehicles(spark, sf):
     t = TM.telemetry_light(spark, sf)
-    return SV.stale_vehicles(SV.latest_state(t), scalar_lit(t, "event_time"))
+    return SV.stale_vehicles(SV.latest_state(t), scalar(t, "event_time"))
 
 
 @register("null_counts", with_views("""
@@ -524,7 +534,7 @@ SELECT slot_start FROM (
   SELECT unnest(generate_series((SELECT min(window_start) FROM fs), (SELECT max(window_start) FROM fs), INTERVAL 30 SECOND)) AS slot_start)
 WHERE slot_start NOT IN (SELECT window_start FROM fs)""", _fleet5_cte()))
 def q_missing_slots(spark, sf):
-    return SV.missing_slots(spark, q_fleet_speed_windows(spark, sf), 30)
+    return SV.missing_slots(q_fleet_speed_windows(spark, sf), 30)
 
 
 # ---------------------------------------------------------------------------
@@ -664,7 +674,7 @@ def q_enrich_dtc(spark, sf):
 
 @register("geofence_violations", with_views("""
 SELECT t.vehicle_id, t.event_time, t.lat, t.lon, v.home_city
-FROM tel t JOIN veh v USING (vehicle_id) LEFT JOIN boxes b ON v.home_city = b.city
+FROM tel t LEFT JOIN veh v USING (vehicle_id) LEFT JOIN boxes b ON v.home_city = b.city
 WHERE NOT coalesce(t.lat BETWEEN b.lat_min AND b.lat_max AND t.lon BETWEEN b.lon_min AND b.lon_max, false)""", BOX_CTE))
 def q_geofence_violations(spark, sf):
     return EN.geofence_violations(TM.telemetry_light(spark, sf), TM.vehicles(spark, sf), EN.city_boxes(spark))
@@ -750,22 +760,53 @@ _FACTOR = "CASE " + " ".join(f"WHEN fuel_type = '{k}' THEN {_dbl(v)}" for k, v i
 _LPS = f"greatest(({_MAF}) / {_dbl(S.AIR_FUEL_RATIO)} / {_dbl(S.FUEL_DENSITY_G_PER_L)} * {_FACTOR}, CASE WHEN rpm <= {S.IDLE_RPM} THEN {_dbl(S.IDLE_FUEL_FLOOR_LPS)} ELSE {_dbl(0)} END)"
 
 
-@register("ecu_audit", with_views(f"""
+_THROTTLE_G = f"displacement_l * (CAST(rpm AS DOUBLE) / {_dbl(60)}) * ({_dbl(QA.THROTTLE_HALF_PCT)} / {_dbl(100)}) * {_dbl(S.AIR_DENSITY_G_PER_L)} * {_dbl(S.MAF_FILL_FACTOR)}"
+_THROTTLE_LPS = f"({_THROTTLE_G}) / {_dbl(S.AIR_FUEL_RATIO)} / {_dbl(S.FUEL_DENSITY_G_PER_L)}"
+
+
+def _ecu_sql(src: str, *ctes: str) -> str:
+    return with_views(f"""
 SELECT vehicle_id, event_time, gear_ok, maf_ok, intake_ok, fuel_ok FROM (
   SELECT vehicle_id, event_time,
          gear = {_gear_sql()} AS gear_ok,
-         abs(maf_g_per_s - ({_MAF})) <= {_dbl(QA.MAF_TOL)} AS maf_ok,
-         abs(intake_air_temp_c - (ambient_c + least({_dbl(S.INTAKE_MAX_RISE_C)}, rpm / {_dbl(S.INTAKE_RPM_DIVISOR)}))) <= {_dbl(QA.TEMP_TOL)} AS intake_ok,
-         CASE WHEN pt IS NOT NULL THEN abs(fuel_consumed_l - pf - ({_LPS}) * {secs_sql('event_time', 'pt')}) <= {_dbl(QA.FUEL_TOL_L)} END AS fuel_ok
+         abs(maf_g_per_s - ({_MAF})) <= {_dbl(QA.MAF_HALF + QA.FLOAT_ROOM)} + {_THROTTLE_G} AS maf_ok,
+         abs(intake_air_temp_c - (ambient_c + least({_dbl(S.INTAKE_MAX_RISE_C)}, rpm / {_dbl(S.INTAKE_RPM_DIVISOR)}))) <= {_dbl(QA.TEMP_HALF + QA.FLOAT_ROOM)} AS intake_ok,
+         CASE WHEN pt IS NOT NULL THEN abs(fuel_consumed_l - pf - ({_LPS}) * {secs_sql('event_time', 'pt')})
+           <= {_dbl(2.0 * QA.FUEL_HALF_L + QA.FLOAT_ROOM)} + {_THROTTLE_LPS} * {secs_sql('event_time', 'pt')} END AS fuel_ok
   FROM (SELECT t.*, v.displacement_l, v.ambient_c, v.fuel_type,
                lag(t.event_time) OVER (PARTITION BY t.vehicle_id ORDER BY t.event_time, t.seq) AS pt,
                lag(t.fuel_consumed_l) OVER (PARTITION BY t.vehicle_id ORDER BY t.event_time, t.seq) AS pf
-        FROM tel t LEFT JOIN veh v USING (vehicle_id)))
-WHERE coalesce(NOT gear_ok OR NOT maf_ok OR NOT intake_ok OR NOT coalesce(fuel_ok, true), true)"""))
+        FROM {src} t LEFT JOIN veh v USING (vehicle_id)))
+WHERE coalesce(NOT gear_ok OR NOT maf_ok OR NOT intake_ok OR NOT coalesce(fuel_ok, true), true)""", *ctes)
+
+
+@register("ecu_audit", _ecu_sql("tel"))
 def q_ecu_audit(spark, sf):
     return QA.ecu_audit(TM.telemetry(spark, sf), TM.vehicles(spark, sf))
 
 
+# A feed that follows the engine rules but for one kind of fault per source type.
+_FEED_CTES = (
+    f"""f0 AS (SELECT {VEHICLE_ID} AS vehicle_id, ts AS event_time, event_id AS seq, value AS speed_kmh, event_type AS kind,
+          CAST(800 + (event_id * 13) % 5700 AS INTEGER) AS rpm,
+          CAST((event_id * 7919) % 100003 AS DOUBLE) / {_dbl(1000.03)} AS throttle_pct FROM events)""",
+    "f1 AS (SELECT f0.*, v.displacement_l, v.ambient_c, v.fuel_type, lag(event_time) OVER (PARTITION BY vehicle_id ORDER BY event_time, seq) AS pt FROM f0 JOIN veh v USING (vehicle_id))",
+    f"f2 AS (SELECT *, {_MAF} AS maf, CAST(round(coalesce(({_LPS}) * {secs_sql('event_time', 'pt')}, {_dbl(0)}), 9) AS DECIMAL(28,9)) AS step FROM f1)",
+    f"""feed AS (SELECT vehicle_id, event_time, seq, speed_kmh, rpm,
+          {_gear_sql()} + CASE WHEN kind = '{TM.BROKEN_GEAR}' THEN 1 ELSE 0 END AS gear,
+          round(throttle_pct, 2) AS throttle_pct,
+          round(maf + CASE WHEN kind = '{TM.BROKEN_MAF}' THEN {_dbl(1)} ELSE {_dbl(0)} END, 3) AS maf_g_per_s,
+          round(ambient_c + least({_dbl(S.INTAKE_MAX_RISE_C)}, rpm / {_dbl(S.INTAKE_RPM_DIVISOR)}) + CASE WHEN kind = '{TM.BROKEN_INTAKE}' THEN {_dbl(1)} ELSE {_dbl(0)} END, 2) AS intake_air_temp_c,
+          round(CAST(sum(step) OVER (PARTITION BY vehicle_id ORDER BY event_time, seq ROWS UNBOUNDED PRECEDING) AS DOUBLE)
+                + CASE WHEN kind = '{TM.BROKEN_FUEL}' THEN {_dbl(50)} ELSE {_dbl(0)} END, 4) AS fuel_consumed_l FROM f2)""",
+)
+
+
+@register("ecu_audit_feed", _ecu_sql("feed", *_FEED_CTES))
+def q_ecu_audit_feed(spark, sf):
+    return QA.ecu_audit(TM.ecu_feed(spark, sf), TM.vehicles(spark, sf))
+
+
 @register("late_records", with_views(f"""
 SELECT vehicle_id, event_time, arrival_time, window_end, {secs_sql('arrival_time', 'window_end')} AS late_seconds
 FROM (SELECT *, {bucket(60)} + to_seconds(60) AS window_end FROM tel)
@@ -776,8 +817,8 @@ def q_late_records(spark, sf):
 
 @register("fuel_usage", with_views("""
 SELECT vehicle_id, trip_id,
-       round(arg_max(fuel_consumed_l, event_time) - arg_min(fuel_consumed_l, event_time), 4) AS fuel_used_l,
-       round(arg_min(fuel_pct, event_time) - arg_max(fuel_pct, event_time), 3) AS fuel_pct_drop
+       round(arg_max(fuel_consumed_l, (event_time, seq)) - arg_min(fuel_consumed_l, (event_time, seq)), 4) AS fuel_used_l,
+       round(arg_min(fuel_pct, (event_time, seq)) - arg_max(fuel_pct, (event_time, seq)), 3) AS fuel_pct_drop
 FROM tel WHERE trip_id IS NOT NULL GROUP BY 1, 2"""))
 def q_fuel_usage(spark, sf):
     return QA.fuel_usage(TM.telemetry(spark, sf))
@@ -851,7 +892,7 @@ def q_decode_event(spark, sf):
 SELECT {TEL_COLS} FROM tel WHERE seq IN (SELECT event_id FROM events WHERE event_type NOT IN ('{MISSING_SRC}', '{BROKEN_SRC}'))"""))
 def q_split_malformed(spark, sf):
     good, _bad = DC.split_malformed(feed_messages(spark, sf))
-    return DC.decode_telemetry(good)
+    return good
 
 
 @register("quarantine", f"""
@@ -880,14 +921,14 @@ def q_missing_fields(spark, sf):
 @register("read_tagged_jsonl", with_views(f"SELECT {EV_COLS} FROM ev"))
 def q_read_tagged_jsonl(spark, sf):
     lines = DC.tag_lines(TM.telemetry(spark, sf), TM.driving_events(spark, sf))
-    _t, ev = DC.demux_tagged(lines)
+    _t, ev, _bad = DC.demux_tagged(lines)
     return ev
 
 
 @register("read_tagged_telemetry", with_views(f"SELECT {TEL_COLS} FROM tel"))
 def q_read_tagged_telemetry(spark, sf):
     lines = DC.tag_lines(TM.telemetry(spark, sf), TM.driving_events(spark, sf))
-    t, _ev = DC.demux_tagged(lines)
+    t, _ev, _bad = DC.demux_tagged(lines)
     return t
 
 

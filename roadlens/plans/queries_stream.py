@@ -1,29 +1,80 @@
-"""Streaming queries: the events table read as a file stream, run to
+"""Streaming queries: views of the events table as file streams, run to
 completion (``availableNow``), compared with the batch oracle restricted to
-what the final watermark has closed."""
+what the final watermark has closed. Where order matters, the rows are written
+as several files in their order of arrival, one micro-batch each."""
 
 from __future__ import annotations
 
+import weakref
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.plans.catalog import register
 from roadlens.plans.oracle import secs_sql, with_views
 from roadlens.plans.queries_batch import (
+    EV_COLS,
     LATEST_SQL,
     SESSION_GAP_TEST_S,
+    TEL_COLS,
     TEST_LIMIT_KMH,
     _detect_sql,
     _fleet_windows_sql,
     _sessions_sql,
     _vehicle_windows_sql,
 )
+from roadlens.plans.queries_serving import CORRECTED_SRC, FAULTS, _FAULTY, _CASES, faulty_messages
+from roadlens.schemas import EVENT_COLUMNS, TELEMETRY_COLUMNS
+from roadlens.sources import decode as DC
 from roadlens.sources import sinks as SK
 from roadlens.sources import testmap as TM
 from roadlens.streaming import processors as PR
 from roadlens.streaming import stream as ST
 
 HOLD_S = 75
-WM = f"((SELECT max(ts) FROM events) - to_seconds({HOLD_S}))"
+# Readings arrive up to three minutes late; a hold beyond that drops none.
+LONG_HOLD_S = 300
+
+
+def _wm(hold_s: int) -> str:
+    return f"((SELECT max(ts) FROM events) - to_seconds({hold_s}))"
+
+
+WM = _wm(HOLD_S)
+
+
+def events_stream(spark, sf_dir: str) -> DataFrame:
+    """The events table as a file stream of one micro-batch."""
+    return ST.file_source(spark, sf_dir, TM.read_table(spark, sf_dir, "events").schema, glob="events.parquet")
+
+
+def one_batch(spark, sf_dir: str) -> DataFrame:
+    e = events_stream(spark, sf_dir)
+    return ST.signals(TM.light_from(e, streaming_ts=True), TM.events_from(e, streaming_ts=True))
+
+
+FILES = 5
+
+
+def by_arrival(df: DataFrame, name: str, order: str = "arrival_time", fmt: str = "parquet", cols=None) -> str:
+    """Writes ``df`` as ``FILES`` folders of rows in order of arrival, one
+    after the other; their parent folder."""
+    spark = df.sparkSession
+    base = f"{ST.run_dir(spark, name)}/in"
+    at = df.select(F.unix_micros(F.col(order).cast("timestamp")).alias("a"))
+    bounds = at.select(F.percentile_approx("a", [i / FILES for i in range(1, FILES)], 10_000).alias("q")).first()["q"] or []
+    a = F.unix_micros(F.col(order).cast("timestamp"))
+    lows, highs = [None, *bounds], [*bounds, None]
+    for i, (lo, hi) in enumerate(zip(lows, highs, strict=True)):
+        part = df if lo is None else df.where(a > lo)
+        part = part if hi is None else part.where(a <= hi)
+        out = part if cols is None else part.select(*cols)
+        out.coalesce(1).write.format(fmt).save(f"{base}/part={i}")
+    return base
+
+
+def stream_of(spark, base: str, schema) -> DataFrame:
+    return ST.file_source(spark, f"{base}/*", schema, max_files_per_trigger=1)
 
 
 def _ntz(df, cols):
@@ -39,7 +90,7 @@ def _body(sql: str) -> str:
     with_views(f"SELECT * FROM vw WHERE window_start + to_seconds(60) <= {WM}", f"vw AS ({_body(_vehicle_windows_sql(60))})"),
 )
 def q_stream_vehicle_windows(spark, sf):
-    u = ST.signals(ST.events_stream(spark, sf))
+    u = one_batch(spark, sf)
     out = ST.run_to_parquet(ST.vehicle_windows_stream(u), "vehicle_windows")
     return _ntz(spark.read.parquet(out), ["window_start"])
 
@@ -49,7 +100,7 @@ def q_stream_vehicle_windows(spark, sf):
     with_views(f"SELECT * FROM fw WHERE window_end <= {WM}", f"fw AS ({_body(_fleet_windows_sql(300, 30))})"),
 )
 def q_stream_fleet_windows(spark, sf):
-    u = ST.signals(ST.events_stream(spark, sf))
+    u = one_batch(spark, sf)
     out = ST.run_to_parquet(ST.fleet_windows_stream(u), "fleet_windows")
     return _ntz(spark.read.parquet(out), ["window_start", "window_end"])
 
@@ -65,16 +116,34 @@ FROM s2 GROUP BY vehicle_id, sess HAVING max(event_time) + to_seconds({SESSION_G
     ),
 )
 def q_stream_trip_sessions(spark, sf):
-    t = TM.light_from(ST.events_stream(spark, sf), streaming_ts=True)
+    t = TM.light_from(events_stream(spark, sf), streaming_ts=True)
     out = ST.run_to_parquet(ST.sessions_stream(t, SESSION_GAP_TEST_S), "trip_sessions")
     return _ntz(spark.read.parquet(out), ["start_time", "end_time"])
 
 
 @register("stream_dedup_history", with_views("SELECT vehicle_id, event_time, speed_kmh FROM tel"))
 def q_stream_dedup_history(spark, sf):
-    t = TM.light_from(ST.events_stream(spark, sf), streaming_ts=True).select("vehicle_id", "event_time", "speed_kmh")
-    out = ST.run_to_parquet(ST.dedup_stream(t), "dedup")
-    return _ntz(spark.read.parquet(out), ["event_time"])
+    t = TM.light_from(events_stream(spark, sf), streaming_ts=True).select("vehicle_id", "event_time", "speed_kmh", "arrival_time", "seq")
+    out = ST.run_foreach_batch(t, "dedup", ST.history_writer(), mode="append")
+    return _ntz(SK.read_history(spark, out), ["event_time"]).select("vehicle_id", "event_time", "speed_kmh")
+
+
+_FIXED = f"seq IN (SELECT event_id FROM events WHERE event_type = '{CORRECTED_SRC}')"
+
+
+@register("stream_history", with_views(
+    "SELECT " + ", ".join(f"speed_kmh + CASE WHEN {_FIXED} THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS speed_kmh" if c == "speed_kmh" else c for c in TELEMETRY_COLUMNS) + " FROM tel"))
+def q_stream_history(spark, sf):
+    """Readings in order of arrival over several micro-batches, some of
+    them twice and some corrected long after the hold; all 18 fields."""
+    t = TM.telemetry(spark, sf, source=True)
+    t = t.withColumn("event_time", F.col("event_time").cast("timestamp")).withColumn("arrival_time", F.col("arrival_time").cast("timestamp"))
+    some = t.where(F.col("source_type") == CORRECTED_SRC)
+    fixed = some.withColumn("speed_kmh", F.col("speed_kmh") + F.lit(1.0)).withColumn("arrival_time", F.timestamp_add("HOUR", F.lit(30), F.col("arrival_time")))
+    feed = t.unionByName(some).unionByName(fixed).drop("source_type", "props")
+    s = stream_of(spark, by_arrival(feed, "history"), feed.schema)
+    out = ST.run_foreach_batch(s, "history", ST.history_writer(), mode="append")
+    return _ntz(SK.read_history(spark, out), ["event_time"]).select(*TELEMETRY_COLUMNS)
 
 
 @register(
@@ -85,14 +154,14 @@ FROM (SELECT *, time_bucket(INTERVAL '60 seconds', event_time) + to_seconds(60)
 WHERE arrival_time > window_end + to_seconds({HOLD_S})"""),
 )
 def q_stream_late_records(spark, sf):
-    t = TM.light_from(ST.events_stream(spark, sf), streaming_ts=True)
+    t = TM.light_from(events_stream(spark, sf), streaming_ts=True)
     out = ST.run_to_parquet(ST.late_stream(t), "late_records")
     return _ntz(spark.read.parquet(out), ["event_time", "arrival_time", "window_end"])
 
 
 @register("stream_latest_state", with_views(LATEST_SQL))
 def q_stream_latest_state(spark, sf):
-    t = TM.light_from(ST.events_stream(spark, sf), streaming_ts=True)
+    t = TM.light_from(events_stream(spark, sf), streaming_ts=True)
     out = ST.run_foreach_batch(t, "latest_state", ST.latest_state_writer, mode="append")
     return ST.read_latest_state(spark, out)
 
@@ -102,40 +171,126 @@ def q_stream_latest_state(spark, sf):
 # ---------------------------------------------------------------------------
 
 
-@register("stream_detect_events", _detect_sql(TEST_LIMIT_KMH))
+def _detect_before_sql(hold_s: int) -> str:
+    body = _body(_detect_sql(TEST_LIMIT_KMH))
+    head, sep, tail = body.rpartition("FROM d5)\n")
+    return with_views(f"SELECT * FROM de WHERE event_time < {_wm(hold_s)}", (head + sep).lstrip(",\n").rstrip(), f"de AS ({tail})")
+
+
+@register("stream_detect_events", _detect_before_sql(HOLD_S))
 def q_stream_detect_events(spark, sf):
-    t = TM.light_from(ST.events_stream(spark, sf), streaming_ts=True)
+    t = TM.light_from(events_stream(spark, sf), streaming_ts=True)
     out = ST.run_to_parquet(PR.detect_events_stream(t, TEST_LIMIT_KMH), "detect_events")
     return _ntz(spark.read.parquet(out), ["event_time"])
 
 
-def _stream_sessions_sql() -> str:
-    return _stream_sessions_sql_inner(_body(_sessions_sql(SESSION_GAP_TEST_S, True)))
+def _shuffled(spark, sf, name: str) -> DataFrame:
+    """Readings in order of arrival, which is not that of event time."""
+    t = TM.light_from(TM.read_table(spark, sf, "events"), streaming_ts=True)
+    return stream_of(spark, by_arrival(t, name), t.schema)
+
 
+@register("stream_detect_events_shuffled", _detect_before_sql(LONG_HOLD_S))
+def q_stream_detect_events_shuffled(spark, sf):
+    t = _shuffled(spark, sf, "detect_in")
+    out = ST.run_to_parquet(PR.detect_events_stream(t, TEST_LIMIT_KMH, f"{LONG_HOLD_S} seconds"), "detect_events_shuffled")
+    return _ntz(spark.read.parquet(out), ["event_time"])
 
-def _stream_sessions_sql_inner(body: str) -> str:
+
+def _stream_sessions_sql(hold_s: int) -> str:
     # body = "<ctes>\n<select>" after the shared view CTEs; wrap its final select as a CTE.
-    head, _, select = body.rpartition("\nSELECT g.vehicle_id")
-    ctes = head.lstrip(",\n")
-    final = "SELECT g.vehicle_id" + select
+    head, _, select = _body(_sessions_sql(SESSION_GAP_TEST_S, True)).rpartition("\nSELECT g.vehicle_id")
+    wm = _wm(hold_s)
     return with_views(
         f"""SELECT vehicle_id, start_time, end_time, distance_km, max_speed_kmh, samples FROM ts
-WHERE NOT is_open OR end_time + to_seconds({SESSION_GAP_TEST_S}) <= {WM}""",
-        ctes,
-        f"ts AS ({final})",
+WHERE (NOT is_open AND end_time < {wm} AND (closed_by_off OR next_t < {wm})) OR end_time + to_seconds({SESSION_GAP_TEST_S}) <= {wm}""",
+        head.lstrip(",\n"),
+        f"""ts AS (SELECT q.*, NOT l.ignition_on AS closed_by_off, l.next_t FROM (SELECT g.vehicle_id{select}) q
+  JOIN (SELECT vehicle_id, event_time, ignition_on, lead(event_time) OVER (PARTITION BY vehicle_id ORDER BY event_time, seq) AS next_t FROM tel) l
+  ON q.vehicle_id = l.vehicle_id AND q.end_time = l.event_time)""",
     )
 
 
-@register("stream_trip_sessions_ignition", _stream_sessions_sql())
+@register("stream_trip_sessions_ignition", _stream_sessions_sql(HOLD_S))
 def q_stream_trip_sessions_ignition(spark, sf):
-    t = TM.light_from(ST.events_stream(spark, sf), streaming_ts=True)
+    t = TM.light_from(events_stream(spark, sf), streaming_ts=True)
     out = ST.run_to_parquet(PR.trip_sessions_stream(t, SESSION_GAP_TEST_S), "trip_sessions_ignition")
     return _ntz(spark.read.parquet(out), ["start_time", "end_time"])
 
 
+@register("stream_trip_sessions_shuffled", _stream_sessions_sql(LONG_HOLD_S))
+def q_stream_trip_sessions_shuffled(spark, sf):
+    t = _shuffled(spark, sf, "sessions_in")
+    out = ST.run_to_parquet(PR.trip_sessions_stream(t, SESSION_GAP_TEST_S, f"{LONG_HOLD_S} seconds"), "trip_sessions_shuffled")
+    return _ntz(spark.read.parquet(out), ["start_time", "end_time"])
+
+
 @register("stream_vehicle_windows_update", _vehicle_windows_sql(60))
 def q_stream_vehicle_windows_update(spark, sf):
-    """Update mode (changed windows only, open ones included) merged by key."""
-    u = ST.signals(ST.events_stream(spark, sf))
-    out = ST.run_foreach_batch(ST.vehicle_windows_stream(u), "vehicle_windows_update", SK.keyed_merge_writer(["vehicle_id", "window_start"]), mode="update")
-    return _ntz(SK.read_newest_epoch(spark, out).drop("_epoch"), ["window_start"])
+    """Update mode (changed windows only, open ones included) merged by
+    key into the days they lie in; readings in order of arrival over several
+    micro-batches, so windows change after they were first written."""
+    e = TM.read_table(spark, sf, "events")
+    feed = e.withColumn("arrival_time", F.timestamp_add("SECOND", (F.col("event_id") % 7) * 30, F.col("ts")))
+    s = stream_of(spark, by_arrival(feed, "update_in"), feed.schema).drop("arrival_time")
+    u = ST.signals(TM.light_from(s, streaming_ts=True), TM.events_from(s, streaming_ts=True))
+    keys = ["vehicle_id", "window_start"]
+    windows = ST.vehicle_windows_stream(u, hold=f"{LONG_HOLD_S} seconds")
+    out = ST.run_foreach_batch(windows, "vehicle_windows_update", SK.keyed_merge_writer(keys), mode="update")
+    return _ntz(SK.read_history(spark, out), ["window_start"])
+
+
+# ---------------------------------------------------------------------------
+# The whole pipeline on JSON text
+# ---------------------------------------------------------------------------
+
+_PIPELINES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def pipeline_root(spark, sf: str) -> str:
+    """Output folder of one pipeline run over the tables of ``sf``: telemetry
+    (with faulty messages) and events as JSON lines in order of arrival. The
+    queries below read its tables, so one run serves them all."""
+    runs = _PIPELINES.setdefault(spark, {})
+    if sf not in runs:
+        t = faulty_messages(spark, sf).join(TM.telemetry_light(spark, sf).select("seq", "arrival_time"), "seq")
+        ev = TM.driving_events(spark, sf).select("arrival_time", DC.event_json().alias("value"))
+        lines = [by_arrival(x, n, fmt="text", cols=["value"]) for x, n in ((t, "pipe_t"), (ev, "pipe_ev"))]
+        streams = [ST.text_source(spark, f"{b}/*", 1) for b in lines]
+        root = ST.run_dir(spark, "pipeline")
+        cfg = ST.Pipeline(root, hold=f"{LONG_HOLD_S} seconds", trigger={"availableNow": True})
+        for q in ST.start_pipeline(*ST.decode_streams(*streams), cfg):
+            q.awaitTermination()
+        runs[sf] = root
+    return runs[sf]
+
+
+_GOOD = f"(SELECT * FROM tel WHERE seq NOT IN (SELECT event_id FROM events WHERE event_type IN ({_FAULTY})))"
+
+
+@register("stream_pipeline_history", with_views(f"SELECT {TEL_COLS} FROM {_GOOD}"))
+def q_stream_pipeline_history(spark, sf):
+    return _ntz(SK.read_history(spark, f"{pipeline_root(spark, sf)}/telemetry_history"), ["event_time"]).select(*TELEMETRY_COLUMNS)
+
+
+@register("stream_pipeline_events", with_views("SELECT event_id, vehicle_id, trip_id, event_time, event_type, coalesce(detail, '') AS detail FROM ev"))
+def q_stream_pipeline_events(spark, sf):
+    return _ntz(SK.read_history(spark, f"{pipeline_root(spark, sf)}/event_history"), ["event_time"]).select(*EVENT_COLUMNS)
+
+
+@register("stream_pipeline_quarantine", f"SELECT CASE event_type {_CASES} END AS reason, count(*) AS messages FROM events WHERE event_type IN ({_FAULTY}) GROUP BY 1")
+def q_stream_pipeline_quarantine(spark, sf):
+    bad = spark.read.schema("raw string, reason string").parquet(f"{pipeline_root(spark, sf)}/quarantine")
+    return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@register("stream_pipeline_latest", with_views(LATEST_SQL.replace("FROM tel", f"FROM {_GOOD}")))
+def q_stream_pipeline_latest(spark, sf):
+    return ST.read_latest_state(spark, f"{pipeline_root(spark, sf)}/latest_state")
+
+
+@register("stream_pipeline_windows", with_views(
+    f"SELECT * FROM vw WHERE window_start + to_seconds(60) <= least({_wm(LONG_HOLD_S)}, (SELECT max(event_time) FROM {_GOOD}) - to_seconds({LONG_HOLD_S}))",
+    f"vw AS ({_body(_vehicle_windows_sql(60)).replace('FROM tel', f'FROM {_GOOD}')})"))
+def q_stream_pipeline_windows(spark, sf):
+    return _ntz(spark.read.parquet(f"{pipeline_root(spark, sf)}/vehicle_windows"), ["window_start"])

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-import os
+import io
+import pathlib
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "roadlens") -> SparkSession:
     """Session used by tests and the bench: UTC, AQE on, UI off."""
@@ -21,36 +25,60 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Makes this package known to the workers of an application whose
+    machines don't have it installed: a zip of its sources in the shared
+    folder, added once with ``addPyFile``."""
+    sc = spark.sparkContext
+    if getattr(sc, "_roadlens_shipped", False):
+        return
+    here = pathlib.Path(__file__).resolve().parent
+    blob = io.BytesIO()
+    with zipfile.ZipFile(blob, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(here.rglob("*.py")):
+            z.write(f, f.relative_to(here.parent))
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/roadlens.zip")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(path, True)
+    try:
+        out.write(bytearray(blob.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(path.toString())
+    sc._roadlens_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting must point at shared storage and is taken as is.
-    Only when it is unset (local tests) is a scratch folder created.
+    On a cluster the setting must point at shared storage and is taken as is;
+    without it this raises. Only a session whose tasks run inside the driver
+    (``local[...]``, as in tests) gets a scratch folder, which goes when the
+    session ends.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: no SparkContext, use the conf only
-        sc = None
-    current = sc.getCheckpointDir() if sc is not None else None
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="roadlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        if sc is None:
-            spark.conf.set("spark.checkpoint.dir", conf_dir)
-    if sc is not None:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir() or conf_dir
-    return conf_dir
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="roadlens-ckpt-")
+        path = spark._jvm.org.apache.hadoop.fs.Path(conf_dir)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    sc.setCheckpointDir(conf_dir)
+    return sc.getCheckpointDir() or conf_dir
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -75,7 +103,7 @@ CLUSTER_DEFAULTS = {
     "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.parquet.filterPushdown": "true",
     # Streaming state off-heap in RocksDB (per-vehicle state, event-time timers).
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.session.timeZone": "UTC",
 }
 

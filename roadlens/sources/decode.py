@@ -7,7 +7,9 @@ nothing is inferred.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,46 +50,99 @@ def uuid_is_bad(col) -> Column:
     return c.isNotNull() & (c != "") & ~c.rlike(S.UUID_RE)
 
 
-def _with_corrupt(schema: T.StructType) -> T.StructType:
-    return T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
+# What a message must have to be stored; a trip and a detail may be missing.
+TELEMETRY_REQUIRED = tuple(f.name for f in S.TELEMETRY_WIRE.fields if f.name != "trip_id")
+EVENT_REQUIRED = ("event_id", "vehicle_id", "ts", "event_type")
+TELEMETRY_UUIDS = ("trip_id",)
+EVENT_UUIDS = ("event_id", "trip_id")
 
 
-def _parsed(df: DataFrame, col: str, schema: T.StructType) -> Column:
+def _parsed(col: str, names: Sequence[str]) -> Column:
+    """The message as a struct of texts: numbers and booleans keep what the
+    sender wrote, quoted or not, and are cast one by one afterwards."""
+    fields = [T.StructField(n, T.StringType(), True) for n in [*names, CORRUPT]]
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return F.from_json(F.col(col).cast("string"), _with_corrupt(schema), opts)
+    return F.from_json(F.col(col).cast("string"), T.StructType(fields), opts)
+
+
+def _typed(raw: Column, kind: T.DataType) -> Column:
+    """Text to a wire type, null if it isn't one. Integers take any finite
+    number and drop its fraction, as ``3.0`` for a gear."""
+    if isinstance(kind, T.StringType):
+        return raw
+    if isinstance(kind, T.BooleanType):
+        return raw.try_cast("boolean")
+    number = raw.try_cast("double")
+    finite = F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number)
+    return finite.try_cast(kind) if isinstance(kind, T.IntegerType) else finite
+
+
+def check_messages(df: DataFrame, col: str, wire: T.StructType, required: Sequence[str], uuids: Sequence[str],
+                   ntz: bool = True, keep: Sequence[str] = (), message: Column | None = None) -> DataFrame:
+    """Every message, parsed once: ``keep``, the decoded columns (``ts`` as
+    ``event_time``, UUIDs in lower case), ``raw`` and ``reason``, which is null
+    for good messages and else the first of ``malformed_json`` (no JSON
+    object), ``missing_field`` (a required one), ``bad_value`` (not of its
+    type) and ``bad_uuid``. ``message``: the parsed struct, if there is one."""
+    p = df.select(*keep, F.col(col).cast("string").alias("raw"), (message if message is not None else _parsed(col, wire.fieldNames())).alias("m"))
+    value: dict[str, Column] = {}
+    missing, wrong, bad_id = F.lit(False), F.lit(False), F.lit(False)
+    for f in wire.fields:
+        raw = F.col(f"m.{f.name}")
+        if f.name == "ts":
+            value["event_time"] = v = parse_ts(raw, ntz)
+        elif f.name in uuids:
+            value[f.name] = v = clean_uuid(raw)
+            bad_id = bad_id | uuid_is_bad(raw)
+            if f.name in required:
+                missing = missing | (F.coalesce(F.trim(raw), F.lit("")) == "")
+            continue
+        else:
+            value[f.name] = v = _typed(raw, f.dataType)
+        if f.name in required:
+            missing = missing | raw.isNull()
+        wrong = wrong | (raw.isNotNull() & v.isNull())
+    broken = F.col("m").isNull() | F.col(f"m.{CORRUPT}").isNotNull()
+    reason = F.when(broken, "malformed_json").when(missing, "missing_field").when(wrong, "bad_value").when(bad_id, "bad_uuid")
+    return p.select(*keep, *[c.alias(n) for n, c in value.items()], "raw", reason.alias("reason"))
+
+
+def check_telemetry(df: DataFrame, col: str = "value", ntz: bool = True, keep: Sequence[str] = (), message: Column | None = None) -> DataFrame:
+    """S2 + S5 + S6 + S7: telemetry messages with their ``reason``."""
+    c = check_messages(df, col, S.TELEMETRY_WIRE, TELEMETRY_REQUIRED, TELEMETRY_UUIDS, ntz, keep, message)
+    return c.select(*keep, *S.TELEMETRY_COLUMNS, "raw", "reason")
+
+
+def check_event(df: DataFrame, col: str = "value", ntz: bool = True, keep: Sequence[str] = (), message: Column | None = None) -> DataFrame:
+    """S3 + S5 + S6: driving-event messages with their ``reason``."""
+    c = check_messages(df, col, S.EVENT_WIRE, EVENT_REQUIRED, EVENT_UUIDS, ntz, keep, message)
+    return c.select(*keep, *S.EVENT_COLUMNS, "raw", "reason")
+
+
+def decode_telemetry(df: DataFrame, col: str = "value", ntz: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    """S2 + S7: telemetry JSON -> typed columns, ``ts`` renamed ``event_time``;
+    what cannot be decoded is null."""
+    return check_telemetry(df, col, ntz, keep).select(*keep, *S.TELEMETRY_COLUMNS)
+
+
+def decode_event(df: DataFrame, col: str = "value", ntz: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    """S3: driving-event JSON -> typed columns."""
+    return check_event(df, col, ntz, keep).select(*keep, *S.EVENT_COLUMNS)
 
 
-def decode_telemetry(df: DataFrame, col: str = "value", ntz: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
-    """S2 + S7: telemetry JSON -> typed columns, ``ts`` renamed ``event_time``."""
-    p = df.select(*keep, _parsed(df, col, S.TELEMETRY_WIRE).alias("m"))
-    cols = [F.col(f"m.{f.name}").alias(f.name) for f in S.TELEMETRY_WIRE.fields if f.name != "ts"]
-    out = p.select(*keep, *cols, parse_ts(F.col("m.ts"), ntz).alias("event_time"))
-    return out.select(*keep, *S.TELEMETRY_COLUMNS)
+def good_rows(checked: DataFrame) -> DataFrame:
+    return checked.where(F.col("reason").isNull()).drop("raw", "reason")
 
 
-def decode_event(df: DataFrame, col: str = "value", ntz: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
-    """S3: driving-event JSON -> typed columns."""
-    p = df.select(*keep, _parsed(df, col, S.EVENT_WIRE).alias("m"))
-    cols = [F.col(f"m.{f.name}").alias(f.name) for f in S.EVENT_WIRE.fields if f.name != "ts"]
-    out = p.select(*keep, *cols, parse_ts(F.col("m.ts"), ntz).alias("event_time"))
-    return out.select(*keep, *S.EVENT_COLUMNS)
-
-
-def split_malformed(df: DataFrame, col: str = "value", schema: T.StructType = S.TELEMETRY_WIRE, required=("vehicle_id", "ts")):
-    """``(good, bad)``. Bad rows are broken JSON, wrong-typed fields, or
-    missing / unparsable required fields; they go to a quarantine table with
-    a reason instead of failing the job (a deliberate change from failing)."""
-    p = df.select(F.col(col).cast("string").alias("raw"), _parsed(df, col, schema).alias("m"))
-    missing = F.lit(False)
-    for r in required:
-        missing = missing | F.col(f"m.{r}").isNull()
-    if "ts" in required:
-        missing = missing | F.try_to_timestamp(F.col("m.ts")).isNull()
-    reason = F.when(F.col(f"m.{CORRUPT}").isNotNull(), F.lit("malformed_json")).when(missing, F.lit("missing_field"))
-    p = p.withColumn("reason", reason)
-    good = p.where(F.col("reason").isNull()).select(F.col("raw").alias(col))
-    bad = p.where(F.col("reason").isNotNull()).select("raw", "reason")
-    return good, bad
+def bad_rows(checked: DataFrame) -> DataFrame:
+    return checked.where(F.col("reason").isNotNull()).select("raw", "reason")
+
+
+def split_malformed(df: DataFrame, col: str = "value", check=check_telemetry, **how) -> tuple[DataFrame, DataFrame]:
+    """``(good, bad)``: decoded rows, and ``raw, reason`` of the messages
+    that go to quarantine instead of failing the job."""
+    c = check(df, col, **how)
+    return good_rows(c), bad_rows(c)
 
 
 def telemetry_json() -> Column:
@@ -101,9 +156,13 @@ def encode_telemetry(t: DataFrame) -> DataFrame:
     return t.select(F.col("vehicle_id").alias("key"), telemetry_json().alias("value"))
 
 
+def event_json() -> Column:
+    """JSON text of a driving-event row in wire form."""
+    return F.to_json(F.struct("event_id", "vehicle_id", "trip_id", format_ts("event_time").alias("ts"), "event_type", "detail"))
+
+
 def encode_event(ev: DataFrame) -> DataFrame:
-    body = F.struct("event_id", "vehicle_id", "trip_id", format_ts("event_time").alias("ts"), "event_type", "detail")
-    return ev.select(F.col("vehicle_id").alias("key"), F.to_json(body).alias("value"))
+    return ev.select(F.col("vehicle_id").alias("key"), event_json().alias("value"))
 
 
 def tag_lines(t: DataFrame, ev: DataFrame) -> DataFrame:
@@ -113,16 +172,23 @@ def tag_lines(t: DataFrame, ev: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
-def demux_tagged(lines: DataFrame, col: str = "value", ntz: bool = True):
-    """Split an interleaved tagged JSON-lines feed into (telemetry, events)."""
-    kind = F.get_json_object(F.col(col), "$.kind")
-    t = decode_telemetry(lines.where(kind == "telemetry"), col, ntz)
-    ev = decode_event(lines.where(kind == "event"), col, ntz)
-    return t, ev
+def demux_tagged(lines: DataFrame, col: str = "value", ntz: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """An interleaved tagged JSON-lines feed -> (telemetry, events,
+    quarantine). Each line is parsed once, with the fields of both kinds; a
+    line that is no JSON object, or of no known kind, is quarantined, too."""
+    names = list(dict.fromkeys(["kind", *S.TELEMETRY_WIRE.fieldNames(), *S.EVENT_WIRE.fieldNames()]))
+    p = lines.select(F.col(col).cast("string").alias("raw"), _parsed(col, names).alias("_line"))
+    kind = F.col("_line.kind")
+    broken = F.col("_line").isNull() | F.col(f"_line.{CORRUPT}").isNotNull()
+    t = check_telemetry(p.where(kind == "telemetry"), "raw", ntz, message=F.col("_line"))
+    ev = check_event(p.where(kind == "event"), "raw", ntz, message=F.col("_line"))
+    other = p.where(~F.coalesce(kind.isin("telemetry", "event"), F.lit(False)))
+    other = other.select("raw", F.when(broken, "malformed_json").otherwise("unknown_kind").alias("reason"))
+    return good_rows(t), good_rows(ev), bad_rows(t).unionByName(bad_rows(ev)).unionByName(other)
 
 
-def read_tagged_jsonl(spark, path: str, ntz: bool = True):
-    """Read a tagged JSON-lines file (or folder) -> (telemetry, events)."""
+def read_tagged_jsonl(spark: SparkSession, path: str, ntz: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Read a tagged JSON-lines file (or folder)."""
     return demux_tagged(spark.read.text(path), "value", ntz)
 
 

@@ -1,66 +1,67 @@
-"""Keyed history tables and sinks.
-
-Tables are Parquet folders partitioned by day. Writes are idempotent per
-key so that a micro-batch replayed after a failure gives the same table.
-"""
+"""Keyed history tables and sinks (S9-S14), stored as :mod:`tables`."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from roadlens.sources.tables import KeyedTable, last_write, replace_rows, set_columns
+
 
-def dedup_latest(df: DataFrame, keys: list[str], arrival: str = "arrival_time", tiebreak: str | None = "seq") -> DataFrame:
-    """S9/S10 (batch): one row per key, the last arrival wins.
+def dedup_latest(df: DataFrame, keys: list[str], order: Sequence[str] = ("arrival_time", "seq")) -> DataFrame:
+    """S9/S10 (batch): one row per key, the last by ``order`` wins (columns
+    that the table lacks are left out; ties are decided by all other columns).
 
-    A grouped ``max_by`` is aggregated map-side, so a key with very many
-    copies never lands whole in one task.
+    ``row_number() = 1`` becomes a group limit before the shuffle: each task
+    sends one row per key, so a key with very many copies never lands whole
+    in one task, and no row is sorted more than once per side.
     """
-    rest = [c for c in df.columns if c not in keys]
-    order = F.struct(F.col(arrival), *([F.col(tiebreak)] if tiebreak and tiebreak in df.columns else []))
-    g = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_r"))
-    return g.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
+    named = [c for c in order if c in df.columns]
+    rest = [c for c in df.columns if c not in keys and c not in named]
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in [*named, *rest]])
+    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
 def history_rows(df: DataFrame, ts: str = "event_time", detail_default: bool = False) -> DataFrame:
-    """Add the ``day`` partition column (and S10's ``detail`` default)."""
+    """Add the ``day`` column (and S10's ``detail`` default)."""
     out = df.withColumn("day", F.to_date(ts))
     if detail_default and "detail" in df.columns:
         out = out.withColumn("detail", F.coalesce(F.col("detail"), F.lit("")))
     return out
 
 
-def write_history(df: DataFrame, path: str, keys=("vehicle_id", "event_time"), mode: str = "overwrite") -> None:
-    """Write a history table partitioned by day, files sorted by
-    (vehicle_id, event_time) so per-vehicle range scans prune row groups.
+def history_table(spark: SparkSession, path: str, keys: Sequence[str] = ("vehicle_id", "event_time"), ts: str = "event_time") -> KeyedTable:
+    """A history table by day, files sorted by its keys."""
+    return KeyedTable(spark, path, F.to_date(ts), list(keys))
 
-    Rows are range-partitioned on (day, vehicle_id, event_time): a day, and
-    even one busy vehicle-day, is spread over many tasks, and every task
-    writes contiguous key ranges. With dynamic partition overwrite only the
-    days present in ``df`` are replaced, so a replayed batch is idempotent.
-    """
-    out = history_rows(df)
-    (
-        out.repartitionByRange("day", *keys)
-        .sortWithinPartitions("day", *keys)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day")
-        .parquet(path)
-    )
-
-
-def write_fleet_windows(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Fleet rows partitioned by ``day_bucket`` (range-partitioned on
-    the window start, so no day lands in a single task)."""
-    (
-        df.repartitionByRange("day_bucket", "window_start")
-        .sortWithinPartitions("day_bucket", "window_start")
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day_bucket")
-        .parquet(path)
-    )
+
+def write_history(df: DataFrame, path: str, keys: Sequence[str] = ("vehicle_id", "event_time"),
+                  order: Sequence[str] = ("arrival_time", "seq"), version: int | None = None) -> int:
+    """Merge rows into a history table. One row per key stays, the
+    last written by ``order``; rows of other keys are kept, days without new
+    rows are not touched, and a replayed ``version`` changes nothing. Event
+    rows get S10's empty detail."""
+    rows = history_rows(df, detail_default=True).drop("day")
+    return history_table(df.sparkSession, path, keys).commit(rows, last_write(keys, order), version)
+
+
+def read_history(spark: SparkSession, path: str, days: Sequence[str] | None = None) -> DataFrame | None:
+    return KeyedTable(spark, path, F.lit(None)).read(days)
+
+
+def write_fleet_windows(df: DataFrame, path: str, version: int | None = None) -> int:
+    """Fleet rows by ``day_bucket``, one per window, later rows replacing
+    earlier ones of the same window."""
+    t = KeyedTable(df.sparkSession, path, F.col("day_bucket"), ["window_start"])
+    return t.commit(df, replace_rows(["window_start"]), version)
+
+
+def write_columns(df: DataFrame, path: str, keys: Sequence[str], cols: Sequence[str], ts: str = "window_start", version: int | None = None) -> int:
+    """Set some columns of the stored rows of ``df``'s keys."""
+    t = KeyedTable(df.sparkSession, path, F.to_date(ts), list(keys))
+    return t.commit(df, set_columns(keys, cols), version)
 
 
 def upsert_columns(target: DataFrame, updates: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
@@ -83,46 +84,30 @@ def upsert_columns(target: DataFrame, updates: DataFrame, keys: list[str], cols:
     return j.select(*out)
 
 
-def merge_latest(previous: DataFrame | None, batch_latest: DataFrame, ts: str = "event_time") -> DataFrame:
-    """Merge a batch's latest rows into the stored latest state; newer
-    event time wins, so a late tick never moves a vehicle backwards."""
+def merge_latest(previous: DataFrame | None, batch_latest: DataFrame, order: Sequence[str] = ("event_time", "seq")) -> DataFrame:
+    """Merge a batch's latest rows into the stored latest state; the
+    newest reading wins, so a late tick never moves a vehicle backwards."""
     both = batch_latest if previous is None else previous.unionByName(batch_latest)
-    g = both.groupBy("vehicle_id").agg(F.max_by(F.struct(*[c for c in both.columns if c != "vehicle_id"]), F.col(ts)).alias("_r"))
-    return g.select("vehicle_id", "_r.*")
+    return dedup_latest(both, ["vehicle_id"], order)
 
 
-def keyed_merge_writer(keys: list[str]):
-    """T3/T8 sink for ``update`` mode: each micro-batch carries the changed
-    rows only; merge them into the stored table by key (newest epoch wins).
+def latest_table(spark: SparkSession, path: str, shards: int = 64) -> KeyedTable:
+    """Latest state, one row per vehicle. Rows are dealt over a fixed
+    number of shards, so a batch rewrites only its vehicles' shards."""
+    return KeyedTable(spark, path, F.pmod(F.xxhash64("vehicle_id"), F.lit(shards)), ["vehicle_id"])
 
-    The table is stored per epoch (``epoch=<n>`` folders): epoch n reads
-    epoch n-1, so replaying an epoch after a failure rewrites the same folder.
-    """
+
+def keyed_merge_writer(keys: list[str], ts: str = "window_start"):
+    """T3/T8 sink for ``update`` mode: each micro-batch carries the changed
+    rows only; they replace the stored rows of their keys, in the days that
+    the batch touches. A replayed epoch finds its commit and does nothing."""
 
     def write(batch: DataFrame, epoch: int, out: str) -> None:
-        spark = batch.sparkSession
-        cur = batch.withColumn("_epoch", F.lit(epoch).cast("long"))
-        if epoch > 0:
-            try:
-                prev = spark.read.parquet(f"{out}/epoch={epoch - 1}")
-                cur = prev.unionByName(cur)
-            except Exception:  # first epoch with data
-                pass
-        rest = [c for c in cur.columns if c not in keys and c != "_epoch"]
-        merged = cur.groupBy(*keys).agg(F.max_by(F.struct(*rest, "_epoch"), "_epoch").alias("_r")).select(*keys, "_r.*")
-        merged.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+        KeyedTable(batch.sparkSession, out, F.to_date(ts), keys).commit(batch, replace_rows(keys), epoch)
 
     return write
 
 
-def read_newest_epoch(spark, out: str) -> DataFrame:
-    """Read the newest ``epoch=<n>`` folder written by a keyed writer
-    (partition discovery on ``epoch``; only the newest epoch is scanned)."""
-    df = spark.read.parquet(out)
-    newest = df.agg(F.max("epoch")).first()[0]
-    return df.where(F.col("epoch") == F.lit(newest)).drop("epoch")
-
-
 def load_vehicles(spark, path: str, fmt: str = "parquet") -> DataFrame:
     """The vehicle reference table (explicit schema, no inference)."""
     from roadlens.schemas import VEHICLE_SCHEMA

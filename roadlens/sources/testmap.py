@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.operators.ordered import with_running
-from roadlens.schemas import DTC_CATALOG, TELEMETRY_COLUMNS
+from roadlens.functions.signals import airflow_g_per_s, fuel_rate_lps, gear_from_speed, intake_temp_c
+from roadlens.operators.ordered import with_previous, with_running
+from roadlens.schemas import CITY_BOXES, DTC_CATALOG, ROAD_CLASS_LIMIT_KMH, TELEMETRY_COLUMNS
 
 # Source event type -> driving-event type (fixed mapping of the test views).
 EVENT_TYPE_MAP = {
@@ -35,10 +36,16 @@ def vehicle_id_of(user_id: str | Column = "user_id") -> Column:
     return F.concat(F.lit("veh_"), F.lpad(u, F.greatest(F.lit(4), F.length(u)), F.lit("0")))
 
 
+def uuid_of(text: Column) -> Column:
+    """UUID text made of a text's md5."""
+    h = F.md5(text.cast("binary"))
+    return F.concat_ws("-", *[F.substring(h, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+
+
 def _trip_id() -> Column:
     return F.when(
         F.col("event_type") != IGNITION_OFF_SOURCE_TYPE,
-        F.concat(F.col("user_id").cast("string"), F.lit("-"), F.to_date("ts").cast("string")),
+        uuid_of(F.concat(F.col("user_id").cast("string"), F.lit("-"), F.to_date("ts").cast("string"))),
     )
 
 
@@ -135,7 +142,7 @@ def events_from(e: DataFrame, streaming_ts: bool = False) -> DataFrame:
     """Driving-event mapping of an ``events`` DataFrame (batch or stream)."""
     ts = F.col("ts").cast("timestamp") if streaming_ts else F.col("ts")
     return e.select(
-        F.col("event_id").cast("string").alias("event_id"),
+        uuid_of(F.col("event_id").cast("string")).alias("event_id"),
         vehicle_id_of().alias("vehicle_id"),
         _trip_id().alias("trip_id"),
         ts.alias("event_time"),
@@ -170,3 +177,72 @@ def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(even, F.lit(55.0)).otherwise(F.lit(42.0)).alias("tank_l"),
         F.when(even, F.lit(31.0)).otherwise(F.lit(25.0)).alias("ambient_c"),
     )
+
+
+# Source event types whose row is a telemetry reading / a driving event in the
+# sparse views, where each side has windows that the other lacks.
+SPARSE_TELEMETRY = ("click", "view", "signup")
+SPARSE_EVENTS = ("error", "purchase", "click")
+
+
+def sparse_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(telemetry, events) views in which a source row is a reading, an event,
+    or both, by its type."""
+    e = read_table(spark, sf_dir, "events")
+    return light_from(e.where(F.col("event_type").isin(*SPARSE_TELEMETRY))), events_from(e.where(F.col("event_type").isin(*SPARSE_EVENTS)))
+
+
+def road_nodes_from_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Irregular road nodes, one per supplier, scattered over the city boxes."""
+    s = read_table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey").cast("long")
+    even = k % 2 == 0
+    (a, b, c, d), (a2, b2, c2, d2) = CITY_BOXES["Jakarta"], CITY_BOXES["Bandung"]
+    u = ((k * 7919) % 1009).cast("double") / F.lit(1009.0)
+    v = ((k * 104729) % 997).cast("double") / F.lit(997.0)
+    names = F.array(*[F.lit(x) for x in ROAD_CLASS_LIMIT_KMH])
+    return s.select(
+        F.concat(F.lit("route_"), F.col("s_nationkey").cast("string")).alias("route_id"),
+        F.when(even, "Jakarta").otherwise("Bandung").alias("city"),
+        k.alias("seq"),
+        F.when(even, F.lit(a) + u * F.lit(b - a)).otherwise(F.lit(a2) + u * F.lit(b2 - a2)).alias("lat"),
+        F.when(even, F.lit(c) + v * F.lit(d - c)).otherwise(F.lit(c2) + v * F.lit(d2 - c2)).alias("lon"),
+        F.element_at(names, (k % len(ROAD_CLASS_LIMIT_KMH) + 1).cast("int")).alias("road_class"),
+        F.when(k % 5 == 0, F.lit(30)).cast("int").alias("speed_limit_kmh"),
+    )
+
+
+# Source event types whose reading breaks one rule each in the ECU feed.
+BROKEN_GEAR, BROKEN_MAF, BROKEN_INTAKE, BROKEN_FUEL = "error", "purchase", "signup", "view"
+
+
+def ecu_feed(spark: SparkSession, sf_dir: str, broken: bool = True) -> DataFrame:
+    """Readings that follow the engine rules, rounded as on the wire; with
+    ``broken``, readings of four source types break one rule each."""
+    e = read_table(spark, sf_dir, "events")
+    v = vehicles(spark, sf_dir)
+    eid = F.col("event_id")
+    kind = F.col("event_type")
+    t = e.select(
+        vehicle_id_of().alias("vehicle_id"), F.col("ts").alias("event_time"), eid.alias("seq"), F.col("value").alias("speed_kmh"), kind.alias("kind"),
+        (F.lit(800) + (eid * 13) % 5700).cast("int").alias("rpm"),
+        (((eid * 7919) % 100003).cast("double") / F.lit(1000.03)).alias("throttle"),
+    ).join(v.select("vehicle_id", "displacement_l", "ambient_c", "fuel_type"), "vehicle_id")
+    maf = airflow_g_per_s("displacement_l", throttle_pct="throttle")
+    t = with_previous(t.withColumn("maf", maf), ["vehicle_id"], ["event_time", "seq"], ["event_time"])
+    dt = (F.unix_micros(F.col("event_time").cast("timestamp")) - F.unix_micros(F.col("prev_event_time").cast("timestamp"))).cast("double") / F.lit(1000000.0)
+    step = F.coalesce(fuel_rate_lps(F.col("maf")) * dt, F.lit(0.0))
+    t = t.withColumn("step", F.round(step, 9).cast("decimal(28,9)"))
+    t = with_running(t, ["vehicle_id"], ["event_time", "seq"], F.col("step"), "used")
+
+    def wrong(x: str) -> Column:
+        return F.when(F.col("kind") == x, F.lit(1.0)).otherwise(F.lit(0.0)) if broken else F.lit(0.0)
+
+    return t.select(
+        "vehicle_id", "event_time", "seq", "speed_kmh", "rpm",
+        (gear_from_speed() + wrong(BROKEN_GEAR).cast("int")).alias("gear"),
+        F.round("throttle", 2).alias("throttle_pct"),
+        F.round(F.col("maf") + wrong(BROKEN_MAF), 3).alias("maf_g_per_s"),
+        F.round(intake_temp_c("ambient_c") + wrong(BROKEN_INTAKE), 2).alias("intake_air_temp_c"),
+        F.round(F.col("used").cast("double") + wrong(BROKEN_FUEL) * F.lit(50.0), 4).alias("fuel_consumed_l"),
+    )

@@ -3,25 +3,28 @@
 Spark has no streaming ``lag`` and no session window that closes on a
 column value, so these two run as ``transformWithStateInPandas``
 processors keyed by vehicle. Everything else in the library is built-in
-Spark. Per vehicle the state is one small record (last reading, clocks,
-previous rule conditions / open trip), so state size grows with the number
-of vehicles, not with the data.
+Spark.
+
+Readings may arrive in any order within the hold. Each is kept in the
+vehicle's state, in buckets of event time, until the watermark has passed it;
+an event-time timer then hands the buckets on in order, one at a time. So no
+reading inside the hold is skipped, a vehicle's rows are in memory one bucket
+at a time, and state holds no more than the hold's readings plus one record
+per vehicle. Readings behind the watermark are dropped by Spark, which counts
+them (``numRowsDroppedByWatermark``); ``late_records`` reports them.
 
-Input rows are expected in event-time order per vehicle (a keyed topic
-keeps per-key order); a row older than the vehicle's last processed row is
-skipped (``late_records`` reports such rows from the arrival column).
 The arithmetic mirrors the batch operators exactly, so a stream and the
 batch table give the same events.
 """
 
 from __future__ import annotations
 
-import math
+import io
 from collections.abc import Iterator
-from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,8 +33,6 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from roadlens import schemas as S
 from roadlens.operators.detect import RULES
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 DETECT_OUT = T.StructType(
     [
         T.StructField("vehicle_id", T.StringType()),
@@ -69,31 +70,130 @@ def _ffill_seeded(values: np.ndarray, seed) -> np.ndarray:
     return pd.Series(arr).ffill().to_numpy(np.float64)
 
 
-class DetectProcessor(StatefulProcessor):
+_KEY = T.StructType([T.StructField("bucket", T.LongType())])
+_ROWS = T.StructType([T.StructField("rows", T.BinaryType())])
+_TIMER = T.StructType([T.StructField("at_ms", T.LongType())])
+
+
+def _pack(pdf: pd.DataFrame) -> bytes:
+    sink = io.BytesIO()
+    table = pa.Table.from_pandas(pdf, preserve_index=False)
+    with pa.ipc.new_stream(sink, table.schema) as w:
+        w.write_table(table)
+    return sink.getvalue()
+
+
+def _unpack(blob: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(bytes(blob)).read_pandas()
+
+
+class OrderedProcessor(StatefulProcessor):
+    """Hands a vehicle's readings to :meth:`process` in (time, seq) order,
+    each once the watermark has passed it."""
+
+    def __init__(self, bucket_s: int):
+        self.bucket_us = int(bucket_s) * 1_000_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", _KEY, _ROWS)
+        self.timer = handle.getValueState("timer", _TIMER)
+
+    # To be given by the operator -----------------------------------------
+
+    columns: list[str] = []
+
+    def process(self, key, pdf: pd.DataFrame) -> list[tuple]:
+        """Output rows for the next readings of the vehicle, in order."""
+        raise NotImplementedError
+
+    def passed(self, key, watermark_ms: int) -> list[tuple]:
+        """Output rows that are due since no reading before the watermark is
+        to come."""
+        return []
+
+    def due_ms(self) -> int | None:
+        """When :meth:`passed` has something to say, if nothing arrives."""
+        return None
+
+    # ----------------------------------------------------------------------
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        first = None
+        for pdf in rows:  # one Arrow batch at a time
+            if pdf.empty:
+                continue
+            bucket = pdf["t_us"].to_numpy(np.int64) // self.bucket_us
+            for b in np.unique(bucket).tolist():
+                part = pdf[bucket == b]
+                if self.waiting.containsKey((b,)):
+                    part = pd.concat([_unpack(self.waiting.getValue((b,))[0]), part], ignore_index=True)
+                self.waiting.updateValue((b,), (_pack(part),))
+            low = int(pdf["t_us"].min())
+            first = low if first is None else min(first, low)
+        if first is not None:
+            self._wake(first // 1000 + 1)
+        yield pd.DataFrame([], columns=self.columns)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.timer.clear()
+        mark = timerValues.getCurrentWatermarkInMs()
+        end = mark * 1000  # readings before this are complete
+        nxt = None
+        for (b,) in sorted(tuple(k) for k in self.waiting.keys()):
+            if b * self.bucket_us >= end:
+                nxt = b * self.bucket_us if nxt is None else nxt
+                continue
+            pdf = _unpack(self.waiting.getValue((b,))[0]).sort_values(["t_us", "seq"], kind="stable")
+            ready = pdf["t_us"].to_numpy(np.int64) < end
+            if ready.all():
+                self.waiting.removeKey((b,))
+            else:
+                rest = pdf[~ready]
+                self.waiting.updateValue((b,), (_pack(rest),))
+                nxt = int(rest["t_us"].min()) if nxt is None else nxt
+            if ready.any():
+                yield pd.DataFrame(self.process(key, pdf[ready]), columns=self.columns)
+        yield pd.DataFrame(self.passed(key, mark), columns=self.columns)
+        wake = [x for x in (None if nxt is None else nxt // 1000 + 1, self.due_ms()) if x is not None]
+        if wake:
+            self._wake(max(min(wake), mark + 1))
+
+    def _wake(self, at_ms: int) -> None:
+        """One timer per vehicle, at the earliest time asked for."""
+        if self.timer.exists():
+            (old,) = self.timer.get()
+            if old <= at_ms:
+                return
+            self.handle.deleteTimer(old)
+        self.timer.update((at_ms,))
+        self.handle.registerTimer(at_ms)
+
+    def close(self) -> None:
+        pass
+
+
+class DetectProcessor(OrderedProcessor):
     """T10 on a stream: the six telemetry rules, edge-triggered, per vehicle."""
 
-    def __init__(self, limit_kmh: float):
+    columns = ["vehicle_id", "trip_id", "t_us", "event_type"]
+
+    def __init__(self, limit_kmh: float, bucket_s: int):
+        super().__init__(bucket_s)
         self.limit = float(limit_kmh)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
         self.state = handle.getValueState("detect", DETECT_STATE)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["t_us", "seq"], kind="stable")
+    def process(self, key, pdf: pd.DataFrame) -> list[tuple]:
         if self.state.exists():
-            (last_us, last_seq, last_speed, heading, first_us, over_f, idle_f, conds, fuel_trip) = self.state.get()
+            (last_us, _last_seq, last_speed, heading, first_us, over_f, idle_f, conds, fuel_trip) = self.state.get()
             prev = set(conds.split(",")) if conds else set()
-            t_all, seq_all = pdf["t_us"].to_numpy(np.int64), pdf["seq"].to_numpy(np.int64)
-            pdf = pdf[(t_all > last_us) | ((t_all == last_us) & (seq_all > last_seq))]  # out of order for this vehicle
         else:
-            last_us = last_seq = last_speed = heading = first_us = over_f = idle_f = None
+            last_us = last_speed = heading = first_us = over_f = idle_f = None
             prev, fuel_trip = set(), None
-        cols = ["vehicle_id", "trip_id", "t_us", "event_type"]
-        if pdf.empty:
-            yield pd.DataFrame([], columns=cols)
-            return
-        # Vectorised over the vehicle's readings of this batch; the state
-        # seeds the first row (previous reading, carried heading, clocks).
+        # Vectorised over the readings; the state seeds the first row (previous reading, carried heading, clocks).
         t = pdf["t_us"].to_numpy(np.int64)
         speed = pdf["speed_kmh"].to_numpy(np.float64)
         head = pdf["heading_deg"].to_numpy(np.float64)
@@ -159,10 +259,7 @@ class DetectProcessor(StatefulProcessor):
             fuel_trip,
         )
         self.state.update(state)
-        yield pd.DataFrame(out, columns=cols)
-
-    def close(self) -> None:
-        pass
+        return out
 
 
 SESSION_OUT = T.StructType(
@@ -180,150 +277,124 @@ SESSION_STATE = T.StructType(
     [
         T.StructField("start_us", T.LongType()),
         T.StructField("last_us", T.LongType()),
-        T.StructField("last_seq", T.LongType()),
         T.StructField("lat", T.DoubleType()),
         T.StructField("lon", T.DoubleType()),
-        T.StructField("dist", T.StringType()),
+        T.StructField("micro_km", T.LongType()),
         T.StructField("max_speed", T.DoubleType()),
         T.StructField("n", T.LongType()),
         T.StructField("first_ign", T.BooleanType()),
-        T.StructField("last_ign", T.BooleanType()),
     ]
 )
 
-_MICRO_KM = Decimal("0.000001")
 
+def _micro_km(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.ndarray) -> np.ndarray:
+    """Great-circle steps in whole micro-kilometres (six decimals, halves up),
+    so that their sum is exact, as the batch operator's decimals are."""
+    p1, p2 = np.radians(lat1), np.radians(lat2)
+    a = np.sin(np.radians(lat2 - lat1) / 2.0) ** 2 + np.cos(p1) * np.cos(p2) * np.sin(np.radians(lon2 - lon1) / 2.0) ** 2
+    return np.floor(2.0 * S.EARTH_RADIUS_KM * np.arcsin(np.sqrt(a)) * 1e6 + 0.5).astype(np.int64)
 
-def _hav_km(lat1, lon1, lat2, lon2) -> float:
-    dlat = math.radians(lat2 - lat1)
-    dlon = math.radians(lon2 - lon1)
-    a = math.pow(math.sin(dlat / 2.0), 2) + math.cos(math.radians(lat1)) * math.cos(math.radians(lat2)) * math.pow(math.sin(dlon / 2.0), 2)
-    return 2.0 * S.EARTH_RADIUS_KM * math.asin(math.sqrt(a))
 
-
-class TripSessionProcessor(StatefulProcessor):
+class TripSessionProcessor(OrderedProcessor):
     """T4 on a stream: trip sessions that close on a gap longer than
     ``gap_s`` or after an ignition-off reading. A session is emitted when it
     closes: on the next reading, right after an ignition-off reading, or when
-    the watermark passes ``last + gap`` (event-time timer)."""
+    the watermark passes ``last + gap`` with no reading in between."""
+
+    columns = [f.name for f in SESSION_OUT.fields]
 
-    def __init__(self, gap_s: float = S.SESSION_GAP_S, keep_idle: bool = False):
+    def __init__(self, gap_s: float, keep_idle: bool, bucket_s: int):
+        super().__init__(bucket_s)
         self.gap_us = int(gap_s * 1_000_000)
         self.keep_idle = keep_idle
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        super().init(handle)
         self.state = handle.getValueState("trip", SESSION_STATE)
 
-    def _emit(self, key, s) -> list:
-        start_us, last_us, _seq, _lat, _lon, dist, mx, n, first_ign, _last_ign = s
-        if not first_ign and not self.keep_idle:
-            return []
-        return [(key[0], start_us, last_us, float(Decimal(dist)), mx, n)]
-
-    def _timer_ms(self, last_us: int) -> int:
-        return last_us // 1000 + self.gap_us // 1000
+    def _row(self, key, s: tuple) -> list[tuple]:
+        start_us, last_us, _lat, _lon, micro, mx, n, first_ign = s
+        return [(key[0], start_us, last_us, micro / 1e6, mx, n)] if first_ign or self.keep_idle else []
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["t_us", "seq"], kind="stable")
-        s = self.state.get() if self.state.exists() else None
-        cols = [f.name for f in SESSION_OUT.fields]
-        if s is not None:
-            t_all, seq_all = pdf["t_us"].to_numpy(np.int64), pdf["seq"].to_numpy(np.int64)
-            pdf = pdf[(t_all > s[1]) | ((t_all == s[1]) & (seq_all > s[2]))]  # out of order for this vehicle
-        if pdf.empty:
-            yield pd.DataFrame([], columns=cols)
-            return
+    def process(self, key, pdf: pd.DataFrame) -> list[tuple]:
+        s = self.state.get() if self.state.exists() else None  # an open trip: its last reading had the ignition on
         t = pdf["t_us"].to_numpy(np.int64)
         lat, lon = pdf["lat"].to_numpy(np.float64), pdf["lon"].to_numpy(np.float64)
         speed, ign = pdf["speed_kmh"].to_numpy(np.float64), pdf["ignition_on"].to_numpy(bool)
-        n = len(t)
-        # A stored session is open: its last reading had the ignition on.
-        prev_t = np.empty(n, np.int64)
-        prev_t[1:] = t[:-1]
-        prev_t[0] = s[1] if s is not None else t[0]
-        prev_ign = np.empty(n, bool)
-        prev_ign[1:] = ign[:-1]
-        prev_ign[0] = True
-        start = (t - prev_t > self.gap_us) | ~prev_ign
-        start[0] = start[0] or s is None
-        sid = np.cumsum(start)  # 0 = continues the stored session
-        # Exact step distances (6 dp, as the batch operator) inside sessions.
-        plat = np.concatenate([[s[3] if s is not None else lat[0]], lat[:-1]])
-        plon = np.concatenate([[s[4] if s is not None else lon[0]], lon[:-1]])
-        steps = [
-            Decimal(0) if start[i] else Decimal(repr(_hav_km(plat[i], plon[i], lat[i], lon[i]))).quantize(_MICRO_KM, rounding=ROUND_HALF_UP)
-            for i in range(n)
-        ]
-        if s is not None:
-            self.handle.deleteTimer(self._timer_ms(s[1]))
-        out, sessions = [], []
+        before = (t[0], lat[0], lon[0]) if s is None else s[1:4]
+        prev_t, prev_lat, prev_lon = (np.concatenate(([b], x[:-1])) for b, x in zip(before, (t, lat, lon), strict=True))
+        start = (t - prev_t > self.gap_us) | np.concatenate(([s is None], ~ign[:-1]))
+        micro = np.where(start, 0, _micro_km(prev_lat, prev_lon, lat, lon))
+        cuts = np.flatnonzero(np.concatenate(([True], start[1:])))  # first reading of each run
+        ends = np.append(cuts[1:], len(t))
+        km, mx = np.add.reduceat(micro, cuts), np.maximum.reduceat(speed, cuts)
+        out: list[tuple] = []
         if s is not None and start[0]:
-            out += self._emit(key, s)  # closed by the gap before this batch's first reading
-        bounds = np.nonzero(np.diff(np.concatenate([[-1], sid, [sid[-1] + 1]])))[0]
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            base = s if (sid[a] == 0 and s is not None) else None
-            dist = (Decimal(base[5]) if base else Decimal(0)) + sum(steps[a:b], Decimal(0))
-            mx = float(np.max(speed[a:b]))
-            sessions.append(
-                (
-                    base[0] if base else int(t[a]),
-                    int(t[b - 1]),
-                    int(pdf["seq"].iloc[b - 1]),
-                    float(lat[b - 1]),
-                    float(lon[b - 1]),
-                    str(dist),
-                    max(base[6], mx) if base else mx,
-                    (base[7] if base else 0) + int(b - a),
-                    base[8] if base else bool(ign[a]),
-                    bool(ign[b - 1]),
-                )
+            out += self._row(key, tuple(s))
+            s = None
+        for i, (a, b) in enumerate(zip(cuts.tolist(), ends.tolist(), strict=True)):
+            goes_on = s is not None and i == 0
+            trip = (
+                s[0] if goes_on else int(t[a]),
+                int(t[b - 1]),
+                float(lat[b - 1]),
+                float(lon[b - 1]),
+                int(km[i]) + (s[4] if goes_on else 0),
+                max(float(mx[i]), s[5]) if goes_on else float(mx[i]),
+                b - a + (s[6] if goes_on else 0),
+                s[7] if goes_on else bool(ign[a]),
             )
-        # Every session but the last is closed; the last closes now when its
-        # last reading has the ignition off, otherwise it waits for the gap.
-        for sess in sessions[:-1]:
-            out += self._emit(key, sess)
-        last = sessions[-1]
-        if last[9]:
-            self.state.update(last)
-            self.handle.registerTimer(self._timer_ms(last[1]))
-        else:
-            out += self._emit(key, last)
-            self.state.clear()
-        yield pd.DataFrame(out, columns=cols)
+            if b < len(t) or not ign[b - 1]:
+                out += self._row(key, trip)
+            else:
+                self.state.update(trip)
+                return out
+        self.state.clear()
+        return out
+
+    def due_ms(self) -> int | None:
+        # The first millisecond that lies more than the gap behind the last reading.
+        return (self.state.get()[1] + self.gap_us) // 1000 + 1 if self.state.exists() else None
+
+    def passed(self, key, watermark_ms: int) -> list[tuple]:
+        if not self.state.exists() or watermark_ms * 1000 < self.state.get()[1] + self.gap_us:
+            return []
+        s = tuple(self.state.get())
+        self.state.clear()
+        return self._row(key, s)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        out = []
-        if self.state.exists():
-            s = self.state.get()
-            out = self._emit(key, s)
-            self.state.clear()
-        yield pd.DataFrame(out, columns=[f.name for f in SESSION_OUT.fields])
 
-    def close(self) -> None:
-        pass
+BUCKET_S = 3600
 
 
-def _inputs(t: DataFrame) -> DataFrame:
-    return t.withColumn("t_us", F.unix_micros(F.col("event_time").cast("timestamp")))
+def _inputs(t: DataFrame, hold: str, cols: list[str]) -> DataFrame:
+    provider = t.sparkSession.conf.get("spark.sql.streaming.stateStore.providerClass", "")
+    if not provider.endswith("RocksDBStateStoreProvider"):
+        raise ValueError(
+            "processors need the RocksDB state store: set spark.sql.streaming.stateStore.providerClass "
+            "(build_session and apply_cluster_defaults do)"
+        )
+    marked = t.withWatermark("event_time", hold)
+    return marked.withColumn("t_us", F.unix_micros(F.col("event_time").cast("timestamp"))).select("vehicle_id", "event_time", "t_us", "seq", *cols)
 
 
-def detect_events_stream(t: DataFrame, limit_kmh: float) -> DataFrame:
-    """T10 (stream): driving events from a telemetry stream."""
-    t.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    d = _inputs(t).select("vehicle_id", "trip_id", "t_us", "seq", "speed_kmh", "heading_deg", "ignition_on", "fuel_pct")
+def detect_events_stream(t: DataFrame, limit_kmh: float, hold: str = S.LATE_HOLD, bucket_s: int = BUCKET_S) -> DataFrame:
+    """T10 (stream): driving events from a telemetry stream, in event-time
+    order whatever the order of arrival within ``hold``. Give the source a
+    rate limit: a vehicle's part of a micro-batch is bucketed in its state."""
+    d = _inputs(t, hold, ["trip_id", "speed_kmh", "heading_deg", "ignition_on", "fuel_pct"])
     out = d.groupBy("vehicle_id").transformWithStateInPandas(
-        statefulProcessor=DetectProcessor(limit_kmh), outputStructType=DETECT_OUT, outputMode="Append", timeMode="None"
+        statefulProcessor=DetectProcessor(limit_kmh, bucket_s), outputStructType=DETECT_OUT, outputMode="Append", timeMode="EventTime"
     )
     return out.select("vehicle_id", "trip_id", F.timestamp_micros("t_us").alias("event_time"), "event_type")
 
 
-def trip_sessions_stream(t: DataFrame, gap_s: float = S.SESSION_GAP_S, hold: str = S.LATE_HOLD, keep_idle: bool = False) -> DataFrame:
-    """T4 (stream): gap + ignition sessions; needs an event-time watermark for the gap timers."""
-    t.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    d = _inputs(t.withWatermark("event_time", hold)).select("vehicle_id", "event_time", "t_us", "seq", "lat", "lon", "speed_kmh", "ignition_on")
+def trip_sessions_stream(t: DataFrame, gap_s: float = S.SESSION_GAP_S, hold: str = S.LATE_HOLD, keep_idle: bool = False, bucket_s: int = BUCKET_S) -> DataFrame:
+    """T4 (stream): gap + ignition sessions, in event-time order whatever the
+    order of arrival within ``hold``."""
+    d = _inputs(t, hold, ["lat", "lon", "speed_kmh", "ignition_on"])
     out = d.groupBy("vehicle_id").transformWithStateInPandas(
-        statefulProcessor=TripSessionProcessor(gap_s, keep_idle), outputStructType=SESSION_OUT, outputMode="Append", timeMode="EventTime"
+        statefulProcessor=TripSessionProcessor(gap_s, keep_idle, bucket_s), outputStructType=SESSION_OUT, outputMode="Append", timeMode="EventTime"
     )
     return out.select(
         "vehicle_id",

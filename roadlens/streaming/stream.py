@@ -9,7 +9,8 @@ The same operators as the batch side, on streaming DataFrames:
   keyed sinks that are re-flushed on late changes (T3, T8);
 * fleet sliding windows as two chained aggregations in append mode;
 * keyed writes through ``foreachBatch`` so replays after a failure are
-  idempotent (S18 re-aimed).
+  idempotent (S18 re-aimed); raw history takes every reading, however late,
+  and only the aggregates drop what is behind the watermark.
 
 Every query keeps its own checkpoint under the shared folder named by
 ``spark.checkpoint.dir`` (never a machine-local folder).
@@ -19,21 +20,26 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens import schemas as S
 from roadlens.functions.signals import is_harsh
-from roadlens.operators.windows import centi, exact_mean, interval_seconds
+from roadlens.operators.windows import centi, exact_mean
 from roadlens.session import checkpoint_root
+from roadlens.sources import decode as DC
 from roadlens.sources import sinks as SK
-from roadlens.sources import testmap as TM
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for one run's output and checkpoint, under the shared root."""
-    return f"{checkpoint_root(spark)}/roadlens-stream/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder for one run's output and checkpoint, under the shared
+    root; it goes when the application ends."""
+    base = f"{checkpoint_root(spark)}/roadlens-stream/{name}-{uuid.uuid4().hex[:12]}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return base
 
 
 # ---------------------------------------------------------------------------
@@ -51,10 +57,12 @@ def file_source(spark: SparkSession, path: str, schema, fmt: str = "parquet", gl
     return r.load(path)
 
 
-def kafka_source(spark: SparkSession, servers: str, topic: str, max_offsets_per_trigger: int = 2000) -> DataFrame:
+def kafka_source(spark: SparkSession, servers: str, topic: str, max_offsets_per_trigger: int) -> DataFrame:
     """Topic subscribed from the earliest offset; ``value`` is the JSON
-    message and ``timestamp`` the broker arrival time (used by T7). Needs the
-    Kafka connector on the classpath (not present in the test environment)."""
+    message and ``timestamp`` the broker arrival time (used by T7).
+    ``max_offsets_per_trigger`` bounds a micro-batch over all partitions; size
+    it by partitions x rate x trigger interval. Needs the Kafka connector on
+    the classpath (not present in the test environment)."""
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -66,6 +74,15 @@ def kafka_source(spark: SparkSession, servers: str, topic: str, max_offsets_per_
     )
 
 
+def text_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """S1 (file form): a folder of JSON-lines files, one message a line, with
+    the file's modification time as time of arrival."""
+    r = spark.readStream.format("text")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return r.load(path).select("value", F.col("_metadata.file_modification_time").alias("arrival_time"))
+
+
 def write_topic(df: DataFrame, servers: str, topic: str, checkpoint: str):
     """Publish rows as JSON messages keyed by vehicle (windowed fan-out topic)."""
     out = df.select(F.col("vehicle_id").cast("string").alias("key"), F.to_json(F.struct(*df.columns)).alias("value"))
@@ -79,17 +96,9 @@ def write_topic(df: DataFrame, servers: str, topic: str, checkpoint: str):
     )
 
 
-def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The driver's ``events`` table read as a file stream (test feed)."""
-    schema = TM.read_table(spark, sf_dir, "events").schema
-    return file_source(spark, sf_dir, schema, glob="events.parquet", max_files_per_trigger=max_files_per_trigger)
-
-
-def signals(es: DataFrame, harsh=S.HARSH_TYPES) -> DataFrame:
-    """Telemetry and driving events of one source stream as one union
-    (speed on telemetry rows, harsh flag on event rows)."""
-    t = TM.light_from(es, streaming_ts=True)
-    ev = TM.events_from(es, streaming_ts=True)
+def signals(t: DataFrame, ev: DataFrame, harsh=S.HARSH_TYPES) -> DataFrame:
+    """Telemetry and driving events as one union (speed on telemetry rows,
+    harsh flag on event rows), so one watermark covers both."""
     a = t.select("vehicle_id", "event_time", F.col("speed_kmh").cast("double").alias("speed_kmh"), F.lit(None).cast("int").alias("harsh_flag"))
     b = ev.select("vehicle_id", "event_time", F.lit(None).cast("double").alias("speed_kmh"), F.when(is_harsh("event_type", harsh), 1).otherwise(0).alias("harsh_flag"))
     return a.unionByName(b)
@@ -118,11 +127,16 @@ def vehicle_windows_stream(u: DataFrame, width: str = S.VEHICLE_WINDOW, hold: st
 
 
 def fleet_windows_stream(u: DataFrame, width: str = S.FLEET_WINDOW, slide: str = S.FLEET_SLIDE, hold: str = S.LATE_HOLD) -> DataFrame:
-    """A6/T5 on a stream: (window, vehicle) partials, then per window.
-    Two chained aggregations, append mode only."""
-    per_vehicle = u.withWatermark("event_time", hold).groupBy(F.window("event_time", width, slide).alias("window"), "vehicle_id").agg(
+    """A6/T5 on a stream, as three chained aggregations in append mode: rows
+    to (vehicle, pane of one slide), panes to (window, vehicle), windows. Only
+    panes are expanded into the width / slide windows that hold them, and the
+    first state keeps one record per vehicle and pane."""
+    panes = u.withWatermark("event_time", hold).groupBy(F.window("event_time", slide).alias("pane"), "vehicle_id").agg(
         F.sum(centi()).alias("s"), F.count("speed_kmh").alias("n"), F.sum("harsh_flag").alias("h")
     )
+    per_vehicle = panes.groupBy(F.window(F.window_time("pane"), width, slide).alias("window"), "vehicle_id").agg(
+        F.sum("s").alias("s"), F.sum("n").alias("n"), F.sum("h").alias("h")
+    )
     r = per_vehicle.groupBy("window").agg(
         F.count(F.when(F.col("n") > 0, 1)).alias("_active"),
         F.sum("s").alias("_s"),
@@ -150,9 +164,14 @@ def sessions_stream(t: DataFrame, gap_s: int = S.SESSION_GAP_S, hold: str = S.LA
     return r.select("vehicle_id", "start_time", "end_time", "max_speed_kmh", "samples")
 
 
-def dedup_stream(t: DataFrame, keys=("vehicle_id", "event_time"), hold: str = S.LATE_HOLD) -> DataFrame:
-    """S9 on a stream: drop repeated keys while they are within the watermark."""
-    return t.withWatermark("event_time", hold).dropDuplicatesWithinWatermark(list(keys))
+def history_writer(keys=("vehicle_id", "event_time"), order=("arrival_time", "seq")) -> Callable[[DataFrame, int, str], None]:
+    """S9/S10 on a stream: every reading of the batch goes into the history,
+    late ones too; of one key the last written stays."""
+
+    def write(batch: DataFrame, epoch: int, out: str) -> None:
+        SK.write_history(batch, out, keys, order, epoch)
+
+    return write
 
 
 def late_stream(t: DataFrame, arrival: str = "arrival_time", width: str = S.VEHICLE_WINDOW, hold: str = S.LATE_HOLD) -> DataFrame:
@@ -201,31 +220,21 @@ def run_foreach_batch(df: DataFrame, name: str, fn: Callable[[DataFrame, int, st
 
 
 def latest_state_writer(batch: DataFrame, epoch: int, out: str) -> None:
-    """Merge the batch's newest row per vehicle into the stored state.
-
-    State is stored per epoch (``epoch=<n>`` folders); each epoch reads the
-    previous one, so a replayed epoch rewrites the same folder (idempotent).
-    """
-    spark = batch.sparkSession
-    o = F.struct("event_time", "seq")
-    cur = batch.groupBy("vehicle_id").agg(
-        F.max_by(F.struct("lat", "lon", "speed_kmh", "engine_temp_c", "event_time"), o).alias("r")
-    ).select("vehicle_id", "r.*")
-    prev = None
-    if epoch > 0:
-        try:
-            prev = spark.read.parquet(f"{out}/epoch={epoch - 1}")
-        except Exception:  # no earlier state
-            prev = None
-    SK.merge_latest(prev, cur).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
-
-
-def read_latest_state(spark: SparkSession, out: str) -> DataFrame:
-    """Newest stored latest-state epoch, projected like ``latest_state``."""
+    """Merge the batch's newest row per vehicle into the stored state."""
+    cols = ["vehicle_id", "lat", "lon", "speed_kmh", "engine_temp_c", "event_time", *(["seq"] if "seq" in batch.columns else [])]
+    order = ["event_time", "seq"]
+    newest = SK.dedup_latest(batch.select(*cols), ["vehicle_id"], order)
+    table = SK.latest_table(batch.sparkSession, out)
+    table.commit(newest, lambda old, new: SK.merge_latest(old, new, order), epoch)
+
+
+def read_latest_state(spark: SparkSession, out: str) -> DataFrame | None:
+    """Stored latest state, projected like ``latest_state``; None if nothing
+    was written."""
     from roadlens.functions.signals import iso_utc_seconds
 
-    df = SK.read_newest_epoch(spark, out)
-    return df.select(
+    df = SK.latest_table(spark, out).read()
+    return df and df.select(
         "vehicle_id", "lat", "lon", "speed_kmh", "engine_temp_c", iso_utc_seconds(F.col("event_time")).alias("updated_at")
     )
 
@@ -245,41 +254,53 @@ def progress_rows(query) -> list[dict]:
     return rows
 
 
-def start_pipeline(spark: SparkSession, es: DataFrame, out_root: str, width: str = S.VEHICLE_WINDOW, hold: str = S.LATE_HOLD, trigger: dict | None = None) -> list:
-    """One decoded stream feeding raw history, tumbling, sliding,
-    session, late-report and latest-state sinks; one query and one
-    checkpoint per sink."""
-    trigger = trigger or {"processingTime": "5 seconds"}
-    t = TM.light_from(es, streaming_ts=True)
-    u = signals(es)
-
-    def start(df, name, mode="append", fmt="parquet", partition=None):
-        w = df.writeStream.format(fmt).option("path", f"{out_root}/{name}").option("checkpointLocation", f"{out_root}/_ckpt/{name}").outputMode(mode).trigger(**trigger)
-        if partition:
-            w = w.partitionBy(partition)
-        return w.start()
-
-    qs = [
-        start(dedup_stream(t).withColumn("day", F.to_date("event_time")), "telemetry_history", partition="day"),
-        start(vehicle_windows_stream(u, width, hold), "vehicle_windows"),
-        start(fleet_windows_stream(u, hold=hold), "fleet_windows", partition="day_bucket"),
-        start(sessions_stream(t, hold=hold), "trip_sessions"),
-        start(late_stream(t, width=width, hold=hold), "late_records"),
+@dataclass
+class Pipeline:
+    """Parameters of :func:`start_pipeline`."""
+
+    out_root: str
+    width: str = S.VEHICLE_WINDOW
+    fleet_width: str = S.FLEET_WINDOW
+    fleet_slide: str = S.FLEET_SLIDE
+    gap_s: int = S.SESSION_GAP_S
+    hold: str = S.LATE_HOLD
+    trigger: dict = field(default_factory=lambda: {"processingTime": "5 seconds"})
+
+
+def decode_streams(telemetry: DataFrame, events: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """S2-S7 on streams of messages: (telemetry, events, quarantine), decoded
+    in one pass each; ``arrival_time`` is kept."""
+    keep = ("arrival_time",)
+    t = DC.check_telemetry(telemetry, col, ntz=False, keep=keep)
+    ev = DC.check_event(events, col, ntz=False, keep=keep)
+    return DC.good_rows(t), DC.good_rows(ev), DC.bad_rows(t).unionByName(DC.bad_rows(ev))
+
+
+def start_pipeline(t: DataFrame, ev: DataFrame, quarantine: DataFrame, cfg: Pipeline) -> list:
+    """Decoded telemetry and event streams into raw history, event
+    history, quarantine, tumbling, sliding, session, late-report and
+    latest-state sinks; one query and one checkpoint per sink."""
+    root = cfg.out_root
+    u = signals(t, ev)
+
+    def rows(df, name):
+        w = df.writeStream.format("parquet").option("path", f"{root}/{name}").outputMode("append")
+        return w.option("checkpointLocation", f"{root}/_ckpt/{name}").trigger(**cfg.trigger).start()
+
+    def keyed(df, name, write):
+        w = df.writeStream.foreachBatch(lambda b, e: write(b, e, f"{root}/{name}"))
+        return w.option("checkpointLocation", f"{root}/_ckpt/{name}").trigger(**cfg.trigger).start()
+
+    return [
+        keyed(t, "telemetry_history", history_writer()),
+        keyed(ev, "event_history", history_writer(("vehicle_id", "event_time", "event_id"))),
+        rows(quarantine, "quarantine"),
+        rows(vehicle_windows_stream(u, cfg.width, cfg.hold), "vehicle_windows"),
+        rows(fleet_windows_stream(u, cfg.fleet_width, cfg.fleet_slide, cfg.hold), "fleet_windows"),
+        rows(sessions_stream(t, cfg.gap_s, cfg.hold), "trip_sessions"),
+        rows(late_stream(t, width=cfg.width, hold=cfg.hold), "late_records"),
+        keyed(t, "latest_state", latest_state_writer),
     ]
-    base = f"{out_root}/latest_state"
-    qs.append(
-        t.writeStream.foreachBatch(lambda b, e: latest_state_writer(b, e, base))
-        .option("checkpointLocation", f"{out_root}/_ckpt/latest_state")
-        .trigger(**trigger)
-        .start()
-    )
-    return qs
-
-
-def final_watermark(spark: SparkSession, sf_dir: str, hold: str = S.LATE_HOLD):
-    """Event-time watermark after all input: max event time - hold."""
-    mx = TM.read_table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]
-    return F.timestamp_add("SECOND", F.lit(-interval_seconds(hold)), F.lit(str(mx)).cast("timestamp_ntz"))
 
 
 def rows_added(query) -> int:

@@ -31,7 +31,7 @@ def test_bad_json_is_quarantined(spark):
 
 
 def test_encode_decode_round_trip(spark):
-    t = tel(spark, [{"t": 1.5, "speed": 12.34}]).select(
+    t = tel(spark, [{"t": 1.5, "speed": 12.34, "trip": "6f9619ff-8b86-d011-b42d-00c04fc964ff"}]).select(
         "vehicle_id", "trip_id", "event_time", "lat", "lon", "heading_deg", "speed_kmh",
         F.lit(2).alias("gear"), F.lit(900).alias("rpm"), F.lit(5.0).alias("throttle_pct"), F.lit(1.0).alias("maf_g_per_s"),
         "engine_temp_c", F.lit(80.0).alias("coolant_temp_c"), F.lit(30.0).alias("intake_air_temp_c"), "fuel_pct",
@@ -89,3 +89,42 @@ def test_load_vehicles(spark, tmp_path):
     v.write.parquet(str(tmp_path / "veh"))
     back = SK.load_vehicles(spark, str(tmp_path / "veh"))
     assert back.count() == v.count() and back.columns == v.columns
+
+
+def test_each_fault_has_its_reason(spark):
+    ok = GOOD % "2024-01-01T00:00:00Z"
+    cases = {
+        ok: None,
+        ok.replace('"gear":3,', '"gear":3.0,').replace('"speed_kmh":55.0', '"speed_kmh":"55"'): None,
+        ok.replace('"lat":-6.2', '"lat":null'): "missing_field",
+        ok.replace('"rpm":2500', '"rpm":"fast"'): "bad_value",
+        ok.replace('"speed_kmh":55.0', '"speed_kmh":"NaN"'): "bad_value",
+        ok.replace('"trip_id":null', '"trip_id":"trip-7"'): "bad_uuid",
+        ok.replace('"trip_id":null', '"trip_id":""'): None,
+        GOOD % "yesterday": "bad_value",
+        "[1]": "malformed_json",
+        "": "malformed_json",
+        "nonsense": "malformed_json",
+    }
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, value string")
+    got = {r.i: r.reason for r in DC.check_telemetry(df, keep=("i",)).collect()}
+    assert got == dict(enumerate(cases.values()))
+    good, bad = DC.split_malformed(_msgs(spark, list(cases)))
+    assert good.count() == 3 and bad.count() == 8
+    assert {(r.gear, r.speed_kmh) for r in good.collect()} == {(3, 55.0)}
+
+
+def test_tagged_lines_none_is_lost(spark, tmp_path):
+    lines = ['{"kind":"telemetry",' + (GOOD % "2024-01-01T00:00:00Z")[1:], '{"kind":"event","event_id":"x"}', '{"kind":"other"}', '{"a":1}', "nope"]
+    (tmp_path / "f.jsonl").write_text("\n".join(lines))
+    t, ev, bad = DC.read_tagged_jsonl(spark, str(tmp_path))
+    assert t.count() == 1 and ev.count() == 0
+    assert sorted(r.reason for r in bad.collect()) == ["malformed_json", "missing_field", "unknown_kind", "unknown_kind"]
+
+
+def test_latest_state_takes_one_reading(spark):
+    from roadlens.operators.serve import latest_state
+
+    t = tel(spark, [{"t": 5, "speed": 1, "lat": 1, "seq": 0}, {"t": 5, "speed": 2, "lat": 2, "seq": 1}])
+    r = latest_state(t).first()
+    assert (r.speed_kmh, r.lat) == (2.0, 2.0)

@@ -6,7 +6,7 @@ import pytest
 from conftest import SF_SMALL
 from roadlens.plans.catalog import load_all
 
-BATCH = [n for n in load_all() if not n.startswith("stream_") and n != "fleet_snapshot"]
+BATCH = [n for n in load_all() if not n.startswith("stream_")]
 
 
 def _plan(spark, name):

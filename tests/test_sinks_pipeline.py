@@ -1,33 +1,118 @@
-"""Partitioned history sinks, generic windowed rollup with a pandas UDF,
-and the multi-sink streaming pipeline."""
+"""Keyed tables, the generic windowed rollup with a pandas UDF, and the
+multi-sink streaming pipeline."""
 
+import datetime as dt
 import tempfile
 
 import pandas as pd
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, tel
 from roadlens.operators import windows as W
+from roadlens.plans import queries_stream as QS
 from roadlens.sources import sinks as SK
 from roadlens.sources import testmap as TM
+from roadlens.sources.tables import KeyedTable, last_write
 from roadlens.streaming import stream as ST
 
 
-def test_write_history_partitions_by_day_and_is_idempotent(spark):
-    base = tempfile.mkdtemp(prefix="roadlens-hist-")
+def _path(name):
+    return f"{tempfile.mkdtemp(prefix='roadlens-table-')}/{name}"
+
+
+def _reading(spark, rows):
+    """rows: (seconds, speed, arrival)"""
+    t = tel(spark, [{"t": t, "speed": s, "seq": i} for i, (t, s, _) in enumerate(rows)])
+    a = spark.createDataFrame([(i, x) for i, (_, _, x) in enumerate(rows)], "seq long, arrival_time long")
+    return t.join(a, "seq").select("vehicle_id", "event_time", "speed_kmh", "arrival_time", "seq")
+
+
+def test_writes_to_one_day_keep_both(spark):
+    p = _path("h")
+    SK.write_history(_reading(spark, [(t, t, 0) for t in range(5)]), p)
+    SK.write_history(_reading(spark, [(t, 99, 1) for t in (3, 7, 90_000)]), p)
+    got = {int((r.event_time - min(x.event_time for x in SK.read_history(spark, p).collect())).total_seconds()): r.speed_kmh for r in SK.read_history(spark, p).collect()}
+    assert got == {0: 0.0, 1: 1.0, 2: 2.0, 3: 99.0, 4: 4.0, 7: 99.0, 90_000: 99.0}
+
+
+def test_earlier_arrival_does_not_replace_a_later_one(spark):
+    p = _path("h")
+    SK.write_history(_reading(spark, [(1, 50, 10), (1, 60, 20)]), p)
+    SK.write_history(_reading(spark, [(1, 70, 15)]), p)
+    assert [r.speed_kmh for r in SK.read_history(spark, p).collect()] == [60.0]
+
+
+def test_replay_and_untouched_days(spark):
+    p = _path("h")
     t = TM.telemetry_light(spark, SF_SMALL)
-    SK.write_history(t, f"{base}/h")
-    SK.write_history(t, f"{base}/h")  # replay: same days overwritten, no duplicates
-    back = spark.read.parquet(f"{base}/h")
-    assert back.count() == t.count()
-    assert back.select("day").distinct().count() == t.select(F.to_date("event_time")).distinct().count()
+    SK.write_history(t, p, version=0)
+    SK.write_history(t.limit(3), p, version=0)  # replay of epoch 0: nothing happens
+    assert SK.read_history(spark, p).count() == t.count()
+    table = SK.history_table(spark, p)
+    day = str(t.agg(F.min(F.to_date("event_time"))).first()[0])
+    SK.write_history(t.where(F.to_date("event_time") == F.lit(day).cast("date")), p, version=1)
+    held = table._days(1)
+    assert [d for d, v in held.items() if v == 1] == [day] and len(held) > 3
+    SK.write_history(t.where(F.to_date("event_time") == F.lit(day).cast("date")), p, version=2)
+    # Version 0 lost that day; its other days are still in use.
+    assert not table._exists(f"{p}/data/v=0/_day={day}")
+    assert SK.read_history(spark, p).count() == t.count()
+    assert len(table.versions()) == 2
+
 
+def test_unreadable_state_fails_the_batch(spark):
+    p = _path("h")
+    SK.write_history(_reading(spark, [(1, 1, 0)]), p)
+    table = SK.history_table(spark, p)
+    day = next(iter(table._days(0)))
+    table._delete(f"{p}/data/v=0/_day={day}")
+    with pytest.raises(AnalysisException):
+        SK.write_history(_reading(spark, [(2, 2, 0)]), p)
+    assert table.versions() == [0]
 
-def test_write_fleet_windows(spark):
-    base = tempfile.mkdtemp(prefix="roadlens-fleet-")
+
+def test_half_written_version_is_not_read(spark):
+    p = _path("h")
+    SK.write_history(_reading(spark, [(1, 1, 0)]), p)
+    _reading(spark, [(1, 5, 9)]).write.parquet(f"{p}/data/v=1/_day=2024-01-01")
+    spark.range(1).write.parquet(f"{p}/commits/1")
+    table = SK.history_table(spark, p)
+    table._delete(f"{p}/commits/1/_SUCCESS")
+    assert table.versions() == [0]
+    SK.write_history(_reading(spark, [(2, 2, 0)]), p)
+    assert sorted(r.speed_kmh for r in SK.read_history(spark, p).collect()) == [1.0, 2.0]
+
+
+def test_rows_without_a_day_are_refused(spark):
+    table = KeyedTable(spark, _path("h"), F.to_date("event_time"))
+    bad = _reading(spark, [(1, 1, 0)]).withColumn("event_time", F.lit(None).cast("timestamp_ntz"))
+    with pytest.raises(ValueError, match="day"):
+        table.commit(bad, last_write(["vehicle_id"], ["arrival_time"]))
+    assert SK.read_history(spark, table.path) is None
+
+
+def test_columns_of_one_row_from_two_writers(spark):
+    p = _path("w")
+    keys = ["vehicle_id", "window_start"]
+    rows = lambda v: spark.createDataFrame([(k, dt.datetime(2024, 1, 1), a, h) for k, a, h in v], "vehicle_id string, window_start timestamp_ntz, a double, h long")
+    SK.write_columns(rows([("x", 1.0, None), ("y", 2.0, None)]), p, keys, ["a"])
+    SK.write_columns(rows([("y", None, 5), ("z", None, 6)]), p, keys, ["h"])
+    SK.write_columns(rows([("x", 7.0, None)]), p, keys, ["a"])
+    got = {r.vehicle_id: (r.a, r.h) for r in SK.read_history(spark, p).collect()}
+    assert got == {"x": (7.0, None), "y": (2.0, 5), "z": (None, 6)}
+
+
+def test_fleet_windows_in_two_writes(spark):
+    p = _path("f")
     fw = W.fleet_windows(TM.telemetry_light(spark, SF_SMALL), TM.driving_events(spark, SF_SMALL), "7200 seconds", "1800 seconds")
-    SK.write_fleet_windows(fw, f"{base}/f")
-    assert spark.read.parquet(f"{base}/f").count() == fw.count()
+    early = F.hour("window_start") < 12
+    SK.write_fleet_windows(fw.where(early), p)
+    SK.write_fleet_windows(fw.where(~early), p)
+    SK.write_fleet_windows(fw, p)
+    got = SK.read_history(spark, p)
+    assert got.count() == fw.count() and got.exceptAll(fw.select(*got.columns)).count() == 0
 
 
 def test_windowed_accepts_pandas_grouped_agg(spark):
@@ -42,13 +127,18 @@ def test_windowed_accepts_pandas_grouped_agg(spark):
     assert got == [0.0, 30.0]
 
 
-def test_start_pipeline_runs_all_sinks(spark):
-    base = tempfile.mkdtemp(prefix="roadlens-pipe-")
-    es = ST.events_stream(spark, SF_SMALL)
-    qs = ST.start_pipeline(spark, es, f"{base}/out", width="3600 seconds", trigger={"availableNow": True})
-    for q in qs:
-        q.awaitTermination()
-    assert spark.read.parquet(f"{base}/out/telemetry_history").count() == TM.read_table(spark, SF_SMALL, "events").count()
-    assert spark.read.parquet(f"{base}/out/vehicle_windows").count() > 0
-    assert spark.read.parquet(f"{base}/out/late_records").count() > 0
-    assert SK.read_newest_epoch(spark, f"{base}/out/latest_state").count() == TM.vehicles(spark, SF_SMALL).count()
+def test_pipeline_fills_all_sinks(spark):
+    root = QS.pipeline_root(spark, SF_SMALL)
+    n = TM.read_table(spark, SF_SMALL, "events").count()
+    history = SK.read_history(spark, f"{root}/telemetry_history")
+    bad = spark.read.parquet(f"{root}/quarantine").count()
+    assert history.count() + bad == n and bad > 0
+    assert len(history.columns) == 19  # 18 fields and the time of arrival
+    assert SK.read_history(spark, f"{root}/event_history").count() == n
+    for name in ("vehicle_windows", "fleet_windows", "late_records"):
+        assert spark.read.parquet(f"{root}/{name}").count() > 0
+    assert ST.read_latest_state(spark, f"{root}/latest_state").count() == TM.vehicles(spark, SF_SMALL).count()
+
+
+def test_no_state_yet(spark):
+    assert ST.read_latest_state(spark, _path("l")) is None
