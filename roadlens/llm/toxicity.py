@@ -36,54 +36,58 @@ def held_out(doc_id: Column) -> Column:
 
 
 class BlockMaxIndex:
-    """Inverted index over example vectors in blocks of neighbours in order.
-    ``top`` gives the exact k largest cosines: blocks are visited by falling
-    upper bound until none can hold a better example."""
+    """Inverted index over example vectors in blocks of neighbours in order,
+    with each term's largest weight in each block. ``top`` gives the exact k
+    largest cosines: the blocks of the highest upper bounds are scored first,
+    then those whose bound reaches the k-th score; the rest cannot matter."""
 
-    def __init__(self, vectors: Sequence[dict[int, float]], ids: Sequence[int], n_terms: int, block: int = BLOCK):
+    def __init__(self, vectors: Sequence[dict[int, float]], ids: Sequence[int], block: int = BLOCK):
         order = sorted(range(len(vectors)), key=lambda i: (sorted(vectors[i]), ids[i]))
-        self.ids = [ids[i] for i in order]
-        self.order = order
+        self.order = np.array(order, np.int64)
+        self.ids = np.array([ids[i] for i in order], np.int64)
         self.block = block
+        self.n_blocks = -(-len(order) // block)
         lists: dict[int, list[tuple[int, float]]] = {}
         for at, i in enumerate(order):
             for t, w in vectors[i].items():
                 lists.setdefault(t, []).append((at, w))
-        n_blocks = -(-len(order) // block)
-        self.at = {t: np.array([p for p, _ in v]) for t, v in lists.items()}
+        self.at = {t: np.array([p for p, _ in v], np.int64) for t, v in lists.items()}
         self.weight = {t: np.array([w for _, w in v]) for t, v in lists.items()}
-        self.cut = {t: np.searchsorted(a, np.arange(n_blocks + 1) * block) for t, a in self.at.items()}
         self.most = {}
         for t, a in self.at.items():
-            m = np.zeros(n_blocks)
+            m = np.zeros(self.n_blocks)
             np.maximum.at(m, a // block, self.weight[t])
             self.most[t] = m
-        self.n_blocks = n_blocks
+
+    def _scored(self, q: dict[int, float], terms: list[int], blocks: np.ndarray, but: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """(places, cosines) of the examples in the marked blocks that share a term."""
+        score = np.zeros(self.n_blocks * self.block)
+        for t in terms:
+            a = self.at[t]
+            here = blocks[a // self.block]
+            score[a[here]] += q[t] * self.weight[t][here]
+        found = np.flatnonzero(score > 0)
+        if but is not None:
+            found = found[self.ids[found] != but]
+        return found, np.round(score[found], 12)
 
     def top(self, q: dict[int, float], k: int, but: int | None = None) -> list[tuple[float, int, int]]:
         """(cosine, id, index of the example) of the k nearest, ties to the
         smaller id; examples of cosine 0 are no neighbours; ``but`` is left out."""
-        terms = [t for t in q if t in self.at]
+        terms = sorted(t for t in q if t in self.at)
         if not terms:
             return []
-        bound = np.zeros(self.n_blocks)
-        for t in terms:
-            bound += q[t] * self.most[t]
-        best: list[tuple[float, int, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or (len(best) == k and bound[b] < -best[-1][0] - 1e-12):
-                break
-            score = np.zeros(self.block)
-            for t in terms:
-                lo, hi = self.cut[t][b], self.cut[t][b + 1]
-                score[self.at[t][lo:hi] - b * self.block] += q[t] * self.weight[t][lo:hi]
-            for j in np.flatnonzero(score > 0).tolist():
-                i = b * self.block + j
-                if self.ids[i] != but:
-                    best.append((-round(float(score[j]), 12), self.ids[i], self.order[i]))
-            best.sort()
-            del best[k:]
-        return [(-s, i, n) for s, i, n in best]
+        bound = sum(q[t] * self.most[t] for t in terms)
+        first = np.zeros(self.n_blocks, bool)
+        first[np.argsort(-bound, kind="stable")[: 1 + 2 * k // self.block]] = True
+        place, score = self._scored(q, terms, first & (bound > 0), but)
+        kth = np.partition(score, len(score) - k)[len(score) - k] if len(score) >= k else 0.0
+        more = ~first & (bound > 0) & (bound >= kth - 1e-9)
+        if more.any():
+            p2, s2 = self._scored(q, terms, more, but)
+            place, score = np.concatenate([place, p2]), np.concatenate([score, s2])
+        best = np.lexsort((self.ids[place], -score))[:k]
+        return [(float(score[i]), int(self.ids[place[i]]), int(self.order[place[i]])) for i in best]
 
 
 @dataclass
@@ -141,18 +145,24 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, toxic, text) -> one row per distinct word of each text."""
+    """(doc_id, toxic, text) -> one row per distinct word of each text, with
+    its count and its context, the words on both sides of its first place."""
     for b in batches:
-        ids, toxic, words, n = [], [], [], []
+        ids, toxic, words, n, context = [], [], [], [], []
         for i, t, text in zip(b.column("doc_id").to_pylist(), b.column("toxic").to_pylist(), b.column("text").to_pylist(), strict=True):
-            c = Counter(plain_words(text))
+            ws = plain_words(text)
+            c = Counter(ws)
+            around = {}
+            for before, w, after in zip([b"", *ws], ws, [*ws[1:], b""]):
+                around.setdefault(w, before + b" " + after)
             ids += [i] * len(c)
             toxic += [t] * len(c)
             words += c.keys()
             n += c.values()
+            context += [around[w] for w in c]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(toxic, pa.int32()), pa.array(words, pa.binary()), pa.array(n, pa.int64())],
-            names=["doc_id", "toxic", "word", "n"],
+            [pa.array(ids, pa.int64()), pa.array(toxic, pa.int32()), pa.array(words, pa.binary()), pa.array(n, pa.int64()), pa.array(context, pa.binary())],
+            names=["doc_id", "toxic", "word", "n", "context"],
         )
 
 
@@ -182,15 +192,17 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES, max_terms:
     the chosen terms are counted over all documents. Without examples of both
     labels the model knows no terms and every text gets the prior."""
     sample, there, n = examples(docs, labels, most)
-    words = sample.mapInArrow(_word_counts, "doc_id long, toxic int, word binary, n long").persist()
+    words = sample.mapInArrow(_word_counts, "doc_id long, toxic int, word binary, n long, context binary").persist()
     n0, n1 = n.get(0, 0), n.get(1, 0)
     prior = there.get(1, 0) / max(1, sum(there.values()))
-    nothing = ToxicModel({}, np.empty(0), BlockMaxIndex([], [], 0), [], prior, (np.array([0.0]), np.array([0.0])), prior, k)
+    nothing = ToxicModel({}, np.empty(0), BlockMaxIndex([], []), [], prior, (np.array([0.0]), np.array([0.0])), prior, k)
     if not n0 or not n1:
         words.unpersist()
         return nothing
+    # A term's weight of evidence: the contexts it has under each label.
+    # Copies of a text, near ones too, share their contexts and count once.
     a, b = F.sum(F.col("toxic")), F.sum(1 - F.col("toxic"))
-    per = words.groupBy("word").agg(a.alias("a"), b.alias("b")).where("a + b >= 3")
+    per = words.select("word", "context", "toxic").distinct().groupBy("word").agg(a.alias("a"), b.alias("b")).where("a + b >= 3")
     p = (F.col("a") + F.col("b")) / F.lit(float(n0 + n1))
     z = (F.col("a") / n1 - F.col("b") / n0) / F.sqrt(p * (1.0001 - p) * (1.0 / n0 + 1.0 / n1))
     # A term has to tell the labels apart and be commoner with label 1.
@@ -211,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES, max_terms:
     ids = sorted(held)
     vectors = [unit(held[i][1], idf) for i in ids]
     y = [held[i][0] for i in ids]
-    model = ToxicModel(terms, idf, BlockMaxIndex(vectors, ids, len(terms)), y, prior, (np.array([0.0]), np.array([0.0])), prior, k)
+    model = ToxicModel(terms, idf, BlockMaxIndex(vectors, ids), y, prior, (np.array([0.0]), np.array([0.0])), prior, k)
     # Each sampled example stands for as many labelled rows of its label.
     weight = {0: there[0] / n0, 1: there[1] / n1}
     blank1 = (n1 - sum(y)) * weight[1]

@@ -40,7 +40,7 @@ def test_index_is_exact():
     vectors = [vec() for _ in range(500)]
     ids = rng.sample(range(10**6), 500)
     for block in (1, 7, 64):
-        index = toxicity.BlockMaxIndex(vectors, ids, 30, block)
+        index = toxicity.BlockMaxIndex(vectors, ids, block)
         for _ in range(40):
             q, but = vec(), rng.choice([None, ids[3]])
             near = sorted(
