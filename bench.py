@@ -37,6 +37,11 @@ HEADLINE = [
     "decode_telemetry",
     "dedup_history",
     "stream_vehicle_windows",
+    "detect_events_posted_limit",
+    "stream_fleet_windows",
+    "stream_trip_sessions_ignition",
+    "stream_detect_events",
+    "stream_vehicle_windows_update",
 ]
 
 

@@ -16,8 +16,7 @@ all rows is spread over its buckets in the row stage; its cross-bucket
 window holds one row per bucket (bounded by its time span, not its rows).
 
 The fragment table is materialised once (reliable checkpoint in the shared
-folder) because it is read twice. :func:`session_rows` gives
-row-level session numbers (two ordered passes).
+folder) because it is read twice.
 """
 
 from __future__ import annotations
@@ -35,44 +34,9 @@ from roadlens.operators.ordered import (
     drop_bucket,
     order_key,
     time_bucket_id,
-    with_previous,
-    with_running,
 )
 
 
-def session_rows(
-    t: DataFrame,
-    gap_s: float = S.SESSION_GAP_S,
-    on_ignition: bool = True,
-    bucket_s: int = DEFAULT_BUCKET_S,
-    checkpoint: bool = False,
-) -> DataFrame:
-    """Telemetry rows with ``session_no`` (per vehicle) and ``step_km``.
-
-    ``checkpoint=True`` materialises the first pass in the shared checkpoint
-    folder, so the second pass's bucket summary reads it instead of
-    recomputing it."""
-    d = with_previous(t, KEY, ORDER, ["event_time", "lat", "lon", "ignition_on"], bucket_s=bucket_s, keep_bucket=True)
-    first = F.col("prev_event_time").isNull()
-    start = first | (seconds_between("event_time", "prev_event_time") > F.lit(float(gap_s)))
-    if on_ignition:
-        start = start | ~F.col("prev_ignition_on")
-    d = d.withColumn("is_start", start)
-    d = d.withColumn(
-        "step_km",
-        F.when(F.col("is_start"), F.lit(0).cast("decimal(18,6)")).otherwise(
-            exact_km(haversine_km("prev_lat", "prev_lon", "lat", "lon"))
-        ),
-    )
-    if checkpoint:
-        from roadlens.session import cut_lineage
-
-        d = cut_lineage(d)
-    # Second pass reuses the bucket column: its rows are already partitioned by (vehicle, bucket).
-    d = with_running(d, KEY, ORDER, F.col("is_start").cast("long"), "session_no", bucket_s=bucket_s)
-    return drop_bucket(d.drop("prev_event_time", "prev_lat", "prev_lon", "prev_ignition_on"), bucket_s)
-
-
 def session_fragments(
     t: DataFrame, gap_s: float = S.SESSION_GAP_S, on_ignition: bool = True, bucket_s: int = DEFAULT_BUCKET_S
 ) -> DataFrame:

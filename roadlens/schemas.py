@@ -38,7 +38,6 @@ IDLING_THRESHOLD_S = 120.0
 IDLE_SPEED_MPS = 0.5
 HEADING_MIN_SPEED_MPS = 0.6
 FUEL_LOW_PCT = 10.0
-FUEL_LOW_RESET_PCT = 15.0
 REFUEL_BELOW_PCT = 30.0
 
 # Windowing.
@@ -83,7 +82,6 @@ CITY_BOXES = {
     "Jakarta": (-6.30, -6.10, 106.70, 106.95),
     "Bandung": (-7.00, -6.85, 107.55, 107.70),
 }
-CITY_AMBIENT_C = {"Jakarta": 31.0, "Bandung": 25.0}
 
 # Fault-code catalog: code, description, severity, eligible engine types.
 DTC_CATALOG = (
