@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +17,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Arrow batches of fewer rows for what runs inside: rows that hold whole
+    texts make large ones, which JVM and Python worker keep side by side."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Scratch:
     """Tables of one operator run in the shared folder that
     ``spark.checkpoint.dir`` names. ``keep`` writes a table and reads it back
@@ -30,9 +46,16 @@ class Scratch:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         act(p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p)
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, free: bool = False) -> DataFrame:
+        """``free``: the step moved much data. Its shuffle files are of no use
+        any more; Spark deletes them once the JVM has noticed that nothing
+        refers to them, which this asks it to do now."""
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        with small_batches(self.spark):
+            df.write.mode("overwrite").parquet(path)
+        if free:
+            gc.collect()
+            self.spark._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

@@ -1,5 +1,5 @@
 """Prefix lists for set-similarity joins: which sets share one of the first
-tokens of the global order, most of the lists of one already gone."""
+tokens of the global order, lists of one set left out."""
 
 from __future__ import annotations
 
@@ -10,13 +10,111 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-POSTING = "token long, salt int, k1 long, n int, left int"
-LISTED = POSTING + ", lead long, lead_n int, lead_left int"
-_NAMES = ["token", "salt", "k1", "n", "left"]
+from roadlens.llm.common import small_batches
+from roadlens.llm.text import mix
 
+PACKED = "part int, postings binary"
+LISTED = "token long, salt int, k1 long, n int, left int, lead long, lead_n int, lead_left int"
+PAIR = -1  # salt of a row that is a pair of sets, k1 and lead, and not a posting
+PER_PART = 300_000  # postings that one task sorts at a time
 
-def batch(names: list[str], columns: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+class Frequent:
+    """The most frequent tokens of a corpus with their counts, by the upper
+    half of their hashes. Everything else counts as rare; as any order serves,
+    tokens that share their upper half do no harm."""
+
+    def __init__(self, upper: np.ndarray, count: np.ndarray):
+        o = np.argsort(upper)
+        self.upper, self.count = upper[o].astype(np.uint32), count[o].astype(np.int64)
+        self._slot: np.ndarray | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_slot": None}
+
+    def counts(self, tokens: np.ndarray) -> np.ndarray:
+        """Counts of the tokens, 0 for rare ones: a table by the first 20 bits
+        has where their run starts, and runs are short."""
+        out = np.zeros(len(tokens), np.int64)
+        if not len(self.upper):
+            return out
+        if self._slot is None:
+            self._slot = np.searchsorted(self.upper >> np.uint32(12), np.arange((1 << 20) + 1)).astype(np.int32)
+        top = (tokens >> np.uint64(32)).astype(np.uint32)
+        slot = top >> np.uint32(12)
+        at, end = self._slot[slot], self._slot[slot + 1]
+        left = np.flatnonzero(at < end)
+        while len(left):
+            here = at[left]
+            same = self.upper[here] == top[left]
+            out[left[same]] = self.count[here[same]]
+            left = left[~same]
+            at[left] += 1
+            left = left[at[left] < end[left]]
+        return out
+
+
+class Counter:
+    """Counts tokens in a task and packs them: per part of the hash range the
+    gaps of the sorted upper halves and their counts, as byte planes: some two
+    bytes a distinct token."""
+
+    def __init__(self, parts: int, limit: int = 1_000_000):
+        self.parts, self.limit = parts, limit
+        self.held: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, tokens: np.ndarray) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+        self.held.append((tokens >> np.uint64(32)).astype(np.uint32))
+        self.size += len(tokens)
+        if self.size >= self.limit:
+            yield self.packed()
+
+    def packed(self) -> tuple[np.ndarray, list[bytes]]:
+        v = np.sort(np.concatenate(self.held)) if self.held else np.empty(0, np.uint32)
+        self.held, self.size = [], 0
+        first = np.flatnonzero(np.concatenate(([True], v[1:] != v[:-1]))) if len(v) else np.empty(0, np.int64)
+        times = np.diff(np.append(first, len(v))).astype("<u4")
+        v = v[first]
+        cut = np.searchsorted(v, np.linspace(0, 1 << 32, self.parts + 1).astype(np.uint64))
+        some = np.flatnonzero(np.diff(cut))
+        blobs = []
+        for p in some.tolist():
+            s = slice(cut[p], cut[p + 1])
+            blobs.append(_planes(np.diff(v[s].astype(np.uint64), prepend=np.uint64(0)).astype("<u4")) + _planes(times[s]))
+        return some.astype(np.int32), blobs
+
+
+COUNTED = "part int, counts binary"
+
+
+def most_frequent(counted: DataFrame, parts: int, most: int) -> Frequent:
+    """The ``most`` most frequent tokens of packed counts ``(part, counts)``.
+    Each part sends its own largest, so what the driver gets is bounded by
+    about twice ``most``."""
+    keep = -(-2 * most // parts) + 64
+
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        upper, times = [], []
+        for b in batches:
+            for x in b.column("counts"):
+                buf = memoryview(x.as_buffer())
+                gaps, at = _unplanes(buf, 0, len(buf) // 8, "<u4")
+                upper.append(np.cumsum(gaps, dtype=np.uint64).astype(np.uint32))
+                times.append(_unplanes(buf, at, len(buf) // 8, "<u4")[0])
+        v, t = np.concatenate(upper), np.concatenate(times)
+        o = np.argsort(v, kind="stable")
+        v, t = v[o], t[o]
+        first = np.flatnonzero(np.concatenate(([True], v[1:] != v[:-1])))
+        n = np.add.reduceat(t.astype(np.int64), first)
+        some = np.flatnonzero(n > 1)
+        if len(some) > keep:
+            some = some[np.argpartition(n[some], len(some) - keep)[-keep:]]
+        yield pa.RecordBatch.from_arrays([pa.array(v[first[some]].astype(np.int64)), pa.array(n[some])], names=["token", "n"])
+
+    with small_batches(counted.sparkSession):
+        top = counted.groupBy("part").applyInArrow(run, "token long, n long").orderBy(F.desc("n"), "token").limit(most).toPandas()
+    return Frequent(top["token"].to_numpy().astype(np.uint32), top["n"].to_numpy())
 
 
 def prefix_size(n: np.ndarray | int, similar: tuple[int, int]) -> np.ndarray | int:
@@ -34,53 +132,183 @@ def possible(n: Column, left: Column, m: Column, m_left: Column, similar: tuple[
     return (num + den) * most >= num * (n.cast("long") + m.cast("long"))
 
 
-def lists(postings: DataFrame) -> DataFrame:
-    """Postings ``(token, salt, k1, n, left)`` of tokens that several sets
-    hold, each with its list's leader: the set with the largest share still
-    to come. One sort by token; a list streams through in constant memory and
-    rows of equal sets are one. Lists of one, most of all, end here, unless
-    they are part of a list dealt over salts (salt > 0)."""
-    p = postings.withColumn("drop", -(F.col("left") / F.col("n"))).repartition("token", "salt").sortWithinPartitions("token", "salt", "drop", "k1")
+def salts(count: np.ndarray, k1: np.ndarray, hot: int) -> np.ndarray:
+    """0, or for tokens of more than ``hot`` sets a number from 1 on that
+    deals their sets over tasks."""
+    many = -(-count // hot)
+    return np.where(many > 1, 1 + k1 % np.maximum(many, 1), 0).astype(np.int32)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None  # the last row read, not sent yet
-        alone = True  # whether it is all that its list has so far
-        lead: tuple = ()
-        for b in batches:
-            col = [b.column(c).to_numpy() for c in _NAMES]
-            if not len(col[0]):
-                continue
-            if held is not None:
-                col = [np.concatenate((h, c)) for h, c in zip(held, col, strict=True)]
-            new = _starts(col)
-            same = np.concatenate(([False], (col[2][1:] == col[2][:-1]) & ~new[1:]))
-            if same.any():
-                col = [c[~same] for c in col]
-                new = _starts(col)
-            token, salt, k1, n, left = col
-            first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-            of = [k1[first], n[first], left[first]]
-            goes_on = held is not None and not alone  # the first list began in an earlier batch
-            if goes_on:
-                of = [np.where(first == 0, v, x) for v, x in zip(lead, of, strict=True)]
-            single = new & np.append(new[1:], False) & (salt == 0)
-            if goes_on:
-                single[0] = False
-            single[-1] = True  # unknown: held back
-            i = np.flatnonzero(~single)
-            if len(i):
-                yield batch([*_NAMES, "lead", "lead_n", "lead_left"], [x[i] for x in (*col, *of)])
-            alone = bool(new[-1]) and (len(new) > 1 or not goes_on)
-            lead = tuple(x[-1] for x in of)
-            held = [c[-1:] for c in col]
-        if held is not None and (not alone or held[1][0] > 0):
-            yield batch([*_NAMES, "lead", "lead_n", "lead_left"], [*held, *[np.array([x]) for x in lead]])
-
-    return p.select(*_NAMES).mapInArrow(run, LISTED)
-
-
-def _starts(col: list[np.ndarray]) -> np.ndarray:
-    token, salt = col[0], col[1]
+
+def _planes(a: np.ndarray) -> bytes:
+    """Byte planes: what the shuffle's compression makes little of."""
+    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes()
+
+
+def _unplanes(buf: memoryview, at: int, n: int, kind: str) -> tuple[np.ndarray, int]:
+    w = np.dtype(kind).itemsize
+    a = np.frombuffer(buf, np.uint8, n * w, at).reshape(w, n)
+    return np.ascontiguousarray(a.T).view(kind).ravel(), at + n * w
+
+
+def parity(tokens: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """64-bit parity map of each set: every token flips one bit. Two maps
+    differ in no more bits than their sets in tokens."""
+    if not len(tokens):
+        return np.zeros(len(start), np.uint64)
+    return np.bitwise_xor.reduceat(np.uint64(1) << (mix(tokens) >> np.uint64(58)), start)
+
+
+def pack(token: np.ndarray, salt: np.ndarray, owner: np.ndarray, left: np.ndarray, k1: np.ndarray, n: np.ndarray, parts: int,
+         bits: np.ndarray | None = None) -> pa.RecordBatch:
+    """Postings as one row per part: ``owner`` points into the sets' names
+    ``k1``, sizes ``n`` and, if given, parity maps. A token's part is its
+    place in the hash range, moved on by its salt."""
+    bits = np.zeros(len(k1), np.uint64) if bits is None else bits
+    wide = token >> np.uint64(32)
+    part = ((wide * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+    part = np.where(salt > 0, (part + salt.astype(np.int64) * 7919) % parts, part)
+    # Without salts the parts lie in the order of the tokens.
+    o = np.lexsort((token, part)) if salt.any() else np.argsort(token)
+    token, salt, owner, left, part = token[o], salt[o], owner[o], left[o], part[o]
+    cut = np.searchsorted(part, np.arange(parts + 1))
+    which, blobs = [], []
+    for p in np.flatnonzero(np.diff(cut)).tolist():
+        s = slice(cut[p], cut[p + 1])
+        own, idx = np.unique(owner[s], return_inverse=True)
+        head = np.array([s.stop - s.start, len(own)], "<u4").tobytes()
+        gaps = np.diff(token[s], prepend=np.uint64(0))
+        which.append(p)
+        blobs.append(b"".join([
+            head, _planes(gaps), _planes(salt[s].astype("<u2")), _planes(idx.astype("<u4")), _planes(left[s].astype("<u4")),
+            _planes(k1[own].astype("<i8")), _planes(n[own].astype("<u4")), _planes(bits[own]),
+        ]))
+    return pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array(blobs, pa.binary())], names=["part", "postings"])
+
+
+def _unpack(blob: memoryview) -> list[np.ndarray]:
+    m, d = np.frombuffer(blob, "<u4", 2)
+    gaps, at = _unplanes(blob, 8, m, "<u8")
+    salt, at = _unplanes(blob, at, m, "<u2")
+    idx, at = _unplanes(blob, at, m, "<u4")
+    left, at = _unplanes(blob, at, m, "<u4")
+    k1, at = _unplanes(blob, at, d, "<i8")
+    n, at = _unplanes(blob, at, d, "<u4")
+    bits, at = _unplanes(blob, at, d, "<u8")
+    return [np.cumsum(gaps, dtype=np.uint64), salt.astype(np.int32), k1[idx], n[idx].astype(np.int32), left.astype(np.int32), bits[idx]]
+
+
+def lists(packed: DataFrame, similar: tuple[int, int], pair_list: int = 0) -> DataFrame:
+    """Postings of tokens that several sets hold, each with its list's leader:
+    the set with the largest share of itself still to come. Equal sets are
+    one. Postings that the filters leave no partner in their list end here,
+    lists of one, most of all, among them; not so those of lists dealt over
+    salts, whose partners may be elsewhere.
+
+    Lists of up to ``pair_list`` postings come as their pairs (salt PAIR) that
+    pass length, positional and parity filters."""
+
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [_unpack(memoryview(x.as_buffer())) for b in batches for x in b.column("postings")]
+        rows = [np.concatenate(c) for c in zip(*got, strict=True)]
+        got.clear()
+        # Lists of one go first: parts of a list come sorted, so this merges.
+        o = np.argsort(rows[0], kind="stable")
+        t = rows[0][o]
+        twice = np.concatenate(([False], t[1:] == t[:-1])) if len(t) else np.empty(0, bool)
+        twice[:-1] |= twice[1:]
+        rows = _chosen(rows, o[twice | (rows[1][o] > 0)])
+        rows = _chosen(rows, np.lexsort((rows[2], rows[1], rows[0])))
+        rows = _chosen(rows, _starts(*rows[:2]) | (np.diff(rows[2], prepend=0) != 0))
+        new = _starts(*rows[:2])
+        if not len(new):
+            return
+        of = np.cumsum(new) - 1
+        size = np.bincount(of)[of]
+        short = (size <= pair_list) & (rows[1] == 0)
+        if short.any():
+            a, b = _pairs(*_chosen(rows, short)[2:], of[short], similar)
+            none = np.zeros(len(a), np.int32)
+            yield _listed(np.zeros(len(a), np.int64), none + PAIR, a, none, none, b, none, none)
+        rows = _chosen(rows, ~short)
+        rows = _chosen(rows, _has_partner(*rows[:5], similar))
+        if not len(rows[0]):
+            return
+        size = np.bincount(np.cumsum(_starts(*rows[:2])) - 1)[np.cumsum(_starts(*rows[:2])) - 1]
+        rows = _chosen(rows, (size > 1) | (rows[1] > 0))
+        token, salt, k1, n, left, _ = _chosen(rows, np.lexsort((rows[2], -(rows[4] / np.maximum(rows[3], 1)), rows[1], rows[0])))
+        new = _starts(token, salt)
+        if len(new):
+            f = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+            yield _listed(token.view(np.int64), salt, k1, n, left, k1[f], n[f], left[f])
+
+    return packed.groupBy("part").applyInArrow(run, LISTED)
+
+
+def _listed(*cols: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=[x.split()[0] for x in LISTED.split(", ")])
+
+
+def _pairs(k1: np.ndarray, n: np.ndarray, left: np.ndarray, bits: np.ndarray, of: np.ndarray, similar: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs, smaller name first, of rows of one list (``of``) that
+    pass the filters: overlap o of sets n, m needs (num + den) o >= num (n + m),
+    so they differ in n + m - 2 o <= (den - num) (n + m) / (num + den) tokens."""
+    num, den = similar
+    n, left = n.astype(np.int64), left.astype(np.int64)
+    found = [np.empty((0, 2), np.int64)]
+    i = np.arange(len(of))
+    step = 1
+    while True:
+        i = i[i + step < len(of)]
+        i = i[of[i + step] == of[i]]
+        if not len(i):
+            break
+        j = i + step
+        ok = (num + den) * np.minimum(left[i], left[j]) >= num * (n[i] + n[j])
+        ok &= (num + den) * np.bitwise_count(bits[i] ^ bits[j]).astype(np.int64) <= (den - num) * (n[i] + n[j])
+        x, y = k1[i[ok]], k1[j[ok]]
+        found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
+        step += 1
+    p = np.unique(np.concatenate(found), axis=0)
+    return p[:, 0], p[:, 1]
+
+
+def _chosen(rows: list[np.ndarray], i: np.ndarray) -> list[np.ndarray]:
+    return [c[i] for c in rows]
+
+
+def _has_partner(token: np.ndarray, salt: np.ndarray, k1: np.ndarray, n: np.ndarray, left: np.ndarray, similar: tuple[int, int]) -> np.ndarray:
+    """False where no other row of the list can pass the filters. Sets n, m
+    pass if (num + den) * min(left, left') >= num * (n + m), that is if each
+    is no larger than the room u = (num + den) / num * left - n of the other;
+    a partner of size at most u, and one with room for n, must be there."""
+    if not len(token):
+        return np.empty(0, bool)
+    num, den = similar
+    room = ((num + den) * left.astype(np.int64)) // num - n
+    of = np.cumsum(_starts(token, salt)) - 1
+    small = _other_extreme(n.astype(np.int64), of)
+    wide = -_other_extreme(-room, of)
+    return (salt > 0) | ((small <= room) & (wide >= n))
+
+
+def _other_extreme(v: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """For each element the smallest of its group's others; the largest value
+    there is if it is alone. ``of`` numbers the groups in rising order."""
+    o = np.lexsort((v, of))
+    g = of[o]
+    first = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
+    second = first + 1
+    there = (second < len(g)) & (g[np.minimum(second, len(g) - 1)] == g[first])
+    lowest = v[o][first]
+    next_ = np.where(there, v[o][np.minimum(second, len(g) - 1)], np.iinfo(np.int64).max)
+    out = lowest[of]
+    out[o[first]] = next_
+    return out
+
+
+def _starts(token: np.ndarray, salt: np.ndarray) -> np.ndarray:
+    if not len(token):
+        return np.empty(0, bool)
     return np.concatenate(([True], (token[1:] != token[:-1]) | (salt[1:] != salt[:-1])))
 
 

@@ -1,28 +1,33 @@
-"""Word, line and shingle helpers that run on Arrow/pandas batches inside tasks.
+"""Words, lines and shingles of Arrow text columns, hashed with numpy.
 
 Words come in two kinds, both after lower-casing A-Z only:
 
 * *space words*: runs of anything but space and \\t \\n \\v \\f \\r
 * *plain words*: runs of 0-9, a-z and every non-ASCII character
 
-Hashes are xxh3 64-bit values of the word's UTF-8 bytes; shingles mix five of
-them in order. Equal sets of hashes stand for equal sets of words.
+A space word's hash is 64 bits: a polynomial over random values of its bytes,
+mixed; it depends on the word alone. A shingle mixes the hashes of five words
+in order. Equal sets of hashes stand for equal sets of words.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
+import zstandard
+from pyspark.sql import DataFrame
 
 _PLAIN = bytes(
     c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A else 0x20
     for c in range(256)
 )
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-_MIX2 = np.uint64(0xD6E8FEB86659FD93)
-_CACHE_MAX = 400_000
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_BASE = 0x5851F42D4C957F2D  # odd
+_PIECE = 1 << 18
 
 
 def utf8(text: str | None) -> bytes:
@@ -30,43 +35,152 @@ def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 
-def space_words(text: str | None) -> list[bytes]:
-    return utf8(text).lower().split()
-
-
 def plain_words(text: str | None) -> list[bytes]:
     return utf8(text).translate(_PLAIN).split()
 
 
-class WordHashes(dict):
-    """word -> 64-bit hash, remembered for frequent words; bounded."""
+def mix(h: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        h = (h ^ (h >> np.uint64(32))) * _K1
+        h = (h ^ (h >> np.uint64(29))) * _K2
+        return h ^ (h >> np.uint64(32))
+
+
+def packed_texts(docs: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys`` and the text, compressed for a shuffle (``packed``): some two
+    thirds of what the shuffle's own compression makes of it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zip_ = zstandard.ZstdCompressor(level=1).compress
+        for b in batches:
+            raw, o = utf8_column(b.column("text"))
+            view = memoryview(raw)
+            blobs = [zip_(view[x:y]) for x, y in zip(o[:-1].tolist(), o[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in keys], pa.array(blobs, pa.binary())], names=[*keys, "packed"])
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHE_MAX:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+    d = docs.select(*keys, "text")
+    schema = ", ".join(f"{k} {d.schema[k].dataType.simpleString()}" for k in keys)
+    return d.mapInArrow(run, f"{schema}, packed binary")
 
-    def array(self, words: Sequence[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
+def unpacked(col: pa.Array) -> pa.Array:
+    """The texts of a column of :func:`packed_texts`."""
+    unzip = zstandard.ZstdDecompressor().decompress
+    return pa.array([unzip(x.as_buffer()).decode("utf-8", "surrogatepass") for x in col], pa.string())
 
-def shingles(words: np.ndarray, width: int = 5) -> np.ndarray:
-    """Sorted distinct hashes of the runs of ``width`` word hashes; shorter
-    sequences give one shingle, empty ones none."""
-    n = len(words)
-    if n == 0:
-        return np.empty(0, np.uint64)
-    k = min(width, n)
+
+def _byte_values() -> np.ndarray:
+    with np.errstate(over="ignore"):
+        v = mix(np.arange(1, 257, dtype=np.uint64) * _K1)
+    v[0x41:0x5B] = v[0x61:0x7B]  # A-Z as a-z
+    v[_SPACE] = 0
+    return v
+
+
+_VALUE = _byte_values()
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = max(n, _PIECE)
+        inverse = pow(_BASE, -1, 1 << 64)
+        with np.errstate(over="ignore"):
+            _POWERS[:] = [np.multiply.accumulate(np.r_[np.uint64(1), np.full(size - 1, b, np.uint64)]) for b in (_BASE, inverse)]
+    return _POWERS[0], _POWERS[1]
+
+
+def utf8_column(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a string column and the n + 1 offsets of its texts."""
+    wide = pa.types.is_large_string(col.type)
+    if col.null_count or not (wide or pa.types.is_string(col.type)):
+        col = col.cast(pa.string()).fill_null("")
+        wide = False
+    _, offsets, data = col.buffers()
+    o = np.frombuffer(offsets, np.int64 if wide else np.int32)[col.offset : col.offset + len(col) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+    return raw[o[0] : o[-1]], o - o[0]
+
+
+def slices(col: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
+    """Row ranges of a string column with about ``limit`` bytes each."""
+    _, o = utf8_column(col)
+    lo = 0
+    while lo < len(col):
+        hi = max(lo + 1, int(np.searchsorted(o, o[lo] + limit, "right")) - 1)
+        yield lo, hi
+        lo = hi
+
+
+def _piece_hashes(raw: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and starts of the words of one piece; ``begins`` marks bytes
+    that start a text."""
+    word = ~_SPACE[raw]
+    first = word.copy()
+    first[1:] &= ~word[:-1] | begins[1:]
+    last = word.copy()
+    last[:-1] &= ~word[1:] | begins[1:]
+    s, e = np.flatnonzero(first), np.flatnonzero(last)
+    up, down = _powers(len(raw))
+    with np.errstate(over="ignore"):
+        total = np.cumsum(_VALUE[raw] * up[: len(raw)])
+        before = np.where(s > 0, total[s - 1], np.uint64(0))
+        h = (total[e] - before) * down[s]
+        return mix(h + (e - s + 1).astype(np.uint64) * _K2), s
+
+
+def space_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the space words of all texts and where each starts. Work goes
+    in pieces of a quarter megabyte, cut at white space or between texts."""
+    hashes, starts = [], []
+    n = len(raw)
+    begins = np.zeros(n + 1, bool)
+    begins[offsets] = True
+    lo = 0
+    while lo < n:
+        hi = min(n, lo + _PIECE)
+        while hi < n and not begins[hi] and not _SPACE[raw[hi]]:
+            hi += 1
+        h, s = _piece_hashes(raw[lo:hi], begins[lo:hi])
+        hashes.append(h)
+        starts.append(s + lo)
+        lo = hi
+    if not hashes:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(starts)
+
+
+def shingle_sets(col: pa.Array, width: int = 5) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct hashes of its runs of ``width`` words;
+    a shorter text gives one, its whole sequence, an empty one none."""
+    for lo, hi in slices(col):
+        yield from _shingles(col.slice(lo, hi - lo), width)
+
+
+def _shingles(col: pa.Array, width: int) -> Iterator[np.ndarray]:
+    raw, offsets = utf8_column(col)
+    words, starts = space_hashes(raw, offsets)
+    cut = np.searchsorted(starts, offsets)
+    run = chain_hash([words[i : len(words) - width + 1 + i] for i in range(width)], width) if len(words) >= width else words[:0]
+    for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+        if hi - lo >= width:
+            h = np.sort(run[lo : hi - width + 1])
+            yield h[np.concatenate(([True], h[1:] != h[:-1]))]
+        elif hi > lo:
+            yield chain_hash([words[i : i + 1] for i in range(lo, hi)], hi - lo)
+        else:
+            yield words[:0]
+
+
+def chain_hash(parts: list[np.ndarray], n: int) -> np.ndarray:
+    """Element by element one hash of ``n`` hashes in order."""
     with np.errstate(over="ignore"):
-        h = np.full(n - k + 1, k, np.uint64)
-        for i in range(k):
-            h = (h ^ words[i : n - k + 1 + i]) * _MIX
+        h = np.full(len(parts[0]), n, np.uint64)
+        for p in parts:
+            h = (h ^ p) * _K1
             h ^= h >> np.uint64(29)
-        h = h * _MIX2
-        h ^= h >> np.uint64(32)
-    h.sort()
-    return h[np.concatenate(([True], h[1:] != h[:-1]))]
+    return mix(h)
 
 
 def set_key(hashes: np.ndarray) -> tuple[int, int]:
@@ -77,17 +191,3 @@ def set_key(hashes: np.ndarray) -> tuple[int, int]:
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
-
-
-def by_bytes(texts: Iterable[str | None], limit: int) -> Iterator[list[int]]:
-    """Positions of ``texts`` in runs of about ``limit`` bytes each."""
-    run: list[int] = []
-    size = 0
-    for i, t in enumerate(texts):
-        run.append(i)
-        size += len(t or "") + 16
-        if size >= limit:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run

@@ -1,3 +1,5 @@
+"""Tables and fixtures of the training-data tests (``spark`` comes from the\nfolder above)."""
+
 import pytest
 
 from roadlens.llm.queries import PIECE_MODEL, model_path

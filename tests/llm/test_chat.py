@@ -1,7 +1,7 @@
 import hashlib
 
 import duckdb
-from conftest import SF
+from llm_fixtures import SF
 from pyspark.sql import functions as F
 
 from roadlens.llm import chat, queries

@@ -1,8 +1,8 @@
 import random
 import re
 
-from conftest import SF
 
+from llm_fixtures import SF, edge_docs, make_docs  # noqa: F401
 from roadlens.llm import license_scan as ls
 from roadlens.llm import queries
 

@@ -3,8 +3,8 @@ from collections import Counter, defaultdict
 import pytest
 
 from brute import space_words, targets
-from conftest import SF
 
+from llm_fixtures import SF, edge_docs, make_docs  # noqa: F401
 from roadlens.llm import mix
 
 

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 import sentencepiece
 from brute import component_ids, linked, removed_lines, shingle_set
-from conftest import SF
+from llm_fixtures import SF, piece_model  # noqa: F401
 from pyspark.sql import functions as F
 
 import corpus_pipeline

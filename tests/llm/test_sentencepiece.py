@@ -3,9 +3,9 @@ import struct
 import pytest
 import sentencepiece
 import xxhash
-from conftest import SF
 
 import numpy as np
+from llm_fixtures import SF, edge_docs, make_docs, piece_model  # noqa: F401
 from roadlens.llm import queries, sentencepiece_codec as codec
 
 

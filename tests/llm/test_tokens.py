@@ -1,8 +1,8 @@
 import numpy as np
 import pytest
 import sentencepiece
-from conftest import SF
 
+from llm_fixtures import SF, edge_docs, make_docs, piece_model  # noqa: F401
 from roadlens.llm import queries, token_counts
 
 

@@ -2,8 +2,8 @@ import random
 import zlib
 
 import numpy as np
-from conftest import SF
 
+from llm_fixtures import SF, edge_docs, make_docs  # noqa: F401
 from roadlens.llm import queries, toxicity
 
 

@@ -4,8 +4,8 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from brute import component_ids, cosine, good
-from conftest import SF
 
+from llm_fixtures import SF
 from roadlens.llm import ann, hnsw, queries
 
 VEC = "vec_id long, embedding array<float>, label int, v string, rep int, shard int"
