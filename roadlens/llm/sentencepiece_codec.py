@@ -143,12 +143,15 @@ class Codec:
             bytes([int(p[3:5], 16)]) if k == _BYTE else b"" if k == _CONTROL else " ⁇ ".encode() if k == _UNKNOWN else p.replace(MARK, " ").encode()
             for p, _, k in m.pieces
         ]
-        self.seen = _Numbers()
-        self.flat = np.empty(0, np.int32)
-        self.start = np.zeros(1, np.int64)
+        self.forget()
         # Space, then a lookahead for a non-space: the start of a marked word.
         self.words = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
 
+    def forget(self) -> None:
+        """Drops the words seen so far: a worker outlives its tasks, and what
+        one task learnt is not to fill the memory of the next stage."""
+        self.seen, self.flat, self.start = _Numbers(), np.empty(0, np.int32), np.zeros(1, np.int64)
+
     def normalise(self, text: str) -> str:
         if self.charsmap is not None:
             text = self.charsmap.normalize_str(text)
@@ -188,7 +191,7 @@ class Codec:
             done = self.tok.encode_batch_fast([self.normalise(t) for t in texts], add_special_tokens=False)
             return [np.asarray(e.ids, np.int32) for e in done]
         if len(self.seen) > _WORDS_MAX:
-            self.seen, self.flat, self.start = _Numbers(), np.empty(0, np.int32), np.zeros(1, np.int64)
+            self.forget()
         number = self.seen.__getitem__
         rows = [np.fromiter(map(number, ws), np.int64, len(ws)) for ws in map(self._marked, texts)]
         if self.seen.new:
@@ -215,6 +218,14 @@ def _codec(path: str, threads: int) -> Codec:
     return Codec(path, threads)
 
 
+def _until_done(batches: Iterator[pa.RecordBatch], codec: Codec) -> Iterator[pa.RecordBatch]:
+    try:
+        yield from batches
+    finally:
+        codec.forget()
+        pa.default_memory_pool().release_unused()
+
+
 @functools.lru_cache(maxsize=2)
 def _reference(path: str):
     import sentencepiece
@@ -250,7 +261,7 @@ def encode(docs: DataFrame, path: str, threads: int = 2, verify: bool = True) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(path, threads)
-        for b in batches:
+        for b in _until_done(batches, codec):
             texts = [t or "" for t in b.column("text").to_pylist()]
             for lo, hi in _groups(texts, GROUP_BYTES):
                 part = texts[lo:hi]
@@ -282,7 +293,7 @@ def encode_digest(docs: DataFrame, path: str, threads: int = 2, verify: bool = T
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(path, threads)
-        for b in batches:
+        for b in _until_done(batches, codec):
             texts = [t or "" for t in b.column("text").to_pylist()]
             for lo, hi in _groups(texts, GROUP_BYTES):
                 part = texts[lo:hi]
@@ -315,7 +326,7 @@ def with_tokens(docs: DataFrame, path: str, threads: int = 2) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(path, threads)
-        for b in batches:
+        for b in _until_done(batches, codec):
             texts = [t or "" for t in b.column("text").to_pylist()]
             for lo, hi in _groups(texts, GROUP_BYTES):
                 ids = codec.encode(texts[lo:hi])
