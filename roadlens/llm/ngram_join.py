@@ -22,152 +22,107 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.llm.common import Scratch, components
-from roadlens.llm.prefix import POSTING, batch as record_batch, common, possible, prefix_size
-from roadlens.llm.prefix import lists as prefix_lists
-from roadlens.llm.text import WordHashes, set_key, shingles, space_words
+from roadlens.llm.prefix import COUNTED, PACKED, PER_PART, Counter, Frequent, common, lists, most_frequent, pack, possible, prefix_size, salts
+from roadlens.llm.text import packed_texts, set_key, shingle_sets, unpacked
 
 WIDTH = 5
 SIMILAR = (4, 5)  # Jaccard threshold as a fraction
 HEAVY = 1 << 18  # frequent n-grams whose counts order the rest; a fixed bound
 FRAGMENTS = 4  # fragments of the global order that overlaps are counted in
-PER_COUNTER = 4_000_000  # n-grams that one counting task holds
+PER_COUNTER = 1_500_000  # n-grams that one counting task holds
 HOT_LIST = 20_000  # documents of one n-gram that one task links
 
 
-class Order:
-    """The global order: frequent n-grams (by the upper half of their hash)
-    with their counts; everything else counts as rare."""
+class Order(Frequent):
+    """The global order: rare n-grams by hash, then the frequent ones by count."""
 
-    def __init__(self, heavy: np.ndarray, count: np.ndarray, fragments: int, hot: int):
-        o = np.argsort(heavy)
-        self.heavy, self.count, self.fragments, self.hot = heavy[o], count[o], fragments, hot
-
-    def counts(self, grams: np.ndarray) -> np.ndarray:
-        if not len(self.heavy):
-            return np.zeros(len(grams), np.int64)
-        top = (grams >> np.uint64(32)).astype(np.uint32)
-        at = np.searchsorted(self.heavy, top)
-        at[at == len(self.heavy)] = 0
-        return np.where(self.heavy[at] == top, self.count[at], 0)
-
-    def segments(self, grams: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    def segments(self, grams: np.ndarray, fragments: int) -> Iterator[tuple[int, np.ndarray]]:
         """Sorted grams by fragment. Rare grams, nearly all of any corpus, are
         cut by hash; the frequent ones are the last fragment."""
         rare = self.counts(grams) == 0
-        last = self.fragments - 1
+        last = fragments - 1
         part = np.where(rare, (grams >> np.uint64(40)).astype(np.int64) % max(1, last), last)
         for f in np.unique(part).tolist():
             yield f, grams[part == f]
 
 
-def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    hashes = WordHashes()
-    for b in batches:
-        yield b, [shingles(hashes.array(space_words(t)), width) for t in b.column("text").to_pylist()]
-
-
 def _classes(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, n, k1, k2): set size and 128-bit name of every row's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, sets in _sets(batches, width):
-            keys = [set_key(s) for s in sets]
+        for b in batches:
+            named = [(len(s), *set_key(s)) for s in shingle_sets(b.column("text"), width)]
+            n, k1, k2 = (pa.array([x[i] for x in named], pa.int64()) for i in range(3))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64())],
+                [b.column("doc_id"), n, k1, k2],
                 names=["doc_id", "n", "k1", "k2"],
             )
 
     return docs.mapInArrow(run, "doc_id long, n long, k1 long, k2 long")
 
 
-def _frequent(docs: DataFrame, width: int, total: int, most: int, per_counter: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``most`` most frequent n-grams (upper 32 bits of the hash) and the
-    number of documents that hold them, over all documents. Tasks send sorted
-    32-bit values as byte planes of their gaps, cut by range: one to two bytes
-    an n-gram. Only order and speed depend on the result, so n-grams that
-    share their upper bits do no harm."""
+def _frequent(docs: DataFrame, width: int, total: int, most: int, per_counter: int) -> Order:
+    """The ``most`` most frequent n-grams and the number of documents that
+    hold them, over all documents."""
     parts = max(8, -(-total // per_counter))
-    edges = np.linspace(0, 1 << 32, parts + 1).astype(np.uint64)
-    keep = -(-2 * most // parts) + 64
-
-    def pack(chunk: list[np.ndarray]) -> pa.RecordBatch:
-        v = np.sort(np.concatenate(chunk))
-        cut = np.searchsorted(v, edges)
-        which, blobs = [], []
-        for p in range(parts):
-            part = v[cut[p] : cut[p + 1]]
-            if len(part):
-                gaps = np.diff(part, prepend=np.uint64(0)).astype("<u4")
-                which.append(p)
-                blobs.append(gaps.view(np.uint8).reshape(-1, 4).T.tobytes())
-        return pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array(blobs, pa.binary())], names=["part", "gaps"])
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk: list[np.ndarray] = []
-        size = 0
-        for _, sets in _sets(batches, width):
-            for s in sets:
-                chunk.append(s >> np.uint64(32))
-                size += len(s)
-                if size >= 3_000_000:
-                    yield pack(chunk)
-                    chunk, size = [], 0
-        if size:
-            yield pack(chunk)
-
-    def count(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vals = []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = Counter(parts)
+        batch = lambda x: pa.RecordBatch.from_arrays([pa.array(x[0], pa.int32()), pa.array(x[1], pa.binary())], names=["part", "counts"])
         for b in batches:
-            for blob in b.column("gaps").to_pylist():
-                planes = np.frombuffer(blob, np.uint8).reshape(4, -1)
-                vals.append(np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint64).astype(np.uint32))
-        v = np.sort(np.concatenate(vals))
-        first = np.flatnonzero(np.concatenate(([True], v[1:] != v[:-1])))
-        n = np.diff(np.append(first, len(v)))
-        some = np.flatnonzero(n > 1)
-        if len(some) > keep:
-            some = some[np.argpartition(n[some], len(some) - keep)[-keep:]]
-        yield pa.RecordBatch.from_arrays([pa.array(v[first[some]].astype(np.int64)), pa.array(n[some].astype(np.int64))], names=["gram", "n"])
-
-    blobs = docs.select("text").mapInArrow(send, "part int, gaps binary")
-    top = blobs.groupBy("part").applyInArrow(count, "gram long, n long").orderBy(F.desc("n"), "gram").limit(most).toPandas()
-    return top["gram"].to_numpy().astype(np.uint32), top["n"].to_numpy().astype(np.int64)
-
-
-def _postings(docs: DataFrame, width: int, similar: tuple[int, int], order: Broadcast) -> DataFrame:
-    """Start of every set in the global order: ``(token, salt, k1, n, left)``,
-    ``left`` being the n-grams from this one on. An n-gram that more than
-    ``hot`` documents hold is dealt over several salts, from 1 on."""
+            for s in shingle_sets(b.column("text"), width):
+                for x in counter.add(s):
+                    yield batch(x)
+        yield batch(counter.packed())
+
+    top = most_frequent(docs.select("text").mapInArrow(run, COUNTED), parts, most)
+    return Order(top.upper, top.count)
+
+
+def _postings(docs: DataFrame, width: int, similar: tuple[int, int], order: Broadcast, hot: int, parts: int) -> DataFrame:
+    """The start of every set in the global order, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         o = order.value
-        for b, sets in _sets(batches, width):
-            cols: list[list[np.ndarray]] = [[], [], [], [], []]
-            for s in sets:
+        cols: list[list[np.ndarray]] = [[], [], [], []]
+        names: list[int] = []
+        sizes: list[int] = []
+
+        def packed() -> pa.RecordBatch:
+            token, salt, owner, left = (np.concatenate(c) for c in cols)
+            return pack(token, salt, owner, left, np.array(names, np.int64), np.array(sizes, np.int64), parts)
+
+        for b in batches:
+            for s in shingle_sets(b.column("text"), width):
                 n = len(s)
                 if not n:
                     continue
                 c = o.counts(s)
-                at = np.lexsort((s, c))[: prefix_size(n, similar)]
+                # Rare ones are in hash order as they come; the rest follows.
+                some = np.flatnonzero(c)
+                at = np.concatenate([np.flatnonzero(c == 0), some[np.lexsort((s[some], c[some]))]])[: prefix_size(n, similar)]
                 k1 = set_key(s)[0]
-                cols[0].append(s[at].view(np.int64))
-                cols[1].append(np.where(c[at] > o.hot, 1 + k1 % np.maximum(1, -(-c[at] // o.hot)), 0).astype(np.int32))
-                cols[2].append(np.full(len(at), k1, np.int64))
-                cols[3].append(np.full(len(at), n, np.int32))
-                cols[4].append((n - np.arange(len(at))).astype(np.int32))
-            if cols[0]:
-                yield record_batch(["token", "salt", "k1", "n", "left"], [np.concatenate(c) for c in cols])
+                for col, v in zip(cols, (s[at], salts(c[at], np.int64(k1), hot), np.full(len(at), len(names)), n - np.arange(len(at))), strict=True):
+                    col.append(v)
+                names.append(k1)
+                sizes.append(n)
+                if len(names) >= 2_500:
+                    yield packed()
+                    cols, names, sizes = [[], [], [], []], [], []
+        if names:
+            yield packed()
 
-    return docs.select("text").mapInArrow(run, POSTING)
+    return docs.select("text").mapInArrow(run, PACKED)
 
 
-def _verified(pairs: DataFrame, segments: DataFrame, sizes: DataFrame, similar: tuple[int, int]) -> DataFrame:
+def _verified(pairs: DataFrame, segments: DataFrame, sizes: DataFrame, similar: tuple[int, int], fragments: int) -> DataFrame:
     """Those of ``pairs(a, b)`` that are similar. Segments of both sides meet
     fragment by fragment; partial overlaps are summed per pair."""
     num, den = similar
-    s = segments
-    left = pairs.join(s.select(F.col("k1").alias("a"), "fragment", F.col("grams").alias("x")), "a")
-    both = left.join(s.select(F.col("k1").alias("b"), "fragment", F.col("grams").alias("y")), ["b", "fragment"])
+    all_parts = F.explode(F.sequence(F.lit(0), F.lit(fragments - 1)))
+    p = pairs.select("a", "b", all_parts.alias("fragment"))
+    left = p.join(segments.select(F.col("k1").alias("a"), "fragment", F.col("grams").alias("x")), ["a", "fragment"])
+    both = left.join(segments.select(F.col("k1").alias("b"), "fragment", F.col("grams").alias("y")), ["b", "fragment"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,39 +164,40 @@ def ngram_components(docs: DataFrame, width: int = WIDTH, similar: tuple[int, in
     total = live.agg(F.sum("n")).first()[0] or 0
     sc = d.sparkSession.sparkContext
     real = d.where("doc_id IS NOT NULL")
-    grams, counts = _frequent(real, width, total, heavy, per_counter)
-    order = sc.broadcast(Order(grams, counts, fragments, hot))  # at most `heavy` n-grams
+    order = sc.broadcast(_frequent(real, width, total, heavy, per_counter))  # at most `heavy` n-grams
 
-    lists = scratch.keep(prefix_lists(_postings(real, width, similar, order)), "lists")
+    parts = max(16, -(-total // (5 * PER_PART)))
+    near = scratch.keep(lists(_postings(real, width, similar, order, hot, parts), similar), "lists", free=True)
     apart = possible(F.col("n"), F.col("left"), F.col("lead_n"), F.col("lead_left"), similar)
-    star = lists.where(apart & (F.col("k1") != F.col("lead"))).select(F.least("k1", "lead").alias("a"), F.greatest("k1", "lead").alias("b"))
+    star = near.where(apart & (F.col("k1") != F.col("lead"))).select(F.least("k1", "lead").alias("a"), F.greatest("k1", "lead").alias("b"))
     # Lists dealt over salts: each salt's leader is paired with the smallest.
-    heads = lists.where("k1 = lead").join(lists.where("salt > 0").select("token").distinct(), "token").select("token", "lead").distinct()
+    heads = near.where("k1 = lead").join(near.where("salt > 0").select("token").distinct(), "token").select("token", "lead").distinct()
     low = heads.groupBy("token").agg(F.min("lead").alias("low"))
     more = heads.join(low, "token").where("lead <> low").select(F.least("lead", "low").alias("a"), F.greatest("lead", "low").alias("b"))
     star = scratch.keep(star.union(more).distinct(), "star")
 
-    # Segments of every class that shares a posting with another.
-    wanted = lists.select("k1").distinct().join(reps, "k1").select(F.col("rep").alias("doc_id"))
+    sizes = reps.select("k1", "n").distinct()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         o = order.value
-        for _, sets in _sets(batches, width):
-            rows = [(set_key(s)[0], f, g.tobytes()) for s in sets if len(s) for f, g in o.segments(s)]
+        for b in batches:
+            rows = [(set_key(s)[0], f, g.tobytes()) for s in shingle_sets(unpacked(b.column("packed")), width) if len(s) for f, g in o.segments(s, fragments)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())],
                 names=["k1", "fragment", "grams"],
             )
 
-    texts = real.join(wanted, "doc_id", "left_semi").select("text")
-    segments = scratch.keep(texts.mapInArrow(cut, "k1 long, fragment int, grams binary"), "segments")
-    sizes = reps.select("k1", "n").distinct()
+    # Segments of one document of each class that has postings left.
+    wanted = near.select("k1").distinct().join(reps, "k1").select(F.col("rep").alias("doc_id"))
+    # Ids are hashed, so the texts needn't be sorted to meet them.
+    texts = packed_texts(real, ["doc_id"]).join(wanted.hint("shuffle_hash"), "doc_id", "left_semi").select("packed")
+    segments = scratch.keep(texts.mapInArrow(cut, "k1 long, fragment int, grams binary"), "segments", free=True)
 
-    links = scratch.keep(_verified(star, segments, sizes, similar), "links1")
+    links = scratch.keep(_verified(star, segments, sizes, similar, fragments), "links1", free=True)
     joined = scratch.keep(components(links, scratch, "cc1"), "joined")
     # Whatever its list's leader didn't bring together: pairs of one list whose
     # components differ, at least one of them not the leader's.
-    tagged = lists.join(joined.select(F.col("id").alias("k1"), "comp"), "k1", "left").withColumn("comp", F.coalesce("comp", "k1"))
+    tagged = near.join(joined.select(F.col("id").alias("k1"), "comp"), "k1", "left").withColumn("comp", F.coalesce("comp", "k1"))
     tagged = tagged.join(joined.select(F.col("id").alias("lead"), F.col("comp").alias("lead_comp")), "lead", "left")
     tagged = scratch.keep(tagged.withColumn("lead_comp", F.coalesce("lead_comp", "lead")).select("token", "salt", "k1", "n", "left", "comp", "lead_comp"), "tagged")
     salted = tagged.where("salt > 0").select("token").distinct().withColumn("salted", F.lit(True))
@@ -254,8 +210,8 @@ def ngram_components(docs: DataFrame, width: int = WIDTH, similar: tuple[int, in
     )
     rest = x.join(y, "token").where(meet).select(F.least("k1_x", "k1_y").alias("a"), F.greatest("k1_x", "k1_y").alias("b")).distinct()
     rest = scratch.keep(rest.join(star, ["a", "b"], "left_anti"), "rest")
-    more = _verified(rest, segments, sizes, similar)
-    links = scratch.keep(links.union(more), "links")
+    more = _verified(rest, segments.join(rest.select(F.explode(F.array("a", "b")).alias("k1")).distinct(), "k1", "left_semi"), sizes, similar, fragments)
+    links = scratch.keep(links.union(more), "links", free=True)
     comp = scratch.keep(components(links, scratch, "cc2"), "comp")
     scratch.drop("segments", "lists", "tagged", "star", "rest", "links1", "joined")
 
