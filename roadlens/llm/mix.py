@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from roadlens.llm.common import Scratch
+
 WEIGHTS = (1, 2, 3)
 CAP = 3
 
@@ -76,14 +78,17 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, seed:
 
 def emit(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, seed: str = "mix") -> DataFrame:
     """The mixture itself: every row of ``docs`` as often as :func:`mix` says,
-    with the columns of ``docs``. Rates come from one small table of sources,
-    so the texts stay where they were read."""
+    with the columns of ``docs``. Rates come from a table of one row per
+    source, written first: its size is then known, and the join broadcasts it
+    as long as it is under the session's threshold, so the texts stay where
+    they were read; beyond that it is a shuffled join."""
     sized = docs.select("source", n_words(F.col("text")).alias("size"))
     t = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
     t = t.select(
         F.col("source").alias("__of"),
         F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("__rate"),
     )
+    t = Scratch(docs.sparkSession, "mix").keep(t.coalesce(1), "rates")
     draw = (unit_hash(F.col("doc_id"), seed) < F.col("__rate") - F.floor("__rate")).cast("int")
     out = docs.join(t, docs["source"].eqNullSafe(t["__of"]))
     out = out.withColumn("__copies", F.floor("__rate").cast("int") + draw).where("__copies > 0")
