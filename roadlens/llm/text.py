@@ -151,6 +151,13 @@ def space_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return np.concatenate(hashes), np.concatenate(starts)
 
 
+def plain_hashes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the plain words of all texts and the row each is in."""
+    raw, offsets = utf8_column(col)
+    hashes, at = space_hashes(np.frombuffer(raw.tobytes().translate(_PLAIN), np.uint8), offsets)
+    return hashes, np.searchsorted(offsets, at, "right") - 1
+
+
 def shingle_sets(col: pa.Array, width: int = 5) -> Iterator[np.ndarray]:
     """For each text the sorted distinct hashes of its runs of ``width`` words;
     a shorter text gives one, its whole sequence, an empty one none."""

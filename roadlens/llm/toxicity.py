@@ -1,33 +1,39 @@
 """Toxicity scores from the nearest labelled examples.
 
-Examples and queries are TF-IDF vectors over the terms that tell the labels
-apart; the nearest examples by exact cosine are found with a block-max
-inverted index and vote by distance; the votes are calibrated on the examples.
+Examples and queries are TF-IDF vectors over all their words; words that are
+commoner with label 1 weigh more. The nearest examples by exact cosine are
+found with a block-max inverted index and vote by distance; the votes are
+calibrated on the examples.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.text import plain_words
+from roadlens.llm.text import plain_hashes, utf8
 
-# Bounds of what is learnt from: examples of each label, terms.
+# Bound of what is learnt from: examples of each label.
 MAX_EXAMPLES = 6000
-MAX_TERMS = 4096
-MIN_Z = 6.0
+# A word of this z-score for label 1 or less has its TF-IDF weight; one above
+# it has that times the square of their ratio.
+PLAIN_Z = 4.0
 NEIGHBOURS = 15
 PRIOR_VOTES = 0.25
 BLOCK = 64
+COMMON = 1024  # commonest terms, scored as a matrix
+QUERIES = 128  # texts that are scored at a time
 THRESHOLD = 0.7
 EVIDENCE = 3
+_SLACK = 1e-4  # float32 sums of unit vectors are nearer to the cosine
 
 
 def held_out(doc_id: Column) -> Column:
@@ -35,89 +41,188 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
+@dataclass
+class Rows:
+    """Sparse vectors: row i has ``term`` and ``weight`` from start[i] to start[i + 1]."""
+
+    start: np.ndarray
+    term: np.ndarray
+    weight: np.ndarray
+
+    @classmethod
+    def of(cls, vectors: Sequence[dict[int, float]]) -> Rows:
+        start = np.cumsum([0, *map(len, vectors)])
+        return cls(start, np.array([t for v in vectors for t in v], np.int64), np.array([w for v in vectors for w in v.values()], np.float64))
+
+    def __len__(self) -> int:
+        return len(self.start) - 1
+
+    def picked(self, rows: np.ndarray) -> Rows:
+        size = np.diff(self.start)[rows]
+        at = _ranges(self.start[rows], size)
+        return Rows(np.concatenate(([0], np.cumsum(size))), self.term[at], self.weight[at])
+
+
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first[i] .. first[i] + size[i] - 1 for every i, one after the other."""
+    ends = np.cumsum(size)
+    return np.arange(int(ends[-1]) if len(size) else 0) + np.repeat(first - (ends - size), size)
+
+
 class BlockMaxIndex:
-    """Inverted index over example vectors in blocks of neighbours in order,
-    with each term's largest weight in each block. ``top`` gives the exact k
-    largest cosines: the blocks of the highest upper bounds are scored first,
-    then those whose bound reaches the k-th score; the rest cannot matter."""
-
-    def __init__(self, vectors: Sequence[dict[int, float]], ids: Sequence[int], block: int = BLOCK):
-        order = sorted(range(len(vectors)), key=lambda i: (sorted(vectors[i]), ids[i]))
-        self.order = np.array(order, np.int64)
-        self.ids = np.array([ids[i] for i in order], np.int64)
-        self.block = block
-        self.n_blocks = -(-len(order) // block)
-        lists: dict[int, list[tuple[int, float]]] = {}
-        for at, i in enumerate(order):
-            for t, w in vectors[i].items():
-                lists.setdefault(t, []).append((at, w))
-        self.at = {t: np.array([p for p, _ in v], np.int64) for t, v in lists.items()}
-        self.weight = {t: np.array([w for _, w in v]) for t, v in lists.items()}
-        self.most = {}
-        for t, a in self.at.items():
-            m = np.zeros(self.n_blocks)
-            np.maximum.at(m, a // block, self.weight[t])
-            self.most[t] = m
-
-    def _scored(self, q: dict[int, float], terms: list[int], blocks: np.ndarray, but: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """(places, cosines) of the examples in the marked blocks that share a term."""
-        score = np.zeros(self.n_blocks * self.block)
-        for t in terms:
-            a = self.at[t]
-            here = blocks[a // self.block]
-            score[a[here]] += q[t] * self.weight[t][here]
-        found = np.flatnonzero(score > 0)
-        if but is not None:
-            found = found[self.ids[found] != but]
-        return found, np.round(score[found], 12)
+    """Inverted index over example vectors in blocks of neighbours in order.
+    ``tops`` gives the exact k largest cosines of several queries: rare terms
+    are added up over their lists, the commonest ones, whose lists hold much
+    of all examples, as one matrix product, both with a bounded error. The
+    k-th largest of the blocks' maxima bounds the k-th score from below; what
+    reaches it is scored anew in double precision, the rest cannot matter."""
+
+    def __init__(self, vectors: Sequence[dict[int, float]] | Rows, ids: Sequence[int], block: int = BLOCK, common: int = COMMON):
+        rows = vectors if isinstance(vectors, Rows) else Rows.of(vectors)
+        n = len(rows)
+        size = np.diff(rows.start)
+        # In the order of each example's heaviest term.
+        owner = np.repeat(np.arange(n), size)
+        heaviest = np.full(n, -1, np.int64)
+        o = np.argsort(rows.weight, kind="stable")
+        heaviest[owner[o]] = rows.term[o]
+        self.order = np.lexsort((np.asarray(ids, np.int64), heaviest))
+        self.ids = np.asarray(ids, np.int64)[self.order]
+        self.rows = rows.picked(self.order)
+        self.block, self.common = block, common
+        self.n_blocks = -(-n // block)
+        self.width = int(rows.term.max(initial=-1)) + 1
+        self._lists: tuple | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_lists": None}
+
+    def lists(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Number of each common term (-1: rare), their matrix, and the lists
+        of the rare terms: starts, places and weights. Made once per process."""
+        if self._lists is None:
+            r, n = self.rows, len(self.rows)
+            held = np.bincount(r.term, minlength=self.width)
+            top = np.argsort(-held, kind="stable")[: self.common]
+            top = top[held[top] > max(32, n // 64)]
+            number = np.full(self.width, -1, np.int64)
+            number[top] = np.arange(len(top))
+            place = np.repeat(np.arange(n, dtype=np.int32), np.diff(r.start))
+            of = number[r.term]
+            matrix = np.zeros((len(top), n), np.float32)
+            often = of >= 0
+            matrix[of[often], place[often]] = r.weight[often]
+            rare = np.flatnonzero(~often)
+            rare = rare[np.argsort(r.term[rare], kind="stable")]
+            starts = np.concatenate(([0], np.cumsum(np.bincount(r.term[rare], minlength=self.width))))
+            self._lists = number, matrix, starts, place[rare], r.weight[rare].astype(np.float32)
+        return self._lists
+
+    def _estimates(self, q: Rows) -> np.ndarray:
+        """Cosines of all examples for each query, up to the slack."""
+        number, matrix, starts, place, weight = self.lists()
+        n = len(self.rows)
+        row = np.repeat(np.arange(len(q)), np.diff(q.start))
+        of = number[q.term]
+        often = of >= 0
+        dense = np.zeros((len(q), len(matrix)), np.float32)
+        dense[row[often], of[often]] = q.weight[often]
+        score = dense @ matrix
+        t = q.term[~often]
+        size = starts[t + 1] - starts[t]
+        at = _ranges(starts[t], size)
+        flat = np.bincount(np.repeat(row[~often] * n, size) + place[at], np.repeat(q.weight[~often], size) * weight[at], len(q) * n)
+        score += flat.reshape(len(q), n)
+        return score
+
+    def tops(self, q: Rows, k: int, but: Sequence[int | None] | None = None) -> list[list[tuple[float, int, int]]]:
+        """For each query (cosine, id, index of the example) of the k nearest,
+        ties to the smaller id; examples of cosine 0 are no neighbours; those
+        with the id ``but`` are left out. Terms of no example are left out of
+        ``q`` by the caller."""
+        n = len(self.rows)
+        if not n:
+            return [[] for _ in range(len(q))]
+        out = []
+        dense = np.zeros(self.width)
+        for lo in range(0, len(q), QUERIES):
+            part = q.picked(np.arange(lo, min(len(q), lo + QUERIES)))
+            padded = np.full((len(part), self.n_blocks * self.block), -1.0, np.float32)
+            padded[:, :n] = self._estimates(part)
+            if but is not None:
+                for i, b in enumerate(but[lo : lo + QUERIES]):
+                    if b is not None:
+                        padded[i, :n][self.ids == b] = -1.0
+            most = padded.reshape(len(part), self.n_blocks, self.block).max(axis=2)
+            bound = np.zeros(len(part), np.float32)
+            if self.n_blocks >= k:
+                bound = np.maximum(bound, np.partition(most, self.n_blocks - k, axis=1)[:, self.n_blocks - k] - _SLACK)
+            for i, score in enumerate(padded):
+                found = np.flatnonzero((score > 0) & (score >= bound[i]))
+                if len(found) > k:
+                    s = score[found]
+                    found = found[s >= np.partition(s, len(s) - k)[len(s) - k] - _SLACK]
+                own = slice(part.start[i], part.start[i + 1])
+                dense[part.term[own]] = part.weight[own]
+                near = self.rows.picked(found)
+                exact = np.round(_sums(dense[near.term] * near.weight, near.start), 12)
+                dense[part.term[own]] = 0.0
+                best = np.lexsort((self.ids[found], -exact))[:k]
+                out.append([(float(exact[j]), int(self.ids[found[j]]), int(self.order[found[j]])) for j in best])
+        return out
 
     def top(self, q: dict[int, float], k: int, but: int | None = None) -> list[tuple[float, int, int]]:
-        """(cosine, id, index of the example) of the k nearest, ties to the
-        smaller id; examples of cosine 0 are no neighbours; ``but`` is left out."""
-        terms = sorted(t for t in q if t in self.at)
-        if not terms:
-            return []
-        bound = sum(q[t] * self.most[t] for t in terms)
-        first = np.zeros(self.n_blocks, bool)
-        first[np.argsort(-bound, kind="stable")[: 1 + 2 * k // self.block]] = True
-        place, score = self._scored(q, terms, first & (bound > 0), but)
-        kth = np.partition(score, len(score) - k)[len(score) - k] if len(score) >= k else 0.0
-        more = ~first & (bound > 0) & (bound >= kth - 1e-9)
-        if more.any():
-            p2, s2 = self._scored(q, terms, more, but)
-            place, score = np.concatenate([place, p2]), np.concatenate([score, s2])
-        best = np.lexsort((self.ids[place], -score))[:k]
-        return [(float(score[i]), int(self.ids[place[i]]), int(self.order[place[i]])) for i in best]
+        return self.tops(Rows.of([{t: w for t, w in q.items() if t < self.width}]), k, [but])[0]
+
+
+def _sums(x: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Sums of the runs of ``x``, which are not empty."""
+    return np.add.reduceat(x, start[:-1]) if len(start) > 1 else np.empty(0)
 
 
 @dataclass
 class ToxicModel:
-    terms: dict[bytes, int]
-    idf: np.ndarray
+    words: np.ndarray  # hashes of the examples' words, sorted
+    idf: np.ndarray  # weight of each, and, last, of a word that no example has
     index: BlockMaxIndex
     labels: list[int]
     prior: float  # share of label 1 among all labelled rows
     votes: tuple[np.ndarray, np.ndarray]  # calibration: raw vote -> score
-    blank: float  # score of a text without any of the terms
+    blank: float  # score of a text without words
     k: int = NEIGHBOURS
 
-    def vector(self, words: Sequence[bytes]) -> dict[int, float]:
-        terms = self.terms
-        return unit({t: n for t, n in Counter([terms[w] for w in words if w in terms]).items()}, self.idf)
-
-    def vote(self, v: dict[int, float], but: int | None = None) -> tuple[float, list[tuple[float, int, int]]]:
-        """Distance-weighted share of label 1 among the neighbours, drawn to
-        the prior when they are few or far."""
-        near = self.index.top(v, self.k, but)
-        w = [1.0 / (1.0 - min(c, 1.0) + 0.05) for c, _, _ in near]
-        on = sum(x for x, (_, _, n) in zip(w, near, strict=True) if self.labels[n])
-        return (on + PRIOR_VOTES * self.prior) / (sum(w) + PRIOR_VOTES), near
-
-    def score(self, v: dict[int, float]) -> tuple[float, list[tuple[float, int, int]]]:
-        if not v:
-            return self.blank, []
-        raw, near = self.vote(v)
-        return float(np.interp(raw, *self.votes)), near
+    def vectors(self, counts: Rows) -> Rows:
+        """Unit vectors of word counts (``term``: hashes). Words of no example
+        have part in the length alone."""
+        at = np.searchsorted(self.words, counts.term)
+        at[at == len(self.words)] = 0
+        known = self.words[at] == counts.term if len(self.words) else np.zeros(len(at), bool)
+        weight = (1.0 + np.log(counts.weight)) * self.idf[np.where(known, at, len(self.words))]
+        size = np.diff(counts.start)
+        row = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        norm = np.sqrt(np.bincount(row, weight * weight, len(size)))
+        kept = np.bincount(row[known], minlength=len(size))
+        return Rows(np.concatenate(([0], np.cumsum(kept))), at[known].astype(np.int32), (weight / norm[row])[known])
+
+    def nearest(self, v: Rows, but: Sequence[int | None] | None = None) -> tuple[np.ndarray, list[list[tuple[float, int, int]]]]:
+        """Distance-weighted shares of label 1 among the neighbours, drawn to
+        the prior when they are few or far. Copies of an example are examples
+        of their own, so each has its vote."""
+        found = self.index.tops(v, self.k, but)
+        raw = np.empty(len(found))
+        for i, near in enumerate(found):
+            w = [1.0 / (1.0 - min(c, 1.0) + 0.05) for c, _, _ in near]
+            on = sum(x for x, (_, _, n) in zip(w, near, strict=True) if self.labels[n])
+            raw[i] = (on + PRIOR_VOTES * self.prior) / (sum(w) + PRIOR_VOTES)
+        return raw, found
+
+    def scores(self, col: pa.Array) -> tuple[np.ndarray, list[list[tuple[float, int, int]]]]:
+        """Scores of a text column and the neighbours that voted."""
+        if not len(self.labels):
+            return np.full(len(col), self.blank), [[]] * len(col)
+        counts = word_counts(col)
+        raw, near = self.nearest(self.vectors(counts))
+        return np.where(np.diff(counts.start) > 0, np.interp(raw, *self.votes), self.blank), near
 
 
 def unit(counts: dict[int, int], idf: np.ndarray) -> dict[int, float]:
@@ -144,26 +249,23 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return np.array(xs), np.array(ys)
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, toxic, text) -> one row per distinct word of each text, with
-    its count and its context, the words on both sides of its first place."""
+def word_counts(col: pa.Array) -> Rows:
+    """The distinct words of each text, by rising hash, with their counts."""
+    hashes, row = plain_hashes(col)
+    o = np.lexsort((hashes, row))
+    hashes, row = hashes[o], row[o]
+    first = np.flatnonzero(np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])))) if len(row) else np.empty(0, np.int64)
+    n = np.diff(np.append(first, len(row)))
+    return Rows(np.searchsorted(row[first], np.arange(len(col) + 1)), hashes[first], n.astype(np.float64))
+
+
+def _example_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, toxic, text) -> the hashes and counts of each text's words."""
     for b in batches:
-        ids, toxic, words, n, context = [], [], [], [], []
-        for i, t, text in zip(b.column("doc_id").to_pylist(), b.column("toxic").to_pylist(), b.column("text").to_pylist(), strict=True):
-            ws = plain_words(text)
-            c = Counter(ws)
-            around = {}
-            for before, w, after in zip([b"", *ws], ws, [*ws[1:], b""]):
-                around.setdefault(w, before + b" " + after)
-            ids += [i] * len(c)
-            toxic += [t] * len(c)
-            words += c.keys()
-            n += c.values()
-            context += [around[w] for w in c]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(toxic, pa.int32()), pa.array(words, pa.binary()), pa.array(n, pa.int64()), pa.array(context, pa.binary())],
-            names=["doc_id", "toxic", "word", "n", "context"],
-        )
+        c = word_counts(b.column("text"))
+        words = pa.array([c.term[x:y].tobytes() for x, y in zip(c.start[:-1], c.start[1:])], pa.binary())
+        n = pa.array([c.weight[x:y].astype(np.int32).tobytes() for x, y in zip(c.start[:-1], c.start[1:])], pa.binary())
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), words, n], names=["doc_id", "toxic", "words", "n"])
 
 
 def examples(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> tuple[DataFrame, dict[int, int], dict[int, int]]:
@@ -186,103 +288,144 @@ def examples(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> tu
     return text.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), there, n
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS, min_z: float = MIN_Z,
-        k: int = NEIGHBOURS) -> ToxicModel:
-    """Learns from a bounded sample of labelled rows; document frequencies of
-    the chosen terms are counted over all documents. Without examples of both
-    labels the model knows no terms and every text gets the prior."""
+def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES, plain_z: float = PLAIN_Z, k: int = NEIGHBOURS) -> ToxicModel:
+    """Learns from a bounded sample of labelled rows: every example of it is
+    in the index, with all its words. Their document frequencies are counted
+    over all documents. Without examples of both labels every text gets the
+    prior."""
     sample, there, n = examples(docs, labels, most)
-    words = sample.mapInArrow(_word_counts, "doc_id long, toxic int, word binary, n long, context binary").persist()
     n0, n1 = n.get(0, 0), n.get(1, 0)
     prior = there.get(1, 0) / max(1, sum(there.values()))
-    nothing = ToxicModel({}, np.empty(0), BlockMaxIndex([], []), [], prior, (np.array([0.0]), np.array([0.0])), prior, k)
+    none = (np.array([0.0]), np.array([0.0]))
+    model = ToxicModel(np.empty(0, np.uint64), np.ones(1), BlockMaxIndex([], []), [], prior, none, prior, k)
     if not n0 or not n1:
-        words.unpersist()
-        return nothing
-    # A term's weight of evidence: the contexts it has under each label.
-    # Copies of a text, near ones too, share their contexts and count once.
-    a, b = F.sum(F.col("toxic")), F.sum(1 - F.col("toxic"))
-    per = words.select("word", "context", "toxic").distinct().groupBy("word").agg(a.alias("a"), b.alias("b")).where("a + b >= 3")
-    p = (F.col("a") + F.col("b")) / F.lit(float(n0 + n1))
-    z = (F.col("a") / n1 - F.col("b") / n0) / F.sqrt(p * (1.0001 - p) * (1.0 / n0 + 1.0 / n1))
-    # A term has to tell the labels apart and be commoner with label 1.
-    chosen = per.withColumn("z", z).where(F.col("z") >= min_z).orderBy(F.desc("z"), "word").limit(max_terms).collect()
-    if not chosen:
-        words.unpersist()
-        return nothing
-    terms = {bytes(r["word"]): i for i, r in enumerate(sorted(chosen, key=lambda r: bytes(r["word"])))}
-    idf = _idf(docs, terms)
-    own = words.where(F.col("word").isin([bytearray(w) for w in terms])) if len(terms) <= 200 else words.join(
-        F.broadcast(docs.sparkSession.createDataFrame([(bytearray(w),) for w in terms], "word binary")), "word"
-    )
-    # At most 2 * most examples, each with the chosen terms only.
-    held: dict[int, tuple[int, dict[int, int]]] = {}
-    for r in own.select("doc_id", "toxic", "word", "n").toLocalIterator():
-        held.setdefault(r["doc_id"], (r["toxic"], {}))[1][terms[bytes(r["word"])]] = r["n"]
-    words.unpersist()
-    ids = sorted(held)
-    vectors = [unit(held[i][1], idf) for i in ids]
-    y = [held[i][0] for i in ids]
-    model = ToxicModel(terms, idf, BlockMaxIndex(vectors, ids), y, prior, (np.array([0.0]), np.array([0.0])), prior, k)
+        return model
+    # At most 2 * most rows: the words of the examples, 12 bytes each.
+    got = sample.mapInArrow(_example_words, "doc_id long, toxic int, words binary, n binary").toArrow().combine_chunks()
+    got = got.filter(pc.greater(pc.binary_length(got["words"]), 0)).combine_chunks()
+    if not got.num_rows:
+        return model
+    by_id = np.argsort(got["doc_id"].to_numpy(), kind="stable")
+    ids, y = got["doc_id"].to_numpy()[by_id], got["toxic"].to_numpy()[by_id].astype(np.int64)
+    # Copies of a text are found by their cosine; in the evidence of its
+    # words they count once.
+    names = [(xxhash.xxh3_128_digest(w.as_buffer()), xxhash.xxh3_128_digest(c.as_buffer())) for w, c in zip(got["words"], got["n"], strict=True)]
+    first = {(names[i], t): at for at, (i, t) in enumerate(zip(by_id.tolist(), y.tolist(), strict=True))}
+    once = np.isin(np.arange(len(y)), list(first.values()))
+    counts = Rows(np.cumsum([0, *(pc.binary_length(got["words"]).to_numpy() // 8)]), _flat(got["words"], np.uint64), _flat(got["n"], np.int32)).picked(by_id)
+    del got, names, first
+    size = np.diff(counts.start)
+    model.words = np.unique(counts.term)
+    term = np.searchsorted(model.words, counts.term).astype(np.int32)
+    m1, m0 = max(1, int(y[once].sum())), max(1, int((1 - y[once]).sum()))
+    a, b = (np.bincount(term[np.repeat(once & (y == v), size)], minlength=len(model.words)) for v in (1, 0))
+    del term
+    p = (a + b) / (m0 + m1)
+    z = (a / m1 - b / m0) / np.sqrt(np.maximum(p, 1e-12) * (1.0001 - p) * (1.0 / m0 + 1.0 / m1))
+    model.idf = _idf(docs, model.words)
+    model.idf[:-1] *= np.maximum(1.0, z / plain_z) ** 2
+    model.index = BlockMaxIndex(model.vectors(counts), ids)
+    del counts
+    model.labels = y.tolist()
     # Each sampled example stands for as many labelled rows of its label.
     weight = {0: there[0] / n0, 1: there[1] / n1}
-    blank1 = (n1 - sum(y)) * weight[1]
-    blank0 = (n0 - (len(y) - sum(y))) * weight[0]
+    blank1 = (n1 - int(y.sum())) * weight[1]
+    blank0 = (n0 - (len(y) - int(y.sum()))) * weight[0]
     model.blank = (blank1 + prior) / (blank0 + blank1 + 1.0)
-    raw = np.array([model.vote(v, i)[0] for v, i in zip(vectors, ids, strict=True)])
-    xs, ys = isotonic(raw, np.array(y, float), np.array([weight[t] for t in y]))
+    raw = _own_votes(docs, model)
+    xs, ys = isotonic(raw, y.astype(float), np.array([weight[t] for t in model.labels]))
     model.votes = (xs, np.clip(ys, 0.0, 1.0))
     return model
 
 
-def _idf(docs: DataFrame, terms: dict[bytes, int]) -> np.ndarray:
-    """log((1 + N) / (1 + df)) + 1 over all documents: each task counts the
-    chosen terms in its texts and sends one short row for each."""
+def _flat(col: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """The numbers of a column of packed arrays, one after the other."""
+    return np.concatenate([np.frombuffer(memoryview(v)[int(o[0]) : int(o[-1])], kind) for v, o in map(_binary, col.chunks)])
+
+
+def _binary(col: pa.Array) -> tuple[pa.Buffer, np.ndarray]:
+    wide = pa.types.is_large_binary(col.type)
+    _, offsets, data = col.buffers()
+    return data, np.frombuffer(offsets, np.int64 if wide else np.int32)[col.offset : col.offset + len(col) + 1]
+
+
+def _own_votes(docs: DataFrame, model: ToxicModel) -> np.ndarray:
+    """The vote of each example's neighbours, itself left out."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df = np.zeros(len(terms) + 1, np.int64)
+        index = shared.value.index
         for b in batches:
-            for text in b.column("text").to_pylist():
-                df[list({terms[w] for w in plain_words(text) if w in terms})] += 1
-                df[-1] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(df))), pa.array(df)], names=["term", "df"])
+            at = b.column("id").to_numpy()
+            raw, _ = shared.value.nearest(index.rows.picked(at), index.ids[at].tolist())
+            yield pa.RecordBatch.from_arrays([pa.array(index.order[at]), pa.array(raw)], names=["id", "raw"])
+
+    got = spark.range(len(model.labels)).mapInArrow(run, "id long, raw double").toArrow()
+    raw = np.empty(len(model.labels))
+    raw[got["id"].to_numpy()] = got["raw"].to_numpy()
+    return raw
 
-    rows = docs.select("text").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()
-    df = np.zeros(len(terms) + 1)
-    for r in rows:
-        df[r["term"]] = r["df"]
-    return np.log((1.0 + df[-1]) / (1.0 + df[:-1])) + 1.0
+
+def _idf(docs: DataFrame, words: np.ndarray) -> np.ndarray:
+    """log((1 + N) / (1 + df)) + 1 over all documents, and last that of df = 1:
+    each task counts the words in its texts and sends one short row for each
+    it met."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = shared.value
+        df = np.zeros(len(w) + 1, np.int64)
+        for b in batches:
+            for lo in range(0, b.num_rows, 1000):
+                part = b.column("text").slice(lo, 1000)
+                term = word_counts(part).term
+                at = np.searchsorted(w, term)
+                at[at == len(w)] = 0
+                df[:-1] += np.bincount(at[w[at] == term], minlength=len(w))
+                df[-1] += len(part)
+        some = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(df[some])], names=["term", "df"])
+
+    rows = docs.select("text").mapInArrow(run, "term int, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    df = np.zeros(len(words) + 1)
+    df[rows["term"].to_numpy()] = rows["df"].to_numpy()
+    total, df[-1] = df[-1], 1.0
+    return np.log((1.0 + total) / (1.0 + df)) + 1.0
+
+
+def _scored(m: ToxicModel, col: pa.Array, known: dict[bytes, tuple[float, list[dict]]]) -> list[tuple[float, list[dict]]]:
+    """(score, evidence) of each text. Equal texts are searched once per task."""
+    keys = [xxhash.xxh3_128_digest(utf8(t)) for t in col.to_pylist()]
+    if len(known) >= 100_000:
+        known.clear()
+    new = list({key: i for i, key in enumerate(keys) if key not in known}.items())
+    if new:
+        s, near = m.scores(col.take(pa.array([i for _, i in new])))
+        for (key, _), x, found in zip(new, s.tolist(), near, strict=True):
+            known[key] = x, [{"doc_id": i, "cosine": c, "toxic": m.labels[n]} for c, i, n in found[:EVIDENCE]]
+    return [known[key] for key in keys]
 
 
 def score(docs: DataFrame, model: ToxicModel, threshold: float = THRESHOLD) -> DataFrame:
     """``docs(doc_id, text)`` -> one row per row: ``doc_id, held_out, score,
     predicted, evidence`` (the nearest examples that voted: id, cosine, label).
 
-    The score depends on the text alone. Empty and null texts and texts with
-    none of the terms get the share of label 1 among such examples; null and
+    The score depends on the text alone. Empty and null texts and texts
+    without words get the share of label 1 among such examples; null and
     repeated ids pass through; no rows give no rows; other columns are
     ignored. One scan, no shuffle; the broadcast model is bounded by the
-    parameters of :func:`fit`. Texts with equal vectors are searched once per task."""
+    sample of :func:`fit`."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        known: dict[tuple, tuple[float, list[dict]]] = {}
-        for b in batches:
-            s, e = [], []
-            for text in b.column("text").to_pylist():
-                v = m.vector(plain_words(text))
-                key = tuple(sorted(v.items()))
-                got = known.get(key)
-                if got is None:
-                    x, near = m.score(v)
-                    got = (x, [{"doc_id": i, "cosine": c, "toxic": m.labels[n]} for c, i, n in near[:EVIDENCE]])
-                    if len(known) < 100_000:
-                        known[key] = got
-                s.append(got[0])
-                e.append(got[1])
-            kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s, pa.float64()), pa.array(e, kind)], names=["doc_id", "score", "evidence"])
+        known: dict[bytes, tuple[float, list[dict]]] = {}
+        kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 4 * QUERIES):
+                b = whole.slice(lo, 4 * QUERIES)
+                s, e = zip(*_scored(shared.value, b.column("text"), known), strict=True)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s, pa.float64()), pa.array(e, kind)], names=["doc_id", "score", "evidence"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = docs.select("doc_id", "text").mapInArrow(
@@ -298,18 +441,10 @@ def reject(docs: DataFrame, model: ToxicModel, threshold: float = THRESHOLD) ->
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        known: dict[tuple, bool] = {}
-        for b in batches:
-            keep = []
-            for text in b.column("text").to_pylist():
-                v = m.vector(plain_words(text))
-                key = tuple(sorted(v.items()))
-                if key not in known:
-                    if len(known) >= 100_000:
-                        known.clear()
-                    known[key] = m.score(v)[0] < threshold
-                keep.append(known[key])
-            yield b.filter(pa.array(keep, pa.bool_()))
+        known: dict[bytes, tuple[float, list[dict]]] = {}
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 4 * QUERIES):
+                b = whole.slice(lo, 4 * QUERIES)
+                yield b.filter(pa.array([s < threshold for s, _ in _scored(shared.value, b.column("text"), known)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -68,3 +68,34 @@ def test_edges(spark, edge_docs, make_docs):
     assert toxicity.score(make_docs([]), toxicity.fit(make_docs([]), none)).count() == 0
     kept = toxicity.reject(edge_docs, toxicity.fit(edge_docs, none))
     assert kept.schema == edge_docs.schema and kept.count() == edge_docs.count()
+
+
+def test_passages_and_copies_of_labelled_texts(spark, make_docs):
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    text = lambda n: " ".join(rng.choices(vocabulary, k=n))
+    passage = " ".join(f"p{i}" for i in range(12))
+    copied = " ".join(f"c{i}" for i in range(80))
+    rows, labels = [], []
+    for i in range(1200):
+        kind = "passage" if i % 10 == 0 else "copy" if i % 10 == 1 else "clean"
+        rows.append((i, {"passage": f"{text(30)} {passage} {text(30)}", "copy": copied, "clean": text(70)}[kind]))
+        labels.append((i, int(kind != "clean")))
+    rows += [(2000, f"{text(30)} {passage} {text(30)}"), (2001, copied), (2002, copied + " " + text(5)), (2003, text(70))]
+    docs = make_docs(rows)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = {r.doc_id: r for r in toxicity.score(docs, model).where("doc_id >= 2000").collect()}
+    assert [got[i].predicted for i in range(2000, 2004)] == [1, 1, 1, 0]
+    assert abs(got[2001].evidence[0].cosine - 1.0) < 1e-9
+    # Every labelled example that is not held out is in the index.
+    assert sorted(model.index.ids.tolist()) == [i for i, _ in labels if zlib.crc32(str(i).encode()) % 3 != 1]
+
+
+def test_words_of_one_label_count(spark, make_docs):
+    """A text finds its nearest example by words that tell nothing of labels."""
+    docs = make_docs([(i, f"a{i} b{i} c{i} shared") for i in range(60)])
+    model = toxicity.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int"))
+    known = set(model.index.ids.tolist())
+    for r in toxicity.score(docs, model).collect():
+        if r.doc_id in known:
+            assert r.evidence[0].doc_id == r.doc_id and abs(r.evidence[0].cosine - 1.0) < 1e-9
