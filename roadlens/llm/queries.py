@@ -27,7 +27,7 @@ def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_digest(table(spark, sf_dir, "documents"))
+    return line_dedup.dedup_digest(table(spark, sf_dir, "documents"), min_words=1)
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
