@@ -25,6 +25,9 @@ EF_BUILD = 48
 EF = 48
 AUDIT = 64
 RECALL = 0.98
+SAMPLE = 1024  # rows of a label that its audit starts with
+MOST_SAMPLE = 16_384  # and goes up to while few of them have partners
+LEAST_ROWS = 256  # rows with partners that an audit asks for
 _BATCH = 256
 
 
@@ -228,6 +231,80 @@ def _rows(col: pa.Array) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).reshape(len(col), -1)
 
 
+def _levels_of(ef: int, shard: int) -> list[int]:
+    """Beams an audit tries: the last is a scan of any usual shard."""
+    out = [ef]
+    while 8 * out[-1] < 2 * shard:
+        out.append(4 * out[-1])
+    return out
+
+
+def audited(nodes: DataFrame, graphs: DataFrame, scratch: Scratch, least: float, shard: int, ef: int, recall: float) -> DataFrame:
+    """(label, dim, ef): for each label the narrowest beam that finds, on the
+    mean of sampled rows that have partners, the share ``recall`` of a row's
+    partners among all rows of the label. Samples of a label grow until
+    LEAST_ROWS of their rows have partners, all rows or MOST_SAMPLE are in; in
+    the last case the beam found is made four times as wide."""
+    beams = _levels_of(ef, shard)
+    key = ["label", "dim"]
+    sized = nodes.join(nodes.groupBy(*key).agg(F.count("*").alias("of")), key)
+    kind = nodes.schema["label"].dataType.simpleString()
+    side = graphs.select(*key, "shard", "ids", "x", "levels", "entry")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                dim = b.column("dim")[i].as_py()
+                g = _graph(b, i, "x", "levels", "entry", dim)
+                ids = _numbers(b, "ids", i)
+                rows = b.column("rows")[i].values
+                own, q = rows.field("rep").to_numpy(zero_copy_only=False), _unit(_rows(rows.field("v"))).astype(np.float32)
+                there = np.zeros(len(own), np.int64)
+                found = np.zeros((len(own), len(beams)), np.int64)
+                for lo in range(0, len(own), _BATCH):
+                    hit = (q[lo : lo + _BATCH] @ g.x.T >= least) & (own[lo : lo + _BATCH, None] != ids[None, :])
+                    there[lo : lo + _BATCH] = hit.sum(axis=1)
+                some = np.flatnonzero(there)
+                for at, beam in enumerate(beams):
+                    if 8 * beam >= len(g.x):
+                        found[:, at] = there
+                    elif len(some):
+                        r, c = within(g, q[some], least, beam, audit=0)
+                        found[some, at] = np.minimum(there[some], np.bincount(r[own[some[r]] != ids[c]], minlength=len(some)))
+                level = np.tile(np.arange(len(beams), dtype=np.int32), len(some))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(b.column("label").slice(i, 1).to_pylist() * len(level), b.column("label").type), pa.array(np.full(len(level), dim, np.int32)),
+                        pa.array(np.repeat(own[some], len(beams))), pa.array(level), pa.array(np.repeat(there[some], len(beams))), pa.array(found[some].ravel()),
+                    ],
+                    names=[*key, "rep", "level", "there", "found"],
+                )
+
+    done: DataFrame | None = None
+    size, left = SAMPLE, sized
+    round_ = 0
+    while True:
+        share = F.lit(float(1 << 20)) * size / F.col("of")
+        sample = left.where(F.pmod(F.xxhash64("rep", F.lit(11)), F.lit(1 << 20)) < share)
+        packed = sample.groupBy(*key).agg(F.collect_list(F.struct("rep", "v")).alias("rows"))
+        seen = packed.join(side, key).mapInArrow(run, f"label {kind}, dim int, rep long, level int, there long, found long")
+        per_row = seen.groupBy(*key, "rep", "level").agg((F.sum("found") / F.sum("there")).alias("recall"))
+        got = per_row.groupBy(*key, "level").agg(F.avg("recall").alias("recall"), F.count("*").alias("rows"))
+        last = len(beams) - 1
+        best = got.groupBy(*key).agg(F.coalesce(F.min(F.when(F.col("recall") >= recall, F.col("level"))), F.lit(last)).alias("level"), F.max("rows").alias("rows"))
+        whole = left.groupBy(*key).agg(F.first("of").alias("of")).join(best, key, "left")
+        whole = scratch.keep(whole.select(*key, "of", F.coalesce("level", F.lit(0)).alias("level"), F.coalesce("rows", F.lit(0)).alias("rows")), f"audit{round_}")
+        few = (F.col("rows") < LEAST_ROWS) & (F.col("of") > size)
+        unsure = few & F.lit(size >= MOST_SAMPLE)
+        ready = whole.where(~few | unsure).select(*key, F.least(F.col("level") + unsure.cast("int"), F.lit(last)).alias("level"))
+        done = ready if done is None else done.union(ready)
+        left = sized.join(whole.where(few & ~unsure).select(*key), key, "left_semi")
+        if whole.where(few & ~unsure).limit(1).count() == 0:
+            break
+        size, round_ = 4 * size, round_ + 1
+    return done.select(*key, (F.lit(ef) * F.pow(F.lit(4), F.col("level"))).cast("int").alias("ef"))
+
+
 def near_vectors(vectors: DataFrame, least: float = THRESHOLD, shard: int = SHARD, ef: int = EF, recall: float = RECALL) -> DataFrame:
     """``vectors(vec_id, embedding, label)`` -> one row per row: ``vec_id,
     n_links`` (rows of the same label and another id with a cosine of at least
@@ -243,8 +320,10 @@ def near_vectors(vectors: DataFrame, least: float = THRESHOLD, shard: int = SHAR
 
     Shards hold about ``shard`` nodes, so a hot label is many shards. Graphs
     are built once and written to the shared folder; each shard's vectors are
-    sent to the graphs of their label from their own on. Each such tile counts
-    links per vector and returns only the pairs that connect its components."""
+    sent to the graphs of their label from their own on, and both shards of
+    such a tile are searched for the other's vectors, with the beam that the
+    label's audit asks for. Each tile counts links per vector and returns only
+    the pairs that connect its components."""
     own = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("v"), F.col("label"))
     v = own.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & usable(F.col("v"))).dropDuplicates(["vec_id", "label", "v"])
     scratch = Scratch(vectors.sparkSession, "hnsw")
@@ -277,27 +356,32 @@ def near_vectors(vectors: DataFrame, least: float = THRESHOLD, shard: int = SHAR
                 )
 
     graphs = scratch.keep(packed.mapInArrow(build, f"{head}, {body}, {levels}, entry int"), "graphs")
-    sent = graphs.select("label", "dim", F.explode(F.sequence("shard", F.col("shards") - 1)).alias("to"), "shard", F.col("ids").alias("q_ids"), F.col("copies").alias("q_copies"), F.col("x").alias("q"))
+    beams = scratch.keep(audited(nodes, graphs, scratch, least - 1e-4, shard, ef, recall), "beams")
+    sent = graphs.select(
+        "label", "dim", F.explode(F.sequence("shard", F.col("shards") - 1)).alias("to"), "shard",
+        *[F.col(c).alias(f"q_{c}") for c in ("ids", "copies", "x", "levels", "entry")],
+    ).join(beams, ["label", "dim"])
     tiles = sent.join(graphs.drop("shards").withColumnRenamed("shard", "to"), ["label", "dim", "to"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def get(b: pa.RecordBatch, c: str, i: int) -> np.ndarray:
-            return b.column(c)[i].values.to_numpy(zero_copy_only=False)
-
         for b in batches:
             for i in range(b.num_rows):
                 dim = b.column("dim")[i].as_py()
-                ids, copies, x = get(b, "ids", i), get(b, "copies", i), _unit(get(b, "x", i).reshape(-1, dim))
-                q_ids, q_copies, q = get(b, "q_ids", i), get(b, "q_copies", i), _unit(get(b, "q", i).reshape(-1, dim))
-                g = Graph.__new__(Graph)
-                g.x, g.entry = x.astype(np.float32), b.column("entry")[i].as_py()
-                g.links = _levels(b.column("levels")[i].values)
+                ids, copies, x = _numbers(b, "ids", i), _numbers(b, "copies", i), _unit(_numbers(b, "x", i).reshape(-1, dim))
+                q_ids, q_copies, q = _numbers(b, "q_ids", i), _numbers(b, "q_copies", i), _unit(_numbers(b, "q_x", i).reshape(-1, dim))
+                g = _graph(b, i, "x", "levels", "entry", dim)
+                beam = b.column("ef")[i].as_py()
                 same = b.column("to")[i].as_py() == b.column("shard")[i].as_py()
-                left, right = within(g, q.astype(np.float32), least - 1e-4, ef, recall=recall, same=same)
+                left, right = within(g, q.astype(np.float32), least - 1e-4, beam, recall=recall, same=same)
                 if same:  # each pair once
                     lo, hi = np.minimum(left, right), np.maximum(left, right)
                     pair = np.unique((lo * len(ids) + hi)[lo < hi])
-                    left, right = pair // len(ids), pair % len(ids)
+                elif 8 * beam >= len(ids):  # a scan has them all
+                    pair = left * len(ids) + right
+                else:
+                    back, from_ = within(_graph(b, i, "q_x", "q_levels", "q_entry", dim), g.x, least - 1e-4, beam, recall=recall)
+                    pair = np.unique(np.concatenate([left * len(ids) + right, from_ * len(ids) + back]))
+                left, right = pair // len(ids), pair % len(ids)
                 near = np.zeros(len(left), bool)
                 for lo in range(0, len(left), 1 << 16):
                     s = slice(lo, lo + (1 << 16))
@@ -329,6 +413,17 @@ def near_vectors(vectors: DataFrame, least: float = THRESHOLD, shard: int = SHAR
     )
 
 
+def _numbers(b: pa.RecordBatch, c: str, i: int) -> np.ndarray:
+    return b.column(c)[i].values.to_numpy(zero_copy_only=False)
+
+
+def _graph(b: pa.RecordBatch, i: int, x: str, levels: str, entry: str, dim: int) -> Graph:
+    g = Graph.__new__(Graph)
+    g.x, g.entry = _unit(_numbers(b, x, i).reshape(-1, dim)).astype(np.float32), b.column(entry)[i].as_py()
+    g.links = _levels(b.column(levels)[i].values)
+    return g
+
+
 def _levels(col: pa.Array) -> list[np.ndarray]:
     width, links = col.field("width").to_pylist(), col.field("links")
     return [np.array(links[k].values.to_numpy(), np.int32).reshape(-1, w) for k, w in enumerate(width)]

@@ -147,3 +147,23 @@ def test_int8_bounds_hold():
     err = qe[:, None] + (1 + qe[:, None]) * ce[None, :]
     exact = np.array([[cosine(x.tolist(), y.tolist()) for y in b] for x in a])
     assert (np.abs(prod - exact) <= err).all() and err.max() < 0.1
+
+
+def test_pairs_over_many_shards(spark):
+    """Groups of two dealt over shards of more than 8 * ef nodes, beside one
+    large group: a beam of one finds few of the pairs unless the label's
+    audit widens it."""
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(900, 24))
+    x = np.concatenate([base, base + 0.12 * rng.normal(size=base.shape), rng.normal(size=(1, 24)) + 0.02 * rng.normal(size=(200, 24))]).astype(np.float32)
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: r.n_links for r in hnsw.near_vectors(df, shard=250, ef=2).collect()}
+    u = x.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    near = u @ u.T >= 0.93
+    np.fill_diagonal(near, False)
+    there = near.sum(axis=1)
+    pairs = [i for i in range(1800) if there[i]]
+    assert len(pairs) > 1000
+    assert all(n <= there[i] for i, n in got.items())
+    assert np.mean([got[i] / there[i] for i in pairs]) >= 0.98
