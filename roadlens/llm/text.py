@@ -69,6 +69,11 @@ def unpacked(col: pa.Array) -> pa.Array:
     return pa.array([unzip(x.as_buffer()).decode("utf-8", "surrogatepass") for x in col], pa.string())
 
 
+def unzip(value: pa.Scalar) -> bytes:
+    """The UTF-8 bytes of one value of :func:`packed_texts`."""
+    return zstandard.ZstdDecompressor().decompress(value.as_buffer())
+
+
 def _byte_values() -> np.ndarray:
     with np.errstate(over="ignore"):
         v = mix(np.arange(1, 257, dtype=np.uint64) * _K1)
@@ -77,7 +82,15 @@ def _byte_values() -> np.ndarray:
     return v
 
 
+def _exact_values() -> np.ndarray:
+    with np.errstate(over="ignore"):
+        v = mix(np.arange(1, 257, dtype=np.uint64) * _K1)
+    v[_SPACE] = 0
+    return v
+
+
 _VALUE = _byte_values()
+_VALUE_EXACT = _exact_values()
 _POWERS: list[np.ndarray] = []
 
 
@@ -113,9 +126,9 @@ def slices(col: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
-def _piece_hashes(raw: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _piece_hashes(raw: np.ndarray, begins: np.ndarray, value: np.ndarray = _VALUE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and starts of the words of one piece; ``begins`` marks bytes
-    that start a text."""
+    that start a text, ``value`` holds the value of each byte."""
     word = ~_SPACE[raw]
     first = word.copy()
     first[1:] &= ~word[:-1] | begins[1:]
@@ -124,15 +137,16 @@ def _piece_hashes(raw: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.n
     s, e = np.flatnonzero(first), np.flatnonzero(last)
     up, down = _powers(len(raw))
     with np.errstate(over="ignore"):
-        total = np.cumsum(_VALUE[raw] * up[: len(raw)])
+        total = np.cumsum(value[raw] * up[: len(raw)])
         before = np.where(s > 0, total[s - 1], np.uint64(0))
         h = (total[e] - before) * down[s]
         return mix(h + (e - s + 1).astype(np.uint64) * _K2), s
 
 
-def space_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the space words of all texts and where each starts. Work goes
-    in pieces of a quarter megabyte, cut at white space or between texts."""
+def space_hashes(raw: np.ndarray, offsets: np.ndarray, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the space words of all texts and where each starts; ``exact``
+    tells upper and lower case apart. Work goes in pieces of a quarter
+    megabyte, cut at white space or between texts."""
     hashes, starts = [], []
     n = len(raw)
     begins = np.zeros(n + 1, bool)
@@ -142,7 +156,7 @@ def space_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         hi = min(n, lo + _PIECE)
         while hi < n and not begins[hi] and not _SPACE[raw[hi]]:
             hi += 1
-        h, s = _piece_hashes(raw[lo:hi], begins[lo:hi])
+        h, s = _piece_hashes(raw[lo:hi], begins[lo:hi], _VALUE_EXACT if exact else _VALUE)
         hashes.append(h)
         starts.append(s + lo)
         lo = hi
@@ -180,6 +194,41 @@ def _shingles(col: pa.Array, width: int) -> Iterator[np.ndarray]:
             yield words[:0]
 
 
+class RunHashes:
+    """Hashes of runs of consecutive words, of any length, from one pass over
+    the words' hashes."""
+
+    def __init__(self, words: np.ndarray):
+        up, self._down = _powers(len(words) + 1)
+        with np.errstate(over="ignore"):
+            self._sum = np.concatenate(([np.uint64(0)], np.cumsum(words * up[: len(words)])))
+
+    def of(self, starts: np.ndarray, lengths: np.ndarray | int) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            n = np.asarray(lengths).astype(np.uint64)
+            return mix((self._sum[starts + lengths] - self._sum[starts]) * self._down[starts] + n * _K2)
+
+
+def pack_columns(*columns: np.ndarray) -> bytes:
+    """Columns of equal length as one compressed block: each column's bytes go
+    plane by plane, so equal high bytes cost next to nothing."""
+    planes = [np.ascontiguousarray(c.view(np.uint8).reshape(len(c), c.dtype.itemsize).T).tobytes() for c in columns]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+
+
+def unpack_columns(blob: bytes, *kinds: type) -> list[np.ndarray]:
+    """The columns of :func:`pack_columns`, given their number types."""
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    sizes = [np.dtype(k).itemsize for k in kinds]
+    n = len(raw) // sum(sizes)
+    out, at = [], 0
+    for kind, size in zip(kinds, sizes, strict=True):
+        planes = np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n)
+        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(n))
+        at += n * size
+    return out
+
+
 def chain_hash(parts: list[np.ndarray], n: int) -> np.ndarray:
     """Element by element one hash of ``n`` hashes in order."""
     with np.errstate(over="ignore"):
