@@ -28,7 +28,7 @@ from roadlens.llm import text as T
 
 WIDTH = 20
 GROUP = 1 << 18  # suffixes that a prefix may stand for
-BATCH = 16 << 20  # bytes of text handled at once
+BATCH = 12 << 20  # bytes of text handled at once
 BUCKET = 1 << 20  # marked or unmarked places a bucket of documents may hold, about
 _COUNTERS = 1 << 16
 _NULL_ID = -(1 << 63)
@@ -70,19 +70,20 @@ def _apply(docs: DataFrame, width: int, id_col: str, text_col: str, out: Callabl
     total = int(counts.sum())
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = max(4 * least, -(-total // GROUP) // 4)
-    buckets = max(4 * least, -(-total // BUCKET))
+    buckets = max(least, -(-total // BUCKET))
     shared_counts = spark.sparkContext.broadcast(counts)
 
     leaves = d.select("doc", "tag", "text").mapInArrow(
         lambda batches: _leaves(batches, shared_counts.value, parts, width), "part int, leaf boolean, block binary"
     )
-    marks = leaves.groupBy("part").applyInArrow(lambda group: _subtree(group, buckets), "bucket int, block binary")
+    by_part = leaves.repartition(max(least, parts // 4), "part").sortWithinPartitions("part")
+    marks = by_part.mapInArrow(lambda batches: _subtrees(batches, buckets), "bucket int, block binary")
     texts = d.select(_bucket(buckets).alias("bucket"), "doc", "no_id", "tag", "text")
     sent = T.packed_texts(texts, ["bucket", "doc", "no_id", "tag"])
     both = sent.select("bucket", F.lit(1).alias("kind"), "doc", "no_id", "tag", F.col("packed").alias("block")).unionByName(
         marks.withColumn("kind", F.lit(0)), allowMissingColumns=True
     )
-    dealt = both.repartition(max(least, min(buckets, 4 * least)), "bucket").sortWithinPartitions("bucket", "kind")
+    dealt = both.repartition(max(least, buckets // 4), "bucket").sortWithinPartitions("bucket", "kind")
     return dealt.mapInArrow(lambda batches: _documents(batches, width, out), schema)
 
 
@@ -196,23 +197,51 @@ def _blocks(part: np.ndarray, leaf: bool, columns: tuple[np.ndarray, ...]) -> It
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array([leaf] * len(some)), pa.array(some, pa.binary())], names=["part", "leaf", "block"])
 
 
-def _subtree(group: pa.Table, buckets: int) -> pa.Table:
-    """Places in one group that lie under a deep node and aren't its earliest leaf."""
-    is_leaf = group.column("leaf").to_pylist()
-    blocks = group.column("block").to_pylist()
-    leaves = [T.unpack_columns(b, *_LEAF) for b, x in zip(blocks, is_leaf, strict=True) if x]
-    marks = [T.unpack_columns(b, *_MARK) for b, x in zip(blocks, is_leaf, strict=True) if not x]
-    if leaves:
-        label, doc, tag, place = (np.concatenate(c) for c in zip(*leaves, strict=True))
-        _, marked = _split(label, doc, tag, place)
-        marks.append([doc[marked], tag[marked], place[marked]])
+def _subtrees(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Marks of every group of a partition, one after the other; marks of many
+    groups go into one block a bucket."""
+    part, leaves, marks, held = None, [], [], 0
+    for b in batches:
+        blocks = b.column("block")
+        for i, (at, leaf) in enumerate(zip(b.column("part").to_pylist(), b.column("leaf").to_pylist(), strict=True)):
+            if at != part:
+                held += _close(leaves, marks)
+                part = at
+                if held >= GROUP:
+                    yield from _by_bucket(marks, buckets)
+                    held = 0
+            if leaf:
+                leaves.append(T.unpack_columns(blocks[i].as_buffer(), *_LEAF))
+            else:
+                marks.append(T.unpack_columns(blocks[i].as_buffer(), *_MARK))
+                held += len(marks[-1][0])
+    _close(leaves, marks)
+    yield from _by_bucket(marks, buckets)
+
+
+def _close(leaves: list, marks: list) -> int:
+    """Adds one group's marks: places that lie under a deep node of its
+    subtree and aren't that node's earliest leaf."""
+    if not leaves:
+        return 0
+    label, doc, tag, place = (np.concatenate(c) for c in zip(*leaves, strict=True))
+    leaves.clear()
+    _, marked = _split(label, doc, tag, place)
+    marks.append([doc[marked], tag[marked], place[marked]])
+    return len(marked)
+
+
+def _by_bucket(marks: list, buckets: int) -> Iterator[pa.RecordBatch]:
+    if not marks:
+        return
     doc, tag, place = (np.concatenate(c) for c in zip(*marks, strict=True))
+    marks.clear()
     bucket = _buckets(doc, tag, buckets).astype(np.int32)
     order = np.lexsort((place, tag, doc, bucket))
     bucket, doc, tag, place = bucket[order], doc[order], tag[order], place[order]
     cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(bucket) else np.zeros(1, int)
     packed = [T.pack_columns(doc[x:y], tag[x:y], place[x:y]) for x, y in zip(cut[:-1], cut[1:], strict=True)]
-    return pa.table({"bucket": pa.array(bucket[cut[:-1]], pa.int32()), "block": pa.array(packed, pa.binary())})
+    yield pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]], pa.int32()), pa.array(packed, pa.binary())], names=["bucket", "block"])
 
 
 def _documents(batches: Iterator[pa.RecordBatch], width: int, out: Callable) -> Iterator[pa.RecordBatch]:
@@ -226,7 +255,7 @@ def _documents(batches: Iterator[pa.RecordBatch], width: int, out: Callable) ->
             if at != bucket:
                 bucket, blocks, marks = at, [], {}
             if kind == 0:
-                blocks.append(T.unpack_columns(texts[i].as_py(), *_MARK))
+                blocks.append(T.unpack_columns(texts[i].as_buffer(), *_MARK))
                 continue
             if blocks:
                 marks, blocks = _by_document(blocks), []
