@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import ann, chat, hnsw, lexical_search, license_scan, line_dedup, mix, ngram_join, sentencepiece_codec, substring_dedup, token_counts, toxicity
+from roadlens.llm import ann, chat, conversation_repair, hnsw, lexical_search, license_scan, line_dedup, mix, ngram_join, sentencepiece_codec, substring_dedup, token_counts, toxicity
 from roadlens.llm.common import table
 
 
@@ -76,6 +76,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(index, table(spark, sf_dir, "benchmark"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_digest(table(spark, sf_dir, "conversations"))
+
+
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_digest(table(spark, sf_dir, "documents"))
 
@@ -92,5 +96,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op9_toxicity": (op9_toxicity, None),
     "op10_nearest": (op10_nearest, None),
     "op11_lexical_search": (op11_lexical_search, lexical_search.OP11_SQL),
+    "op12_conversation_repair": (op12_conversation_repair, None),
     "op13_substring_dedup": (op13_substring_dedup, substring_dedup.OP13_SQL),
 }
