@@ -6,6 +6,7 @@ as several files in their order of arrival, one micro-batch each."""
 from __future__ import annotations
 
 import weakref
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,28 +54,49 @@ def one_batch(spark, sf_dir: str) -> DataFrame:
     return ST.signals(TM.light_from(e, streaming_ts=True), TM.events_from(e, streaming_ts=True))
 
 
-FILES = 5
+SLICES, SLICES_MOST = 5, 200  # micro-batches
+FILE_ROWS, SLICE_FILES = 1_000_000, 16  # a slice gets more files only where there are slices enough
 
 
-def by_arrival(df: DataFrame, name: str, order: str = "arrival_time", fmt: str = "parquet", cols=None) -> str:
-    """Writes ``df`` as ``FILES`` folders of rows in order of arrival, one
-    after the other; their parent folder."""
+@dataclass(frozen=True)
+class Feed:
+    """Files in order of arrival: ``files`` of them are a micro-batch."""
+
+    path: str
+    files: int
+
+
+def by_arrival(df: DataFrame, name: str, order: str = "arrival_time", fmt: str = "parquet", cols=None) -> Feed:
+    """Writes ``df`` once, as slices in order of arrival. Slices and their
+    files grow in number with the rows, not in size; rows without a time of
+    arrival are in the first slice."""
     spark = df.sparkSession
     base = f"{ST.run_dir(spark, name)}/in"
-    at = df.select(F.unix_micros(F.col(order).cast("timestamp")).alias("a"))
-    bounds = at.select(F.percentile_approx("a", [i / FILES for i in range(1, FILES)], 10_000).alias("q")).first()["q"] or []
     a = F.unix_micros(F.col(order).cast("timestamp"))
-    lows, highs = [None, *bounds], [*bounds, None]
-    for i, (lo, hi) in enumerate(zip(lows, highs, strict=True)):
-        part = df if lo is None else df.where(a > lo)
-        part = part if hi is None else part.where(a <= hi)
-        out = part if cols is None else part.select(*cols)
-        out.coalesce(1).write.format(fmt).save(f"{base}/part={i}")
-    return base
-
-
-def stream_of(spark, base: str, schema) -> DataFrame:
-    return ST.file_source(spark, f"{base}/*", schema, max_files_per_trigger=1)
+    rows = df.count()
+    slices = min(SLICES_MOST, max(SLICES, -(-rows // (FILE_ROWS * SLICE_FILES))))
+    files = max(1, -(-rows // (slices * FILE_ROWS)))
+    bounds = df.select(F.percentile_approx(a, [i / slices for i in range(1, slices)], 10_000).alias("q")).first()["q"] or []
+    at = F.lit(0)
+    for b in bounds:
+        at = at + F.when(a > b, 1).otherwise(0)
+    out = df if cols is None else df.select(*cols, order)
+    out = out.withColumn("slice", at)
+    out = out.repartitionById(slices * files, (F.col("slice") * files + F.pmod(F.xxhash64(F.struct(*out.columns)), F.lit(files))).cast("int"))
+    (out if cols is None else out.drop(order)).write.partitionBy("slice").format(fmt).save(base)
+    # A file source takes files by their time of change, oldest first.
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    for d in fs.listStatus(jvm.org.apache.hadoop.fs.Path(base)):
+        part = d.getPath().getName()
+        if part.startswith("slice="):
+            for f in fs.listStatus(d.getPath()):
+                fs.setTimes(f.getPath(), 1_700_000_000_000 + 1_000 * int(part.split("=")[1]), -1)
+    return Feed(base, files)
+
+
+def stream_of(spark, feed: Feed, schema) -> DataFrame:
+    return ST.file_source(spark, f"{feed.path}/slice=*", schema, max_files_per_trigger=feed.files)
 
 
 def _ntz(df, cols):
@@ -180,7 +202,8 @@ def _detect_before_sql(hold_s: int) -> str:
 @register("stream_detect_events", _detect_before_sql(HOLD_S))
 def q_stream_detect_events(spark, sf):
     t = TM.light_from(events_stream(spark, sf), streaming_ts=True)
-    out = ST.run_to_parquet(PR.detect_events_stream(t, TEST_LIMIT_KMH), "detect_events")
+    with ST.rocksdb_state(spark):
+        out = ST.run_to_parquet(PR.detect_events_stream(t, TEST_LIMIT_KMH), "detect_events")
     return _ntz(spark.read.parquet(out), ["event_time"])
 
 
@@ -193,7 +216,8 @@ def _shuffled(spark, sf, name: str) -> DataFrame:
 @register("stream_detect_events_shuffled", _detect_before_sql(LONG_HOLD_S))
 def q_stream_detect_events_shuffled(spark, sf):
     t = _shuffled(spark, sf, "detect_in")
-    out = ST.run_to_parquet(PR.detect_events_stream(t, TEST_LIMIT_KMH, f"{LONG_HOLD_S} seconds"), "detect_events_shuffled")
+    with ST.rocksdb_state(spark):
+        out = ST.run_to_parquet(PR.detect_events_stream(t, TEST_LIMIT_KMH, f"{LONG_HOLD_S} seconds"), "detect_events_shuffled")
     return _ntz(spark.read.parquet(out), ["event_time"])
 
 
@@ -214,14 +238,16 @@ WHERE (NOT is_open AND end_time < {wm} AND (closed_by_off OR next_t < {wm})) OR
 @register("stream_trip_sessions_ignition", _stream_sessions_sql(HOLD_S))
 def q_stream_trip_sessions_ignition(spark, sf):
     t = TM.light_from(events_stream(spark, sf), streaming_ts=True)
-    out = ST.run_to_parquet(PR.trip_sessions_stream(t, SESSION_GAP_TEST_S), "trip_sessions_ignition")
+    with ST.rocksdb_state(spark):
+        out = ST.run_to_parquet(PR.trip_sessions_stream(t, SESSION_GAP_TEST_S), "trip_sessions_ignition")
     return _ntz(spark.read.parquet(out), ["start_time", "end_time"])
 
 
 @register("stream_trip_sessions_shuffled", _stream_sessions_sql(LONG_HOLD_S))
 def q_stream_trip_sessions_shuffled(spark, sf):
     t = _shuffled(spark, sf, "sessions_in")
-    out = ST.run_to_parquet(PR.trip_sessions_stream(t, SESSION_GAP_TEST_S, f"{LONG_HOLD_S} seconds"), "trip_sessions_shuffled")
+    with ST.rocksdb_state(spark):
+        out = ST.run_to_parquet(PR.trip_sessions_stream(t, SESSION_GAP_TEST_S, f"{LONG_HOLD_S} seconds"), "trip_sessions_shuffled")
     return _ntz(spark.read.parquet(out), ["start_time", "end_time"])
 
 
@@ -256,7 +282,7 @@ def pipeline_root(spark, sf: str) -> str:
         t = faulty_messages(spark, sf).join(TM.telemetry_light(spark, sf).select("seq", "arrival_time"), "seq")
         ev = TM.driving_events(spark, sf).select("arrival_time", DC.event_json().alias("value"))
         lines = [by_arrival(x, n, fmt="text", cols=["value"]) for x, n in ((t, "pipe_t"), (ev, "pipe_ev"))]
-        streams = [ST.text_source(spark, f"{b}/*", 1) for b in lines]
+        streams = [ST.text_source(spark, f"{b.path}/slice=*", b.files) for b in lines]
         root = ST.run_dir(spark, "pipeline")
         cfg = ST.Pipeline(root, hold=f"{LONG_HOLD_S} seconds", trigger={"availableNow": True})
         for q in ST.start_pipeline(*ST.decode_streams(*streams), cfg):
@@ -290,7 +316,7 @@ def q_stream_pipeline_latest(spark, sf):
 
 
 @register("stream_pipeline_windows", with_views(
-    f"SELECT * FROM vw WHERE window_start + to_seconds(60) <= least({_wm(LONG_HOLD_S)}, (SELECT max(event_time) FROM {_GOOD}) - to_seconds({LONG_HOLD_S}))",
+    f"SELECT * FROM vw WHERE window_start + to_seconds(60) <= {_wm(LONG_HOLD_S)}",
     f"vw AS ({_body(_vehicle_windows_sql(60)).replace('FROM tel', f'FROM {_GOOD}')})"))
 def q_stream_pipeline_windows(spark, sf):
     return _ntz(spark.read.parquet(f"{pipeline_root(spark, sf)}/vehicle_windows"), ["window_start"])

@@ -5,13 +5,17 @@ column value, so these two run as ``transformWithStateInPandas``
 processors keyed by vehicle. Everything else in the library is built-in
 Spark.
 
-Readings may arrive in any order within the hold. Each is kept in the
-vehicle's state, in buckets of event time, until the watermark has passed it;
-an event-time timer then hands the buckets on in order, one at a time. So no
-reading inside the hold is skipped, a vehicle's rows are in memory one bucket
-at a time, and state holds no more than the hold's readings plus one record
-per vehicle. Readings behind the watermark are dropped by Spark, which counts
-them (``numRowsDroppedByWatermark``); ``late_records`` reports them.
+Readings may arrive in any order within the hold. What a micro-batch brings of
+a vehicle is appended to its state as one sorted run (a list state, nothing
+read or rewritten); an event-time timer then merges the runs once and hands on
+all readings that the watermark has passed, in one call and in order, and the
+rest goes back as one run. So no reading inside the hold is skipped, a vehicle
+costs a fixed number of state calls a batch, however many readings it has, and
+state holds no more than the hold's readings plus one record per vehicle. Where
+the runs of one vehicle are longer than fits a worker, they are merged one
+stretch of time after the other. Readings behind the watermark are dropped by
+Spark, which counts them (``numRowsDroppedByWatermark``); ``late_records``
+reports them.
 
 The arithmetic mirrors the batch operators exactly, so a stream and the
 batch table give the same events.
@@ -70,9 +74,17 @@ def _ffill_seeded(values: np.ndarray, seed) -> np.ndarray:
     return pd.Series(arr).ffill().to_numpy(np.float64)
 
 
-_KEY = T.StructType([T.StructField("bucket", T.LongType())])
-_ROWS = T.StructType([T.StructField("rows", T.BinaryType())])
+_RUN = T.StructType(
+    [
+        T.StructField("low_us", T.LongType()),
+        T.StructField("high_us", T.LongType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("rows", T.BinaryType()),
+    ]
+)
 _TIMER = T.StructType([T.StructField("at_ms", T.LongType())])
+RUN_ROWS = 65_536  # rows of one element of a run
+MERGE_ROWS = 1 << 20  # rows of one vehicle that are merged at once
 
 
 def _pack(pdf: pd.DataFrame) -> bytes:
@@ -87,16 +99,28 @@ def _unpack(blob: bytes) -> pd.DataFrame:
     return pa.ipc.open_stream(bytes(blob)).read_pandas()
 
 
+def _ordered(parts: list[pd.DataFrame]) -> pd.DataFrame:
+    pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    return pdf.sort_values(["t_us", "seq"], kind="stable")
+
+
+def _run_of(pdf: pd.DataFrame) -> list[tuple]:
+    """The elements of one run of readings, in order of time."""
+    pdf = _ordered([pdf])
+    t = pdf["t_us"].to_numpy(np.int64)
+    return [
+        (int(t[at]), int(t[min(at + RUN_ROWS, len(t)) - 1]), min(RUN_ROWS, len(t) - at), _pack(pdf.iloc[at : at + RUN_ROWS]))
+        for at in range(0, len(t), RUN_ROWS)
+    ]
+
+
 class OrderedProcessor(StatefulProcessor):
     """Hands a vehicle's readings to :meth:`process` in (time, seq) order,
     each once the watermark has passed it."""
 
-    def __init__(self, bucket_s: int):
-        self.bucket_us = int(bucket_s) * 1_000_000
-
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", _KEY, _ROWS)
+        self.runs = handle.getListState("runs", _RUN)
         self.timer = handle.getValueState("timer", _TIMER)
 
     # To be given by the operator -----------------------------------------
@@ -119,45 +143,78 @@ class OrderedProcessor(StatefulProcessor):
     # ----------------------------------------------------------------------
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        first = None
+        low = None
         for pdf in rows:  # one Arrow batch at a time
             if pdf.empty:
                 continue
-            bucket = pdf["t_us"].to_numpy(np.int64) // self.bucket_us
-            for b in np.unique(bucket).tolist():
-                part = pdf[bucket == b]
-                if self.waiting.containsKey((b,)):
-                    part = pd.concat([_unpack(self.waiting.getValue((b,))[0]), part], ignore_index=True)
-                self.waiting.updateValue((b,), (_pack(part),))
-            low = int(pdf["t_us"].min())
-            first = low if first is None else min(first, low)
-        if first is not None:
-            self._wake(first // 1000 + 1)
+            run = _run_of(pdf)
+            if len(run) == 1:
+                self.runs.appendValue(run[0])
+            else:
+                self.runs.appendList(run)
+            low = run[0][0] if low is None else min(low, run[0][0])
+        if low is not None:
+            self._wake(low // 1000 + 1)
         yield pd.DataFrame([], columns=self.columns)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.timer.clear()
         mark = timerValues.getCurrentWatermarkInMs()
-        end = mark * 1000  # readings before this are complete
-        nxt = None
-        for (b,) in sorted(tuple(k) for k in self.waiting.keys()):
-            if b * self.bucket_us >= end:
-                nxt = b * self.bucket_us if nxt is None else nxt
-                continue
-            pdf = _unpack(self.waiting.getValue((b,))[0]).sort_values(["t_us", "seq"], kind="stable")
-            ready = pdf["t_us"].to_numpy(np.int64) < end
-            if ready.all():
-                self.waiting.removeKey((b,))
+        rest: list[tuple] = []
+        due = False
+        for ready, rest in self._merged(mark * 1000):
+            due = True
+            yield pd.DataFrame(self.process(key, ready), columns=self.columns)
+        if due:
+            if rest:
+                self.runs.put(rest)
             else:
-                rest = pdf[~ready]
-                self.waiting.updateValue((b,), (_pack(rest),))
-                nxt = int(rest["t_us"].min()) if nxt is None else nxt
-            if ready.any():
-                yield pd.DataFrame(self.process(key, pdf[ready]), columns=self.columns)
-        yield pd.DataFrame(self.passed(key, mark), columns=self.columns)
-        wake = [x for x in (None if nxt is None else nxt // 1000 + 1, self.due_ms()) if x is not None]
+                self.runs.clear()
+        late = self.passed(key, mark)
+        if late:
+            yield pd.DataFrame(late, columns=self.columns)
+        wake = [x for x in (rest[0][0] // 1000 + 1 if rest else None, self.due_ms()) if x is not None]
         if wake:
-            self._wake(max(min(wake), mark + 1))
+            at = max(min(wake), mark + 1)
+            self.timer.update((at,))
+            self.handle.registerTimer(at)
+        else:
+            self.timer.clear()
+
+    def _merged(self, end_us: int) -> Iterator[tuple[pd.DataFrame, list[tuple]]]:
+        """The readings before ``end_us`` in order, each time with what is
+        left of the runs behind that (complete with the last part)."""
+        held: list[tuple] | None = []
+        times, n = [], 0
+        for e in self.runs.get():
+            n += e[2]
+            if n > MERGE_ROWS:
+                held = None
+            if held is not None:
+                held.append(tuple(e))
+            times.append(e[:3])
+        if held is not None:
+            if not held:
+                return
+            pdf = _ordered([_unpack(e[3]) for e in held])
+            cut = int(np.searchsorted(pdf["t_us"].to_numpy(np.int64), end_us))
+            rest = _run_of(pdf.iloc[cut:]) if cut < len(pdf) else []
+            yield pdf.iloc[:cut], rest
+            return
+        # Too much at once: stretches of time, each read from the runs anew.
+        all_t = np.sort(np.concatenate([_unpack(e[3])["t_us"].to_numpy(np.int64) for e in self.runs.get() if e[0] < end_us]))
+        bounds = [*np.unique(all_t[all_t < end_us][MERGE_ROWS::MERGE_ROWS]).tolist(), end_us]
+        rest = []
+        for e in self.runs.get():
+            if e[1] >= end_us:
+                tail = _unpack(e[3])
+                rest += _run_of(tail[tail["t_us"] >= end_us])
+        rest.sort(key=lambda e: e[0])
+        low = None
+        for high in bounds:
+            parts = [_unpack(e[3]) for e in self.runs.get() if e[0] < high and (low is None or e[1] >= low)]
+            parts = [p[(p["t_us"] < high) & (True if low is None else p["t_us"] >= low)] for p in parts]
+            yield _ordered(parts), rest
+            low = high
 
     def _wake(self, at_ms: int) -> None:
         """One timer per vehicle, at the earliest time asked for."""
@@ -178,8 +235,7 @@ class DetectProcessor(OrderedProcessor):
 
     columns = ["vehicle_id", "trip_id", "t_us", "event_type"]
 
-    def __init__(self, limit_kmh: float, bucket_s: int):
-        super().__init__(bucket_s)
+    def __init__(self, limit_kmh: float):
         self.limit = float(limit_kmh)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -303,8 +359,7 @@ class TripSessionProcessor(OrderedProcessor):
 
     columns = [f.name for f in SESSION_OUT.fields]
 
-    def __init__(self, gap_s: float, keep_idle: bool, bucket_s: int):
-        super().__init__(bucket_s)
+    def __init__(self, gap_s: float, keep_idle: bool):
         self.gap_us = int(gap_s * 1_000_000)
         self.keep_idle = keep_idle
 
@@ -364,9 +419,6 @@ class TripSessionProcessor(OrderedProcessor):
         return self._row(key, s)
 
 
-BUCKET_S = 3600
-
-
 def _inputs(t: DataFrame, hold: str, cols: list[str]) -> DataFrame:
     provider = t.sparkSession.conf.get("spark.sql.streaming.stateStore.providerClass", "")
     if not provider.endswith("RocksDBStateStoreProvider"):
@@ -378,23 +430,22 @@ def _inputs(t: DataFrame, hold: str, cols: list[str]) -> DataFrame:
     return marked.withColumn("t_us", F.unix_micros(F.col("event_time").cast("timestamp"))).select("vehicle_id", "event_time", "t_us", "seq", *cols)
 
 
-def detect_events_stream(t: DataFrame, limit_kmh: float, hold: str = S.LATE_HOLD, bucket_s: int = BUCKET_S) -> DataFrame:
+def detect_events_stream(t: DataFrame, limit_kmh: float, hold: str = S.LATE_HOLD) -> DataFrame:
     """T10 (stream): driving events from a telemetry stream, in event-time
-    order whatever the order of arrival within ``hold``. Give the source a
-    rate limit: a vehicle's part of a micro-batch is bucketed in its state."""
+    order whatever the order of arrival within ``hold``."""
     d = _inputs(t, hold, ["trip_id", "speed_kmh", "heading_deg", "ignition_on", "fuel_pct"])
     out = d.groupBy("vehicle_id").transformWithStateInPandas(
-        statefulProcessor=DetectProcessor(limit_kmh, bucket_s), outputStructType=DETECT_OUT, outputMode="Append", timeMode="EventTime"
+        statefulProcessor=DetectProcessor(limit_kmh), outputStructType=DETECT_OUT, outputMode="Append", timeMode="EventTime"
     )
     return out.select("vehicle_id", "trip_id", F.timestamp_micros("t_us").alias("event_time"), "event_type")
 
 
-def trip_sessions_stream(t: DataFrame, gap_s: float = S.SESSION_GAP_S, hold: str = S.LATE_HOLD, keep_idle: bool = False, bucket_s: int = BUCKET_S) -> DataFrame:
+def trip_sessions_stream(t: DataFrame, gap_s: float = S.SESSION_GAP_S, hold: str = S.LATE_HOLD, keep_idle: bool = False) -> DataFrame:
     """T4 (stream): gap + ignition sessions, in event-time order whatever the
     order of arrival within ``hold``."""
     d = _inputs(t, hold, ["lat", "lon", "speed_kmh", "ignition_on"])
     out = d.groupBy("vehicle_id").transformWithStateInPandas(
-        statefulProcessor=TripSessionProcessor(gap_s, keep_idle, bucket_s), outputStructType=SESSION_OUT, outputMode="Append", timeMode="EventTime"
+        statefulProcessor=TripSessionProcessor(gap_s, keep_idle), outputStructType=SESSION_OUT, outputMode="Append", timeMode="EventTime"
     )
     return out.select(
         "vehicle_id",

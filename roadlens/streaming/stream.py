@@ -18,8 +18,9 @@ Every query keeps its own checkpoint under the shared folder named by
 
 from __future__ import annotations
 
+import contextlib
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from roadlens import schemas as S
 from roadlens.functions.signals import is_harsh
 from roadlens.operators.windows import centi, exact_mean
-from roadlens.session import checkpoint_root
+from roadlens.session import ROCKSDB, checkpoint_root
 from roadlens.sources import decode as DC
 from roadlens.sources import sinks as SK
 
@@ -186,6 +187,22 @@ def late_stream(t: DataFrame, arrival: str = "arrival_time", width: str = S.VEHI
 # ---------------------------------------------------------------------------
 
 
+@contextlib.contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB, which the stateful
+    processors need; the session's own setting comes back afterwards."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def run_to_parquet(df: DataFrame, name: str, mode: str = "append") -> str:
     """Run a streaming DataFrame over everything available (``availableNow``)
     into a Parquet folder; return the folder."""
