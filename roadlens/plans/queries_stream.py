@@ -5,6 +5,7 @@ as several files in their order of arrival, one micro-batch each."""
 
 from __future__ import annotations
 
+import time
 import weakref
 from dataclasses import dataclass
 
@@ -85,13 +86,14 @@ def by_arrival(df: DataFrame, name: str, order: str = "arrival_time", fmt: str =
     out = out.repartitionById(slices * files, (F.col("slice") * files + F.pmod(F.xxhash64(F.struct(*out.columns)), F.lit(files))).cast("int"))
     (out if cols is None else out.drop(order)).write.partitionBy("slice").format(fmt).save(base)
     # A file source takes files by their time of change, oldest first.
+    start = 1000 * (int(time.time()) - slices)
     jvm = spark._jvm
     fs = jvm.org.apache.hadoop.fs.Path(base).getFileSystem(spark._jsc.hadoopConfiguration())
     for d in fs.listStatus(jvm.org.apache.hadoop.fs.Path(base)):
         part = d.getPath().getName()
         if part.startswith("slice="):
             for f in fs.listStatus(d.getPath()):
-                fs.setTimes(f.getPath(), 1_700_000_000_000 + 1_000 * int(part.split("=")[1]), -1)
+                fs.setTimes(f.getPath(), start + 1000 * int(part.split("=")[1]), -1)
     return Feed(base, files)
 
 

@@ -39,12 +39,13 @@ def history_table(spark: SparkSession, path: str, keys: Sequence[str] = ("vehicl
 
 def write_history(df: DataFrame, path: str, keys: Sequence[str] = ("vehicle_id", "event_time"),
                   order: Sequence[str] = ("arrival_time", "seq"), version: int | None = None) -> int:
-    """Merge rows into a history table. One row per key stays, the
-    last written by ``order``; rows of other keys are kept, days without new
-    rows are not touched, and a replayed ``version`` changes nothing. Event
-    rows get S10's empty detail."""
+    """Append rows to a history table. One row per key is read back,
+    the last written by ``order``; rows of other keys are kept, nothing stored
+    is written again but by a compaction, and a replayed ``version`` changes
+    nothing. Event rows get S10's empty detail."""
     rows = history_rows(df, detail_default=True).drop("day")
-    return history_table(df.sparkSession, path, keys).commit(rows, last_write(keys, order), version)
+    named = [c for c in order if c in df.columns]
+    return history_table(df.sparkSession, path, keys).commit_and_compact(rows, last_write(keys, named), version)
 
 
 def read_history(spark: SparkSession, path: str, days: Sequence[str] | None = None) -> DataFrame | None:
@@ -55,13 +56,13 @@ def write_fleet_windows(df: DataFrame, path: str, version: int | None = None) ->
     """Fleet rows by ``day_bucket``, one per window, later rows replacing
     earlier ones of the same window."""
     t = KeyedTable(df.sparkSession, path, F.col("day_bucket"), ["window_start"])
-    return t.commit(df, replace_rows(["window_start"]), version)
+    return t.commit_and_compact(df, replace_rows(["window_start"]), version)
 
 
 def write_columns(df: DataFrame, path: str, keys: Sequence[str], cols: Sequence[str], ts: str = "window_start", version: int | None = None) -> int:
     """Set some columns of the stored rows of ``df``'s keys."""
     t = KeyedTable(df.sparkSession, path, F.to_date(ts), list(keys))
-    return t.commit(df, set_columns(keys, cols), version)
+    return t.commit_and_compact(df, set_columns(keys, cols), version)
 
 
 def upsert_columns(target: DataFrame, updates: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
@@ -84,16 +85,9 @@ def upsert_columns(target: DataFrame, updates: DataFrame, keys: list[str], cols:
     return j.select(*out)
 
 
-def merge_latest(previous: DataFrame | None, batch_latest: DataFrame, order: Sequence[str] = ("event_time", "seq")) -> DataFrame:
-    """Merge a batch's latest rows into the stored latest state; the
-    newest reading wins, so a late tick never moves a vehicle backwards."""
-    both = batch_latest if previous is None else previous.unionByName(batch_latest)
-    return dedup_latest(both, ["vehicle_id"], order)
-
-
 def latest_table(spark: SparkSession, path: str, shards: int = 64) -> KeyedTable:
-    """Latest state, one row per vehicle. Rows are dealt over a fixed
-    number of shards, so a batch rewrites only its vehicles' shards."""
+    """Latest state, one row per vehicle, appended batch by batch. Rows
+    are dealt over a fixed number of shards, the units of a compaction."""
     return KeyedTable(spark, path, F.pmod(F.xxhash64("vehicle_id"), F.lit(shards)), ["vehicle_id"])
 
 
@@ -103,7 +97,7 @@ def keyed_merge_writer(keys: list[str], ts: str = "window_start"):
     the batch touches. A replayed epoch finds its commit and does nothing."""
 
     def write(batch: DataFrame, epoch: int, out: str) -> None:
-        KeyedTable(batch.sparkSession, out, F.to_date(ts), keys).commit(batch, replace_rows(keys), epoch)
+        KeyedTable(batch.sparkSession, out, F.to_date(ts), keys).commit_and_compact(batch, replace_rows(keys), epoch)
 
     return write
 

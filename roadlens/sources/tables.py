@@ -1,27 +1,103 @@
-"""Keyed Parquet tables that grow by merging only the days a batch touches.
+"""Keyed Parquet tables that grow as a log: batches append, reads merge.
 
 Layout under the table's folder::
 
-    data/v=<version>/_day=<day>/part-*.parquet   full content of that day
-    commits/<version>/                           which version holds each day
-
-A version is one commit. Its day folders are written first, its commit folder
-last; a commit counts once Spark has put ``_SUCCESS`` into it, so a reader
-never sees half a version and a version that failed is written anew. A batch
-that is replayed with its own number finds its commit and does nothing.
-Storage errors are never taken for an empty table: what is there is asked of
-the file system, and everything else fails the batch.
+    delta/v=<version>/part-*.parquet         one batch's rows, as they came
+    log/<version>.json                       its days and rows in each, its rule
+    base/b=<k>/_day=<day>/part-*.parquet     merged days, sorted by key
+    snapshots/<k>.json                       merged days and deltas not yet merged
+
+A batch writes its own rows and one small log entry, whatever the table holds;
+it is evaluated once. Its entry is written last, so a reader never sees half a
+batch and a failed one is written anew; a batch that is replayed with its own
+number finds its entry and does nothing. A read takes the merged days and the
+deltas on top of them and merges by the table's rule, days without deltas
+straight from their files. :meth:`KeyedTable.compact` merges the days whose
+deltas outweigh them, apart from any batch. Storage errors are never taken for
+an empty table: what is there is asked of the file system, and everything else
+fails the read or the batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import json
+from collections.abc import Sequence
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-Merge = Callable[[DataFrame | None, DataFrame], DataFrame]
 DAY = "_day"
+VERSION = "_version"
+_MERGED = -1  # version of merged rows that set every column
+COMPACT_EVERY = 16  # batches between two looks for days to merge
+
+
+@dataclass(frozen=True)
+class Rule:
+    """How rows of one key become one: ``last`` keeps the last by ``order``
+    (then by batch), ``set`` takes each of ``cols`` from the last batch that set it."""
+
+    kind: str
+    keys: tuple[str, ...]
+    order: tuple[str, ...] = ()
+    cols: tuple[str, ...] = ()
+
+    def merge(self, rows: DataFrame, sets: dict[int, Sequence[str]]) -> DataFrame:
+        """One row per key. ``sets``: the columns that each version sets."""
+        from roadlens.sources.sinks import dedup_latest
+
+        if self.kind == "last":
+            return dedup_latest(rows, [*self.keys], [*self.order, VERSION])
+        out = [F.lit(_MERGED).cast("long").alias(VERSION), F.min(DAY).alias(DAY)]
+        for c in rows.columns:
+            if c in (*self.keys, VERSION, DAY):
+                continue
+            by = [v for v, cols in sets.items() if c in cols]
+            last = F.max(F.when(F.col(VERSION).isin(_MERGED, *by), F.struct(VERSION, c)))
+            out.append(last[c].alias(c))
+        return rows.groupBy(*self.keys).agg(*out)
+
+
+def last_write(keys: Sequence[str], order: Sequence[str]) -> Rule:
+    """One row per key, the last by ``order``; of equal ones the newer batch's."""
+    return Rule("last", tuple(keys), tuple(order))
+
+
+def replace_rows(keys: Sequence[str]) -> Rule:
+    """The batch's rows replace those of the same keys (a later state of the
+    same window); a batch has one row per key."""
+    return Rule("last", tuple(keys))
+
+
+def set_columns(keys: Sequence[str], cols: Sequence[str]) -> Rule:
+    """The batch sets ``cols`` of the rows of its keys and adds rows for new
+    keys; every other column stays."""
+    return Rule("set", tuple(keys), (), tuple(cols))
+
+
+@dataclass
+class State:
+    """What a reader sees: merged days as {day: (base, rows)}, and deltas
+    {version: {day: rows}} with each version's rule."""
+
+    bases: dict[str, tuple[int, int]] = field(default_factory=dict)
+    deltas: dict[int, dict[str, int]] = field(default_factory=dict)
+    rules: dict[int, Rule] = field(default_factory=dict)
+    rule: Rule | None = None
+    through: int = -1
+
+    def add(self, version: int, entry: dict) -> None:
+        rule = Rule(**{k: tuple(v) if isinstance(v, list) else v for k, v in entry["rule"].items()})
+        if entry["days"]:
+            self.deltas[version], self.rules[version] = dict(entry["days"]), rule
+        self.rule, self.through = rule, max(self.through, version)
+
+    def days(self) -> set[str]:
+        return set(self.bases).union(*self.deltas.values())
+
+    def waiting(self, day: str) -> int:
+        return sum(d.get(day, 0) for d in self.deltas.values())
 
 
 class KeyedTable:
@@ -49,103 +125,183 @@ class KeyedTable:
         fs, p = self._fs(path)
         fs.delete(p, True)
 
-    # -- versions ----------------------------------------------------------
-
-    def versions(self) -> list[int]:
-        """Committed versions, oldest first."""
-        found = [int(n) for n in self._children(f"{self.path}/commits") if n.isdigit()]
-        return sorted(v for v in found if self._exists(f"{self.path}/commits/{v}/_SUCCESS"))
-
-    def _days(self, version: int) -> dict[str, int]:
-        """day -> version that holds it. One short row per day of the table."""
-        rows = self.spark.read.schema("day string, version long").parquet(f"{self.path}/commits/{version}").collect()
-        return {r.day: r.version for r in rows}
-
-    def read(self, days: Sequence[str] | None = None, version: int | None = None) -> DataFrame | None:
-        """Rows of the newest (or given) version, of all or the given days;
-        None if there are none."""
-        there = self.versions()
-        if version is None:
-            if not there:
-                return None
-            version = there[-1]
-        held = self._days(version)
-        wanted = sorted(held) if days is None else [d for d in days if d in held]
-        if not wanted:
-            return None
-        return self.spark.read.parquet(*[f"{self.path}/data/v={held[d]}/{DAY}={d}" for d in wanted])
-
-    def commit(self, batch: DataFrame, merge: Merge, version: int | None = None) -> int:
-        """Merges ``batch`` into the days it has rows for; other days keep
-        their files. ``merge(old rows of those days or None, batch)`` returns
-        the new rows. ``version`` is the batch's own number (an epoch); a
-        number that is already committed is a replay. Returns the version."""
-        there = self.versions()
+    def _write_json(self, path: str, value: dict) -> None:
+        """The file is there with its whole content or not at all."""
+        fs, tmp = self._fs(f"{path}.tmp")
+        out = fs.create(tmp, True)
+        try:
+            out.write(bytearray(json.dumps(value).encode()))
+        finally:
+            out.close()
+        _, p = self._fs(path)
+        fs.delete(p, False)
+        if not fs.rename(tmp, p):
+            raise OSError(f"cannot write {path}")
+
+    def _read_json(self, path: str) -> dict:
+        fs, p = self._fs(path)
+        stream = fs.open(p)
+        try:
+            size = fs.getFileStatus(p).getLen()
+            return json.loads(bytes(stream.readNBytes(int(size))))
+        finally:
+            stream.close()
+
+    def _numbers(self, folder: str) -> list[int]:
+        names = [n.removesuffix(".json") for n in self._children(f"{self.path}/{folder}") if n.endswith(".json")]
+        return sorted(int(n) for n in names if n.isdigit())
+
+    # -- state -------------------------------------------------------------
+
+    def _snapshot(self, k: int) -> State:
+        s = self._read_json(f"{self.path}/snapshots/{k}.json")
+        out = State()
+        for v, entry in sorted(s["deltas"].items(), key=lambda x: int(x[0])):
+            out.add(int(v), entry)
+        out.bases = {d: (b, n) for d, (b, n) in s["bases"].items()}
+        out.rule = Rule(**{k: tuple(v) if isinstance(v, list) else v for k, v in s["rule"].items()})
+        out.through = s["through"]
+        return out
+
+    def state(self) -> State:
+        """Merged days, and deltas on top, of all committed batches."""
+        snapshots = self._numbers("snapshots")
+        out = self._snapshot(snapshots[-1]) if snapshots else State()
+        since = out.through
+        for v in self._numbers("log"):
+            if v > since:
+                out.add(v, self._read_json(f"{self.path}/log/{v}.json"))
+        return out
+
+    def version(self) -> int:
+        """The newest committed batch, -1 if there is none."""
+        return self.state().through
+
+    # -- batches -----------------------------------------------------------
+
+    def commit(self, batch: DataFrame, rule: Rule, version: int | None = None) -> int:
+        """Appends ``batch``. ``version`` is the batch's own number (an
+        epoch); a number that is already committed is a replay. Returns it."""
+        newest = self.version()
         if version is None:
-            version = there[-1] + 1 if there else 0
-        elif there and version <= there[-1]:
+            version = newest + 1
+        elif version <= newest:
             return version
-        days = [r[0] for r in batch.select(self.day.cast("string")).distinct().collect()]
+        path = f"{self.path}/delta/v={version}"
+        rows = batch.withColumn(DAY, self.day.cast("string")).withColumn(VERSION, F.lit(version).cast("long"))
+        if rule.kind == "set":
+            rows = rows.select(*rule.keys, *rule.cols, DAY, VERSION)
+        rows.sortWithinPartitions(DAY, *self.sort).write.mode("overwrite").parquet(path)
+        days = {r[DAY]: r["count"] for r in self.spark.read.schema(rows.schema).parquet(path).groupBy(DAY).count().collect()}
+        if not days or None in days:
+            self._delete(path)
         if None in days:
             raise ValueError("a row without its day cannot be stored")
-        held = self._days(there[-1]) if there else {}
-        if days:
-            old = self.read(days, there[-1]) if there else None
-            out = merge(old, batch).withColumn(DAY, self.day.cast("string"))
-            (
-                out.repartitionByRange(DAY, *self.sort)
-                .sortWithinPartitions(DAY, *self.sort)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "static")
-                .partitionBy(DAY)
-                .parquet(f"{self.path}/data/v={version}")
-            )
-        now = held | {d: version for d in days}
-        manifest = self.spark.createDataFrame(sorted(now.items()), "day string, version long")
-        manifest.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/{version}")
-        self._clean(there, held, now)
+        self._write_json(f"{self.path}/log/{version}.json", {"days": days, "rule": asdict(rule)})
         return version
 
-    def _clean(self, there: list[int], held: dict[str, int], now: dict[str, int]) -> None:
-        """Deletes what neither the new version nor the one before it holds."""
-        for v in there[:-1]:
-            for day, of in self._days(v).items():
-                if held.get(day) != of and now.get(day) != of:
-                    self._delete(f"{self.path}/data/v={of}/{DAY}={day}")
-            self._delete(f"{self.path}/commits/{v}")
-
-
-def last_write(keys: Sequence[str], order: Sequence[str]) -> Merge:
-    """One row per key, the last by ``order``; of equal ones the newer batch's."""
-    from roadlens.sources.sinks import dedup_latest
-
-    def merge(old: DataFrame | None, batch: DataFrame) -> DataFrame:
-        both = batch.withColumn("_new", F.lit(1))
+    # -- reads -------------------------------------------------------------
+
+    def read(self, days: Sequence[str] | None = None) -> DataFrame | None:
+        """One row per key, of all or the given days; None if there are none."""
+        state = self.state()
+        wanted = sorted(state.days()) if days is None else [d for d in days if d in state.days()]
+        rows = self._rows(state, wanted)
+        return None if rows is None else rows.drop(DAY, VERSION)
+
+    def _rows(self, state: State, days: Sequence[str]) -> DataFrame | None:
+        wanted = set(days)
+        open_ = wanted.intersection(*[set().union(*state.deltas.values())])
+        done = self._base(state, sorted(wanted - open_))
+        if not open_:
+            return done
+        versions = [v for v, d in state.deltas.items() if open_.intersection(d)]
+        delta = self.spark.read.option("mergeSchema", str(state.rule.kind == "set").lower())
+        rows = delta.parquet(*[f"{self.path}/delta/v={v}" for v in versions])
+        stored = set().union(*[state.deltas[v] for v in versions])
+        if stored - open_:
+            rows = rows.where(F.col(DAY).isin(*sorted(open_)))
+        old = self._base(state, sorted(open_))
         if old is not None:
-            both = old.withColumn("_new", F.lit(0)).unionByName(both, allowMissingColumns=True)
-        return dedup_latest(both, list(keys), [*order, "_new"]).drop("_new")
-
-    return merge
-
-
-def replace_rows(keys: Sequence[str]) -> Merge:
-    """The batch's rows replace those of the same keys (a later state of the
-    same window); a batch has one row per key."""
-
-    def merge(old: DataFrame | None, batch: DataFrame) -> DataFrame:
-        if old is None:
-            return batch
-        return old.join(batch.select(*keys), list(keys), "left_anti").unionByName(batch)
-
-    return merge
-
-
-def set_columns(keys: Sequence[str], cols: Sequence[str]) -> Merge:
-    """The batch sets ``cols`` of the rows of its keys and adds rows for new
-    keys; every other column stays."""
-    from roadlens.sources.sinks import upsert_columns
-
-    def merge(old: DataFrame | None, batch: DataFrame) -> DataFrame:
-        return batch if old is None else upsert_columns(old, batch, list(keys), list(cols))
+            rows = rows.unionByName(old, allowMissingColumns=True)
+        rows = state.rule.merge(rows, {v: r.cols for v, r in state.rules.items()})
+        return rows if done is None else rows.unionByName(done, allowMissingColumns=True)
 
-    return merge
+    def _base(self, state: State, days: Sequence[str]) -> DataFrame | None:
+        paths = [f"{self.path}/base/b={state.bases[d][0]}/{DAY}={d}" for d in days if d in state.bases]
+        if not paths:
+            return None
+        # The day also stands in the files, as the folder's name is not read.
+        return self.spark.read.parquet(*paths).withColumnRenamed("_of_day", DAY)
+
+    # -- compaction --------------------------------------------------------
+
+    def compact(self, weight: float = 1.0) -> list[str]:
+        """Merges the days whose deltas have at least ``weight`` times the
+        rows of what is merged already; other days and their files stay.
+        Returns those days."""
+        state = self.state()
+        due = sorted(d for d in state.days() if (n := state.waiting(d)) and n >= weight * state.bases.get(d, (0, 0))[1])
+        if not due:
+            return []
+        snapshots = self._numbers("snapshots")
+        k = snapshots[-1] + 1 if snapshots else 0
+        path = f"{self.path}/base/b={k}"
+        rows = self._rows(state, due)
+        (
+            rows.withColumn("_of_day", F.col(DAY))
+            .repartitionByRange(DAY, *self.sort)
+            .sortWithinPartitions(DAY, *self.sort)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(DAY)
+            .parquet(path)
+        )
+        sizes = {r["_of_day"]: r["count"] for r in self.spark.read.parquet(*[f"{path}/{DAY}={d}" for d in due]).groupBy("_of_day").count().collect()}
+        bases = state.bases | {d: (k, sizes[d]) for d in due}
+        left = {v: {d: n for d, n in days.items() if d not in due} for v, days in state.deltas.items()}
+        entries = {v: {"days": days, "rule": asdict(state.rules[v])} for v, days in left.items() if days}
+        self._write_json(
+            f"{self.path}/snapshots/{k}.json",
+            {"bases": bases, "deltas": entries, "rule": asdict(state.rule), "through": state.through},
+        )
+        self._clean(k)
+        return due
+
+    def _clean(self, newest: int) -> None:
+        """Deletes what neither the newest snapshot nor the one before it
+        (readers may still be at it) needs."""
+        kept = [self._snapshot(k) for k in self._numbers("snapshots") if k >= newest - 1]
+        if len(kept) < 2:
+            return
+        through = min(s.through for s in kept)
+        bases = {b for s in kept for b, _ in s.bases.values()}
+        deltas = {v for s in kept for v in s.deltas}
+        for v in self._numbers("log"):
+            if v <= through:
+                self._delete(f"{self.path}/log/{v}.json")
+                if v not in deltas:
+                    self._delete(f"{self.path}/delta/v={v}")
+        for v in [int(n.removeprefix("v=")) for n in self._children(f"{self.path}/delta")]:
+            if v <= through and v not in deltas:
+                self._delete(f"{self.path}/delta/v={v}")
+        for name in self._children(f"{self.path}/base"):
+            b = int(name.removeprefix("b="))
+            if b not in bases:
+                self._delete(f"{self.path}/base/{name}")
+                continue
+            held = {d for s in kept for d, (of, _) in s.bases.items() if of == b}
+            for day in self._children(f"{self.path}/base/{name}"):
+                if day.startswith(f"{DAY}=") and day.removeprefix(f"{DAY}=") not in held:
+                    self._delete(f"{self.path}/base/{name}/{day}")
+        for k in self._numbers("snapshots"):
+            if k < newest - 1:
+                self._delete(f"{self.path}/snapshots/{k}.json")
+
+    def commit_and_compact(self, batch: DataFrame, rule: Rule, version: int | None = None) -> int:
+        """What a stream's sink does with a micro-batch: append it, and now
+        and then merge the days that have become mostly deltas."""
+        version = self.commit(batch, rule, version)
+        if version % COMPACT_EVERY == COMPACT_EVERY - 1:
+            self.compact()
+        return version

@@ -32,6 +32,7 @@ from roadlens.operators.windows import centi, exact_mean
 from roadlens.session import ROCKSDB, checkpoint_root
 from roadlens.sources import decode as DC
 from roadlens.sources import sinks as SK
+from roadlens.sources.tables import last_write
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
@@ -237,12 +238,13 @@ def run_foreach_batch(df: DataFrame, name: str, fn: Callable[[DataFrame, int, st
 
 
 def latest_state_writer(batch: DataFrame, epoch: int, out: str) -> None:
-    """Merge the batch's newest row per vehicle into the stored state."""
+    """Append the batch's newest row per vehicle to the stored state; the
+    newest reading wins, so a late tick never moves a vehicle backwards."""
     cols = ["vehicle_id", "lat", "lon", "speed_kmh", "engine_temp_c", "event_time", *(["seq"] if "seq" in batch.columns else [])]
     order = ["event_time", "seq"]
     newest = SK.dedup_latest(batch.select(*cols), ["vehicle_id"], order)
     table = SK.latest_table(batch.sparkSession, out)
-    table.commit(newest, lambda old, new: SK.merge_latest(old, new, order), epoch)
+    table.commit_and_compact(newest, last_write(["vehicle_id"], [c for c in order if c in cols]), epoch)
 
 
 def read_latest_state(spark: SparkSession, out: str) -> DataFrame | None:

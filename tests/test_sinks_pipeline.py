@@ -44,6 +44,16 @@ def test_earlier_arrival_does_not_replace_a_later_one(spark):
     assert [r.speed_kmh for r in SK.read_history(spark, p).collect()] == [60.0]
 
 
+def _bytes(spark, path):
+    fs = spark._jvm.org.apache.hadoop.fs.FileSystem.getLocal(spark._jsc.hadoopConfiguration())
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+
+def _day_of(t, day):
+    return t.where(F.to_date("event_time") == F.lit(day).cast("date"))
+
+
 def test_replay_and_untouched_days(spark):
     p = _path("h")
     t = TM.telemetry_light(spark, SF_SMALL)
@@ -51,36 +61,86 @@ def test_replay_and_untouched_days(spark):
     SK.write_history(t.limit(3), p, version=0)  # replay of epoch 0: nothing happens
     assert SK.read_history(spark, p).count() == t.count()
     table = SK.history_table(spark, p)
+    assert len(table.compact()) == len(table.state().bases) > 3
     day = str(t.agg(F.min(F.to_date("event_time"))).first()[0])
-    SK.write_history(t.where(F.to_date("event_time") == F.lit(day).cast("date")), p, version=1)
-    held = table._days(1)
-    assert [d for d, v in held.items() if v == 1] == [day] and len(held) > 3
-    SK.write_history(t.where(F.to_date("event_time") == F.lit(day).cast("date")), p, version=2)
-    # Version 0 lost that day; its other days are still in use.
-    assert not table._exists(f"{p}/data/v=0/_day={day}")
+    SK.write_history(_day_of(t, day), p, version=1)
+    assert table.state().deltas[1].keys() == {day}
+    assert table.compact() == [day]
+    # Only that day was written again.
+    assert [d for d, (b, _) in table.state().bases.items() if b == 1] == [day]
+    SK.write_history(_day_of(t, day), p, version=1)  # replay after its entry was merged
+    assert not table.state().deltas
+    SK.write_history(_day_of(t, day), p, version=2)
+    table.compact()
+    # The first base lost that day; its other days are still in use.
+    assert not table._exists(f"{p}/base/b=0/_day={day}") and len(table._children(f"{p}/base/b=0")) > 3
+    assert not table._exists(f"{p}/delta/v=0") and not table._exists(f"{p}/log/0.json")
+    got = SK.read_history(spark, p)
+    assert got.count() == t.count() and got.exceptAll(t.select(*got.columns)).count() == 0
+
+
+def test_a_batch_writes_its_own_rows_only(spark):
+    p = _path("h")
+    t = TM.telemetry_light(spark, SF_SMALL)
+    SK.write_history(t, p)
+    SK.history_table(spark, p).compact()
+    whole = _bytes(spark, p)
+    row = t.orderBy("event_time").limit(1)
+    SK.write_history(row, p)
+    one = _bytes(spark, p) - whole
+    for _ in range(3):
+        SK.write_history(row, p)
+    more = _bytes(spark, p) - whole
+    assert one < whole / 10 and more < 4.5 * one
     assert SK.read_history(spark, p).count() == t.count()
-    assert len(table.versions()) == 2
 
 
-def test_unreadable_state_fails_the_batch(spark):
+def test_compaction_waits_for_days_with_many_deltas(spark):
+    p = _path("h")
+    SK.write_history(_reading(spark, [(t, t, 0) for t in range(50)] + [(90_000, 1, 0)]), p)
+    table = SK.history_table(spark, p)
+    assert len(table.compact()) == 2
+    SK.write_history(_reading(spark, [(3, 99, 1), (90_001, 2, 1)]), p)
+    assert len(table.compact()) == 1  # the second day has as many new rows as old ones
+    assert sum(table.state().deltas[1].values()) == 1
+    got = {r.speed_kmh for r in SK.read_history(spark, p).collect()}
+    assert got == {*map(float, range(50)), 99.0} - {3.0}
+    days = sorted(table.state().days())
+    assert SK.read_history(spark, p, days[1:]).count() == 2 and SK.read_history(spark, p, ["2000-01-01"]) is None
+
+
+def test_sink_compacts_now_and_then(spark, monkeypatch):
+    from roadlens.sources import tables
+
+    monkeypatch.setattr(tables, "COMPACT_EVERY", 3)
+    p = _path("h")
+    for i in range(7):
+        SK.write_history(_reading(spark, [(i, i, i), (0, 10 * i, i)]), p, version=i)
+    st = SK.history_table(spark, p).state()
+    assert [n for _, n in st.bases.values()] == [6] and sorted(st.deltas) == [6] and st.through == 6
+    got = {r.speed_kmh for r in SK.read_history(spark, p).collect()}
+    assert got == {60.0, 1.0, 2.0, 3.0, 4.0, 5.0, 6.0}
+
+
+def test_unreadable_state_fails_the_read(spark):
     p = _path("h")
     SK.write_history(_reading(spark, [(1, 1, 0)]), p)
     table = SK.history_table(spark, p)
-    day = next(iter(table._days(0)))
-    table._delete(f"{p}/data/v=0/_day={day}")
+    table._delete(f"{p}/delta/v=0")
+    SK.write_history(_reading(spark, [(2, 2, 0)]), p)
+    with pytest.raises(AnalysisException):
+        SK.read_history(spark, p)
     with pytest.raises(AnalysisException):
-        SK.write_history(_reading(spark, [(2, 2, 0)]), p)
-    assert table.versions() == [0]
+        table.compact()
 
 
-def test_half_written_version_is_not_read(spark):
+def test_half_written_batch_is_not_read(spark):
     p = _path("h")
     SK.write_history(_reading(spark, [(1, 1, 0)]), p)
-    _reading(spark, [(1, 5, 9)]).write.parquet(f"{p}/data/v=1/_day=2024-01-01")
-    spark.range(1).write.parquet(f"{p}/commits/1")
+    _reading(spark, [(1, 5, 9)]).write.parquet(f"{p}/delta/v=1")
     table = SK.history_table(spark, p)
-    table._delete(f"{p}/commits/1/_SUCCESS")
-    assert table.versions() == [0]
+    table._fs(p)[0].create(table._fs(f"{p}/log/1.json.tmp")[1], True).close()
+    assert table.version() == 0
     SK.write_history(_reading(spark, [(2, 2, 0)]), p)
     assert sorted(r.speed_kmh for r in SK.read_history(spark, p).collect()) == [1.0, 2.0]
 
@@ -100,6 +160,10 @@ def test_columns_of_one_row_from_two_writers(spark):
     SK.write_columns(rows([("x", 1.0, None), ("y", 2.0, None)]), p, keys, ["a"])
     SK.write_columns(rows([("y", None, 5), ("z", None, 6)]), p, keys, ["h"])
     SK.write_columns(rows([("x", 7.0, None)]), p, keys, ["a"])
+    table = KeyedTable(spark, p, F.to_date("window_start"), keys)
+    assert len(table.compact()) == 1
+    SK.write_columns(rows([("y", None, 9)]), p, keys, ["h"])
+    SK.write_columns(rows([("y", None, 5)]), p, keys, ["h"])
     got = {r.vehicle_id: (r.a, r.h) for r in SK.read_history(spark, p).collect()}
     assert got == {"x": (7.0, None), "y": (2.0, 5), "z": (None, 6)}
 
