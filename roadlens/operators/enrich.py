@@ -10,13 +10,15 @@ constants (fault codes, city boxes) carry an explicit ``broadcast`` hint.
 from __future__ import annotations
 
 import math
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadlens import schemas as S
 from roadlens.functions.signals import posted_limit
+from roadlens.session import checkpoint_root
 
 NODE_SPACING_DEG = 0.01
 
@@ -138,26 +140,6 @@ def assign_limit(t: DataFrame, nodes: DataFrame, spacing_deg: float = NODE_SPACI
 CELL_DEG = 0.01
 
 
-def _city_cells(spark: SparkSession, cell_deg: float) -> DataFrame:
-    """Grid cells of the city boxes with their bounds; ``k`` scales degrees of
-    longitude to those of latitude at the city's middle. Their number depends
-    on the boxes and the cell size alone."""
-    parts = []
-    for city, (a, b, c, d) in S.CITY_BOXES.items():
-        ni, nj = int((b - a) / cell_deg) + 1, int((d - c) / cell_deg) + 1
-        i, j = F.floor(F.col("id") / nj), F.col("id") % nj
-        parts.append(
-            spark.range(ni * nj).select(
-                F.lit(city).alias("city"), i.cast("long").alias("_i"), j.cast("long").alias("_j"), F.lit(_lon_scale(city)).alias("_k"),
-                (F.lit(a) + i * cell_deg).alias("lat0"), (F.lit(c) + j * cell_deg).alias("lon0"),
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def _lon_scale(city: str) -> float:
     a, b, _c, _d = S.CITY_BOXES[city]
     return math.cos(math.radians((a + b) / 2.0))
@@ -170,46 +152,142 @@ def _by_city(value) -> Column:
     return expr
 
 
-def assign_limit_nodes(t: DataFrame, nodes: DataFrame, cell_deg: float = CELL_DEG) -> DataFrame:
-    """J8 + H15 on a given node table ``route_id, city, seq, lat, lon,
-    road_class, speed_limit_kmh``: posted limit of the nearest node of the
-    reading's city (ties: smaller route_id, then seq). Near is by latitude and
-    longitude with the city's longitude scale.
-
-    Each cell of the city's grid gets the nodes that can be nearest to any of
-    its points: those whose smallest distance to the cell does not exceed the
-    smallest of the nodes' largest distances. A reading then meets its own
-    cell's list in an equi-join, exact wherever the nodes lie, empty
-    surroundings included. Readings outside the cities, or of one without
-    nodes, have no limit."""
-    cells = _city_cells(t.sparkSession, cell_deg)
-    n = nodes.select("route_id", "city", "seq", F.col("lat").alias("nlat"), F.col("lon").alias("nlon"), "road_class", "speed_limit_kmh")
-
-    def apart(v: str, low: str) -> tuple[Column, Column]:
-        lo, hi = F.col(v) - F.col(low), F.col(v) - (F.col(low) + cell_deg)
-        nearest = F.greatest(-lo, hi, F.lit(0.0))
-        return nearest, F.greatest(F.abs(lo), F.abs(hi))
-
-    (y0, y1), (x0, x1) = apart("nlat", "lat0"), apart("nlon", "lon0")
-    k = F.col("_k")
-    pairs = cells.join(n, "city").select(
-        "city", "_i", "_j", F.struct("route_id", "seq", "nlat", "nlon", "road_class", "speed_limit_kmh").alias("node"),
-        (y0 * y0 + (x0 * k) * (x0 * k)).alias("least"), (y1 * y1 + (x1 * k) * (x1 * k)).alias("most"),
+def road_segments(nodes: DataFrame) -> DataFrame:
+    """The segments of the nodes' polylines: each node of a route and city with the
+    next by ``seq``; class and limit are those of the node it starts at. A
+    route's last node begins none, a route of one node is that point."""
+    w = Window.partitionBy("city", "route_id").orderBy("seq")
+    n = nodes.withColumn("_lat1", F.lead("lat").over(w)).withColumn("_lon1", F.lead("lon").over(w)).withColumn("_first", F.row_number().over(w) == 1)
+    n = n.where(F.col("_lat1").isNotNull() | F.col("_first"))
+    return n.select(
+        "route_id", "city", "seq", F.col("lat").alias("lat0"), F.col("lon").alias("lon0"),
+        F.coalesce("_lat1", "lat").alias("lat1"), F.coalesce("_lon1", "lon").alias("lon1"), "road_class", "speed_limit_kmh",
     )
-    reach = pairs.groupBy("city", "_i", "_j").agg(F.min("most").alias("reach"))
-    near = pairs.join(reach, ["city", "_i", "_j"]).where(F.col("least") <= F.col("reach") * (1.0 + 1e-9) + 1e-15)
-    lists = near.groupBy("city", "_i", "_j").agg(F.collect_list("node").alias("_nodes"))
 
-    d = t.withColumn("city", city_of())
-    d = d.withColumn("_i", F.floor((F.col("lat") - _by_city(lambda c: S.CITY_BOXES[c][0])) / cell_deg).cast("long"))
-    d = d.withColumn("_j", F.floor((F.col("lon") - _by_city(lambda c: S.CITY_BOXES[c][2])) / cell_deg).cast("long"))
-    d = d.withColumn("_k", _by_city(_lon_scale)).join(lists, ["city", "_i", "_j"], "left")
 
-    def distance(x: Column) -> Column:
-        dy, dx = F.col("lat") - x["nlat"], (F.col("lon") - x["nlon"]) * F.col("_k")
-        return F.struct((dy * dy + dx * dx).alias("d"), x["route_id"].alias("route_id"), x["seq"].alias("seq"), x["road_class"].alias("road_class"), x["speed_limit_kmh"].alias("speed_limit_kmh"))
+def _distance2(lat, lon, s, k: Column) -> Column:
+    """Squared distance, in degrees of latitude, of a point to the segment
+    ``s``: to its projection on it, or to the nearer end."""
+    vy, vx = s("lat1") - s("lat0"), (s("lon1") - s("lon0")) * k
+    wy, wx = lat - s("lat0"), (lon - s("lon0")) * k
+    size = vy * vy + vx * vx
+    at = F.when(size > 0, F.least(F.lit(1.0), F.greatest(F.lit(0.0), (wy * vy + wx * vx) / size))).otherwise(F.lit(0.0))
+    dy, dx = wy - at * vy, wx - at * vx
+    return dy * dy + dx * dx
+
+
+def _origin(axis: int) -> Column:
+    return _by_city(lambda c: S.CITY_BOXES[c][axis])
+
+
+def _cells_of_segments(segments: DataFrame, cell_deg: float) -> DataFrame:
+    """Grid cells that hold a part of a segment: it is cut into pieces no
+    longer than a cell, each of which lies in at most four."""
+    y0, y1 = (((F.col(c) - _origin(0)) / cell_deg) for c in ("lat0", "lat1"))
+    x0, x1 = (((F.col(c) - _origin(2)) / cell_deg) for c in ("lon0", "lon1"))
+    d = segments.select("*", y0.alias("_y0"), y1.alias("_y1"), x0.alias("_x0"), x1.alias("_x1"))
+    n = F.greatest(F.lit(1), F.ceil(F.greatest(F.abs(F.col("_y1") - F.col("_y0")), F.abs(F.col("_x1") - F.col("_x0"))))).cast("int")
+    d = d.withColumn("_n", n).withColumn("_p", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+
+    def span(a: str, b: str) -> Column:
+        lo = F.col(a) + (F.col(b) - F.col(a)) * F.col("_p") / F.col("_n")
+        hi = F.col(a) + (F.col(b) - F.col(a)) * (F.col("_p") + 1) / F.col("_n")
+        # A hair more than the piece, as its ends are rounded.
+        return F.sequence(F.floor(F.least(lo, hi) - 1e-9).cast("long"), F.floor(F.greatest(lo, hi) + 1e-9).cast("long"))
+
+    d = d.withColumn("_i", F.explode(span("_y0", "_y1"))).withColumn("_j", F.explode(span("_x0", "_x1")))
+    return d.select("city", "_i", "_j", "segment").distinct()
+
+
+def _near_segments(cells: DataFrame, segments: DataFrame, cell_deg: float) -> DataFrame:
+    """For each of ``cells`` (city, _i, _j) the segments that can be nearest
+    to any of its points. Rounds of coarser grids: a cell looks at the 3 x 3
+    blocks around it in an equi-join, and is done once a segment so near was
+    found that none outside these blocks can be nearer; at the latest when
+    the blocks hold all there is."""
+    scratch = f"{checkpoint_root(cells.sparkSession)}/roadlens-segments/{uuid.uuid4().hex}"
+    spark = cells.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{scratch}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{scratch}/{name}")
+
+    k = _by_city(_lon_scale)
+    index = keep(_cells_of_segments(segments, cell_deg), "index")
+    # Cells of cities without segments have no answer.
+    waiting = keep(cells.join(index.select("city").distinct(), "city", "left_semi"), "cells0")
+    ends = waiting.select("_i", "_j").unionByName(index.select("_i", "_j")).agg(F.min("_i"), F.max("_i"), F.min("_j"), F.max("_j")).first()
+    span = max(ends[1] - ends[0], ends[3] - ends[2]) + 1 if ends[0] is not None else 0
+    found, level = [], 1
+    while True:
+        last = 2**level >= span
+        shift = lambda c: F.floor(F.col(c) / 2**level).cast("long")  # noqa: B023, E731
+        blocks = index.select("city", shift("_i").alias("_bi"), shift("_j").alias("_bj"), "segment").distinct()
+        around = waiting.select("*", F.explode(F.array(*[F.lit(x) for x in (-1, 0, 1)])).alias("_di"))
+        around = around.select("*", F.explode(F.array(*[F.lit(x) for x in (-1, 0, 1)])).alias("_dj"))
+        around = around.select("city", "_i", "_j", (shift("_i") + F.col("_di")).alias("_bi"), (shift("_j") + F.col("_dj")).alias("_bj"))
+        pairs = around.join(blocks, ["city", "_bi", "_bj"]).select("city", "_i", "_j", "segment").distinct()
+        lat, lon = _origin(0) + (F.col("_i") + 0.5) * cell_deg, _origin(2) + (F.col("_j") + 0.5) * cell_deg
+        pairs = pairs.withColumn("_d", F.sqrt(_distance2(lat, lon, lambda f: F.col("segment")[f], k)))
+        # From its middle to a corner; a segment may be so much nearer or farther to other points of the cell.
+        half = F.sqrt(F.lit(1.0) + k * k) * (cell_deg / 2)
+        least = pairs.groupBy("city", "_i", "_j").agg(F.min("_d").alias("_least"))
+        pairs = pairs.join(least, ["city", "_i", "_j"]).where(F.col("_d") <= F.col("_least") + 2 * half + 1e-12)
+        safe = F.lit(True) if last else F.col("_least") + 2 * half < cell_deg * 2**level * F.least(F.lit(1.0), k) * (1 - 1e-9)
+        done = keep(pairs.where(safe).select("city", "_i", "_j", "segment"), f"found{level}")
+        found.append(done)
+        if last:
+            break
+        rest = waiting.join(done.select("city", "_i", "_j").distinct(), ["city", "_i", "_j"], "left_anti")
+        waiting = keep(rest, f"cells{level}")
+        if waiting.isEmpty():
+            break
+        level += 1
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def assign_limit_segments(t: DataFrame, segments: DataFrame, cell_deg: float = CELL_DEG) -> DataFrame:
+    """J8 + H15 on road segments ``route_id, city, seq, lat0, lon0, lat1, lon1,
+    road_class, speed_limit_kmh``: posted limit of the segment nearest to the
+    reading among those of its city, by the point's projection on each (ties:
+    smaller route_id, then seq). Near is by latitude and longitude with the
+    city's longitude scale.
 
-    best = F.array_min(F.transform("_nodes", distance))
-    out = d.withColumn("_b", best).drop("_i", "_j", "_k", "_nodes")
-    out = out.withColumn("route_id", F.col("_b.route_id")).withColumn("node_seq", F.col("_b.seq")).withColumn("road_class", F.col("_b.road_class"))
+    Only grid cells that hold a reading are looked up, each once; a reading
+    then meets its own cell's list in an equi-join. A list holds the segments
+    within a cell's diagonal of the nearest: choose ``cell_deg`` by how dense
+    the roads are. Readings outside the cities, or of one without segments,
+    have no limit."""
+    keys = ["city", "_i", "_j"]
+    d = t.withColumn("city", city_of())
+    d = d.withColumn("_i", F.floor((F.col("lat") - _origin(0)) / cell_deg).cast("long"))
+    d = d.withColumn("_j", F.floor((F.col("lon") - _origin(2)) / cell_deg).cast("long"))
+    fields = ("route_id", "seq", "lat0", "lon0", "lat1", "lon1", "road_class", "speed_limit_kmh")
+    s = segments.select("city", "lat0", "lon0", "lat1", "lon1", F.struct(*fields).alias("segment"))
+    near = _near_segments(d.select(*keys).where(F.col("_i").isNotNull() & F.col("_j").isNotNull()).distinct(), s, cell_deg)
+    lists = near.groupBy(*keys).agg(F.collect_list("segment").alias("_near"))
+    d = d.withColumn("_k", _by_city(_lon_scale)).join(lists, keys, "left")
+
+    def candidate(x: Column) -> Column:
+        d2 = _distance2(F.col("lat"), F.col("lon"), lambda f: x[f], F.col("_k"))
+        return F.struct(d2.alias("d"), *[x[f].alias(f) for f in ("route_id", "seq", "road_class", "speed_limit_kmh")])
+
+    out = d.withColumn("_b", F.array_min(F.transform("_near", candidate))).drop("_i", "_j", "_k", "_near")
+    out = out.withColumn("route_id", F.col("_b.route_id")).withColumn("segment_seq", F.col("_b.seq")).withColumn("road_class", F.col("_b.road_class"))
     return out.withColumn("speed_limit_kmh", posted_limit("road_class", "_b.speed_limit_kmh")).drop("_b")
+
+
+def assign_limit_nodes(t: DataFrame, nodes: DataFrame, cell_deg: float = CELL_DEG) -> DataFrame:
+    """J8 + H15 on a given node table ``route_id, city, seq, lat, lon,
+    road_class, speed_limit_kmh``: as :func:`assign_limit_segments`, every
+    node a segment of no length."""
+    points = nodes.select(
+        "route_id", "city", "seq", F.col("lat").alias("lat0"), F.col("lon").alias("lon0"),
+        F.col("lat").alias("lat1"), F.col("lon").alias("lon1"), "road_class", "speed_limit_kmh",
+    )
+    return assign_limit_segments(t, points, cell_deg).withColumnRenamed("segment_seq", "node_seq")

@@ -101,6 +101,32 @@ def q_assign_limit_nodes(spark, sf):
     )
 
 
+_SEGMENTS = (
+    """rs AS (SELECT route_id, city, seq, nlat AS lat0, nlon AS lon0, coalesce(lat1, nlat) AS lat1, coalesce(lon1, nlon) AS lon1, road_class, override
+  FROM (SELECT *, lead(nlat) OVER w AS lat1, lead(nlon) OVER w AS lon1, row_number() OVER w AS r FROM rn WINDOW w AS (PARTITION BY city, route_id ORDER BY seq))
+  WHERE lat1 IS NOT NULL OR r = 1)""",
+    f"""ps AS (SELECT p.vehicle_id, p.event_time, p.seq AS reading, p.city, s.route_id, s.seq, s.road_class, s.override,
+    lat1 - lat0 AS vy, (lon1 - lon0) * {_SCALE} AS vx, p.lat - lat0 AS wy, (p.lon - lon0) * {_SCALE} AS wx
+  FROM (SELECT *, {_city_sql()} AS city FROM tel) p LEFT JOIN rs s ON p.city = s.city)""",
+    """pd AS (SELECT *, CASE WHEN vy * vy + vx * vx > 0 THEN least(CAST(1 AS DOUBLE), greatest(CAST(0 AS DOUBLE), (wy * vy + wx * vx) / (vy * vy + vx * vx)))
+    ELSE CAST(0 AS DOUBLE) END AS f FROM ps)""",
+    """pr AS (SELECT *, row_number() OVER (PARTITION BY reading
+    ORDER BY (wy - f * vy) * (wy - f * vy) + (wx - f * vx) * (wx - f * vx), route_id, seq) AS r FROM pd)""",
+)
+
+
+@register("assign_limit_segments", with_views(
+    f"""SELECT vehicle_id, event_time, city, route_id, seq AS segment_seq, road_class, CAST(coalesce(override, {_class_limit}) AS INTEGER) AS speed_limit_kmh
+FROM pr WHERE r = 1""", _nodes_sql(), *_SEGMENTS))
+def q_assign_limit_segments(spark, sf):
+    """Limit of the nearest segment of the routes' polylines; the SQL tries
+    every segment of the city."""
+    t = TM.telemetry_light(spark, sf).select("vehicle_id", "event_time", "lat", "lon")
+    return EN.assign_limit_segments(t, EN.road_segments(TM.road_nodes_from_suppliers(spark, sf))).select(
+        "vehicle_id", "event_time", "city", "route_id", "segment_seq", "road_class", "speed_limit_kmh"
+    )
+
+
 # ---------------------------------------------------------------------------
 # Views in which each side lacks windows of the other
 # ---------------------------------------------------------------------------

@@ -74,10 +74,11 @@ def by_arrival(df: DataFrame, name: str, order: str = "arrival_time", fmt: str =
     spark = df.sparkSession
     base = f"{ST.run_dir(spark, name)}/in"
     a = F.unix_micros(F.col(order).cast("timestamp"))
-    rows = df.count()
+    points = [i / SLICES_MOST for i in range(1, SLICES_MOST)]
+    rows, quantiles = df.select(F.count(F.lit(1)), F.percentile_approx(a, points, 10_000)).first()
     slices = min(SLICES_MOST, max(SLICES, -(-rows // (FILE_ROWS * SLICE_FILES))))
     files = max(1, -(-rows // (slices * FILE_ROWS)))
-    bounds = df.select(F.percentile_approx(a, [i / slices for i in range(1, slices)], 10_000).alias("q")).first()["q"] or []
+    bounds = [quantiles[SLICES_MOST * i // slices - 1] for i in range(1, slices)] if quantiles else []
     at = F.lit(0)
     for b in bounds:
         at = at + F.when(a > b, 1).otherwise(0)

@@ -69,6 +69,48 @@ def test_nearest_node_wherever_the_nodes_lie(spark):
             assert r.speed_limit_kmh == (best[6] or S.ROAD_CLASS_LIMIT_KMH[best[5]])
 
 
+def _to_segment(y, x, s, k):
+    """Squared distance by trying the projection and both ends."""
+    (ay, ax), (by, bx) = (s[0], s[1] * k), (s[2], s[3] * k)
+    x *= k
+    size = (by - ay) ** 2 + (bx - ax) ** 2
+    ends = [(y - ay) ** 2 + (x - ax) ** 2, (y - by) ** 2 + (x - bx) ** 2]
+    f = ((y - ay) * (by - ay) + (x - ax) * (bx - ax)) / size if size else 0.0
+    if 0 < f < 1:
+        ends.append((y - ay - f * (by - ay)) ** 2 + (x - ax - f * (bx - ax)) ** 2)
+    return min(ends)
+
+
+def test_nearest_segment(spark):
+    rnd = random.Random(5)
+    a, b, c, d = S.CITY_BOXES["Jakarta"]
+    k = EN._lon_scale("Jakarta")
+    for n, reach, cell in ((1, 0.0, 0.01), (2, 1.0, 0.01), (40, 0.05, 0.01), (40, 1.0, 0.003), (30, 0.02, 0.2)):
+        segments = []
+        for i in range(n):
+            y, x = rnd.uniform(a, b), rnd.uniform(c, d)
+            segments.append((f"r{i}", "Jakarta", i, y, x, y + reach * rnd.uniform(a - b, b - a), x + reach * rnd.uniform(c - d, d - c), "local", 10 + i))
+        segments.append(("far", "Jakarta", 99, a - 3.0, c + 2.0, a - 2.0, c + 2.0, "toll", 99))
+        df = spark.createDataFrame(segments, "route_id string, city string, seq int, lat0 double, lon0 double, lat1 double, lon1 double, road_class string, speed_limit_kmh int")
+        points = [(i, rnd.uniform(a, b), rnd.uniform(c, d)) for i in range(120)] + [(120, a, c), (121, b, d), (122, 0.0, 0.0), (123, None, c)]
+        t = spark.createDataFrame(points, "i int, lat double, lon double")
+        rows = EN.assign_limit_segments(t, df, cell).collect()
+        assert len(rows) == len(points)
+        for r in rows:
+            if r.i >= 122:
+                assert r.route_id is None and r.speed_limit_kmh is None
+                continue
+            best = min(segments, key=lambda s: _to_segment(r.lat, r.lon, s[3:7], k))
+            assert r.route_id == best[0] and r.speed_limit_kmh == best[8]
+
+
+def test_segments_of_routes(spark):
+    rows = [("x", "Jakarta", 3, 0.0, 3.0), ("x", "Jakarta", 1, 0.0, 1.0), ("x", "Bandung", 2, 9.0, 9.0), ("x", "Jakarta", 2, 0.0, 2.0)]
+    n = spark.createDataFrame([(*r, "local", None) for r in rows], "route_id string, city string, seq int, lat double, lon double, road_class string, speed_limit_kmh int")
+    got = sorted((r.city, r.seq, r.lon0, r.lon1) for r in EN.road_segments(n).collect())
+    assert got == [("Bandung", 2, 9.0, 9.0), ("Jakarta", 1, 1.0, 2.0), ("Jakarta", 2, 2.0, 3.0)]
+
+
 def test_missing_slots(spark):
     w = spark.createDataFrame([(0,), (30,), (120,), (200_010,)], "s long").select(F.timestamp_seconds("s").cast("timestamp_ntz").alias("window_start"))
     got = {r.s for r in SV.missing_slots(w, 30).select(F.unix_seconds(F.col("slot_start").cast("timestamp")).alias("s")).collect()}
