@@ -254,6 +254,54 @@ def q_stream_trip_sessions_shuffled(spark, sf):
     return _ntz(spark.read.parquet(out), ["start_time", "end_time"])
 
 
+SILENCE_S, SLOT_S = 86_400, 1800
+# Planted gaps: four days of every fourth vehicle, and three hours of every seventh day.
+_QUIET_VEHICLES = "(user_id % 4 = 1 AND extract(day FROM ts) BETWEEN 10 AND 13)"
+_QUIET_HOURS = "(extract(day FROM ts) % 7 = 3 AND extract(hour FROM ts) BETWEEN 9 AND 11)"
+
+
+def _without(spark, sf, quiet: str, name: str) -> DataFrame:
+    """Readings in order of arrival, without those of the planted gaps."""
+    t = TM.light_from(TM.read_table(spark, sf, "events").where(f"NOT {quiet}"), streaming_ts=True)
+    return stream_of(spark, by_arrival(t, name), t.schema)
+
+
+def _heard(quiet: str) -> tuple[str, str]:
+    heard = f"heard AS (SELECT * FROM tel WHERE seq IN (SELECT event_id FROM events WHERE NOT {quiet}))"
+    return heard, f"((SELECT max(event_time) FROM heard) - to_seconds({LONG_HOLD_S}))"
+
+
+_HEARD, _HEARD_WM = _heard(_QUIET_VEHICLES)
+
+
+@register("stream_stale_vehicles", with_views(
+    f"""SELECT vehicle_id, event_time AS last_seen, event_time + to_seconds({SILENCE_S}) AS silent_since
+FROM (SELECT *, lead(event_time) OVER (PARTITION BY vehicle_id ORDER BY event_time, seq) AS nxt FROM heard)
+WHERE (nxt IS NULL OR nxt > event_time + to_seconds({SILENCE_S})) AND event_time + to_seconds({SILENCE_S}) < {_HEARD_WM}""", _HEARD))
+def q_stream_stale_vehicles(spark, sf):
+    """T12 live: vehicles that fell silent, told by timers."""
+    t = _without(spark, sf, _QUIET_VEHICLES, "silent_in")
+    with ST.rocksdb_state(spark):
+        out = ST.run_to_parquet(PR.stale_vehicles_stream(t, SILENCE_S, f"{LONG_HOLD_S} seconds"), "stale_vehicles")
+    return _ntz(spark.read.parquet(out), ["last_seen", "silent_since"])
+
+
+_HEARD_SLOTS, _SLOTS_WM = _heard(_QUIET_HOURS)
+
+
+@register("stream_missing_slots", with_views(
+    f"""SELECT slot_start FROM (SELECT unnest(generate_series((SELECT min(slot) FROM slots),
+  time_bucket(INTERVAL '{SLOT_S} seconds', {_SLOTS_WM}) - to_seconds({SLOT_S}), INTERVAL '{SLOT_S} seconds')) AS slot_start)
+WHERE slot_start NOT IN (SELECT slot FROM slots)""",
+    _HEARD_SLOTS, f"slots AS (SELECT DISTINCT time_bucket(INTERVAL '{SLOT_S} seconds', event_time) AS slot FROM heard)"))
+def q_stream_missing_slots(spark, sf):
+    """T13 live: slots of the fleet that nothing was written for."""
+    t = _without(spark, sf, _QUIET_HOURS, "slots_in")
+    with ST.rocksdb_state(spark):
+        out = ST.run_to_parquet(PR.missing_slots_stream(t, SLOT_S, f"{LONG_HOLD_S} seconds"), "missing_slots")
+    return _ntz(spark.read.parquet(out), ["slot_start"])
+
+
 @register("stream_vehicle_windows_update", _vehicle_windows_sql(60))
 def q_stream_vehicle_windows_update(spark, sf):
     """Update mode (changed windows only, open ones included) merged by

@@ -1,9 +1,10 @@
-"""Custom stateful stream operators (T10 and T4 with the ignition rule).
+"""Custom stateful stream operators (T10, T4 with the ignition rule, live T12
+and T13).
 
-Spark has no streaming ``lag`` and no session window that closes on a
-column value, so these two run as ``transformWithStateInPandas``
-processors keyed by vehicle. Everything else in the library is built-in
-Spark.
+Spark has no streaming ``lag``, no session window that closes on a column
+value and no operator that tells of what did not come, so these run as
+``transformWithStateInPandas`` processors. Everything else in the library is
+built-in Spark.
 
 Readings may arrive in any order within the hold. What a micro-batch brings of
 a vehicle is appended to its state as one sorted run (a list state, nothing
@@ -419,13 +420,104 @@ class TripSessionProcessor(OrderedProcessor):
         return self._row(key, s)
 
 
-def _inputs(t: DataFrame, hold: str, cols: list[str]) -> DataFrame:
+SILENT_OUT = T.StructType([T.StructField("vehicle_id", T.StringType()), T.StructField("last_us", T.LongType())])
+_LAST = T.StructType([T.StructField("last_us", T.LongType())])
+
+
+class SilentProcessor(OrderedProcessor):
+    """T12 on a stream: tells of a vehicle once the watermark has passed its
+    last reading by ``silence_s``, whether or not another one ever comes."""
+
+    columns = [f.name for f in SILENT_OUT.fields]
+
+    def __init__(self, silence_s: float):
+        self.silence_us = int(silence_s * 1_000_000)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.last = handle.getValueState("last", _LAST)  # of a vehicle not yet reported
+
+    def process(self, key, pdf: pd.DataFrame) -> list[tuple]:
+        t = pdf["t_us"].to_numpy(np.int64)
+        if self.last.exists():
+            t = np.concatenate(([self.last.get()[0]], t))
+        self.last.update((int(t[-1]),))
+        return [(key[0], int(x)) for x in t[:-1][np.diff(t) > self.silence_us]]
+
+    def due_ms(self) -> int | None:
+        return (self.last.get()[0] + self.silence_us) // 1000 + 1 if self.last.exists() else None
+
+    def passed(self, key, watermark_ms: int) -> list[tuple]:
+        if not self.last.exists() or watermark_ms * 1000 <= self.last.get()[0] + self.silence_us:
+            return []
+        (last,) = self.last.get()
+        self.last.clear()
+        return [(key[0], last)]
+
+
+GAP_OUT = T.StructType([T.StructField("first_us", T.LongType()), T.StructField("last_us", T.LongType())])
+_SLOT = T.StructType([T.StructField("next_us", T.LongType())])
+
+
+class SlotProcessor(StatefulProcessor):
+    """T13 on a stream: ranges of slots that the watermark has closed and that
+    no row came for. Its input is one row per slot, not per reading; its state
+    is the first slot that isn't settled yet."""
+
+    def __init__(self, slide_s: int):
+        self.slide_us = int(slide_s) * 1_000_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.next = handle.getValueState("next", _SLOT)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        slots = np.unique(np.concatenate([pdf["slot_us"].to_numpy(np.int64) for pdf in rows]))
+        known = self.next.exists()
+        due = self.next.get()[0] if known else int(slots[0])
+        slots = slots[slots >= due]
+        out = []
+        for slot in slots.tolist():
+            if slot > due:
+                out.append((due, slot - self.slide_us))
+            due = slot + self.slide_us
+        self._expect(due, timerValues.getCurrentWatermarkInMs(), None if not known else self.next.get()[0])
+        yield pd.DataFrame(out, columns=[f.name for f in GAP_OUT.fields])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        (due,) = self.next.get()
+        mark = timerValues.getCurrentWatermarkInMs()
+        closed = mark * 1000 // self.slide_us * self.slide_us  # slots before this one are over
+        if closed <= due:
+            return
+        self._expect(closed, mark, None)
+        yield pd.DataFrame([(due, closed - self.slide_us)], columns=[f.name for f in GAP_OUT.fields])
+
+    def _expect(self, due: int, mark: int, before: int | None) -> None:
+        if before is not None and before != due:
+            self.handle.deleteTimer(self._alarm(before))
+        self.next.update((due,))
+        self.handle.registerTimer(max(self._alarm(due), mark + 1))
+
+    def _alarm(self, due: int) -> int:
+        """When the slot ``due`` is over."""
+        return (due + self.slide_us) // 1000 + 1
+
+    def close(self) -> None:
+        pass
+
+
+def _need_rocksdb(t: DataFrame) -> None:
     provider = t.sparkSession.conf.get("spark.sql.streaming.stateStore.providerClass", "")
     if not provider.endswith("RocksDBStateStoreProvider"):
         raise ValueError(
             "processors need the RocksDB state store: set spark.sql.streaming.stateStore.providerClass "
             "(build_session and apply_cluster_defaults do)"
         )
+
+
+def _inputs(t: DataFrame, hold: str, cols: list[str]) -> DataFrame:
+    _need_rocksdb(t)
     marked = t.withWatermark("event_time", hold)
     return marked.withColumn("t_us", F.unix_micros(F.col("event_time").cast("timestamp"))).select("vehicle_id", "event_time", "t_us", "seq", *cols)
 
@@ -455,3 +547,30 @@ def trip_sessions_stream(t: DataFrame, gap_s: float = S.SESSION_GAP_S, hold: str
         "max_speed_kmh",
         "samples",
     )
+
+
+def stale_vehicles_stream(t: DataFrame, silence_s: float = S.FRESHNESS_MAX_AGE_S, hold: str = S.LATE_HOLD) -> DataFrame:
+    """T12 (stream): one row ``vehicle_id, last_seen, silent_since`` each time a
+    vehicle has sent nothing for more than ``silence_s`` of event time, as soon
+    as the watermark shows it."""
+    d = _inputs(t, hold, [])
+    out = d.groupBy("vehicle_id").transformWithStateInPandas(
+        statefulProcessor=SilentProcessor(silence_s), outputStructType=SILENT_OUT, outputMode="Append", timeMode="EventTime"
+    )
+    since = F.timestamp_micros(F.col("last_us") + F.lit(int(silence_s * 1_000_000)))
+    return out.select("vehicle_id", F.timestamp_micros("last_us").alias("last_seen"), since.alias("silent_since"))
+
+
+def missing_slots_stream(u: DataFrame, slide_s: int = 30, hold: str = S.LATE_HOLD) -> DataFrame:
+    """T13 (stream): starts of the slots of ``slide_s`` that the watermark has
+    closed and no row of the whole fleet lies in, from the first slot seen on.
+    Readings become one row per slot first, so the one group of the second
+    step grows with time, not with the fleet."""
+    _need_rocksdb(u)
+    slots = u.withWatermark("event_time", hold).groupBy(F.window("event_time", f"{slide_s} seconds").alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    slots = slots.select(F.lit("fleet").alias("fleet"), F.unix_micros("w.start").alias("slot_us"), F.window_time("w").alias("event_time"))
+    out = slots.groupBy("fleet").transformWithStateInPandas(
+        statefulProcessor=SlotProcessor(slide_s), outputStructType=GAP_OUT, outputMode="Append", timeMode="EventTime"
+    )
+    starts = F.sequence("first_us", "last_us", F.lit(slide_s * 1_000_000).cast("long"))
+    return out.select(F.explode(starts).alias("us")).select(F.timestamp_micros("us").alias("slot_start"))
