@@ -17,6 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have."""
+    there = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in there:
+            n += "_"
+        there.add(n.lower())
+        out.append(n)
+    return out
+
+
 @contextlib.contextmanager
 def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
     """Arrow batches of fewer rows for what runs inside: rows that hold whole

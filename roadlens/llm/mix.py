@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import Scratch
+from roadlens.llm.common import Scratch, unused
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
@@ -81,18 +81,21 @@ def emit(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, seed
     with the columns of ``docs``. Rates come from a table of one row per
     source, written first: its size is then known, and the join broadcasts it
     as long as it is under the session's threshold, so the texts stay where
-    they were read; beyond that it is a shuffled join."""
+    they were read; beyond that it is a shuffled join. Nulls, repeated ids and
+    empty tables as in :func:`mix`; columns of any name pass."""
+    of, rate, copies = unused(docs, "of", "rate", "copies")
     sized = docs.select("source", n_words(F.col("text")).alias("size"))
     t = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
     t = t.select(
-        F.col("source").alias("__of"),
-        F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("__rate"),
+        F.col("source").alias(of),
+        F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias(rate),
     )
     t = Scratch(docs.sparkSession, "mix").keep(t.coalesce(1), "rates")
-    draw = (unit_hash(F.col("doc_id"), seed) < F.col("__rate") - F.floor("__rate")).cast("int")
-    out = docs.join(t, docs["source"].eqNullSafe(t["__of"]))
-    out = out.withColumn("__copies", F.floor("__rate").cast("int") + draw).where("__copies > 0")
-    out = out.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies"))))
+    whole = F.floor(F.col(rate))
+    draw = (unit_hash(F.col("doc_id"), seed) < F.col(rate) - whole).cast("int")
+    out = docs.join(t, F.col("source").eqNullSafe(F.col(of)))
+    out = out.withColumn(copies, whole.cast("int") + draw).where(F.col(copies) > 0)
+    out = out.withColumn(copies, F.explode(F.array_repeat(F.lit(1), F.col(copies))))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -21,7 +21,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import Scratch, components
+from roadlens.llm.common import Scratch, components, unused
 from roadlens.llm.prefix import COUNTED, PACKED, PER_PART, Counter, Frequent, common, lists, most_frequent, pack, possible, prefix_size, salts
 from roadlens.llm.text import packed_texts, set_key, shingle_sets, unpacked
 
@@ -47,18 +47,18 @@ class Order(Frequent):
 
 
 def _classes(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n, k1, k2): set size and 128-bit name of every row's set."""
+    """(doc_id, th, n, k1, k2): text hash, set size and 128-bit name of every row's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             named = [(len(s), *set_key(s)) for s in shingle_sets(b.column("text"), width)]
             n, k1, k2 = (pa.array([x[i] for x in named], pa.int64()) for i in range(3))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), n, k1, k2],
-                names=["doc_id", "n", "k1", "k2"],
+                [b.column("doc_id"), b.column("th"), n, k1, k2],
+                names=["doc_id", "th", "n", "k1", "k2"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, n long, k1 long, k2 long")
+    return docs.withColumn("th", F.xxhash64("text")).mapInArrow(run, "doc_id long, th long, n long, k1 long, k2 long")
 
 
 def _frequent(docs: DataFrame, width: int, total: int, most: int, per_counter: int) -> Order:
@@ -156,6 +156,13 @@ def ngram_components(docs: DataFrame, width: int = WIDTH, similar: tuple[int, in
     Shuffles: 1 to 2 bytes an n-gram to count, the first fifth of each set as
     postings, once the texts of documents that share a posting (for their
     segments), and the segments of pairs."""
+    return _components_of(docs, width, similar, heavy, fragments, per_counter, hot).drop("th", "comp")
+
+
+def _components_of(docs: DataFrame, width: int, similar: tuple[int, int], heavy: int = HEAVY, fragments: int = FRAGMENTS,
+                   per_counter: int = PER_COUNTER, hot: int = HOT_LIST) -> DataFrame:
+    """:func:`ngram_components` with each row's text hash and the name of its
+    component (null for empty sets and rows without id)."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scratch = Scratch(d.sparkSession, "ngram")
     named = scratch.keep(_classes(d, width), "sets")
@@ -221,10 +228,12 @@ def ngram_components(docs: DataFrame, width: int = WIDTH, similar: tuple[int, in
     alone = F.concat_ws(":", "k1", "k2", "n")
     c = reps.join(comp.withColumnRenamed("id", "k1"), "k1", "left").withColumn("comp", F.coalesce(F.col("comp").cast("string"), alone))
     low = c.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    known = c.join(low, "comp").select("k1", "k2", "n", "component_id", "class_size")
+    known = c.join(low, "comp").select("k1", "k2", "n", "comp", "component_id", "class_size")
     out = named.join(known, ["k1", "k2", "n"], "left")
     return out.select(
         "doc_id",
+        "th",
+        F.when(F.col("doc_id").isNotNull(), F.col("comp")).alias("comp"),
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
         F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
@@ -232,11 +241,23 @@ def ngram_components(docs: DataFrame, width: int = WIDTH, similar: tuple[int, in
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH, similar: tuple[int, int] = SIMILAR) -> DataFrame:
-    """``docs`` with one document of each component: the smallest id, and of
-    rows that repeat that id the first by text. Rows without id stay. Columns
-    are unchanged; an added column of the names used here is kept as it is."""
-    comp = ngram_components(docs, width, similar)
-    stay = comp.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    real = docs.where(F.col("doc_id").isNotNull())
-    kept = real.join(stay, real["doc_id"].cast("long") == stay["__id"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.union(docs.where(F.col("doc_id").isNull())).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` with one document of each component: that of the smallest id,
+    and of different texts of that id the first by a hash; of equal rows one
+    stays. Rows that share an id but aren't linked are documents of their own.
+    Rows without id and empty texts are linked with nothing and stay. Columns
+    are unchanged, whatever their names; no rows give no rows."""
+    id_, th, at = unused(docs, "of_id", "of_hash", "hash")
+    comp = Scratch(docs.sparkSession, "keep").keep(_components_of(docs, width, similar), "components")
+    linked = comp.where("comp IS NOT NULL")
+    head = F.min(F.struct("doc_id", "th")).alias("head")
+    stay = linked.groupBy("comp").agg(head).select(F.col("head.doc_id").alias(id_), F.col("head.th").alias(th))
+    keyed = docs.withColumn(at, F.xxhash64("text"))
+    key = (F.col("doc_id").cast("long") == F.col(id_)) & (F.col(at) == F.col(th))
+    alone = comp.where("doc_id IS NOT NULL AND comp IS NULL").select(F.col("doc_id").alias(id_), F.col("th").alias(th)).distinct()
+    kept = keyed.join(stay.union(alone), key, "left_semi")
+    if linked.groupBy("doc_id", "th").count().where("count > 1").limit(1).count():
+        empty = alone.withColumn("empty", F.lit(True))
+        one = kept.join(empty, key, "left_anti").dropDuplicates(["doc_id", at])
+        kept = one.unionByName(kept.join(empty, key, "left_semi"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return kept.select(*columns).union(docs.where(F.col("doc_id").isNull()).select(*columns))

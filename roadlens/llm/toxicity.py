@@ -394,8 +394,9 @@ def _idf(docs: DataFrame, words: np.ndarray) -> np.ndarray:
     return np.log((1.0 + total) / (1.0 + df)) + 1.0
 
 
-def _scored(m: ToxicModel, col: pa.Array, known: dict[bytes, tuple[float, list[dict]]]) -> list[tuple[float, list[dict]]]:
-    """(score, evidence) of each text. Equal texts are searched once per task."""
+def _scored(m: ToxicModel, col: pa.Array, known: dict[bytes, tuple[float, list[dict] | None]], evidence: bool = True) -> list[tuple[float, list[dict] | None]]:
+    """(score, evidence) of each text, the latter only if asked for. Equal
+    texts are searched once per task."""
     keys = [xxhash.xxh3_128_digest(utf8(t)) for t in col.to_pylist()]
     if len(known) >= 100_000:
         known.clear()
@@ -403,7 +404,7 @@ def _scored(m: ToxicModel, col: pa.Array, known: dict[bytes, tuple[float, list[d
     if new:
         s, near = m.scores(col.take(pa.array([i for _, i in new])))
         for (key, _), x, found in zip(new, s.tolist(), near, strict=True):
-            known[key] = x, [{"doc_id": i, "cosine": c, "toxic": m.labels[n]} for c, i, n in found[:EVIDENCE]]
+            known[key] = x, None if not evidence else [{"doc_id": i, "cosine": c, "toxic": m.labels[n]} for c, i, n in found[:EVIDENCE]]
     return [known[key] for key in keys]
 
 
@@ -437,14 +438,18 @@ def score(docs: DataFrame, model: ToxicModel, threshold: float = THRESHOLD) -> D
 
 
 def reject(docs: DataFrame, model: ToxicModel, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that score under the threshold, columns unchanged."""
+    """The rows of ``docs`` that score under the threshold, columns unchanged.
+    Null, empty and repeated rows as in :func:`score`. Only the texts go to
+    the Python workers, and one number a row comes back."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, tuple[float, list[dict]]] = {}
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 4 * QUERIES):
-                b = whole.slice(lo, 4 * QUERIES)
-                yield b.filter(pa.array([s < threshold for s, _ in _scored(shared.value, b.column("text"), known)], pa.bool_()))
+    @F.arrow_udf("double")
+    def scores(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known: dict[bytes, tuple[float, list[dict] | None]] = {}
+        for col in texts:
+            found: list[float] = []
+            for lo in range(0, len(col), 4 * QUERIES):
+                found += [s for s, _ in _scored(shared.value, col.slice(lo, 4 * QUERIES), known, evidence=False)]
+            yield pa.array(found, pa.float64())
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(scores(F.col("text")) < threshold)

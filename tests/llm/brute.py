@@ -45,7 +45,7 @@ def component_ids(ids, link):
     return [low[find(i)] for i in range(len(ids))]
 
 
-def removed_lines(rows, least=0.8, min_words=3):
+def removed_lines(rows, least=0.8, min_words=1):
     """rows: (doc_id, order within the id, text) -> {(position of the row): removed line numbers}"""
     lines = []
     for at, (d, o, text) in enumerate(rows):

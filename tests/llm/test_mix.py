@@ -1,6 +1,7 @@
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from brute import space_words, targets
 
@@ -48,6 +49,16 @@ def test_caps_are_shared_again(spark):
     assert got["b"] == 3.0 and got["c"] == 3.0 and got["d"] == 0.0 and got[None] == 15.0
 
 
+def test_columns_of_any_name(spark, make_docs):
+    docs = make_docs([(i, "a b c", "xyz"[i % 3]) for i in range(30)])
+    for n in ("__of", "__rate", "__copies", "of", "rate", "copies"):
+        docs = docs.withColumn(n, F.concat(F.lit(n), F.col("doc_id")))
+    out = mix.emit(docs)
+    assert out.schema == docs.schema
+    assert Counter(r.doc_id for r in out.collect()) == {r["doc_id"]: r["copies"] for r in rows_of(mix.mix(docs)) if r["copies"]}
+    assert all(r[n] == f"{n}{r.doc_id}" for r in out.collect() for n in ("__of", "__rate", "__copies", "of", "rate", "copies"))
+
+
 def test_edges(spark, make_docs, edge_docs):
     got = rows_of(mix.mix(edge_docs))
     assert len(got) == edge_docs.count()

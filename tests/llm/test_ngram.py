@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 import random
 
 import pytest
@@ -64,4 +65,16 @@ def test_edges(edge_docs, make_docs):
 def test_one_of_each_group_stays(edge_docs):
     out = ngram_join.keep_one(edge_docs)
     assert out.schema == edge_docs.schema
-    assert sorted((r.doc_id for r in out.collect()), key=str) == sorted([1, 2, 3, 4, 5, None, None, 6, 8, 9], key=str)
+    got = sorted(((r.doc_id, r.text if r.doc_id != 6 else "") for r in out.collect()), key=str)
+    assert got == sorted([
+        (1, None), (2, ""), (3, " \n\t "), (4, "one"), (5, "another text"), (None, "one"), (None, None), (6, ""),
+        (8, "é ß 日本 \U0001f600 ▁x"), (9, "A B C D E F"),
+    ], key=str)
+
+
+def test_unlinked_texts_of_one_id_stay(make_docs):
+    rows = [(4, "x y z 1"), (5, "one two"), (5, "near copy"), (4, "near copy"), (5, "one two"), (6, "one two"), (7, ""), (7, ""), (7, None)]
+    out = ngram_join.keep_one(make_docs(rows).withColumn("of_id", F.lit(1)).withColumn("hash", F.lit(2)))
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert got == sorted([(4, "x y z 1"), (4, "near copy"), (5, "one two"), (7, ""), (7, ""), (7, None)], key=str)
+    assert {(r.of_id, r.hash) for r in out.collect()} == {(1, 2)}

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 import sentencepiece
 from brute import component_ids, linked, removed_lines, shingle_set
-from llm_fixtures import SF, piece_model  # noqa: F401
+from llm_fixtures import SF, edge_docs, make_docs, piece_model  # noqa: F401
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -25,7 +25,9 @@ def stages(spark, tmp_path_factory):
 def test_columns(stages):
     for docs, out in stages[:-1]:
         assert out.dtypes == docs.dtypes
-    assert stages[-1][1].dtypes == [*stages[0][0].dtypes, ("token_ids", "array<int>")]
+    assert stages[-1][1].dtypes == [
+        *stages[0][0].dtypes, ("token_ids", "array<int>"), ("round_trip", "boolean"), ("parity", "boolean"),
+    ]
 
 
 def test_toxic_documents_go(spark, stages):
@@ -68,9 +70,27 @@ def test_tokens(stages, piece_model):
     assert out.count() == docs.count()
     for r in out.collect():
         assert np.array_equal(r.token_ids, sp.encode(r.text or ""))
+        assert r.parity and r.round_trip == (sp.decode(sp.encode(r.text or "")) == (r.text or ""))
 
 
 def test_run_equals_the_stages(spark, stages):
     got = corpus_pipeline.run(spark, SF)
     key = lambda df: sorted(map(str, df.collect()))
     assert key(got) == key(stages[-1][1])
+
+
+def test_edge_rows_through_all_stages(spark, edge_docs, make_docs):
+    clash = edge_docs
+    for n in ("__h", "__cut", "__id", "__copies", "__rate", "hash", "of_id", "token_ids"):
+        clash = clash.withColumn(n, F.lit(n))
+    for docs in (clash, make_docs([])):
+        for name, f in corpus_pipeline.STAGES:
+            out = f(spark, docs, SF)
+            if name != "sentencepiece":
+                assert out.dtypes == docs.dtypes
+            if docs.isEmpty():
+                assert out.isEmpty()
+            docs = out.persist()
+        if "__h" in docs.columns:
+            assert docs.select("__h", "__rate", "of_id").distinct().collect() == [("__h", "__rate", "of_id")]
+            assert docs.where("doc_id = 6").count() >= 1

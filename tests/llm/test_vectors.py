@@ -47,8 +47,17 @@ def brute_components(rows, near):
     return dict(zip(ids, component_ids(ids, lambda i, j: ids[j] in near[ids[i]]), strict=True))
 
 
-def test_near_dedup_query(spark):
-    sf = "/root/testdata/check_s"
+def test_near_dedup_query(spark, tmp_path):
+    """Labels of several shards, with groups of two and large groups of near copies."""
+    rng = np.random.default_rng(5)
+    rows, sizes = [], [2] * 700 + [3] * 100 + [400] + [1] * 5000
+    for size in sizes:
+        centre = rng.normal(size=16)
+        rows += [(centre + 0.09 * rng.normal(size=16)).astype(np.float32).tolist() for _ in range(size)]
+    order = rng.permutation(len(rows)).tolist()
+    table = [(i, rows[j], "big" if j % 10 else "small") for i, j in enumerate(order)]
+    sf = str(tmp_path)
+    spark.createDataFrame(table, "vec_id long, embedding array<float>, label string").write.parquet(f"{sf}/embeddings.parquet")
     df = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas()
     got = {r.vec_id: r for r in queries.op5_embedding_dedup(spark, sf).collect()}
     assert len(got) == len(df)
