@@ -15,6 +15,7 @@ from roadlens.plans.oracle import HARSH_LIST, bucket, centi_sum, exact_mean, wit
 from roadlens.plans.queries_batch import EV_COLS, HISTORY_END, HISTORY_START, HOUR, TEL_COLS, _city_sql, _class_limit, _dbl, _resample_sql, _vehicle_windows_sql
 from roadlens.schemas import EVENT_COLUMNS, TELEMETRY_COLUMNS
 from roadlens.sources import decode as DC
+from roadlens.sources import drift as DR
 from roadlens.sources import sinks as SK
 from roadlens.sources import testmap as TM
 from roadlens.sources.tables import KeyedTable
@@ -248,3 +249,58 @@ def q_tagged_quarantine(spark, sf):
 @register("resample_fine", _resample_sql(300))
 def q_resample_fine(spark, sf):
     return QA.resample(TM.telemetry_light(spark, sf), 300)
+
+
+# ---------------------------------------------------------------------------
+# Fields and types that the messages really carry
+# ---------------------------------------------------------------------------
+
+_WIRE = ["ts" if c == "event_time" else c for c in TELEMETRY_COLUMNS]
+EXPECTED_KINDS = {c: "string" if c in ("vehicle_id", "trip_id", "ts") else "boolean" if c == "ignition_on" else "number" for c in _WIRE}
+# What each planted fault changes: a field, and the kind it has then.
+_KIND_CASES = " ".join(f"WHEN field = '{f}' AND event_type = '{e}' THEN '{k}'" for f, e, k in (("lat", "click", "null"), ("rpm", "error", "string")))
+_PLAIN = ", ".join(f"'{e}'" for e in FAULTS)
+_EXPECTED_LIST = "[" + ", ".join(f"{{'field': '{f}', 'want': '{k}'}}" for f, k in EXPECTED_KINDS.items()) + "]"
+
+
+_NO_TRIP = "field = 'trip_id' AND trip_id IS NULL"
+
+
+@register("payload_drift", with_views(
+    f"""SELECT field, kind, count(*) AS messages, CASE WHEN kind = want THEN 'ok' ELSE 'type' END AS verdict FROM k WHERE NOT ({_NO_TRIP}) GROUP BY field, kind, want
+UNION ALL SELECT field, NULL, count(*), 'missing' FROM k WHERE {_NO_TRIP} GROUP BY field""",
+    f"m AS (SELECT event_type, trip_id, unnest({_EXPECTED_LIST}, recursive := true) FROM events JOIN tel ON event_id = seq)",
+    f"k AS (SELECT field, want, trip_id, CASE {_KIND_CASES} WHEN field = 'speed_kmh' AND event_type NOT IN ({_PLAIN}) THEN 'string' ELSE want END AS kind FROM m)"))
+def q_payload_drift(spark, sf):
+    """Every message parsed once; per field and JSON type how many carry it."""
+    return DR.payload_drift(faulty_messages(spark, sf), EXPECTED_KINDS)
+
+
+# ---------------------------------------------------------------------------
+# Panels over all vehicles, in long form
+# ---------------------------------------------------------------------------
+
+
+def _newest_sql(src: str, time: str, value: str, *ctes: str) -> str:
+    return with_views(
+        f"""SELECT vehicle_id, {time}, {value} FROM (
+  SELECT *, row_number() OVER (PARTITION BY vehicle_id ORDER BY {time} DESC, {value} DESC NULLS LAST) AS rn FROM {src}) WHERE rn <= {NEWEST}""", *ctes)
+
+
+def _newest(df, time: str, value: str):
+    return SV.top_n_per_key(df.select("vehicle_id", time, value), NEWEST, order=[F.col(time).desc(), F.col(value).desc()])
+
+
+@register("series_newest", _newest_sql("tel", "event_time", "speed_kmh"))
+def q_series_newest(spark, sf):
+    return _newest(TM.telemetry_light(spark, sf), "event_time", "speed_kmh").select("vehicle_id", "event_time", "speed_kmh")
+
+
+@register("windows_newest", _newest_sql("vwh", "window_start", "avg_speed_kmh", _hourly_cte()))
+def q_windows_newest(spark, sf):
+    return _newest(_hourly(spark, sf), "window_start", "avg_speed_kmh").select("vehicle_id", "window_start", "avg_speed_kmh")
+
+
+@register("harsh_newest", _newest_sql("vwh", "window_start", "harsh_event_count", _hourly_cte()))
+def q_harsh_newest(spark, sf):
+    return _newest(_hourly(spark, sf), "window_start", "harsh_event_count").select("vehicle_id", "window_start", "harsh_event_count")

@@ -26,12 +26,13 @@ from roadlens.plans.queries_batch import (
     _vehicle_windows_sql,
 )
 from roadlens.plans.queries_serving import CORRECTED_SRC, FAULTS, _FAULTY, _CASES, faulty_messages
-from roadlens.schemas import EVENT_COLUMNS, TELEMETRY_COLUMNS
+from roadlens.schemas import EVENT_COLUMNS, SESSION_GAP_S, TELEMETRY_COLUMNS
 from roadlens.sources import decode as DC
 from roadlens.sources import sinks as SK
 from roadlens.sources import testmap as TM
 from roadlens.streaming import processors as PR
 from roadlens.streaming import stream as ST
+from roadlens.streaming.progress import ProgressLog, read_progress
 
 HOLD_S = 75
 # Readings arrive up to three minutes late; a hold beyond that drops none.
@@ -317,6 +318,78 @@ def q_stream_vehicle_windows_update(spark, sf):
     return _ntz(SK.read_history(spark, out), ["window_start"])
 
 
+def _renamed(spark, old: str, new: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(old).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(new).getParent())
+    if not fs.rename(path(old), path(new)):
+        raise OSError(f"cannot rename {old}")
+
+
+def stopped_and_resumed(spark, feed: Feed, schema, start) -> str:
+    """Runs ``start(stream, checkpoint)`` over the first slices of a feed, to
+    its end, and again from the same checkpoint after the rest has come; the
+    checkpoint's folder."""
+    names = sorted(f"slice={i}" for i in range(SLICES))
+    base = feed.path.removesuffix("/in")
+    for part in (names[:2], names[2:]):
+        for n in part:
+            _renamed(spark, f"{feed.path}/{n}", f"{base}/run/{n}")
+        s = ST.file_source(spark, f"{base}/run/slice=*", schema, max_files_per_trigger=feed.files)
+        start(s, f"{base}/ckpt").awaitTermination()
+    return f"{base}/ckpt"
+
+
+@register("latest_from_state", with_views(LATEST_SQL))
+def q_latest_from_state(spark, sf):
+    """Latest state served from the checkpoint of a query that
+    was stopped and resumed."""
+    t = TM.light_from(TM.read_table(spark, sf, "events"), streaming_ts=True)
+
+    def start(s, ckpt):
+        w = ST.latest_state_query(s).writeStream.format("noop").outputMode("update")
+        return w.option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+
+    return ST.latest_from_state(spark, stopped_and_resumed(spark, by_arrival(t, "state_in"), t.schema, start))
+
+
+@register("stream_restart", with_views(f"SELECT * FROM vw WHERE window_start + to_seconds(60) <= {_wm(LONG_HOLD_S)}", f"vw AS ({_body(_vehicle_windows_sql(60))})"))
+def q_stream_restart(spark, sf):
+    """Tumbling windows of a query that was stopped after some files and
+    resumed from its checkpoint equal those of one that never stopped."""
+    e = TM.read_table(spark, sf, "events")
+    feed = e.withColumn("arrival_time", F.timestamp_add("SECOND", (F.col("event_id") % 7) * 30, F.col("ts")))
+    out = f"{ST.run_dir(spark, 'restart_out')}/out"
+
+    def start(s, ckpt):
+        s = s.drop("arrival_time")
+        u = ST.signals(TM.light_from(s, streaming_ts=True), TM.events_from(s, streaming_ts=True))
+        w = ST.vehicle_windows_stream(u, hold=f"{LONG_HOLD_S} seconds").writeStream.format("parquet").option("path", out)
+        return w.option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start()
+
+    stopped_and_resumed(spark, by_arrival(feed, "restart"), feed.schema, start)
+    return _ntz(spark.read.parquet(out), ["window_start"])
+
+
+@register("stream_progress", with_views(
+    "SELECT CAST(count(*) AS BIGINT) AS input_rows, CAST(0 AS BIGINT) AS dropped FROM tel"))
+def q_stream_progress(spark, sf):
+    """Counters of all batches from the log, which holds more of
+    them than the query itself remembers."""
+    t = _shuffled(spark, sf, "progress_in")
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    path = f"{ST.run_dir(spark, 'progress')}/log"
+    try:
+        with ProgressLog(spark, path):
+            ST.run_to_parquet(ST.sessions_stream(t, SESSION_GAP_TEST_S, f"{LONG_HOLD_S} seconds"), "progress_out")
+    finally:
+        spark.conf.set(key, before)
+    log = read_progress(spark, path)
+    return log.agg(F.sum("input_rows").alias("input_rows"), F.sum("dropped_by_watermark").alias("dropped"))
+
+
 # ---------------------------------------------------------------------------
 # The whole pipeline on JSON text
 # ---------------------------------------------------------------------------
@@ -371,3 +444,30 @@ def q_stream_pipeline_latest(spark, sf):
     f"vw AS ({_body(_vehicle_windows_sql(60)).replace('FROM tel', f'FROM {_GOOD}')})"))
 def q_stream_pipeline_windows(spark, sf):
     return _ntz(spark.read.parquet(f"{pipeline_root(spark, sf)}/vehicle_windows"), ["window_start"])
+
+
+def _good(sql: str) -> str:
+    return _body(sql).replace("FROM tel", f"FROM {_GOOD}")
+
+
+@register("stream_pipeline_fleet", with_views(f"SELECT * FROM fw WHERE window_end <= {_wm(LONG_HOLD_S)}", f"fw AS ({_good(_fleet_windows_sql(300, 30))})"))
+def q_stream_pipeline_fleet(spark, sf):
+    return _ntz(spark.read.parquet(f"{pipeline_root(spark, sf)}/fleet_windows"), ["window_start", "window_end"])
+
+
+@register("stream_pipeline_sessions", with_views(
+    f"""SELECT vehicle_id, min(event_time) AS start_time, max(event_time) AS end_time, max(speed_kmh) AS max_speed_kmh, count(*) AS samples
+FROM s2 GROUP BY vehicle_id, sess HAVING max(event_time) + to_seconds({SESSION_GAP_S}) <= (SELECT max(event_time) FROM {_GOOD}) - to_seconds({LONG_HOLD_S})""",
+    f"s1 AS (SELECT *, lag(event_time) OVER (PARTITION BY vehicle_id ORDER BY event_time, seq) AS pt FROM {_GOOD})",
+    f"""s2 AS (SELECT *, sum(CASE WHEN pt IS NULL OR {secs_sql('event_time', 'pt')} > CAST({float(SESSION_GAP_S)} AS DOUBLE) THEN 1 ELSE 0 END)
+             OVER (PARTITION BY vehicle_id ORDER BY event_time, seq ROWS UNBOUNDED PRECEDING) AS sess FROM s1)"""))
+def q_stream_pipeline_sessions(spark, sf):
+    return _ntz(spark.read.parquet(f"{pipeline_root(spark, sf)}/trip_sessions"), ["start_time", "end_time"])
+
+
+@register("stream_pipeline_late", with_views(f"SELECT vehicle_id, count(*) AS late_rows FROM {_GOOD} GROUP BY 1"))
+def q_stream_pipeline_late(spark, sf):
+    """The feed's files are written long after its readings' times, so
+    every good reading is reported."""
+    late = spark.read.parquet(f"{pipeline_root(spark, sf)}/late_records")
+    return late.groupBy("vehicle_id").agg(F.count(F.lit(1)).alias("late_rows"))

@@ -258,6 +258,28 @@ def read_latest_state(spark: SparkSession, out: str) -> DataFrame | None:
     )
 
 
+STATE_COLS = ("lat", "lon", "speed_kmh", "engine_temp_c", "event_time")
+
+
+def latest_state_query(t: DataFrame) -> DataFrame:
+    """S14 with nothing stored but the query's own state: each vehicle's newest
+    reading. Run it in update mode; :func:`latest_from_state` serves it."""
+    newest = F.max(F.struct("event_time", "seq", *[c for c in STATE_COLS if c != "event_time"]))
+    return t.groupBy("vehicle_id").agg(newest.alias("newest"))
+
+
+def latest_from_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Q1 from the checkpoint of a :func:`latest_state_query`, running or not:
+    its last committed state, read with the state data source."""
+    from roadlens.functions.signals import iso_utc_seconds
+
+    rows = spark.read.format("statestore").load(checkpoint)
+    (buffer,) = rows.schema["value"].dataType.names
+    rows = rows.select(F.col("key.vehicle_id").alias("vehicle_id"), F.col(f"value.`{buffer}`").alias("newest"))
+    at = iso_utc_seconds(F.col("newest.event_time")).alias("updated_at")
+    return rows.select("vehicle_id", *[F.col(f"newest.{c}").alias(c) for c in STATE_COLS if c != "event_time"], at)
+
+
 def progress_rows(query) -> list[dict]:
     """Per-batch counters and watermark from ``recentProgress``."""
     rows = []
