@@ -304,3 +304,27 @@ def q_windows_newest(spark, sf):
 @register("harsh_newest", _newest_sql("vwh", "window_start", "harsh_event_count", _hourly_cte()))
 def q_harsh_newest(spark, sf):
     return _newest(_hourly(spark, sf), "window_start", "harsh_event_count").select("vehicle_id", "window_start", "harsh_event_count")
+
+
+# ---------------------------------------------------------------------------
+# History of vehicles asked for by a table of requests
+# ---------------------------------------------------------------------------
+
+
+@register("history_vehicles_indexed", with_views(
+    """SELECT tel.vehicle_id, event_time, lat, lon, speed_kmh FROM tel
+JOIN (SELECT vehicle_id, min(event_time) + to_seconds(86400) AS since FROM tel GROUP BY 1) r ON tel.vehicle_id = r.vehicle_id
+WHERE event_time >= since AND event_time < since + to_seconds(172800)"""))
+def q_history_vehicles_indexed(spark, sf):
+    """Each vehicle's second and third day, from a history table whose file
+    index says which files to open; the last readings are not merged yet."""
+    t = TM.telemetry_light(spark, sf).select("vehicle_id", "event_time", "lat", "lon", "speed_kmh", "arrival_time", "seq")
+    late = F.to_date("event_time") >= F.lit(HISTORY_END).cast("date")
+    out = f"{run_dir(spark, 'history_indexed')}/t"
+    SK.write_history(t.where(~late), out)
+    table = SK.history_table(spark, out)
+    table.compact()
+    SK.write_history(t.where(late), out)
+    since = F.timestamp_add("SECOND", F.lit(86_400), F.min("event_time"))
+    requests = t.groupBy("vehicle_id").agg(since.alias("since")).withColumn("until", F.timestamp_add("SECOND", F.lit(172_800), F.col("since")))
+    return table.read_requests(requests, "vehicle_id", "event_time").select("vehicle_id", "event_time", "lat", "lon", "speed_kmh")

@@ -6,6 +6,7 @@ Layout under the table's folder::
     log/<version>.json                       its days and rows in each, its rule
     base/b=<k>/_day=<day>/part-*.parquet     merged days, sorted by key
     snapshots/<k>.json                       merged days and deltas not yet merged
+    index/<key>/k=<k>/                       what the merged files hold of a key
 
 A batch writes its own rows and one small log entry, whatever the table holds;
 it is evaluated once. Its entry is written last, so a reader never sees half a
@@ -30,9 +31,14 @@ from pyspark.sql import functions as F
 DAY = "_day"
 VERSION = "_version"
 _MERGED = -1  # version of merged rows that set every column
+_BITS = 32_768  # of the bitmap functions
 COMPACT_EVERY = 16  # batches between two looks for days to merge
 
 
+def _bit(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(_BITS))
+
+
 @dataclass(frozen=True)
 class Rule:
     """How rows of one key become one: ``last`` keeps the last by ``order``
@@ -234,6 +240,52 @@ class KeyedTable:
         # The day also stands in the files, as the folder's name is not read.
         return self.spark.read.parquet(*paths).withColumnRenamed("_of_day", DAY)
 
+    # -- index -------------------------------------------------------------
+
+    def index(self, key: str, ts: str) -> DataFrame:
+        """Index of the merged files, written for the newest snapshot: of each
+        file its day, its smallest and largest ``ts``, and a bitmap of hashed
+        ``key`` values (a Bloom filter of one hash, 4 KB whatever the file)."""
+        state, k = self.state(), self._numbers("snapshots")[-1]
+        rows = self._base(state, sorted(state.bases)).select(F.col("_metadata.file_path").alias("file"), F.col(DAY), F.col(key), F.col(ts))
+        out = rows.groupBy("file", DAY).agg(F.min(ts).alias("low"), F.max(ts).alias("high"), F.bitmap_construct_agg(_bit(key)).alias("keys"))
+        out.write.mode("overwrite").parquet(f"{self.path}/index/{key}/k={k}")
+        return self.spark.read.schema(out.schema).parquet(f"{self.path}/index/{key}/k={k}")
+
+    def files_for(self, requests: DataFrame, key: str, ts: str) -> list[str]:
+        """Merged files that may hold rows of ``requests(key, since, until)``:
+        of their days, overlapping in time, with the key's bit set."""
+        k = self._numbers("snapshots")[-1]
+        path = f"{self.path}/index/{key}/k={k}"
+        index = self.spark.read.parquet(path) if self._exists(path) else self.index(key, ts)
+        asked = requests.select("since", "until", _bit(key).alias("_bit"), F.explode(F.sequence(F.to_date("since"), F.to_date("until"))).alias(DAY))
+        asked = asked.withColumn(DAY, F.col(DAY).cast("string"))
+        byte = F.conv(F.hex(F.expr("substring(keys, CAST(_bit DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+        has = F.expr("_bit % 8").cast("int")
+        hits = index.join(asked, DAY).where((F.col("low") < F.col("until")) & (F.col("high") >= F.col("since")))
+        hits = hits.withColumn("_byte", byte).withColumn("_at", has).where(F.expr("(_byte & shiftleft(1, _at)) != 0"))
+        return sorted(r["file"] for r in hits.select("file").distinct().collect())
+
+    def read_requests(self, requests: DataFrame, key: str, ts: str) -> DataFrame:
+        """Rows of each of ``requests(key, since, until)``, a key and a range of
+        ``ts`` (``until`` excluded). Of the merged days only the files are
+        opened that the index leaves; days with deltas are merged whole. A row
+        comes once for every request that asks for it."""
+        state = self.state()
+        open_ = set().union(*[set(d) for d in state.deltas.values()])
+        files = self.files_for(requests, key, ts)
+        held = [f for f in files if f.rsplit(f"/{DAY}=", 1)[1].split("/")[0] not in open_]
+        parts = [self.spark.read.parquet(*held).withColumnRenamed("_of_day", DAY)] if held else []
+        fresh = self._rows(state, sorted(open_)) if open_ else None
+        parts += [fresh] if fresh is not None else []
+        rows = parts[0] if parts else self._rows(state, sorted(state.days())).limit(0)
+        for p in parts[1:]:
+            rows = rows.unionByName(p, allowMissingColumns=True)
+        rows = rows.drop(DAY, VERSION)
+        asked = requests.select(F.col(key), F.col("since").alias("_since"), F.col("until").alias("_until"))
+        found = rows.join(asked, key).where((F.col(ts) >= F.col("_since")) & (F.col(ts) < F.col("_until")))
+        return found.drop("_since", "_until")
+
     # -- compaction --------------------------------------------------------
 
     def compact(self, weight: float = 1.0) -> list[str]:
@@ -297,6 +349,8 @@ class KeyedTable:
         for k in self._numbers("snapshots"):
             if k < newest - 1:
                 self._delete(f"{self.path}/snapshots/{k}.json")
+                for key in self._children(f"{self.path}/index"):
+                    self._delete(f"{self.path}/index/{key}/k={k}")
 
     def commit_and_compact(self, batch: DataFrame, rule: Rule, version: int | None = None) -> int:
         """What a stream's sink does with a micro-batch: append it, and now

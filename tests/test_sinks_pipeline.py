@@ -109,6 +109,33 @@ def test_compaction_waits_for_days_with_many_deltas(spark):
     assert SK.read_history(spark, p, days[1:]).count() == 2 and SK.read_history(spark, p, ["2000-01-01"]) is None
 
 
+def test_index_leaves_files_closed(spark):
+    p = _path("h")
+    rows = [{"t": 60 * i, "v": f"veh_{v:04d}", "speed": v, "seq": 100 * v + i} for v in range(40) for i in range(20)]
+    t = tel(spark, rows).select("vehicle_id", "event_time", "speed_kmh", "seq")
+    SK.write_history(t, p)
+    table = SK.history_table(spark, p)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")  # several files of a small day
+    try:
+        table.compact()
+    finally:
+        spark.conf.set(key, "true")
+    files = [f for d in table._children(f"{p}/base/b=0") if d.startswith("_day=") for f in table._children(f"{p}/base/b=0/{d}") if f.startswith("part-")]
+    assert len(files) >= 4
+    at = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    asked = spark.createDataFrame(
+        [("veh_0003", at(60), at(240)), ("veh_0004", at(0), at(61)), ("veh_0004", at(0), at(1)), ("nobody", at(0), at(10**6)), ("veh_0039", at(10**6), at(2 * 10**6))],
+        "vehicle_id string, since timestamp_ntz, until timestamp_ntz")
+    assert 0 < len(table.files_for(asked, "vehicle_id", "event_time")) < len(files)
+    read = lambda: sorted((r.vehicle_id, r.seq % 100) for r in table.read_requests(asked, "vehicle_id", "event_time").collect())
+    want = [("veh_0003", 1), ("veh_0003", 2), ("veh_0003", 3), ("veh_0004", 0), ("veh_0004", 0), ("veh_0004", 1)]
+    assert read() == want
+    SK.write_history(tel(spark, [{"t": 100, "v": "veh_0003", "speed": 1, "seq": 350}]).select(*t.columns), p)
+    assert read() == sorted([*want, ("veh_0003", 50)])  # a day with deltas is merged
+    assert table.files_for(asked.limit(0), "vehicle_id", "event_time") == []
+
+
 def test_sink_compacts_now_and_then(spark, monkeypatch):
     from roadlens.sources import tables
 
