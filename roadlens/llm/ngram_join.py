@@ -3,7 +3,7 @@
 All n-grams have one global order: rare ones first, then the corpus's most
 frequent ones by rising count, ties by hash. Pivots cut that order into
 fragments. A document's set falls into one segment per fragment; overlaps of a
-pair are counted fragment by fragment and summed per pair.
+pair are counted fragment by fragment, a row each, and summed per pair.
 
 Pairs to count come from the start of the order: two sets with Jaccard
 similarity of at least t share an n-gram among the first n - ceil(t n) + 1 of
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from roadlens.llm.common import Scratch, components, unused
 from roadlens.llm.prefix import COUNTED, PACKED, PER_PART, Counter, Frequent, common, lists, most_frequent, pack, possible, prefix_size, salts
+from roadlens.llm.sieve import key, sieve
 from roadlens.llm.text import packed_texts, set_key, shingle_sets, unpacked
 
 WIDTH = 5
@@ -31,6 +32,7 @@ HEAVY = 1 << 18  # frequent n-grams whose counts order the rest; a fixed bound
 FRAGMENTS = 4  # fragments of the global order that overlaps are counted in
 PER_COUNTER = 1_500_000  # n-grams that one counting task holds
 HOT_LIST = 20_000  # documents of one n-gram that one task links
+TOGETHER = 200  # pairs whose texts are cut at a time
 
 
 class Order(Frequent):
@@ -115,27 +117,43 @@ def _postings(docs: DataFrame, width: int, similar: tuple[int, int], order: Broa
     return docs.select("text").mapInArrow(run, PACKED)
 
 
-def _verified(pairs: DataFrame, segments: DataFrame, sizes: DataFrame, similar: tuple[int, int], fragments: int) -> DataFrame:
-    """Those of ``pairs(a, b)`` that are similar. Segments of both sides meet
-    fragment by fragment; partial overlaps are summed per pair."""
+def _verified(pairs: DataFrame, texts: DataFrame, width: int, similar: tuple[int, int], order: Broadcast, fragments: int) -> DataFrame:
+    """Those of ``pairs(a, b)`` that are similar. The compressed texts of both
+    sides meet, are cut there into the order's fragments, and the partial
+    overlaps, one row per pair and fragment, are summed per pair. Shipping
+    texts instead of their n-grams takes some quarter of the bytes."""
     num, den = similar
-    all_parts = F.explode(F.sequence(F.lit(0), F.lit(fragments - 1)))
-    p = pairs.select("a", "b", all_parts.alias("fragment"))
-    left = p.join(segments.select(F.col("k1").alias("a"), "fragment", F.col("grams").alias("x")), ["a", "fragment"])
-    both = left.join(segments.select(F.col("k1").alias("b"), "fragment", F.col("grams").alias("y")), ["b", "fragment"])
+    left = pairs.join(texts.select(F.col("k1").alias("a"), F.col("packed").alias("x")), "a")
+    both = left.join(texts.select(F.col("k1").alias("b"), F.col("packed").alias("y")), "b").select("a", "b", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                got.append(common(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(got, pa.int64())], names=["a", "b", "fragment", "common"])
-
-    part = both.select("a", "b", "fragment", "x", "y").mapInArrow(run, "a long, b long, fragment int, common long")
-    # A repeated row gives its segments twice.
-    total = part.dropDuplicates(["a", "b", "fragment"]).groupBy("a", "b").agg(F.sum("common").alias("common"))
-    na, nb = (sizes.select(F.col("k1").alias(c), F.col("n").alias(f"n_{c}")) for c in ("a", "b"))
-    return total.join(na, "a").join(nb, "b").where((num + den) * F.col("common") >= num * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+            for lo in range(0, batch.num_rows, TOGETHER):
+                yield _overlaps(batch.slice(lo, TOGETHER), width, order.value, fragments)
+
+    part = both.mapInArrow(run, "a long, b long, fragment int, common long, sizes long")
+    # A repeated row gives its pairs twice.
+    once = part.groupBy("a", "b", "fragment").agg(F.max("common").alias("common"), F.max("sizes").alias("sizes"))
+    total = once.groupBy("a", "b").agg(F.sum("common").alias("common"), F.max("sizes").alias("sizes"))
+    return total.where((num + den) * F.col("common") >= num * F.col("sizes")).select("a", "b")
+
+
+def _overlaps(pairs: pa.RecordBatch, width: int, order: Order, fragments: int) -> pa.RecordBatch:
+    """(a, b, fragment, common, sizes): overlaps of pairs of texts by fragment,
+    empty ones left out, and the sizes of both sets added up. A text that
+    several pairs hold is cut once."""
+    ids = [*pairs.column("a").to_pylist(), *pairs.column("b").to_pylist()]
+    blobs = [*pairs.column("x"), *pairs.column("y")]
+    once = {i: blob for i, blob in zip(ids, blobs, strict=True)}
+    sets = shingle_sets(unpacked(list(once.values())), width)
+    cut = {i: (len(s), dict(order.segments(s, fragments))) for i, s in zip(once, sets, strict=True)}
+    rows = []
+    for a, b in zip(ids[: pairs.num_rows], ids[pairs.num_rows :], strict=True):
+        (n, x), (m, y) = cut[a], cut[b]
+        rows += [(a, b, f, c, n + m) for f in x.keys() & y.keys() if (c := common(x[f], y[f]))]
+    names = ["a", "b", "fragment", "common", "sizes"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
 
 def ngram_components(docs: DataFrame, width: int = WIDTH, similar: tuple[int, int] = SIMILAR, heavy: int = HEAVY,
@@ -154,8 +172,8 @@ def ngram_components(docs: DataFrame, width: int = WIDTH, similar: tuple[int, in
     first, and whatever is still apart after that is compared pair by pair.
 
     Shuffles: 1 to 2 bytes an n-gram to count, the first fifth of each set as
-    postings, once the texts of documents that share a posting (for their
-    segments), and the segments of pairs."""
+    postings, and the compressed texts of documents that share a posting:
+    once to be gathered, and once for each side of their pairs."""
     return _components_of(docs, width, similar, heavy, fragments, per_counter, hot).drop("th", "comp")
 
 
@@ -183,24 +201,18 @@ def _components_of(docs: DataFrame, width: int, similar: tuple[int, int], heavy:
     more = heads.join(low, "token").where("lead <> low").select(F.least("lead", "low").alias("a"), F.greatest("lead", "low").alias("b"))
     star = scratch.keep(star.union(more).distinct(), "star")
 
-    sizes = reps.select("k1", "n").distinct()
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        o = order.value
-        for b in batches:
-            rows = [(set_key(s)[0], f, g.tobytes()) for s in shingle_sets(unpacked(b.column("packed")), width) if len(s) for f, g in o.segments(s, fragments)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())],
-                names=["k1", "fragment", "grams"],
-            )
-
-    # Segments of one document of each class that has postings left.
-    wanted = near.select("k1").distinct().join(reps, "k1").select(F.col("rep").alias("doc_id"))
+    # The text of one document of each class that has postings left. A sieve
+    # of those documents keeps most other texts out of the shuffle.
+    one = F.min(F.struct("doc_id", "th")).alias("one")
+    wanted = live.join(near.select("k1").distinct(), "k1", "left_semi").groupBy("k1").agg(one)
+    wanted = scratch.keep(wanted.select("k1", "one.doc_id", "one.th"), "wanted")
+    only = sieve(wanted.select(key("doc_id", "th")), wanted.count())
+    keyed = real.withColumn("th", F.xxhash64("text")).withColumn("sieve_key", key("doc_id", "th"))
     # Ids are hashed, so the texts needn't be sorted to meet them.
-    texts = packed_texts(real, ["doc_id"]).join(wanted.hint("shuffle_hash"), "doc_id", "left_semi").select("packed")
-    segments = scratch.keep(texts.mapInArrow(cut, "k1 long, fragment int, grams binary"), "segments", free=True)
+    texts = packed_texts(keyed, ["doc_id", "th"], only).join(wanted.hint("shuffle_hash"), ["doc_id", "th"]).select("k1", "packed")
+    texts = scratch.keep(texts, "texts", free=True)
 
-    links = scratch.keep(_verified(star, segments, sizes, similar, fragments), "links1", free=True)
+    links = scratch.keep(_verified(star, texts, width, similar, order, fragments), "links1", free=True)
     joined = scratch.keep(components(links, scratch, "cc1"), "joined")
     # Whatever its list's leader didn't bring together: pairs of one list whose
     # components differ, at least one of them not the leader's.
@@ -217,10 +229,10 @@ def _components_of(docs: DataFrame, width: int, similar: tuple[int, int], heavy:
     )
     rest = x.join(y, "token").where(meet).select(F.least("k1_x", "k1_y").alias("a"), F.greatest("k1_x", "k1_y").alias("b")).distinct()
     rest = scratch.keep(rest.join(star, ["a", "b"], "left_anti"), "rest")
-    more = _verified(rest, segments.join(rest.select(F.explode(F.array("a", "b")).alias("k1")).distinct(), "k1", "left_semi"), sizes, similar, fragments)
+    more = _verified(rest, texts.join(rest.select(F.explode(F.array("a", "b")).alias("k1")).distinct(), "k1", "left_semi"), width, similar, order, fragments)
     links = scratch.keep(links.union(more), "links", free=True)
     comp = scratch.keep(components(links, scratch, "cc2"), "comp")
-    scratch.drop("segments", "lists", "tagged", "star", "rest", "links1", "joined")
+    scratch.drop("texts", "wanted", "lists", "tagged", "star", "rest", "links1", "joined")
 
     # The smallest document of each component, over all its classes.
     # A class without links is its own component, by its full name: half of

@@ -12,12 +12,13 @@ in order. Equal sets of hashes stand for equal sets of words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 
 _PLAIN = bytes(
@@ -46,24 +47,27 @@ def mix(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(32))
 
 
-def packed_texts(docs: DataFrame, keys: list[str]) -> DataFrame:
+def packed_texts(docs: DataFrame, keys: list[str], only: Broadcast | None = None) -> DataFrame:
     """``keys`` and the text, compressed for a shuffle (``packed``): some two
-    thirds of what the shuffle's own compression makes of it."""
+    thirds of what the shuffle's own compression makes of it. With a sieve
+    (``only``), rows whose ``sieve_key`` it doesn't hold are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zip_ = zstandard.ZstdCompressor(level=1).compress
         for b in batches:
+            if only is not None:
+                b = b.filter(pa.array(only.value.has(b.column("sieve_key"))))
             raw, o = utf8_column(b.column("text"))
             view = memoryview(raw)
             blobs = [zip_(view[x:y]) for x, y in zip(o[:-1].tolist(), o[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*[b.column(k) for k in keys], pa.array(blobs, pa.binary())], names=[*keys, "packed"])
 
-    d = docs.select(*keys, "text")
+    d = docs.select(*keys, "text", *([] if only is None else ["sieve_key"]))
     schema = ", ".join(f"{k} {d.schema[k].dataType.simpleString()}" for k in keys)
     return d.mapInArrow(run, f"{schema}, packed binary")
 
 
-def unpacked(col: pa.Array) -> pa.Array:
+def unpacked(col: Iterable[pa.Scalar]) -> pa.Array:
     """The texts of a column of :func:`packed_texts`."""
     unzip = zstandard.ZstdDecompressor().decompress
     return pa.array([unzip(x.as_buffer()).decode("utf-8", "surrogatepass") for x in col], pa.string())
