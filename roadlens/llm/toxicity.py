@@ -31,6 +31,7 @@ PRIOR_VOTES = 0.25
 BLOCK = 64
 COMMON = 1024  # commonest terms, scored as a matrix
 QUERIES = 128  # texts that are scored at a time
+POSTINGS = 1 << 18  # places of rare terms that are added up at a time
 THRESHOLD = 0.7
 EVIDENCE = 3
 _SLACK = 1e-4  # float32 sums of unit vectors are nearer to the cosine
@@ -105,16 +106,15 @@ class BlockMaxIndex:
             held = np.bincount(r.term, minlength=self.width)
             top = np.argsort(-held, kind="stable")[: self.common]
             top = top[held[top] > max(32, n // 64)]
-            number = np.full(self.width, -1, np.int64)
+            number = np.full(self.width, -1, np.int32)
             number[top] = np.arange(len(top))
             place = np.repeat(np.arange(n, dtype=np.int32), np.diff(r.start))
-            of = number[r.term]
             matrix = np.zeros((len(top), n), np.float32)
-            often = of >= 0
-            matrix[of[often], place[often]] = r.weight[often]
-            rare = np.flatnonzero(~often)
+            often = np.flatnonzero(number[r.term] >= 0)
+            matrix[number[r.term[often]], place[often]] = r.weight[often]
+            rare = np.flatnonzero(number[r.term] < 0).astype(np.int32)
             rare = rare[np.argsort(r.term[rare], kind="stable")]
-            starts = np.concatenate(([0], np.cumsum(np.bincount(r.term[rare], minlength=self.width))))
+            starts = np.concatenate(([0], np.cumsum(np.where(number < 0, held, 0))))
             self._lists = number, matrix, starts, place[rare], r.weight[rare].astype(np.float32)
         return self._lists
 
@@ -128,11 +128,19 @@ class BlockMaxIndex:
         dense = np.zeros((len(q), len(matrix)), np.float32)
         dense[row[often], of[often]] = q.weight[often]
         score = dense @ matrix
-        t = q.term[~often]
+        # Rare terms of as many queries at a time as have POSTINGS in all.
+        t, w, row = q.term[~often], q.weight[~often], row[~often]
         size = starts[t + 1] - starts[t]
-        at = _ranges(starts[t], size)
-        flat = np.bincount(np.repeat(row[~often] * n, size) + place[at], np.repeat(q.weight[~often], size) * weight[at], len(q) * n)
-        score += flat.reshape(len(q), n)
+        run = np.searchsorted(row, np.arange(len(q) + 1))
+        before = np.concatenate(([0], np.cumsum(size)))[run]
+        lo = 0
+        while lo < len(q):
+            hi = min(len(q), max(lo + 1, int(np.searchsorted(before, before[lo] + POSTINGS, "right")) - 1))
+            s = slice(run[lo], run[hi])
+            at = _ranges(starts[t[s]], size[s])
+            cell = np.repeat((row[s] - lo) * n, size[s]) + place[at]
+            score[lo:hi] += np.bincount(cell, np.repeat(w[s], size[s]) * weight[at], (hi - lo) * n).reshape(-1, n)
+            lo = hi
         return score
 
     def tops(self, q: Rows, k: int, but: Sequence[int | None] | None = None) -> list[list[tuple[float, int, int]]]:
