@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import gc
 import uuid
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +44,14 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def release() -> None:
+    """Gives memory that a worker has freed back to the machine: workers live
+    on between tasks, and what they keep adds up beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class Scratch:
     """Tables of one operator run in the shared folder that
     ``spark.checkpoint.dir`` names. ``keep`` writes a table and reads it back

@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadlens.llm.common import release
 from roadlens.llm.text import plain_hashes, utf8
 
 # Bound of what is learnt from: examples of each label.
@@ -116,6 +117,8 @@ class BlockMaxIndex:
             rare = rare[np.argsort(r.term[rare], kind="stable")]
             starts = np.concatenate(([0], np.cumsum(np.where(number < 0, held, 0))))
             self._lists = number, matrix, starts, place[rare], r.weight[rare].astype(np.float32)
+            del place, often, rare
+            release()
         return self._lists
 
     def _estimates(self, q: Rows) -> np.ndarray:
@@ -368,6 +371,7 @@ def _own_votes(docs: DataFrame, model: ToxicModel) -> np.ndarray:
             at = b.column("id").to_numpy()
             raw, _ = shared.value.nearest(index.rows.picked(at), index.ids[at].tolist())
             yield pa.RecordBatch.from_arrays([pa.array(index.order[at]), pa.array(raw)], names=["id", "raw"])
+        release()
 
     got = spark.range(len(model.labels)).mapInArrow(run, "id long, raw double").toArrow()
     raw = np.empty(len(model.labels))
@@ -394,6 +398,7 @@ def _idf(docs: DataFrame, words: np.ndarray) -> np.ndarray:
                 df[-1] += len(part)
         some = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(df[some])], names=["term", "df"])
+        release()
 
     rows = docs.select("text").mapInArrow(run, "term int, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
     df = np.zeros(len(words) + 1)
