@@ -436,8 +436,8 @@ def score(docs: DataFrame, model: ToxicModel, threshold: float = THRESHOLD) -> D
         known: dict[bytes, tuple[float, list[dict]]] = {}
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
         for whole in batches:
-            for lo in range(0, whole.num_rows, 4 * QUERIES):
-                b = whole.slice(lo, 4 * QUERIES)
+            for lo in range(0, whole.num_rows, QUERIES):
+                b = whole.slice(lo, QUERIES)
                 s, e = zip(*_scored(shared.value, b.column("text"), known), strict=True)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s, pa.float64()), pa.array(e, kind)], names=["doc_id", "score", "evidence"])
 
@@ -461,8 +461,8 @@ def reject(docs: DataFrame, model: ToxicModel, threshold: float = THRESHOLD) ->
         known: dict[bytes, tuple[float, list[dict] | None]] = {}
         for col in texts:
             found: list[float] = []
-            for lo in range(0, len(col), 4 * QUERIES):
-                found += [s for s, _ in _scored(shared.value, col.slice(lo, 4 * QUERIES), known, evidence=False)]
+            for lo in range(0, len(col), QUERIES):
+                found += [s for s, _ in _scored(shared.value, col.slice(lo, QUERIES), known, evidence=False)]
             yield pa.array(found, pa.float64())
 
     return docs.where(scores(F.col("text")) < threshold)
