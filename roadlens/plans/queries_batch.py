@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from roadlens import schemas as S
 from roadlens.functions.geo import bearing_deg
 from roadlens.functions.signals import local_hour, quantize, rush_factor, vehicle_state
+from roadlens.operators import aggregates as AG
 from roadlens.operators import detect as DT
 from roadlens.operators import enrich as EN
 from roadlens.operators import motion as M
@@ -996,6 +997,33 @@ def q_windowed_generic(spark, sf):
     )
 
 
+def _speed_bands_sql(rows: str, width_s: int) -> str:
+    """Variance and modal band of speed over ``rows`` of (vehicle_id, window_start, c)."""
+    bands = ", ".join(f"count(*) FILTER (WHERE least(c // 3000, 4) = {i})" for i in range(5))
+    return with_views(f"""
+SELECT vehicle_id, window_start, window_start + to_seconds({width_s}) AS window_end, n AS samples,
+       CAST(n * ss - s * s AS DOUBLE) / CAST(n * n AS DOUBLE) / {_dbl(10000)} AS speed_variance,
+       CAST(list_position(b, list_max(b)) - 1 AS INTEGER) AS modal_band
+FROM (SELECT vehicle_id, window_start, count(*) AS n, sum(c) AS s, sum(c * c) AS ss, [{bands}] AS b FROM ({rows}) GROUP BY 1, 2)""")
+
+
+_CENTI = f"CAST(round(speed_kmh * {_dbl(100)}) AS BIGINT) AS c"
+
+
+@register("windowed_custom", _speed_bands_sql(f"SELECT vehicle_id, {bucket(3600)} AS window_start, {_CENTI} FROM tel", 3600))
+def q_windowed_custom(spark, sf):
+    """A user's aggregate with its own buffer over tumbling windows."""
+    t = TM.telemetry_light(spark, sf).select("vehicle_id", "event_time", "speed_kmh")
+    return AG.windowed_custom(t, ["vehicle_id"], HOUR, AG.SpeedBands())
+
+
+@register("windowed_custom_sliding", _speed_bands_sql(
+    f"SELECT vehicle_id, {bucket(1800)} - to_seconds(1800 * i) AS window_start, {_CENTI} FROM tel, (SELECT unnest(range(4)) AS i)", 7200))
+def q_windowed_custom_sliding(spark, sf):
+    t = TM.telemetry_light(spark, sf).select("vehicle_id", "event_time", "speed_kmh")
+    return AG.windowed_custom(t, ["vehicle_id"], FLEET_2H[0], AG.SpeedBands(), FLEET_2H[1])
+
+
 # ---------------------------------------------------------------------------
 # Bearing from positions (H2) and the raw event history
 # ---------------------------------------------------------------------------
