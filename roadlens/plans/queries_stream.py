@@ -31,6 +31,7 @@ from roadlens.sources import decode as DC
 from roadlens.sources import sinks as SK
 from roadlens.sources import testmap as TM
 from roadlens.streaming import processors as PR
+from roadlens.streaming import segments as SG
 from roadlens.streaming import stream as ST
 from roadlens.streaming.progress import ProgressLog, read_progress
 
@@ -371,6 +372,34 @@ def q_stream_restart(spark, sf):
     return _ntz(spark.read.parquet(out), ["window_start"])
 
 
+ROUND_TRIP_BATCHES = 4
+
+
+@register("stream_topic_roundtrip", with_views(
+    f"SELECT *, 1 AS copies FROM vw WHERE window_start + to_seconds(60) <= {_wm(LONG_HOLD_S)}", f"vw AS ({_body(_vehicle_windows_sql(60))})"))
+def q_stream_topic_roundtrip(spark, sf):
+    """Closed windows are published to a topic in several batches,
+    and a reader with a record limit gets every one of them once."""
+    base = ST.run_dir(spark, "topic")
+    e = TM.read_table(spark, sf, "events")
+    feed = e.withColumn("arrival_time", F.timestamp_add("SECOND", (F.col("event_id") % 7) * 30, F.col("ts")))
+    s = stream_of(spark, by_arrival(feed, "topic_in"), feed.schema).drop("arrival_time")
+    w = ST.vehicle_windows_stream(ST.signals(TM.light_from(s, streaming_ts=True), TM.events_from(s, streaming_ts=True)), hold=f"{LONG_HOLD_S} seconds")
+    SG.write_topic(w, f"{base}/topic", f"{base}/out_ckpt", trigger={"availableNow": True}).awaitTermination()
+    most = -(-sum(SG.Topic(f"{base}/topic").ends().values()) // ROUND_TRIP_BATCHES)
+    q = (
+        SG.read_topic(spark, f"{base}/topic", max(1, most)).writeStream.format("parquet").option("path", f"{base}/back")
+        .option("checkpointLocation", f"{base}/in_ckpt").trigger(processingTime="0 seconds").start()
+    )
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    row = F.from_json("value", w.schema)
+    got = spark.read.schema(SG.MESSAGE).parquet(f"{base}/back").groupBy("partition", "offset").agg(F.count(F.lit(1)).cast("int").alias("copies"), F.max("value").alias("value"))
+    return _ntz(got.select(row.alias("r"), "copies").select("r.*", "copies"), ["window_start"])
+
+
 @register("stream_progress", with_views(
     "SELECT CAST(count(*) AS BIGINT) AS input_rows, CAST(0 AS BIGINT) AS dropped FROM tel"))
 def q_stream_progress(spark, sf):
