@@ -29,13 +29,17 @@ MAX_EXAMPLES = 6000
 PLAIN_Z = 4.0
 NEIGHBOURS = 15
 PRIOR_VOTES = 0.25
-BLOCK = 64
+BLOCK = 32
 COMMON = 1024  # commonest terms, scored as a matrix
 QUERIES = 128  # texts that are scored at a time
 POSTINGS = 1 << 18  # places of rare terms that are added up at a time
 THRESHOLD = 0.7
 EVIDENCE = 3
-_SLACK = 1e-4  # float32 sums of unit vectors are nearer to the cosine
+KNOWN = 1 << 14  # texts whose scores a task remembers
+ROUNDS = (4, 32)  # blocks of the highest bounds that are completed before the k-th best is taken again
+_UNIT = 65535  # weights of common terms are stored as integers of so many parts
+_SLACK = 1e-3  # sums of these and of single precision are nearer to the cosine
+_NONE = -4.0  # score of what is no example
 
 
 def held_out(doc_id: Column) -> Column:
@@ -72,12 +76,15 @@ def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 class BlockMaxIndex:
-    """Inverted index over example vectors in blocks of neighbours in order.
-    ``tops`` gives the exact k largest cosines of several queries: rare terms
-    are added up over their lists, the commonest ones, whose lists hold much
-    of all examples, as one matrix product, both with a bounded error. The
-    k-th largest of the blocks' maxima bounds the k-th score from below; what
-    reaches it is scored anew in double precision, the rest cannot matter."""
+    """Block-max inverted index over example vectors in blocks of neighbours
+    in order. ``tops`` gives the exact k largest cosines of several queries.
+
+    The lists of rare terms are short and are added up whole. Of the commonest
+    terms, whose lists hold much of all examples, the largest weight in every
+    block is stored: with the best sum of rare terms in it that bounds a block.
+    Blocks are completed from the highest bound down, in rounds, and those
+    whose bound is below the k-th best score so far are skipped. What reaches
+    the k-th best score, up to the rounding, is scored anew in double precision."""
 
     def __init__(self, vectors: Sequence[dict[int, float]] | Rows, ids: Sequence[int], block: int = BLOCK, common: int = COMMON):
         rows = vectors if isinstance(vectors, Rows) else Rows.of(vectors)
@@ -94,14 +101,16 @@ class BlockMaxIndex:
         self.block, self.common = block, common
         self.n_blocks = -(-n // block)
         self.width = int(rows.term.max(initial=-1)) + 1
+        self.offered = self.completed = 0  # blocks of all queries so far, and those not skipped
         self._lists: tuple | None = None
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_lists": None}
 
-    def lists(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Number of each common term (-1: rare), their matrix, and the lists
-        of the rare terms: starts, places and weights. Made once per process."""
+    def lists(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Number of each common term (-1: rare), per block their weights and
+        their largest weights, and the lists of the rare terms: starts, places
+        and weights. Made once per process, in steps of some examples."""
         if self._lists is None:
             r, n = self.rows, len(self.rows)
             held = np.bincount(r.term, minlength=self.width)
@@ -109,77 +118,113 @@ class BlockMaxIndex:
             top = top[held[top] > max(32, n // 64)]
             number = np.full(self.width, -1, np.int32)
             number[top] = np.arange(len(top))
-            place = np.repeat(np.arange(n, dtype=np.int32), np.diff(r.start))
-            matrix = np.zeros((len(top), n), np.float32)
-            often = np.flatnonzero(number[r.term] >= 0)
-            matrix[number[r.term[often]], place[often]] = r.weight[often]
-            rare = np.flatnonzero(number[r.term] < 0).astype(np.int32)
-            rare = rare[np.argsort(r.term[rare], kind="stable")]
+            cells = np.zeros((self.n_blocks, len(top), self.block), np.uint16)
+            most = np.zeros((len(top), self.n_blocks), np.float32)
             starts = np.concatenate(([0], np.cumsum(np.where(number < 0, held, 0))))
-            self._lists = number, matrix, starts, place[rare], r.weight[rare].astype(np.float32)
-            del place, often, rare
+            place = np.empty(starts[-1], np.int32)
+            weight = np.empty(starts[-1], np.float32)
+            free = starts[:-1].copy()
+            for lo in range(0, self.n_blocks, 8):
+                some = np.arange(lo * self.block, min(n, (lo + 8) * self.block))
+                at = slice(r.start[some[0]], r.start[some[-1] + 1])
+                own = np.repeat(some.astype(np.int32), np.diff(r.start)[some])
+                t, w = r.term[at], r.weight[at]
+                c = number[t]
+                often = c >= 0
+                cells[own[often] // self.block, c[often], own[often] % self.block] = np.rint(w[often] * _UNIT)
+                np.maximum.at(most, (c[often], own[often] // self.block), w[often].astype(np.float32))
+                o = np.flatnonzero(~often)
+                o = o[np.argsort(t[o], kind="stable")]
+                rare, n_of = np.unique(t[o], return_counts=True)
+                to = _ranges(free[rare], n_of)
+                place[to], weight[to] = own[o], w[o]
+                free[rare] += n_of
+            self._lists = number, cells, most, starts, place, weight
             release()
         return self._lists
 
-    def _estimates(self, q: Rows) -> np.ndarray:
-        """Cosines of all examples for each query, up to the slack."""
-        number, matrix, starts, place, weight = self.lists()
-        n = len(self.rows)
-        row = np.repeat(np.arange(len(q)), np.diff(q.start))
-        of = number[q.term]
-        often = of >= 0
-        dense = np.zeros((len(q), len(matrix)), np.float32)
-        dense[row[often], of[often]] = q.weight[often]
-        score = dense @ matrix
-        # Rare terms of as many queries at a time as have POSTINGS in all.
-        t, w, row = q.term[~often], q.weight[~often], row[~often]
+    def _rare(self, t: np.ndarray, w: np.ndarray, row: np.ndarray, n_queries: int) -> np.ndarray:
+        """Sums of the rare terms for all queries and examples, of as many
+        queries at a time as have POSTINGS in all."""
+        _, _, _, starts, place, weight = self.lists()
+        n = self.n_blocks * self.block
+        score = np.zeros((n_queries, n), np.float32)
         size = starts[t + 1] - starts[t]
-        run = np.searchsorted(row, np.arange(len(q) + 1))
+        run = np.searchsorted(row, np.arange(n_queries + 1))
         before = np.concatenate(([0], np.cumsum(size)))[run]
         lo = 0
-        while lo < len(q):
-            hi = min(len(q), max(lo + 1, int(np.searchsorted(before, before[lo] + POSTINGS, "right")) - 1))
+        while lo < n_queries:
+            hi = min(n_queries, max(lo + 1, int(np.searchsorted(before, before[lo] + POSTINGS, "right")) - 1))
             s = slice(run[lo], run[hi])
             at = _ranges(starts[t[s]], size[s])
             cell = np.repeat((row[s] - lo) * n, size[s]) + place[at]
-            score[lo:hi] += np.bincount(cell, np.repeat(w[s], size[s]) * weight[at], (hi - lo) * n).reshape(-1, n)
+            score[lo:hi] = np.bincount(cell, np.repeat(w[s], size[s]) * weight[at], (hi - lo) * n).reshape(-1, n)
             lo = hi
+        score[:, len(self.rows) :] = _NONE
         return score
 
+    def _scores(self, q: Rows, k: int, but: Sequence[int | None] | None) -> tuple[np.ndarray, np.ndarray]:
+        """Cosines, up to the slack, of the examples in all blocks that were
+        not skipped, and what each query's k-th best one is no less than."""
+        number, cells, most, *_ = self.lists()
+        row = np.repeat(np.arange(len(q)), np.diff(q.start))
+        of = number[q.term]
+        often = of >= 0
+        dense = np.zeros((len(q), cells.shape[1]), np.float32)
+        dense[row[often], of[often]] = q.weight[often]
+        rare = self._rare(q.term[~often], q.weight[~often], row[~often], len(q)).reshape(len(q), self.n_blocks, self.block)
+        for i, b in enumerate(but or ()):
+            if b is not None:
+                rare.reshape(len(q), -1)[i, : len(self.ids)][self.ids == b] = _NONE
+        scaled = dense / np.float32(_UNIT)
+        bound = dense @ most
+        bound += rare.max(axis=2)
+        score = np.full(rare.shape, _NONE, np.float32)
+        kth = np.zeros(len(q), np.float32)
+        left = bound > 0  # a block of bound 0 holds no neighbour
+        self.offered += left.size
+        rank = np.empty(bound.shape, np.int32)
+        rank[np.arange(len(q))[:, None], np.argsort(-bound, axis=1)] = np.arange(self.n_blocks)
+        done = 0
+        for upto in (*ROUNDS, self.n_blocks):
+            now = left & (rank >= done) & (rank < upto) & (bound >= (kth - _SLACK)[:, None])
+            for b in np.flatnonzero(now.any(axis=0)).tolist():
+                i = np.flatnonzero(now[:, b])
+                score[i, b] = rare[i, b] + scaled[i] @ cells[b].astype(np.float32)
+            self.completed += int(now.sum())
+            done = upto
+            if self.n_blocks >= k:
+                # The k-th largest of the blocks' best is no more than the k-th best.
+                best = np.partition(score.max(axis=2), self.n_blocks - k, axis=1)[:, self.n_blocks - k]
+                kth = np.maximum(kth, best)
+            if done >= self.n_blocks:
+                break
+        return score.reshape(len(q), -1), kth
+
     def tops(self, q: Rows, k: int, but: Sequence[int | None] | None = None) -> list[list[tuple[float, int, int]]]:
         """For each query (cosine, id, index of the example) of the k nearest,
         ties to the smaller id; examples of cosine 0 are no neighbours; those
         with the id ``but`` are left out. Terms of no example are left out of
         ``q`` by the caller."""
-        n = len(self.rows)
-        if not n:
+        if not len(self.rows):
             return [[] for _ in range(len(q))]
         out = []
         dense = np.zeros(self.width)
         for lo in range(0, len(q), QUERIES):
             part = q.picked(np.arange(lo, min(len(q), lo + QUERIES)))
-            padded = np.full((len(part), self.n_blocks * self.block), -1.0, np.float32)
-            padded[:, :n] = self._estimates(part)
-            if but is not None:
-                for i, b in enumerate(but[lo : lo + QUERIES]):
-                    if b is not None:
-                        padded[i, :n][self.ids == b] = -1.0
-            most = padded.reshape(len(part), self.n_blocks, self.block).max(axis=2)
-            bound = np.zeros(len(part), np.float32)
-            if self.n_blocks >= k:
-                bound = np.maximum(bound, np.partition(most, self.n_blocks - k, axis=1)[:, self.n_blocks - k] - _SLACK)
-            for i, score in enumerate(padded):
-                found = np.flatnonzero((score > 0) & (score >= bound[i]))
+            scores, kth = self._scores(part, k, but[lo : lo + QUERIES] if but is not None else None)
+            for i, score in enumerate(scores):
+                found = np.flatnonzero(score >= kth[i] - _SLACK)
                 if len(found) > k:
                     s = score[found]
-                    found = found[s >= np.partition(s, len(s) - k)[len(s) - k] - _SLACK]
+                    found = found[s >= np.partition(s, len(s) - k)[len(s) - k] - 2 * _SLACK]
                 own = slice(part.start[i], part.start[i + 1])
                 dense[part.term[own]] = part.weight[own]
                 near = self.rows.picked(found)
                 exact = np.round(_sums(dense[near.term] * near.weight, near.start), 12)
                 dense[part.term[own]] = 0.0
                 best = np.lexsort((self.ids[found], -exact))[:k]
-                out.append([(float(exact[j]), int(self.ids[found[j]]), int(self.order[found[j]])) for j in best])
+                out.append([(float(exact[j]), int(self.ids[found[j]]), int(self.order[found[j]])) for j in best if exact[j] > 0])
         return out
 
     def top(self, q: dict[int, float], k: int, but: int | None = None) -> list[tuple[float, int, int]]:
@@ -411,7 +456,7 @@ def _scored(m: ToxicModel, col: pa.Array, known: dict[bytes, tuple[float, list[d
     """(score, evidence) of each text, the latter only if asked for. Equal
     texts are searched once per task."""
     keys = [xxhash.xxh3_128_digest(utf8(t)) for t in col.to_pylist()]
-    if len(known) >= 100_000:
+    if len(known) >= KNOWN:
         known.clear()
     new = list({key: i for i, key in enumerate(keys) if key not in known}.items())
     if new:
