@@ -15,6 +15,7 @@ reading: ``max_records`` per micro-batch (0: no limit).
 from __future__ import annotations
 
 import json
+import sys
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -22,6 +23,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, DataSourceStreamWriter, InputPartition, WriterCommitMessage
@@ -251,13 +253,25 @@ class Segments(DataSource):
         )
 
 
+def register(spark: SparkSession) -> None:
+    """Makes the format known to a session. Spark plans Python sources in
+    processes that do not get the application's files, so the classes travel
+    by value."""
+    ship_package(spark)
+    here = sys.modules[__name__]
+    cloudpickle.register_pickle_by_value(here)
+    try:
+        spark.dataSource.register(Segments)
+    finally:
+        cloudpickle.unregister_pickle_by_value(here)
+
+
 def read_topic(spark: SparkSession, path: str, max_records: int = 0) -> DataFrame:
     """The messages of a topic from its beginning: partition, offset, key,
     value. With ``max_records`` a micro-batch has at most so many; such a query
     runs with a processing-time trigger (``availableNow`` ends after the one
     batch that was next when it started)."""
-    ship_package(spark)
-    spark.dataSource.register(Segments)
+    register(spark)
     r = spark.readStream.format("segments").option("path", path)
     return r.option("max_records", str(max_records)).load()
 
@@ -266,8 +280,7 @@ def write_topic(df: DataFrame, path: str, checkpoint: str, key: str = "vehicle_i
     """Publishes rows of a stream as JSON messages keyed by ``key``. Null
     keys and null fields are allowed; fields that are null are not written."""
     spark = df.sparkSession
-    ship_package(spark)
-    spark.dataSource.register(Segments)
+    register(spark)
     out = df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct(*df.columns)).alias("value"))
     w = out.writeStream.format("segments").option("path", path).option("partitions", str(partitions))
     return w.option("checkpointLocation", checkpoint).outputMode(mode).trigger(**(trigger or {"processingTime": "0 seconds"})).start()
