@@ -6,15 +6,19 @@ value and no operator that tells of what did not come, so these run as
 ``transformWithStateInPandas`` processors. Everything else in the library is
 built-in Spark.
 
+A state call costs far more than the arithmetic on a vehicle's few readings of
+a micro-batch, so vehicles are dealt by hash to a fixed number of buckets, and
+a bucket, not a vehicle, is what Spark keeps state and timers for.
+
 Readings may arrive in any order within the hold. What a micro-batch brings of
-a vehicle is appended to its state as one sorted run (a list state, nothing
+a bucket is appended to its state as one sorted run (a list state, nothing
 read or rewritten); an event-time timer then merges the runs once and hands on
 all readings that the watermark has passed, in one call and in order, and the
-rest goes back as one run. So no reading inside the hold is skipped, a vehicle
-costs a fixed number of state calls a batch, however many readings it has, and
-state holds no more than the hold's readings plus one record per vehicle. Where
-the runs of one vehicle are longer than fits a worker, they are merged one
-stretch of time after the other. Readings behind the watermark are dropped by
+rest goes back as one run. So no reading inside the hold is skipped, a bucket
+costs a fixed number of state calls a batch, however many vehicles and readings
+it has, and state holds no more than the hold's readings plus one record per
+vehicle. Where the runs of one bucket are longer than fits a worker, they are
+merged one stretch of time after the other. Readings behind the watermark are dropped by
 Spark, which counts them (``numRowsDroppedByWatermark``); ``late_records``
 reports them.
 
@@ -30,9 +34,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from roadlens import schemas as S
@@ -85,7 +90,9 @@ _RUN = T.StructType(
 )
 _TIMER = T.StructType([T.StructField("at_ms", T.LongType())])
 RUN_ROWS = 65_536  # rows of one element of a run
-MERGE_ROWS = 1 << 20  # rows of one vehicle that are merged at once
+MERGE_ROWS = 1 << 20  # rows of one bucket that are merged at once
+BUCKETS = 256  # of vehicles; part of a query's checkpoint, more of them for a larger fleet
+_BLOB = T.StructType([T.StructField("rows", T.BinaryType())])
 
 
 def _pack(pdf: pd.DataFrame) -> bytes:
@@ -110,14 +117,14 @@ def _run_of(pdf: pd.DataFrame) -> list[tuple]:
     pdf = _ordered([pdf])
     t = pdf["t_us"].to_numpy(np.int64)
     return [
-        (int(t[at]), int(t[min(at + RUN_ROWS, len(t)) - 1]), min(RUN_ROWS, len(t) - at), _pack(pdf.iloc[at : at + RUN_ROWS]))
+        (int(t[at]), int(t[at : at + RUN_ROWS].max()), min(RUN_ROWS, len(t) - at), _pack(pdf.iloc[at : at + RUN_ROWS]))
         for at in range(0, len(t), RUN_ROWS)
     ]
 
 
 class OrderedProcessor(StatefulProcessor):
-    """Hands a vehicle's readings to :meth:`process` in (time, seq) order,
-    each once the watermark has passed it."""
+    """Hands a key's readings to :meth:`process` in (time, seq) order, each
+    once the watermark has passed it."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -129,7 +136,7 @@ class OrderedProcessor(StatefulProcessor):
     columns: list[str] = []
 
     def process(self, key, pdf: pd.DataFrame) -> list[tuple]:
-        """Output rows for the next readings of the vehicle, in order."""
+        """Output rows for the next readings of the key, in order."""
         raise NotImplementedError
 
     def passed(self, key, watermark_ms: int) -> list[tuple]:
@@ -141,6 +148,9 @@ class OrderedProcessor(StatefulProcessor):
         """When :meth:`passed` has something to say, if nothing arrives."""
         return None
 
+    def settle(self) -> None:
+        """Called at the end of a timer, to store what the operator keeps."""
+
     # ----------------------------------------------------------------------
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
@@ -148,7 +158,7 @@ class OrderedProcessor(StatefulProcessor):
         for pdf in rows:  # one Arrow batch at a time
             if pdf.empty:
                 continue
-            run = _run_of(pdf)
+            run = _run_of(pdf.drop(columns=["bucket", "event_time"], errors="ignore"))
             if len(run) == 1:
                 self.runs.appendValue(run[0])
             else:
@@ -173,6 +183,7 @@ class OrderedProcessor(StatefulProcessor):
         late = self.passed(key, mark)
         if late:
             yield pd.DataFrame(late, columns=self.columns)
+        self.settle()
         wake = [x for x in (rest[0][0] // 1000 + 1 if rest else None, self.due_ms()) if x is not None]
         if wake:
             at = max(min(wake), mark + 1)
@@ -197,9 +208,12 @@ class OrderedProcessor(StatefulProcessor):
             if not held:
                 return
             pdf = _ordered([_unpack(e[3]) for e in held])
-            cut = int(np.searchsorted(pdf["t_us"].to_numpy(np.int64), end_us))
-            rest = _run_of(pdf.iloc[cut:]) if cut < len(pdf) else []
-            yield pdf.iloc[:cut], rest
+            timed = int(pdf["t_us"].count())  # readings without a time are last, and wait for nothing
+            cut = int(np.searchsorted(pdf["t_us"].to_numpy()[:timed], end_us))
+            rest = _run_of(pdf.iloc[cut:timed]) if cut < timed else []
+            ready = pdf.iloc[:cut] if timed == len(pdf) else pd.concat([pdf.iloc[:cut], pdf.iloc[timed:]])
+            if len(ready):
+                yield ready, rest
             return
         # Too much at once: stretches of time, each read from the runs anew.
         all_t = np.sort(np.concatenate([_unpack(e[3])["t_us"].to_numpy(np.int64) for e in self.runs.get() if e[0] < end_us]))
@@ -218,7 +232,7 @@ class OrderedProcessor(StatefulProcessor):
             low = high
 
     def _wake(self, at_ms: int) -> None:
-        """One timer per vehicle, at the earliest time asked for."""
+        """One timer per key, at the earliest time asked for."""
         if self.timer.exists():
             (old,) = self.timer.get()
             if old <= at_ms:
@@ -231,30 +245,119 @@ class OrderedProcessor(StatefulProcessor):
         pass
 
 
-class DetectProcessor(OrderedProcessor):
+class VehiclesProcessor(OrderedProcessor):
+    """An ordered processor of a bucket of vehicles: :meth:`step` takes one
+    vehicle's next readings. The records of the bucket's vehicles are one
+    value, read and written once a timer."""
+
+    record: T.StructType  # what is kept of a vehicle
+
+    def step(self, vehicle: str | None, rows: dict[str, np.ndarray], s: tuple | None) -> tuple[list[tuple], tuple | None]:
+        """Output rows for the next readings of a vehicle, in order, and what
+        is kept of it, given what was."""
+        raise NotImplementedError
+
+    def due_us(self, s: tuple) -> int | None:
+        """Time behind which :meth:`lapsed` takes over, if nothing arrives."""
+        return None
+
+    def lapsed(self, vehicle: str | None, s: tuple) -> list[tuple]:
+        """Output rows of a vehicle that is forgotten, as its time has passed."""
+        return []
+
+    def arrays(self, pdf: pd.DataFrame) -> dict[str, np.ndarray]:
+        """The columns that :meth:`step` takes."""
+        return {"t_us": pdf["t_us"].to_numpy(np.int64)}
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.blob = handle.getValueState("vehicles", _BLOB)
+        self.kept: dict | None = None
+
+    def _records(self) -> dict:
+        if self.kept is None:
+            self.kept = {}
+            if self.blob.exists():
+                (blob,) = self.blob.get()
+                cols = pa.ipc.open_stream(bytes(blob)).read_all().to_pydict()
+                self.kept = dict(zip(cols["vehicle_id"], zip(*(cols[f.name] for f in self.record.fields), strict=True), strict=True))
+        return self.kept
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.kept = None  # another bucket's
+        yield from super().handleExpiredTimer(key, timerValues, expiredTimerInfo)
+
+    def process(self, key, pdf: pd.DataFrame) -> list[tuple]:
+        kept = self._records()
+        code, names = pd.factorize(pdf["vehicle_id"].to_numpy(object), use_na_sentinel=False)
+        by = np.argsort(code, kind="stable")
+        cols = {c: x[by] for c, x in self.arrays(pdf).items()}
+        ends = np.cumsum(np.bincount(code, minlength=len(names))).tolist()
+        out: list[tuple] = []
+        lo = 0
+        for name, hi in zip(names.tolist(), ends, strict=True):
+            vehicle = name if isinstance(name, str) else None
+            rows, s = self.step(vehicle, {c: x[lo:hi] for c, x in cols.items()}, kept.get(vehicle))
+            out += rows
+            if s is None:
+                kept.pop(vehicle, None)
+            else:
+                kept[vehicle] = s
+            lo = hi
+        return out
+
+    def passed(self, key, watermark_ms: int) -> list[tuple]:
+        out: list[tuple] = []
+        kept = self._records()
+        for vehicle, s in list(kept.items()):
+            due = self.due_us(s)
+            if due is not None and watermark_ms * 1000 >= due:
+                out += self.lapsed(vehicle, s)
+                del kept[vehicle]
+        return out
+
+    def due_ms(self) -> int | None:
+        due = [x for x in map(self.due_us, self._records().values()) if x is not None]
+        return -(-min(due) // 1000) if due else None  # the first millisecond not before it
+
+    def settle(self) -> None:
+        kept = self._records()
+        if not kept:
+            self.blob.clear()
+            return
+        cols = {"vehicle_id": pa.array(kept, pa.string())}
+        for f, values in zip(self.record.fields, zip(*kept.values(), strict=True), strict=True):
+            cols[f.name] = pa.array(values, to_arrow_type(f.dataType))
+        table = pa.table(cols)
+        sink = io.BytesIO()
+        with pa.ipc.new_stream(sink, table.schema) as w:
+            w.write_table(table)
+        self.blob.update((sink.getvalue(),))
+
+
+class DetectProcessor(VehiclesProcessor):
     """T10 on a stream: the six telemetry rules, edge-triggered, per vehicle."""
 
     columns = ["vehicle_id", "trip_id", "t_us", "event_type"]
+    record = DETECT_STATE
 
     def __init__(self, limit_kmh: float):
         self.limit = float(limit_kmh)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.state = handle.getValueState("detect", DETECT_STATE)
+    def arrays(self, pdf: pd.DataFrame) -> dict[str, np.ndarray]:
+        cols = {c: pdf[c].to_numpy(np.float64) for c in ("speed_kmh", "heading_deg", "fuel_pct")}
+        trip = pdf["trip_id"].astype(object).where(pdf["trip_id"].notna(), None).to_numpy(object)
+        return {**super().arrays(pdf), **cols, "seq": pdf["seq"].to_numpy(), "ignition_on": pdf["ignition_on"].to_numpy(bool), "trip_id": trip}
 
-    def process(self, key, pdf: pd.DataFrame) -> list[tuple]:
-        if self.state.exists():
-            (last_us, _last_seq, last_speed, heading, first_us, over_f, idle_f, conds, fuel_trip) = self.state.get()
+    def step(self, vehicle: str | None, rows: dict[str, np.ndarray], s: tuple | None) -> tuple[list[tuple], tuple | None]:
+        if s is not None:
+            (last_us, _last_seq, last_speed, heading, first_us, over_f, idle_f, conds, fuel_trip) = s
             prev = set(conds.split(",")) if conds else set()
         else:
             last_us = last_speed = heading = first_us = over_f = idle_f = None
             prev, fuel_trip = set(), None
         # Vectorised over the readings; the state seeds the first row (previous reading, carried heading, clocks).
-        t = pdf["t_us"].to_numpy(np.int64)
-        speed = pdf["speed_kmh"].to_numpy(np.float64)
-        head = pdf["heading_deg"].to_numpy(np.float64)
-        ign = pdf["ignition_on"].to_numpy(bool)
+        t, speed, head, ign, trip = (rows[c] for c in ("t_us", "speed_kmh", "heading_deg", "ignition_on", "trip_id"))
         n = len(t)
         first_us = int(t[0]) if first_us is None else first_us
         prev_t, prev_speed = np.empty(n, np.int64), np.empty(n, np.float64)
@@ -287,26 +390,25 @@ class DetectProcessor(OrderedProcessor):
                 "over_speed": (speed >= over_lim) & (over_s >= S.OVER_SPEED_SUSTAINED_S),
                 "idling": idle_s >= S.IDLING_THRESHOLD_S,
             }
-        trip = pdf["trip_id"].astype(object).where(pdf["trip_id"].notna(), None).to_numpy(object)
         out = []
         for name in RULES:
             c = cur[name]
             before = np.empty(n, bool)
             before[0], before[1:] = name in prev, c[:-1]
             for i in np.nonzero(c & ~before)[0]:
-                out.append((key[0], trip[i], int(t[i]), name))
+                out.append((vehicle, trip[i], int(t[i]), name))
         # Fuel low: the first low reading of each trip (a low reading sets the
         # reported trip, so it fires when its trip differs from the previous low one).
-        fuel = pdf["fuel_pct"].to_numpy(np.float64)
+        fuel = rows["fuel_pct"]
         low = np.nonzero(np.array([x is not None for x in trip]) & (fuel < S.FUEL_LOW_PCT))[0]
         for i in low:
             if trip[i] != fuel_trip:
-                out.append((key[0], trip[i], int(t[i]), "fuel_low"))
+                out.append((vehicle, trip[i], int(t[i]), "fuel_low"))
                 fuel_trip = trip[i]
         last_heading = carried[-1]
         state = (
             int(t[-1]),
-            int(pdf["seq"].iloc[-1]),
+            int(rows["seq"][-1]),
             float(speed[-1]),
             None if np.isnan(last_heading) else float(last_heading),
             first_us,
@@ -315,8 +417,7 @@ class DetectProcessor(OrderedProcessor):
             ",".join(sorted(r for r in RULES if cur[r][-1])),
             fuel_trip,
         )
-        self.state.update(state)
-        return out
+        return out, state
 
 
 SESSION_OUT = T.StructType(
@@ -352,31 +453,29 @@ def _micro_km(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.nda
     return np.floor(2.0 * S.EARTH_RADIUS_KM * np.arcsin(np.sqrt(a)) * 1e6 + 0.5).astype(np.int64)
 
 
-class TripSessionProcessor(OrderedProcessor):
+class TripSessionProcessor(VehiclesProcessor):
     """T4 on a stream: trip sessions that close on a gap longer than
     ``gap_s`` or after an ignition-off reading. A session is emitted when it
     closes: on the next reading, right after an ignition-off reading, or when
     the watermark passes ``last + gap`` with no reading in between."""
 
     columns = [f.name for f in SESSION_OUT.fields]
+    record = SESSION_STATE  # of an open trip: its last reading had the ignition on
 
     def __init__(self, gap_s: float, keep_idle: bool):
         self.gap_us = int(gap_s * 1_000_000)
         self.keep_idle = keep_idle
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.state = handle.getValueState("trip", SESSION_STATE)
+    def arrays(self, pdf: pd.DataFrame) -> dict[str, np.ndarray]:
+        cols = {c: pdf[c].to_numpy(np.float64) for c in ("lat", "lon", "speed_kmh")}
+        return {**super().arrays(pdf), **cols, "ignition_on": pdf["ignition_on"].to_numpy(bool)}
 
-    def _row(self, key, s: tuple) -> list[tuple]:
+    def _row(self, vehicle: str | None, s: tuple) -> list[tuple]:
         start_us, last_us, _lat, _lon, micro, mx, n, first_ign = s
-        return [(key[0], start_us, last_us, micro / 1e6, mx, n)] if first_ign or self.keep_idle else []
+        return [(vehicle, start_us, last_us, micro / 1e6, mx, n)] if first_ign or self.keep_idle else []
 
-    def process(self, key, pdf: pd.DataFrame) -> list[tuple]:
-        s = self.state.get() if self.state.exists() else None  # an open trip: its last reading had the ignition on
-        t = pdf["t_us"].to_numpy(np.int64)
-        lat, lon = pdf["lat"].to_numpy(np.float64), pdf["lon"].to_numpy(np.float64)
-        speed, ign = pdf["speed_kmh"].to_numpy(np.float64), pdf["ignition_on"].to_numpy(bool)
+    def step(self, vehicle: str | None, rows: dict[str, np.ndarray], s: tuple | None) -> tuple[list[tuple], tuple | None]:
+        t, lat, lon, speed, ign = (rows[c] for c in ("t_us", "lat", "lon", "speed_kmh", "ignition_on"))
         before = (t[0], lat[0], lon[0]) if s is None else s[1:4]
         prev_t, prev_lat, prev_lon = (np.concatenate(([b], x[:-1])) for b, x in zip(before, (t, lat, lon), strict=True))
         start = (t - prev_t > self.gap_us) | np.concatenate(([s is None], ~ign[:-1]))
@@ -386,7 +485,7 @@ class TripSessionProcessor(OrderedProcessor):
         km, mx = np.add.reduceat(micro, cuts), np.maximum.reduceat(speed, cuts)
         out: list[tuple] = []
         if s is not None and start[0]:
-            out += self._row(key, tuple(s))
+            out += self._row(vehicle, s)
             s = None
         for i, (a, b) in enumerate(zip(cuts.tolist(), ends.tolist(), strict=True)):
             goes_on = s is not None and i == 0
@@ -401,58 +500,43 @@ class TripSessionProcessor(OrderedProcessor):
                 s[7] if goes_on else bool(ign[a]),
             )
             if b < len(t) or not ign[b - 1]:
-                out += self._row(key, trip)
+                out += self._row(vehicle, trip)
             else:
-                self.state.update(trip)
-                return out
-        self.state.clear()
-        return out
+                return out, trip
+        return out, None
 
-    def due_ms(self) -> int | None:
-        # The first millisecond that lies more than the gap behind the last reading.
-        return (self.state.get()[1] + self.gap_us) // 1000 + 1 if self.state.exists() else None
+    def due_us(self, s: tuple) -> int:
+        return s[1] + self.gap_us
 
-    def passed(self, key, watermark_ms: int) -> list[tuple]:
-        if not self.state.exists() or watermark_ms * 1000 < self.state.get()[1] + self.gap_us:
-            return []
-        s = tuple(self.state.get())
-        self.state.clear()
-        return self._row(key, s)
+    def lapsed(self, vehicle: str | None, s: tuple) -> list[tuple]:
+        return self._row(vehicle, s)
 
 
 SILENT_OUT = T.StructType([T.StructField("vehicle_id", T.StringType()), T.StructField("last_us", T.LongType())])
 _LAST = T.StructType([T.StructField("last_us", T.LongType())])
 
 
-class SilentProcessor(OrderedProcessor):
+class SilentProcessor(VehiclesProcessor):
     """T12 on a stream: tells of a vehicle once the watermark has passed its
     last reading by ``silence_s``, whether or not another one ever comes."""
 
     columns = [f.name for f in SILENT_OUT.fields]
+    record = _LAST  # of a vehicle not yet reported
 
     def __init__(self, silence_s: float):
         self.silence_us = int(silence_s * 1_000_000)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.last = handle.getValueState("last", _LAST)  # of a vehicle not yet reported
-
-    def process(self, key, pdf: pd.DataFrame) -> list[tuple]:
-        t = pdf["t_us"].to_numpy(np.int64)
-        if self.last.exists():
-            t = np.concatenate(([self.last.get()[0]], t))
-        self.last.update((int(t[-1]),))
-        return [(key[0], int(x)) for x in t[:-1][np.diff(t) > self.silence_us]]
+    def step(self, vehicle: str | None, rows: dict[str, np.ndarray], s: tuple | None) -> tuple[list[tuple], tuple | None]:
+        t = rows["t_us"]
+        if s is not None:
+            t = np.concatenate((s, t))
+        return [(vehicle, int(x)) for x in t[:-1][np.diff(t) > self.silence_us]], (int(t[-1]),)
 
-    def due_ms(self) -> int | None:
-        return (self.last.get()[0] + self.silence_us) // 1000 + 1 if self.last.exists() else None
+    def due_us(self, s: tuple) -> int:
+        return s[0] + self.silence_us + 1  # more than the silence
 
-    def passed(self, key, watermark_ms: int) -> list[tuple]:
-        if not self.last.exists() or watermark_ms * 1000 <= self.last.get()[0] + self.silence_us:
-            return []
-        (last,) = self.last.get()
-        self.last.clear()
-        return [(key[0], last)]
+    def lapsed(self, vehicle: str | None, s: tuple) -> list[tuple]:
+        return [(vehicle, s[0])]
 
 
 GAP_OUT = T.StructType([T.StructField("first_us", T.LongType()), T.StructField("last_us", T.LongType())])
@@ -516,27 +600,29 @@ def _need_rocksdb(t: DataFrame) -> None:
         )
 
 
-def _inputs(t: DataFrame, hold: str, cols: list[str]) -> DataFrame:
+def _by_bucket(t: DataFrame, hold: str, cols: list[str], buckets: int) -> GroupedData:
     _need_rocksdb(t)
     marked = t.withWatermark("event_time", hold)
-    return marked.withColumn("t_us", F.unix_micros(F.col("event_time").cast("timestamp"))).select("vehicle_id", "event_time", "t_us", "seq", *cols)
+    bucket = F.pmod(F.xxhash64("vehicle_id"), F.lit(buckets)).cast("int").alias("bucket")
+    t_us = F.unix_micros(F.col("event_time").cast("timestamp")).alias("t_us")
+    return marked.select(bucket, "vehicle_id", "event_time", t_us, "seq", *cols).groupBy("bucket")
 
 
-def detect_events_stream(t: DataFrame, limit_kmh: float, hold: str = S.LATE_HOLD) -> DataFrame:
+def detect_events_stream(t: DataFrame, limit_kmh: float, hold: str = S.LATE_HOLD, buckets: int = BUCKETS) -> DataFrame:
     """T10 (stream): driving events from a telemetry stream, in event-time
     order whatever the order of arrival within ``hold``."""
-    d = _inputs(t, hold, ["trip_id", "speed_kmh", "heading_deg", "ignition_on", "fuel_pct"])
-    out = d.groupBy("vehicle_id").transformWithStateInPandas(
+    d = _by_bucket(t, hold, ["trip_id", "speed_kmh", "heading_deg", "ignition_on", "fuel_pct"], buckets)
+    out = d.transformWithStateInPandas(
         statefulProcessor=DetectProcessor(limit_kmh), outputStructType=DETECT_OUT, outputMode="Append", timeMode="EventTime"
     )
     return out.select("vehicle_id", "trip_id", F.timestamp_micros("t_us").alias("event_time"), "event_type")
 
 
-def trip_sessions_stream(t: DataFrame, gap_s: float = S.SESSION_GAP_S, hold: str = S.LATE_HOLD, keep_idle: bool = False) -> DataFrame:
+def trip_sessions_stream(t: DataFrame, gap_s: float = S.SESSION_GAP_S, hold: str = S.LATE_HOLD, keep_idle: bool = False, buckets: int = BUCKETS) -> DataFrame:
     """T4 (stream): gap + ignition sessions, in event-time order whatever the
     order of arrival within ``hold``."""
-    d = _inputs(t, hold, ["lat", "lon", "speed_kmh", "ignition_on"])
-    out = d.groupBy("vehicle_id").transformWithStateInPandas(
+    d = _by_bucket(t, hold, ["lat", "lon", "speed_kmh", "ignition_on"], buckets)
+    out = d.transformWithStateInPandas(
         statefulProcessor=TripSessionProcessor(gap_s, keep_idle), outputStructType=SESSION_OUT, outputMode="Append", timeMode="EventTime"
     )
     return out.select(
@@ -549,12 +635,12 @@ def trip_sessions_stream(t: DataFrame, gap_s: float = S.SESSION_GAP_S, hold: str
     )
 
 
-def stale_vehicles_stream(t: DataFrame, silence_s: float = S.FRESHNESS_MAX_AGE_S, hold: str = S.LATE_HOLD) -> DataFrame:
+def stale_vehicles_stream(t: DataFrame, silence_s: float = S.FRESHNESS_MAX_AGE_S, hold: str = S.LATE_HOLD, buckets: int = BUCKETS) -> DataFrame:
     """T12 (stream): one row ``vehicle_id, last_seen, silent_since`` each time a
     vehicle has sent nothing for more than ``silence_s`` of event time, as soon
     as the watermark shows it."""
-    d = _inputs(t, hold, [])
-    out = d.groupBy("vehicle_id").transformWithStateInPandas(
+    d = _by_bucket(t, hold, [], buckets)
+    out = d.transformWithStateInPandas(
         statefulProcessor=SilentProcessor(silence_s), outputStructType=SILENT_OUT, outputMode="Append", timeMode="EventTime"
     )
     since = F.timestamp_micros(F.col("last_us") + F.lit(int(silence_s * 1_000_000)))

@@ -151,3 +151,26 @@ def test_state_store_setting_comes_back(spark):
         assert spark.conf.get(key) == other
     finally:
         spark.conf.set(key, before)
+
+
+def test_state_calls_do_not_grow_with_vehicles():
+    def run(vehicles):
+        handle, proc = Handle(), PR.SilentProcessor(15)
+        proc.init(handle)
+        out, calls = [], 0
+        for t, mark in ((0, 10_000), (5_000_000, 30_000), (60_000_000, 90_000)):
+            pdf = pd.DataFrame([(f"v{v}", t + v, v) for v in range(vehicles)], columns=["vehicle_id", "t_us", "seq"])
+            for part in proc.handleInputRows((0,), iter([pdf]), Clock(0)):
+                assert part.empty
+            while handle.timers and min(handle.timers) <= mark:
+                handle.timers.remove(min(handle.timers))
+                for part in proc.handleExpiredTimer((0,), Clock(mark), None):
+                    out += list(part.itertuples(index=False, name=None))
+            calls = max(calls, len(handle.calls))
+            handle.calls.clear()
+        return calls, sorted(out)
+
+    few, many = run(1), run(300)
+    assert few[1] == [("v0", 5_000_000), ("v0", 60_000_000)]
+    assert many[1] == sorted((f"v{v}", t + v) for v in range(300) for t in (5_000_000, 60_000_000))
+    assert many[0] == few[0] <= 20
