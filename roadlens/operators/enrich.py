@@ -12,9 +12,13 @@ from __future__ import annotations
 import math
 import uuid
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from roadlens import schemas as S
 from roadlens.functions.signals import posted_limit
@@ -258,28 +262,88 @@ def assign_limit_segments(t: DataFrame, segments: DataFrame, cell_deg: float = C
     smaller route_id, then seq). Near is by latitude and longitude with the
     city's longitude scale.
 
-    Only grid cells that hold a reading are looked up, each once; a reading
-    then meets its own cell's list in an equi-join. A list holds the segments
-    within a cell's diagonal of the nearest: choose ``cell_deg`` by how dense
-    the roads are. Readings outside the cities, or of one without segments,
-    have no limit."""
+    Only grid cells that hold a reading are looked up, each once; a cell's
+    distinct positions, some thousands at a time, then meet its list, which
+    holds the segments within a cell's diagonal of the nearest, and halve it
+    with the area they cover. Readings outside the cities, or of one without
+    segments, have no limit."""
     keys = ["city", "_i", "_j"]
     d = t.withColumn("city", city_of())
-    d = d.withColumn("_i", F.floor((F.col("lat") - _origin(0)) / cell_deg).cast("long"))
-    d = d.withColumn("_j", F.floor((F.col("lon") - _origin(2)) / cell_deg).cast("long"))
-    fields = ("route_id", "seq", "lat0", "lon0", "lat1", "lon1", "road_class", "speed_limit_kmh")
-    s = segments.select("city", "lat0", "lon0", "lat1", "lon1", F.struct(*fields).alias("segment"))
-    near = _near_segments(d.select(*keys).where(F.col("_i").isNotNull() & F.col("_j").isNotNull()).distinct(), s, cell_deg)
-    lists = near.groupBy(*keys).agg(F.collect_list("segment").alias("_near"))
-    d = d.withColumn("_k", _by_city(_lon_scale)).join(lists, keys, "left")
-
-    def candidate(x: Column) -> Column:
-        d2 = _distance2(F.col("lat"), F.col("lon"), lambda f: x[f], F.col("_k"))
-        return F.struct(d2.alias("d"), *[x[f].alias(f) for f in ("route_id", "seq", "road_class", "speed_limit_kmh")])
-
-    out = d.withColumn("_b", F.array_min(F.transform("_near", candidate))).drop("_i", "_j", "_k", "_near")
-    out = out.withColumn("route_id", F.col("_b.route_id")).withColumn("segment_seq", F.col("_b.seq")).withColumn("road_class", F.col("_b.road_class"))
-    return out.withColumn("speed_limit_kmh", posted_limit("road_class", "_b.speed_limit_kmh")).drop("_b")
+    fields = ("route_id", "seq", "road_class", "speed_limit_kmh")
+    s = segments.select("city", "lat0", "lon0", "lat1", "lon1", F.struct(*fields, "lat0", "lon0", "lat1", "lon1").alias("segment"))
+    i, j = ((F.floor((F.col(c) - _origin(o)) / cell_deg).cast("long").alias(n) for c, o, n in (("lat", 0, "_i"), ("lon", 2, "_j"))))
+    at = d.select("city", "lat", "lon").distinct().select("city", "lat", "lon", i, j).where(F.col("_i").isNotNull() & F.col("_j").isNotNull())
+    cells = at.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("_n"))
+    near = _near_segments(cells.select(*keys), s, cell_deg)
+    group = [*keys, "_chunk"]
+    chunk = F.pmod(F.xxhash64("lat", "lon"), F.col("_n")).cast("int").alias("_chunk")
+    places = at.join(cells, keys).select(*keys, chunk, "lat", "lon", _by_city(_lon_scale).alias("_k"))
+    near = near.join(cells, keys).select(*keys, F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_chunk"), "segment.*")
+    out = T.StructType([T.StructField(f"_{c}", d.schema[c].dataType) for c in ("city", "lat", "lon")] + [T.StructField(f"_{c}", segments.schema[c].dataType) for c in fields])
+    best = places.groupBy(*group).cogroup(near.groupBy(*group)).applyInArrow(_nearest_of(to_arrow_schema(out), fields), out)
+
+    same = [F.col(c) == F.col(f"_{c}") for c in ("city", "lat", "lon")]
+    r = d.join(best, same[0] & same[1] & same[2], "left").withColumn("route_id", F.col("_route_id")).withColumn("segment_seq", F.col("_seq"))
+    r = r.withColumn("road_class", F.col("_road_class")).withColumn("speed_limit_kmh", posted_limit("road_class", "_speed_limit_kmh"))
+    return r.drop(*out.names)
+
+
+CHUNK = 8192  # positions of a cell that are looked up at once
+_PAIRS = 1 << 16  # distances computed at once
+
+
+def _distances2(lat: np.ndarray, lon: np.ndarray, s: np.ndarray, k: float) -> np.ndarray:
+    """:func:`_distance2` of points to segments (rows lat0, lon0, lat1, lon1)."""
+    vy, vx = s[2] - s[0], (s[3] - s[1]) * k
+    wy, wx = lat[:, None] - s[0], (lon[:, None] - s[1]) * k
+    size = vy * vy + vx * vx
+    along = np.minimum(1.0, np.maximum(0.0, (wy * vy + wx * vx) / np.where(size > 0, size, 1.0)))
+    along = np.where(size > 0, along, 0.0)
+    dy, dx = wy - along * vy, wx - along * vx
+    return dy * dy + dx * dx
+
+
+def _nearest(lat: np.ndarray, lon: np.ndarray, s: np.ndarray, k: float) -> np.ndarray:
+    """For each point the first of the segments nearest to it. The points'
+    area is halved until few segments can be nearest to any point of it."""
+    found = np.empty(len(lat), np.int64)
+    todo = [(np.arange(len(lat)), np.arange(s.shape[1]))]
+    while todo:
+        p, q = todo.pop()
+        y, x = lat[p], lon[p]
+        if len(p) * len(q) <= _PAIRS or len(p) == 1:
+            found[p] = q[np.argmin(_distances2(y, x, s[:, q], k), axis=1)]
+            continue
+        y0, y1, x0, x1 = y.min(), y.max(), x.min(), x.max()
+        # From its middle to a corner; a segment may be so much nearer or farther to other points of the area.
+        far = np.hypot(y1 - y0, (x1 - x0) * k) / 2
+        dist = np.sqrt(_distances2(np.array([(y0 + y1) / 2]), np.array([(x0 + x1) / 2]), s[:, q], k)[0])
+        q = q[dist <= dist.min() + 2 * far + 1e-12]
+        if len(p) * len(q) <= _PAIRS:
+            todo.append((p, q))
+            continue
+        by = y if y1 - y0 >= (x1 - x0) * k else x
+        order = np.argsort(by, kind="stable")
+        todo += [(p[order[: len(p) // 2]], q), (p[order[len(p) // 2 :]], q)]
+    return found
+
+
+def _nearest_of(schema: pa.Schema, fields: tuple[str, ...]):
+    """Cogroup function: positions of a cell and the segments that can be
+    nearest there -> each position with its segment's ``fields``."""
+
+    def run(places: pa.Table, near: pa.Table) -> pa.Table:
+        if not places.num_rows or not near.num_rows:
+            return schema.empty_table()
+        # Of segments equally near the first by these.
+        near = near.take(pc.sort_indices(near, sort_keys=[(c, "ascending") for c in fields], null_placement="at_start"))
+        s = np.stack([near[c].to_numpy().astype(np.float64) for c in ("lat0", "lon0", "lat1", "lon1")])
+        lat, lon = (places[c].to_numpy().astype(np.float64) for c in ("lat", "lon"))
+        at = pa.array(_nearest(lat, lon, s, places["_k"][0].as_py()))
+        cols = [places[c] for c in ("city", "lat", "lon")] + [near[c].take(at) for c in fields]
+        return pa.Table.from_arrays([c.cast(f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+
+    return run
 
 
 def assign_limit_nodes(t: DataFrame, nodes: DataFrame, cell_deg: float = CELL_DEG) -> DataFrame:

@@ -128,3 +128,24 @@ def test_reading_of_an_unknown_vehicle_is_outside(spark):
     t = tel(spark, [{"t": 0, "v": "nobody"}])
     v = spark.createDataFrame([("veh_0001", "Jakarta")], "vehicle_id string, home_city string")
     assert EN.geofence_violations(t, v, EN.city_boxes(spark)).count() == 1
+
+
+def test_nearest_segments_need_few_distances(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    lat, lon = rng.random(3000), rng.random(3000)
+    lat[100:200], lon[100:200] = lat[0], lon[0]  # one place many times
+    ends = rng.random((4, 2000))
+    ends[2:, ::2] = ends[:2, ::2]  # every other one is a point
+    ends[:, 1000:1010] = ends[:, :10]  # equally near: the first wins
+    plain, count = EN._distances2, []
+
+    def counted(y, x, s, k):
+        count.append(len(y) * s.shape[1])
+        return plain(y, x, s, k)
+
+    monkeypatch.setattr(EN, "_distances2", counted)
+    monkeypatch.setattr(EN, "_PAIRS", 1 << 10)
+    assert (EN._nearest(lat, lon, ends, 0.9) == np.argmin(plain(lat, lon, ends, 0.9), axis=1)).all()
+    assert sum(count) < lat.size * 2000 / 4
