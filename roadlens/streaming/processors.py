@@ -208,10 +208,14 @@ class OrderedProcessor(StatefulProcessor):
             if not held:
                 return
             pdf = _ordered([_unpack(e[3]) for e in held])
-            timed = int(pdf["t_us"].count())  # readings without a time are last, and wait for nothing
-            cut = int(np.searchsorted(pdf["t_us"].to_numpy()[:timed], end_us))
-            rest = _run_of(pdf.iloc[cut:timed]) if cut < timed else []
-            ready = pdf.iloc[:cut] if timed == len(pdf) else pd.concat([pdf.iloc[:cut], pdf.iloc[timed:]])
+            t = pdf["t_us"].to_numpy(np.int64)
+            passed = t < end_us
+            if pdf["t_us"].hasnans:  # readings without a time come after a vehicle's others
+                vehicle = pd.factorize(pdf["vehicle_id"].to_numpy(object), use_na_sentinel=False)[0]
+                by = np.argsort(vehicle, kind="stable")
+                for own in np.split(by, np.cumsum(np.bincount(vehicle))[:-1]):
+                    passed[own] = np.arange(len(own)) < (np.searchsorted(t[own], end_us) if t[own[0]] < end_us else 0)
+            ready, rest = pdf[passed], [] if passed.all() else _run_of(pdf[~passed])
             if len(ready):
                 yield ready, rest
             return
