@@ -105,3 +105,18 @@ def test_bucket_width_does_not_change_sessions(spark, on_ignition):
         many = SS.trip_sessions(df, gap_s=300, on_ignition=on_ignition, keep_idle=True, bucket_s=b)
         assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0, b
     assert one.where("distance_km > 0").count() > 5
+
+
+def test_quick_rounding_is_that_of_spark(spark):
+    import random
+
+    from pyspark.sql import functions as F
+    from roadlens.operators.quality import _rounded
+
+    rng = random.Random(9)
+    values = [rng.uniform(-200, 200) for _ in range(3000)] + [rng.randrange(-10**9, 10**9) / 2e6 for _ in range(3000)] + [n / 8 + 0.005 for n in range(-400, 400)]
+    values += [None, float("nan"), float("inf"), -0.0, -1e-9, 1e-9, 1.005, 2.5e-7, 5e-7, 1e300, -1e15, 2.0**52 + 0.5]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (0, 2, 6):
+        plan = df.select("v", _rounded(F.col("v"), digits).alias("a"), F.round("v", digits).alias("b"))
+        assert plan.where("NOT (hex(cast(a AS string)) <=> hex(cast(b AS string)))").collect() == []
