@@ -21,7 +21,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import Scratch, components, unused
+from roadlens.llm.common import Scratch, components, release, unused
 from roadlens.llm.prefix import COUNTED, PACKED, PER_PART, Counter, Frequent, common, lists, most_frequent, pack, possible, prefix_size, salts
 from roadlens.llm.sieve import key, sieve
 from roadlens.llm.text import packed_texts, set_key, shingle_sets, unpacked
@@ -30,9 +30,10 @@ WIDTH = 5
 SIMILAR = (4, 5)  # Jaccard threshold as a fraction
 HEAVY = 1 << 18  # frequent n-grams whose counts order the rest; a fixed bound
 FRAGMENTS = 4  # fragments of the global order that overlaps are counted in
-PER_COUNTER = 1_500_000  # n-grams that one counting task holds
+PER_COUNTER = 750_000  # n-grams that one counting task holds
 HOT_LIST = 20_000  # documents of one n-gram that one task links
 TOGETHER = 200  # pairs whose texts are cut at a time
+_SETS, _POSTINGS = 2_500, 400_000  # sets, and postings, that are packed at a time
 
 
 class Order(Frequent):
@@ -59,6 +60,7 @@ def _classes(docs: DataFrame, width: int) -> DataFrame:
                 [b.column("doc_id"), b.column("th"), n, k1, k2],
                 names=["doc_id", "th", "n", "k1", "k2"],
             )
+        release()
 
     return docs.withColumn("th", F.xxhash64("text")).mapInArrow(run, "doc_id long, th long, n long, k1 long, k2 long")
 
@@ -76,6 +78,7 @@ def _frequent(docs: DataFrame, width: int, total: int, most: int, per_counter: i
                 for x in counter.add(s):
                     yield batch(x)
         yield batch(counter.packed())
+        release()
 
     top = most_frequent(docs.select("text").mapInArrow(run, COUNTED), parts, most)
     return Order(top.upper, top.count)
@@ -89,6 +92,7 @@ def _postings(docs: DataFrame, width: int, similar: tuple[int, int], order: Broa
         cols: list[list[np.ndarray]] = [[], [], [], []]
         names: list[int] = []
         sizes: list[int] = []
+        postings = 0
 
         def packed() -> pa.RecordBatch:
             token, salt, owner, left = (np.concatenate(c) for c in cols)
@@ -108,11 +112,14 @@ def _postings(docs: DataFrame, width: int, similar: tuple[int, int], order: Broa
                     col.append(v)
                 names.append(k1)
                 sizes.append(n)
-                if len(names) >= 2_500:
+                postings += len(at)
+                if len(names) >= _SETS or postings >= _POSTINGS:
                     yield packed()
-                    cols, names, sizes = [[], [], [], []], [], []
+                    cols, names, sizes, postings = [[], [], [], []], [], [], 0
         if names:
             yield packed()
+            cols = [[], [], [], []]
+        release()
 
     return docs.select("text").mapInArrow(run, PACKED)
 
@@ -130,6 +137,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, similar: tuple[int
         for batch in batches:
             for lo in range(0, batch.num_rows, TOGETHER):
                 yield _overlaps(batch.slice(lo, TOGETHER), width, order.value, fragments)
+        release()
 
     part = both.mapInArrow(run, "a long, b long, fragment int, common long, sizes long")
     # A repeated row gives its pairs twice.

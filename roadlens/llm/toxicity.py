@@ -509,5 +509,6 @@ def reject(docs: DataFrame, model: ToxicModel, threshold: float = THRESHOLD) ->
             for lo in range(0, len(col), QUERIES):
                 found += [s for s, _ in _scored(shared.value, col.slice(lo, QUERIES), known, evidence=False)]
             yield pa.array(found, pa.float64())
+        release()
 
     return docs.where(scores(F.col("text")) < threshold)

@@ -1,11 +1,14 @@
 from pyspark.sql import functions as F
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from brute import component_ids, linked, shingle_set
 
 from llm_fixtures import SF, edge_docs, make_docs  # noqa: F401
 from roadlens.llm import ngram_join, queries
+from roadlens.llm.prefix import prefix_size
 
 
 def check(rows, got):
@@ -78,3 +81,23 @@ def test_unlinked_texts_of_one_id_stay(make_docs):
     got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
     assert got == sorted([(4, "x y z 1"), (4, "near copy"), (5, "one two"), (7, ""), (7, ""), (7, None)], key=str)
     assert {(r.of_id, r.hash) for r in out.collect()} == {(1, 2)}
+
+
+def test_packed_postings_are_bounded_by_their_number(monkeypatch):
+    class Docs:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    class Order:
+        value = ngram_join.Order(np.empty(0, np.uint32), np.empty(0, np.int64))
+
+    monkeypatch.setattr(ngram_join, "_POSTINGS", 300)
+    texts = [" ".join(f"w{i}x{j}" for j in range(504)) for i in range(9)]
+    run = ngram_join._postings(Docs(), 5, (4, 5), Order, 20_000, 1)
+    got = list(run(iter([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])])))
+    held = [np.frombuffer(b.column("postings")[0].as_py(), "<u4", 1)[0] for b in got]
+    each = prefix_size(500, (4, 5))
+    assert sum(held) == 9 * each and max(held) < 300 + each and len(held) == 3

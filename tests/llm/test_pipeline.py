@@ -94,3 +94,15 @@ def test_edge_rows_through_all_stages(spark, edge_docs, make_docs):
         if "__h" in docs.columns:
             assert docs.select("__h", "__rate", "of_id").distinct().collect() == [("__h", "__rate", "of_id")]
             assert docs.where("doc_id = 6").count() >= 1
+
+
+def test_batches_hold_few_texts(spark, make_docs):
+    before = spark.conf.get(corpus_pipeline.BATCH)
+    try:
+        for set_to, want in (("10000", "1000"), ("0", "1000"), ("50", "50")):
+            for _, f in corpus_pipeline.STAGES[1:2]:
+                spark.conf.set(corpus_pipeline.BATCH, set_to)
+                f(spark, make_docs([(1, "a b\nc")]), SF)
+                assert spark.conf.get(corpus_pipeline.BATCH) == want
+    finally:
+        spark.conf.set(corpus_pipeline.BATCH, before)
