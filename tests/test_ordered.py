@@ -132,3 +132,12 @@ def test_resample_of_sparse_series(spark, bucket_s):
     rows = sorted((r.vehicle_id, r.grid_time.replace(tzinfo=dt.timezone.utc).timestamp(), r.speed_kmh) for r in got.collect())
     first = {"v0": 0, "v1": 20_000}
     assert rows == [(v, float(s), s / 20_000) for v in ("v0", "v1") for s in range(first[v] + 10_000, first[v] + 58 * 20_000 + 1, 10_000)]
+
+
+def test_rows_without_a_key_keep_their_buckets(spark):
+    t = spark.range(40).selectExpr("CAST(NULL AS STRING) AS vehicle_id", "CAST(timestamp_seconds(id * 900) AS TIMESTAMP_NTZ) AS event_time", "id AS seq", "CAST(id AS DOUBLE) AS speed_kmh")
+    few = spark.range(60).selectExpr("'v' AS vehicle_id", "CAST(timestamp_seconds(id * 90000) AS TIMESTAMP_NTZ) AS event_time", "id AS seq", "CAST(id AS DOUBLE) AS speed_kmh")
+    both = t.unionByName(few)
+    assert O.fitting_bucket(both, ["vehicle_id"], "event_time") > O.DEFAULT_BUCKET_S
+    got, want = (QA.resample(both, 300, ("speed_kmh",), **w) for w in ({}, {"bucket_s": O.DEFAULT_BUCKET_S}))
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
